@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, simhash_dedup
+from . import exact_dedup, mixing, packing, simhash_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,12 @@ def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_dedup(table(spark, sf_dir, "documents"))
 
@@ -35,6 +41,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
         "op3_pack_sequences": op3_pack_sequences,
+        "op4_toxicity": op4_toxicity,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
         "op9_mix_sources": op9_mix_sources,
     }

@@ -7,6 +7,7 @@ import atexit
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,3 +122,18 @@ def _small_star(edges: DataFrame) -> DataFrame:
     moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     kept = least.select("u", F.col("m").alias("v"))
     return moved.unionByName(kept).where("u <> v").distinct()
+
+
+def merge_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Joins the components of linked rows; labels end as each component's least row."""
+    while len(a):
+        la, lb = label[a], label[b]
+        open_ = la != lb
+        a, b, la, lb = a[open_], b[open_], la[open_], lb[open_]
+        low = np.minimum(la, lb)
+        np.minimum.at(label, np.maximum(la, lb), low)
+        while True:
+            up = label[label]
+            if np.array_equal(up, label):
+                break
+            label[:] = up

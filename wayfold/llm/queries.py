@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, packing, simhash_dedup, toxicity
+from . import embedding_dedup, exact_dedup, language_id, mixing, packing, simhash_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,15 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -43,6 +52,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_pack_sequences": op3_pack_sequences,
         "op4_toxicity": op4_toxicity,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
+        "op6_language_id": op6_language_id,
+        "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_mix_sources": op9_mix_sources,
     }
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import OWN, connected_components, drop_table, write_table
+from .common import OWN, connected_components, drop_table, merge_labels, write_table
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -131,21 +131,6 @@ def _replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, ["fp", "anchor", "home"])
 
 
-def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Joins the components of linked rows; labels end as each component's least row."""
-    while len(a):
-        la, lb = label[a], label[b]
-        open_ = la != lb
-        a, b, la, lb = a[open_], b[open_], la[open_], lb[open_]
-        low = np.minimum(la, lb)
-        np.minimum.at(label, np.maximum(la, lb), low)
-        while True:
-            up = label[label]
-            if np.array_equal(up, label):
-                break
-            label[:] = up
-
-
 def cell_edges(fp: np.ndarray, anchor: np.ndarray, home: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links between rows of the same anchor of which one
     is at home there: member and least member of each component, as fingerprints."""
@@ -166,7 +151,7 @@ def cell_edges(fp: np.ndarray, anchor: np.ndarray, home: np.ndarray, max_bits: i
         a = np.repeat(rows, n)
         b = np.repeat(first[rows] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(len(a))
         linked = (np.bitwise_count(fp[a] ^ fp[b]) <= max_bits) & (a != b)
-        _merge(label, a[linked], b[linked])
+        merge_labels(label, a[linked], b[linked])
         k = end
     linked = np.flatnonzero(label != np.arange(len(fp)))
     return fp[linked].view(np.int64), fp[label[linked]].view(np.int64)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, exact_dedup, language_id, mixing, packing, simhash_dedup, toxicity
+from . import embedding_dedup, exact_dedup, language_id, mixing, packing, simhash_dedup, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_language_id": op6_language_id,
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_mix_sources": op9_mix_sources,
+        "op10_suffix_array_dedup": op10_suffix_array_dedup,
     }
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import embedding_dedup, exact_dedup, language_id, line_dedup, mixing, packing, simhash_dedup, suffix_dedup, toxicity
+from . import embedding_dedup, exact_dedup, language_id, line_dedup, mixing, packing, secret_scan, simhash_dedup, suffix_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    # a finding's checksum instead of the secret itself
+    return found.select("doc_id", "k", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("sha256"), "score", "is_secret")
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_dedup(table(spark, sf_dir, "embeddings"))
 
@@ -62,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_toxicity": op4_toxicity,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
         "op6_language_id": op6_language_id,
+        "op7_secret_scan": op7_secret_scan,
         "op8_embedding_near_dedup": op8_embedding_near_dedup,
         "op9_mix_sources": op9_mix_sources,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,

@@ -54,6 +54,15 @@ def repeated_positions(
     return maps, blocks
 
 
+def _test(rows: DataFrame, key: str, maps: DataFrame, blocks: int) -> DataFrame:
+    """Adds whether the row's position is one that two or more rows hit."""
+    byte = F.expr(f"cast(conv(hex(substring({_MAP}, cast({_BIT} div 8 as int) + 1, 1)), 16, 10) as int)")
+    hit = F.coalesce(F.getbit(byte, (F.col(_BIT) % 8).cast("int")) == 1, F.lit(False))
+    # the bitmap is bounded by max_filter_bytes, so the broadcast is too
+    tested = _position(rows, key, blocks).join(F.broadcast(maps), _BLOCK, "left").withColumn(f"{OWN}hit", hit)
+    return tested.drop(_BLOCK, _BIT, _MAP)
+
+
 def dedup_by_key(rows: DataFrame, keys: DataFrame, key: str, id_col: str, **filter_size: int) -> DataFrame:
     """Adds keep_id, group_size and kept to ``rows``, by equal ``key``.
 
@@ -61,16 +70,16 @@ def dedup_by_key(rows: DataFrame, keys: DataFrame, key: str, id_col: str, **filt
     that the filter is built without reading texts again).
     """
     maps, blocks = repeated_positions(keys, key, keys.count(), **filter_size)
-    byte = F.expr(f"cast(conv(hex(substring({_MAP}, cast({_BIT} div 8 as int) + 1, 1)), 16, 10) as int)")
-    hit = F.coalesce(F.getbit(byte, (F.col(_BIT) % 8).cast("int")) == 1, F.lit(False))
-    # the bitmap is bounded by max_filter_bytes, so the broadcast is too
-    tested = _position(rows, key, blocks).join(F.broadcast(maps), _BLOCK, "left").withColumn(f"{OWN}hit", hit)
-    tested = tested.drop(_BLOCK, _BIT, _MAP)
+    maps = write_table(maps, "filter")
+    tested = _test(rows, key, maps, blocks)
     once = tested.where(~F.col(f"{OWN}hit")).withColumns(
         {"keep_id": F.col(id_col), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)}
     )
     again = tested.where(F.col(f"{OWN}hit"))
-    groups = again.groupBy(key).agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size"))
+    # the groups come from the narrow keys and are written: both sides of the join
+    # are then dealt out anew, which lets Spark split a group of many copies
+    groups = _test(keys, key, maps, blocks).where(F.col(f"{OWN}hit")).groupBy(key)
+    groups = write_table(groups.agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size")), "groups")
     again = again.join(groups, key).withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id")))
     return once.unionByName(again).drop(f"{OWN}hit")
 

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import quality, reads
 from .adapters import Feed
 from .models import Models
 from .oracle import over
+from .oracle_checks import SQL
 
 MODELS = (
     "route_performance hourly_operations kpi_summary station_performance route_performance_named service_performance unique_stop_events stop_events_enriched "
@@ -28,9 +30,18 @@ def _model(name: str) -> Query:
     return lambda spark, sf_dir: getattr(models(spark, sf_dir), name)
 
 
+def _check(name: str) -> Query:
+    function = getattr(quality, name, None) or getattr(reads, name)
+    return lambda spark, sf_dir: function(models(spark, sf_dir))
+
+
+#: Queries that plain SQL doesn't give the same digits for.
+ROWS_ONLY = ("approx_p90",)
+
+
 def queries() -> dict[str, Query]:
-    return {name: _model(name) for name in MODELS}
+    return {name: _model(name) for name in MODELS} | {name: _check(name) for name in (*SQL, *ROWS_ONLY)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: over(f"SELECT * FROM {name}") for name in MODELS}
+    return {name: over(f"SELECT * FROM {name}") for name in MODELS} | {name: over(sql) for name, sql in SQL.items()}

@@ -112,7 +112,7 @@ SQL: dict[str, str] = {
     "observed_paths": f"SELECT service_key, shape_id FROM ({PATHS}) WHERE service_key IN (SELECT service_key FROM line_metrics)",
     "line_drilldown": f"""SELECT *, {RATES} FROM (SELECT station_display_name AS station_name, avg(station_lat) AS station_lat, avg(station_lon) AS station_lon, count(*) AS unique_stop_events, count({D}) AS delay_reported_events,
   count(*) FILTER ({D} < -60) AS early_events, count(*) FILTER ({D} BETWEEN -60 AND 60) AS near_schedule_events, count(*) FILTER ({D} > 60 AND {D} <= 300) AS minor_delay_events, count(*) FILTER ({D} > 300) AS late_events,
-  count(*) FILTER ({D} IS NULL) AS timing_unavailable_events FROM stop_events_line_focus WHERE service_key = 'Tram|ag3|98' AND station_display_name IS NOT NULL AND station_lat IS NOT NULL GROUP BY 1)""",
+  count(*) FILTER ({D} IS NULL) AS timing_unavailable_events FROM stop_events_line_focus WHERE service_key = 'Regional rail|ag2|FEX' AND station_display_name IS NOT NULL AND station_lat IS NOT NULL GROUP BY 1)""",
     "route_coverage": f"""SELECT transport_mode, static_routes, coalesce(n, 0) AS observed_routes, {pct2('coalesce(n, 0)', 'static_routes')} AS observed_percentage
   FROM (SELECT {_case('route_type', EVENT_MODES, 'Needs review')} AS transport_mode, count(*) AS static_routes FROM gtfs_routes GROUP BY 1)
   LEFT JOIN (SELECT transport_mode, count(DISTINCT route_id) AS n FROM stop_events_enriched WHERE route_type IS NOT NULL GROUP BY 1) USING (transport_mode)""",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, reads
+from . import extras, quality, reads
 from .adapters import Feed
 from .models import Models
 from .oracle import over
@@ -31,17 +31,17 @@ def _model(name: str) -> Query:
 
 
 def _check(name: str) -> Query:
-    function = getattr(quality, name, None) or getattr(reads, name)
+    function = next(getattr(m, name) for m in (quality, reads, extras) if hasattr(m, name))
     return lambda spark, sf_dir: function(models(spark, sf_dir))
 
 
 #: Queries that plain SQL doesn't give the same digits for.
-ROWS_ONLY = ("approx_p90",)
+ROWS_ONLY = ("approx_p90", "path_simplify")
 
 
 def queries() -> dict[str, Query]:
-    return {name: _model(name) for name in MODELS} | {name: _check(name) for name in (*SQL, *ROWS_ONLY)}
+    return {name: _model(name) for name in MODELS} | {name: _check(name) for name in (*SQL, *extras.SQL, *ROWS_ONLY)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: over(f"SELECT * FROM {name}") for name in MODELS} | {name: over(sql) for name, sql in SQL.items()}
+    return {name: over(f"SELECT * FROM {name}") for name in MODELS} | {name: over(sql) for name, sql in (SQL | extras.SQL).items()}

@@ -153,7 +153,7 @@ def observed_paths(w: Models) -> DataFrame:
     return network_paths(w).join(seen, "service_key", "left_semi").select("service_key", "shape_id")
 
 
-def line_drilldown(w: Models, service_key: str = "Tram|ag3|98", region: str | None = None) -> DataFrame:
+def line_drilldown(w: Models, service_key: str = "Regional rail|ag2|FEX", region: str | None = None) -> DataFrame:
     """Stops of one line; the key is a bound value, never text in a query."""
     rows = w.stop_events_line_focus.where((F.col("service_key") == service_key) & F.col("station_display_name").isNotNull() & F.col("station_lat").isNotNull())
     if region:

@@ -150,7 +150,8 @@ def _compare(part: pa.Table) -> pa.Table:
     doc = ids.dictionary_encode(null_encoding="encode").indices.to_numpy()
     words = [np.frombuffer(b"".join(part.column(c).to_pylist()), ">u4").reshape(-1, REACH) for c in ("right", "left")]
     most = [part.column(c).to_numpy() for c in ("n_right", "n_left")]
-    found = []
+    none = np.empty(0, np.int64)
+    found = [(none, none, none, none)]
     for order in (np.arange(len(key)), _by_left(key, part.column("left"))):
         i, j = _neighbours(order, key, doc)
         i, j = i[own[i]], j[own[i]]

@@ -4,6 +4,7 @@ distributed connected components."""
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -70,6 +71,19 @@ def _drop_all() -> None:
             return
 
 
+#: Rows and bytes of a batch that goes to a Python worker, at most.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session, so that a worker's memory doesn't
+    depend on how long texts are."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = int(re.sub(r"\D", "", spark.conf.get(key)) or 0)
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
+
+
 def lower_ascii(text: Column) -> Column:
     """Null counts as empty; lower-cases A-Z only."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import write_table
+from .common import small_batches, write_table
 
 CAPACITY = 1024
 END_TOKEN = 2
@@ -245,6 +245,7 @@ def slots(configs: Counter) -> list[tuple[int, int, int, int, int]]:
 def pack(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CAPACITY, make_encoder=public_encoder, with_ids=False) -> DataFrame:
     """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset (and
     ``ids``, the tokens themselves)."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     pieces = write_table(tokenize_pieces(docs, id_col, text_col, capacity, make_encoder, with_ids), "pieces")
     # at most `capacity` rows come to the driver

@@ -29,7 +29,7 @@ def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.toxicity(docs, table(spark, sf_dir, "labels"), carry_text=False)
     return found.select("doc_id", "held_out", "score", "predicted")
 
 

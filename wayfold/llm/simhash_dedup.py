@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import OWN, connected_components, drop_table, merge_labels, write_table
+from .common import connected_components, drop_table, merge_labels, OWN, small_batches, write_table
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -81,6 +81,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, fp`` of every row; fp is the fingerprint as a signed long."""
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return own.mapInArrow(_fingerprint_batches, f"id {kind}, fp long")

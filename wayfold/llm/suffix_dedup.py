@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import write_table
+from .common import small_batches, write_table
 
 MIN_WORDS, K = 50, 25
 WINDOW = MIN_WORDS - K + 1
@@ -176,6 +176,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``<id>, start, end, other_id``: maximal stretches of words (from 0, end
     exclusive) covered by passages of MIN_WORDS words or more that another document
     has too, and the least id of the documents found to share one."""
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     places = write_table(own.mapInArrow(_select, f"id {kind}, at long, key long"), "minimisers")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import OWN, write_table
+from .common import OWN, small_batches, write_table
 
 #: Labelled rows that the classifier is fitted on, at most; a quarter of them
 #: fits the logistic function, the others give the class counts.
@@ -45,7 +45,7 @@ MAX_WORDS, MAX_PAIRS = 100_000, 100_000
 MIN_COUNT, EVIDENCE, DISCOUNT = 4, 16.0, 0.75
 WINDOW = 64
 _COUNTS = ("toxic", "other", "toxic_texts", "other_texts")
-_ROWS = 512  # texts that are taken apart at once
+_ROWS = 128  # texts that are taken apart at once
 
 
 def held_out(id_col: str) -> Column:
@@ -178,6 +178,7 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarr
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fits the models. Only rows of ``labels`` with an id that isn't held out count."""
     spark = docs.sparkSession
+    small_batches(spark)
     labels = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     labels = labels.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic"))
     sample = labels.orderBy(F.xxhash64(F.lit("train"), "id"), "id").limit(MAX_TRAIN)
@@ -279,8 +280,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return model
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` with ``score``."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", carry_text: bool = True) -> DataFrame:
+    """All rows and columns of ``docs`` with ``score``; without ``carry_text`` the
+    texts themselves don't come back from the workers."""
+    small_batches(docs.sparkSession)
     docs = docs.drop("score")
     at = docs.columns.index(text_col)
     cast = docs.sparkSession.sparkContext.broadcast(vars(model))
@@ -289,17 +292,18 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         own = Model(**cast.value)
         for batch in _slices(batches):
             found = pa.array(own.scores(batch.column(at)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in back], found], [*[batch.schema.names[k] for k in back], "score"])
 
     names = docs.columns
+    back = [k for k in range(len(names)) if carry_text or k != at]
     own = docs.select(*[F.col(f"`{c}`").alias(f"{OWN}{i}") for i, c in enumerate(names)])
-    schema = own.withColumn("score", F.lit(0.0)).schema
+    schema = own.select(*[f"{OWN}{k}" for k in back]).withColumn("score", F.lit(0.0)).schema
     out = own.mapInArrow(run, schema)
-    return out.select(*[F.col(f"{OWN}{i}").alias(c) for i, c in enumerate(names)], "score")
+    return out.select(*[F.col(f"{OWN}{k}").alias(names[k]) for k in back], "score")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry_text: bool = True) -> DataFrame:
     """All rows and columns of ``docs`` with held_out, score and predicted."""
     model = train(docs, labels, id_col, text_col)
-    out = score(docs.drop("held_out", "predicted"), model, text_col)
+    out = score(docs.drop("held_out", "predicted"), model, text_col, carry_text)
     return out.withColumns({"held_out": held_out(id_col), "predicted": F.when(F.col("score") >= 0.5, 1).otherwise(0)})

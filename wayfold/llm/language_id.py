@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import OWN, write_table
+from .common import OWN, small_batches, write_table
 from .toxicity import held_out
 
 #: Labelled rows that are fitted on, distinct words of a language, and rounds.
@@ -181,10 +181,11 @@ class Scorer:
 
 def train(docs: DataFrame, pieces: list[str], id_col="doc_id", text_col="text", lang_col="lang") -> tuple[list[str], np.ndarray]:
     """Languages in order, and their probabilities of the vocabulary's pieces."""
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
-    ids = rows.select(F.col(id_col).alias("id"), F.xxhash64(F.lit("lang"), id_col).alias("h")).orderBy("h", "id").limit(MAX_TRAIN)
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), held_out(id_col).alias("out"))
+    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL AND NOT out")
+    ids = rows.select(F.col("doc").alias("id"), F.xxhash64(F.lit("lang"), "doc").alias("h")).orderBy("h", "id").limit(MAX_TRAIN)
     ids = write_table(ids.select("id").distinct(), "lang-sample")  # at most MAX_TRAIN rows
-    sample = rows.join(F.broadcast(ids), F.col(id_col).eqNullSafe(F.col("id"))).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    sample = rows.join(F.broadcast(ids), F.col("doc").eqNullSafe(F.col("id"))).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,6 +216,7 @@ def train(docs: DataFrame, pieces: list[str], id_col="doc_id", text_col="text",
 def identify(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", make_pieces=public_pieces) -> DataFrame:
     """All rows and columns of ``docs`` with held_out, lang_pred and score, the
     posterior of that language (the languages being equally likely beforehand)."""
+    small_batches(docs.sparkSession)
     langs, p = train(docs, make_pieces(), id_col, text_col, lang_col)
     cast = docs.sparkSession.sparkContext.broadcast((langs, p))
     docs = docs.drop("held_out", "lang_pred", "score")

@@ -147,3 +147,9 @@ def test_empty_tables(empty, run):
 
 def test_awkward_rows_have_no_span(awkward):
     assert suffix_dedup.repeated_spans(awkward).where(F.col("doc_id").isin(1, 4, 5, 13)).count() == 0
+
+
+def test_lines_of_rows_that_share_an_id(spark):
+    rows = [(1, "one short line of text here"), (1, "a\nb\nc\nanother line of some text with many words in it"), (2, "another line of some text with many words in  it!"), (3, "one short line of text here")]
+    got = {(r.doc_id, r.line_no, r.keep_id, r.keep_line_no) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (2, 0, 1, 3) in got and (3, 0, 1, 0) in got and len(got) == 6

@@ -74,9 +74,12 @@ def _edges(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     Texts are read again for the nodes in question only."""
     pairs = write_table(pairs.distinct(), "candidates")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    asked = write_table(nodes.join(asked, "node").select("node", F.col("id").alias("i"), F.col("line_no").alias("no"), "k1", "k2"), "asked")
-    line = F.expr("split(coalesce(text, ''), '\\n')[no]")
-    texts = docs.join(asked, F.col("doc").eqNullSafe(F.col("i"))).withColumn("line", line)
+    wanted = F.collect_list(F.struct("node", F.col("line_no").alias("no"), "k1", "k2")).alias("wanted")
+    asked = write_table(nodes.join(asked, "node").groupBy(F.col("id").alias("i")).agg(wanted), "asked")
+    # a text is split once for all of its lines in question
+    pick = "transform(wanted, w -> struct(w.node, w.k1, w.k2, get(ls, w.no) AS line))"
+    texts = docs.join(asked, F.col("doc").eqNullSafe(F.col("i")))
+    texts = texts.select(F.expr(f"inline(transform(array(split(coalesce(text, ''), '\\n')), ls -> {pick})[0])"))
     texts = texts.select("node", "k1", "k2", F.expr(normalised("line")).alias("norm"))
     # rows that repeat an id: the one with the node's own line
     texts = texts.where("xxhash64(norm) = k1 AND xxhash64('2', norm) = k2").groupBy("node").agg(F.first("norm").alias("norm"))

@@ -38,7 +38,7 @@ CELL_ROWS, MAX_PIVOTS = 4_096, 2_048
 #: Fewest trees, so that a small table still spreads over a cluster's tasks.
 MIN_TREES = 8
 LEVELS = 8
-_DIRECT = 1 << 16  # pairs that are compared without going down
+ROWS_AT_ONCE = 512
 _SLACK = 1e-9  # for rounding of distances; links are decided by the cosine itself
 
 
@@ -97,51 +97,82 @@ def cover_tree(v: np.ndarray) -> np.ndarray:
 
 
 class _Tree:
-    """Nodes of a part, made from its rows' paths; a node is a run of the rows in
-    the order of their paths."""
+    """A part's rows in the order of their paths: a node is a run of them."""
 
     def __init__(self, v: np.ndarray, path: np.ndarray, row: np.ndarray) -> None:
         order = np.lexsort(path.T[::-1])
         self.v, self.path, self.row = v[order], path[order], row[order]
-        self.at = {int(r): k for k, r in enumerate(self.row.tolist())}
-
-    def children(self, level: int, start: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts, centres and covering radii of the nodes of ``level`` in a run.
-        The centre is the first row where the centre itself didn't come along."""
+        self._by_row = np.argsort(self.row)
+
+    def level(self, level: int, start: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts (and the end), centres and covering radii of the nodes of a level
+        in a run of rows. Rows themselves are the nodes of the last level. The centre
+        is the first row where the centre itself isn't there."""
+        if level == LEVELS:
+            return np.arange(start, end + 1), np.arange(start, end), np.zeros(end - start)
         own = self.path[start:end, level]
         starts = np.concatenate(([0], np.flatnonzero(np.diff(own)) + 1)) + start
         ends = np.append(starts[1:], end)
-        centres = np.array([self.at.get(int(c), s) for c, s in zip(own[starts - start].tolist(), starts.tolist())], np.int64)
-        to_centre = self.v[start:end] - self.v[np.repeat(centres, ends - starts)]
-        radius = np.maximum.reduceat(np.sqrt(np.einsum("ij,ij->i", to_centre, to_centre)), starts - start)
+        wanted = own[starts - start]
+        at = self._by_row[np.minimum(np.searchsorted(self.row, wanted, sorter=self._by_row), len(self.row) - 1)]
+        centres = np.where(self.row[at] == wanted, at, starts)
+        away = self.v[start:end] - self.v[np.repeat(centres, ends - starts)]
+        radius = np.maximum.reduceat(np.sqrt(np.einsum("ij,ij->i", away, away)), starts - start)
         return np.append(starts, end), centres, radius
 
 
+def _product(counts_a: np.ndarray, counts_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs of children of pairs: the pair's number and the two children's."""
+    n = counts_a * counts_b
+    pair = np.repeat(np.arange(len(n)), n)
+    k = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
+    return pair, k // counts_b[pair], k % counts_b[pair]
+
+
 def dual_links(a: _Tree, b: _Tree, min_cosine: float = MIN_COSINE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of rows of two trees (as places in their order) with a cosine of at
-    least ``min_cosine``."""
+    least ``min_cosine``.
+
+    Goes down level by level from the roots: of the node pairs that the bound leaves,
+    the children's pairs come next. Where most pairs are left, a level is computed as
+    one matrix product, else pair by pair. Runs of ROWS_AT_ONCE rows of the first tree
+    bound the memory.
+    """
     reach = np.sqrt(2 - 2 * min_cosine) + _SLACK
-    stack = [(0, 0, len(a.v), 0, len(b.v))]
-    while stack:
-        level, a0, a1, b0, b1 = stack.pop()
-        if (a1 - a0) * (b1 - b0) <= _DIRECT or level == LEVELS:
-            for k in range(a0, a1, 2_048):
-                i, j = np.nonzero(a.v[k : min(k + 2_048, a1)] @ b.v[b0:b1].T >= min_cosine)
-                if len(i):
-                    yield i + k, j + b0
-            continue
-        sa, ca, ra = a.children(level, a0, a1)
-        sb, cb, rb = b.children(level, b0, b1)
-        far = _distances(a.v[ca], b.v[cb]) > reach + ra[:, None] + rb[None, :]
-        i, j = np.nonzero(~far)
-        single = (sa[i + 1] - sa[i] == 1) & (sb[j + 1] - sb[j] == 1)
-        x, y = sa[i[single]], sb[j[single]]
-        if len(x):
-            linked = np.einsum("ij,ij->i", a.v[x], b.v[y]) >= min_cosine
-            if linked.any():
-                yield x[linked], y[linked]
-        i, j = i[~single], j[~single]
-        stack += zip([level + 1] * len(i), sa[i].tolist(), sa[i + 1].tolist(), sb[j].tolist(), sb[j + 1].tolist())
+    levels_b = [b.level(k, 0, len(b.v)) for k in range(LEVELS + 1)]
+    for begin in range(0, len(a.v), ROWS_AT_ONCE):
+        end = min(begin + ROWS_AT_ONCE, len(a.v))
+        i = j = above_a = above_b = None
+        for level in range(LEVELS + 1):
+            sa, ca, ra = a.level(level, begin, end)
+            sb, cb, rb = levels_b[level]
+            if i is None:
+                full, counts = True, None
+            else:
+                # children of the nodes above: runs of this level's nodes
+                fa, fb = np.searchsorted(sa, above_a), np.searchsorted(sb, above_b)
+                counts = np.diff(fa)[i], np.diff(fb)[j]
+                full = (counts[0] * counts[1]).sum() > len(ca) * len(cb) // 8
+            last = level == LEVELS
+            if full:
+                cosine = a.v[ca] @ b.v[cb].T
+                left = cosine >= min_cosine if last else np.sqrt(np.maximum(2 - 2 * cosine, 0)) <= reach + ra[:, None] + rb[None, :]
+                i, j = np.nonzero(left)
+            else:
+                pair, x, y = _product(*counts)
+                x, y = x + fa[i[pair]], y + fb[j[pair]]
+                keep = []
+                for s in range(0, len(x), 100_000):
+                    xs, ys = x[s : s + 100_000], y[s : s + 100_000]
+                    cosine = np.einsum("ij,ij->i", a.v[ca[xs]], b.v[cb[ys]])
+                    keep.append(cosine >= min_cosine if last else np.sqrt(np.maximum(2 - 2 * cosine, 0)) <= reach + ra[xs] + rb[ys])
+                keep = np.concatenate(keep) if keep else np.empty(0, bool)
+                i, j = x[keep], y[keep]
+            if not len(i):
+                break
+            above_a, above_b = sa, sb
+        if len(i):
+            yield i + begin, j
 
 
 def _stack(column: pa.ChunkedArray) -> np.ndarray:

@@ -33,7 +33,9 @@ BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 PAIRS = tuple((i, j) for i in range(5) for j in range(i + 1, 5))
 #: Pairs of blocks whose leaders nodes are compared with first.
 LEADER_KEYS = (0, 4, 7, 9)
-_CHUNK = 127  # words whose bits the counters hold without a sign's overflow
+_CHUNK = 127  # words whose bits 8-bit counters hold without a sign's overflow
+_LONG = 32_767  # and 16-bit counters
+_LANES = 0x0001000100010001
 
 
 def normalised(line: str) -> str:
@@ -42,7 +44,8 @@ def normalised(line: str) -> str:
 
 def simhash(words: str) -> str:
     """SQL for the SimHash of an array of words: a bit is set if it is in more than
-    half of the words' hashes.
+    half of the words' hashes. For lines of more than _LONG words; others are done
+    by :func:`_with_simhash`, in compiled code.
 
     Bits are counted in 8-bit counters, eight to a long: of each chunk of words the
     eight sums take bits k, k + 8, ... for k from 0 to 7.
@@ -57,16 +60,38 @@ def simhash(words: str) -> str:
     return f"transform(array({lanes}), lanes -> {bits})[0]"
 
 
+def _with_simhash(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, line_no, k1, k2, sim`` of every line: two hashes of its normalised text
+    and its SimHash, null for a line without words.
+
+    Words are exploded and their bits summed up by line, four 16-bit counters to a
+    long; a task sums its own lines before the shuffle, which has a row for each line.
+    """
+    rows = lines_of(docs.withColumn("__wf_row", F.monotonically_increasing_id()), id_col, text_col, "__wf_row")
+    keys = {"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("2"), F.col("norm")), "words": F.split("norm", " ")}
+    rows = rows.withColumns(keys)
+    rows = rows.withColumn("long_sim", F.expr(f"if(size(words) > {_LONG}, {simhash('words')}, null)"))
+    few = F.when((F.col("norm") != "") & (F.size("words") <= _LONG), F.col("words"))
+    words = rows.select("row", "id", "line_no", "k1", "k2", "long_sim", F.explode_outer(few).alias("word"))
+    words = words.withColumn("h", F.when(F.col("word").isNotNull(), F.xxhash64("word")))
+    sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_LANES))).alias(f"s{k}") for k in range(16)]
+    out = words.groupBy("row", "id", "line_no", "k1", "k2", "long_sim").agg(F.count("word").alias("n"), *sums)
+    bits = [f"if((shiftrightunsigned(s{b % 16}, {b // 16 * 16}) & 65535) * 2 > n, shiftleft(1L, {b}), 0L)" for b in range(64)]
+    sim = f"if(n > 0, {' | '.join(bits)}, long_sim)"
+    return out.select("id", "line_no", "k1", "k2", F.expr(sim).alias("sim"))
+
+
 def _pair_key(k: int) -> str:
     """The key of the k-th pair of blocks: their bits and the pair's number."""
     (a, wa), (b, wb) = (BLOCKS[x] for x in PAIRS[k])
     return f"(shiftrightunsigned(sim, {a}) & {(1 << wa) - 1}L) | shiftleft(shiftrightunsigned(sim, {b}) & {(1 << wb) - 1}L, 13) | {k << 26}L"
 
 
-def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, line_no, norm`` of every line."""
-    own = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line_no", "line"))
-    return own.select("id", "line_no", F.expr(normalised("line")).alias("norm"))
+def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """``id, line_no, norm`` of every line, and ``row`` if a column tells rows apart."""
+    row = [F.col(row_col).alias("row")] if row_col else []
+    own = docs.select(*row, F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line_no", "line"))
+    return own.select(*["row"] * len(row), "id", "line_no", F.expr(normalised("line")).alias("norm"))
 
 
 def _edges(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -94,10 +119,7 @@ def _edges(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``<id>, line_no, keep_id, keep_line_no, group_size, kept`` of every line."""
     own = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    lines = lines_of(docs, id_col, text_col)
-    keys = {"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("2"), F.col("norm"))}
-    lines = lines.withColumns({**keys, "sim": F.expr(f"if(norm = '', null, {simhash('split(norm, chr(32))')})")})
-    lines = write_table(lines.select("id", "line_no", "k1", "k2", "sim"), "lines")
+    lines = write_table(_with_simhash(docs, id_col, text_col), "lines")
     at = F.struct(F.col("id").isNull().alias("null_id"), "id", "line_no")
     nodes = lines.where("sim IS NOT NULL").groupBy("k1", "k2").agg(F.min(at).alias("at"), F.first("sim").alias("sim"), F.count("*").alias("n"))
     nodes = nodes.select("k1", "k2", F.col("at.id").alias("id"), F.col("at.line_no").alias("line_no"), "sim", "n", F.monotonically_increasing_id().alias("node"))

@@ -185,7 +185,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wanted = write_table(wanted, "wanted")
     # rows that repeat an id have places of each other; those past a text's end go
     around = own.join(wanted, own["id"].eqNullSafe(wanted["id"])).select(own["id"], "text", "wanted")
-    around = around.withColumn("wanted", F.expr("filter(wanted, x -> x.at < length(text))"))
+    around = around.withColumn("wanted", F.expr("filter(wanted, x -> x.at < octet_length(text))"))
     schema = f"id {kind}, at long, key long, right binary, left binary, n_right int, n_left int"
     around = around.mapInArrow(_contexts, schema).where(f"n_right >= {K}")
     order = ["key", "right", "left", "id", "at"]

@@ -155,8 +155,8 @@ def _compare(part: pa.Table) -> pa.Table:
     for order in (np.arange(len(key)), _by_left(key, part.column("left"))):
         i, j = _neighbours(order, key, doc)
         i, j = i[own[i]], j[own[i]]
-        for s in range(0, len(i), 100_000):
-            a, b = i[s : s + 100_000], j[s : s + 100_000]
+        for s in range(0, len(i), 20_000):
+            a, b = i[s : s + 20_000], j[s : s + 20_000]
             r = _same(words[0][a], words[0][b], np.minimum(most[0][a], most[0][b]))
             le = _same(words[1][a], words[1][b], np.minimum(most[1][a], most[1][b]))
             hit = r + le >= MIN_WORDS

@@ -2,17 +2,28 @@
 
 Lines are compared in a normalised form: lower case, every run of characters other
 than letters and digits a space. Equal lines are one node. Each node has a 64-bit
-SimHash of its words. Two nodes link if their SimHashes differ in at most MAX_BITS
-bits and their edit similarity (1 - Levenshtein distance / longer length) is at
-least MIN_SIMILARITY. The 64 bits are cut into five blocks; three differing bits
-leave at least two blocks alone, so nodes are joined on each of the ten pairs of
-blocks. Of each connected group of lines the first occurrence, by document id and
-line number, is kept.
+SimHash of its words. Two nodes link if their edit similarity (1 - Levenshtein
+distance / longer length) is at least MIN_SIMILARITY and they are candidates, by
+one of two ways:
+
+* their SimHashes differ in at most MAX_BITS bits. The 64 bits are cut into five
+  blocks; three differing bits leave at least two blocks alone, so nodes are joined on
+  each of the ten pairs of blocks.
+* their sketches agree on a whole band. A few changed words move far more than three
+  bits of a SimHash, above all in short lines; a sketch keeps PICKS least hashes of
+  the line's words, each under a mask of its own, and a pick is the same in two lines
+  as often as their words are. Lines of at most SHORT words have a sketch of their runs of
+  GRAM characters besides. The BANDS are the twenty lines of a plane of sixteen points,
+  so that any two picks share one band only.
+
+Of each connected group of lines the first occurrence, by document id and line
+number, is kept. Sketches are drawn, so a pair may be missed: the tests measure how
+many against edit similarity alone.
 
 A dense group of near copies would join into the square of its size. So nodes are
-first compared with one leader of their pair of blocks only (the most frequent, for
-LEADER_KEYS of the ten pairs), and the join proper leaves out pairs that these links
-already connect. That loses no link between groups.
+first compared with one leader of their key only (the most frequent, for LEADER_KEYS
+of the ten pairs and all bands), and the join proper leaves out pairs that these
+links already connect. That loses no link between groups.
 
 Defined results: null text counts as empty; lines without a letter or digit are
 always kept, as a group of their own; null ids sort last; of rows that repeat an id,
@@ -33,6 +44,12 @@ BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 PAIRS = tuple((i, j) for i in range(5) for j in range(i + 1, 5))
 #: Pairs of blocks whose leaders nodes are compared with first.
 LEADER_KEYS = (0, 4, 7, 9)
+#: Picks of a sketch, most words of a line with a sketch of its characters, and their run.
+PICKS, SHORT, GRAM = 16, 16, 4
+_TIMES = ((0, 0, 0, 0), (0, 1, 2, 3), (0, 2, 3, 1), (0, 3, 1, 2))  # of the field of four elements
+BANDS = tuple(tuple(4 * x + (_TIMES[m][x] ^ b) for x in range(4)) for m in range(4) for b in range(4)) + tuple(tuple(range(4 * x, 4 * x + 4)) for x in range(4))
+#: A mask has its number in its first four bits, so that picks come from all over.
+MASKS = tuple(((k << 60) | (((k + 1) * 0x9E3779B97F4A7C15 >> 3) & ((1 << 60) - 1))) - (1 << 64 if k > 7 else 0) for k in range(PICKS))
 _CHUNK = 127  # words whose bits 8-bit counters hold without a sign's overflow
 _LONG = 32_767  # and 16-bit counters
 _LANES = 0x0001000100010001
@@ -61,24 +78,62 @@ def simhash(words: str) -> str:
 
 
 def _with_simhash(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, line_no, k1, k2, sim`` of every line: two hashes of its normalised text
-    and its SimHash, null for a line without words.
+    """``id, line_no, k1, k2, len, sim, sketch`` of every line: two hashes of its
+    normalised text, its length, its SimHash and the sketch of its words, null for a
+    line without words.
 
     Words are exploded and their bits summed up by line, four 16-bit counters to a
     long; a task sums its own lines before the shuffle, which has a row for each line.
     """
     rows = lines_of(docs.withColumn("__wf_row", F.monotonically_increasing_id()), id_col, text_col, "__wf_row")
-    keys = {"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("2"), F.col("norm")), "words": F.split("norm", " ")}
+    keys = {"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("2"), F.col("norm")), "words": F.split("norm", " "), "len": F.length("norm")}
     rows = rows.withColumns(keys)
     rows = rows.withColumn("long_sim", F.expr(f"if(size(words) > {_LONG}, {simhash('words')}, null)"))
+    rows = rows.withColumn("long_sketch", F.expr(f"if(size(words) > {_LONG}, {_long_sketch('words')}, null)"))
     few = F.when((F.col("norm") != "") & (F.size("words") <= _LONG), F.col("words"))
-    words = rows.select("row", "id", "line_no", "k1", "k2", "long_sim", F.explode_outer(few).alias("word"))
+    words = rows.select("row", "id", "line_no", "k1", "k2", "len", "long_sim", "long_sketch", F.explode_outer(few).alias("word"))
     words = words.withColumn("h", F.when(F.col("word").isNotNull(), F.xxhash64("word")))
     sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_LANES))).alias(f"s{k}") for k in range(16)]
-    out = words.groupBy("row", "id", "line_no", "k1", "k2", "long_sim").agg(F.count("word").alias("n"), *sums)
+    first = [F.first(c).alias(c) for c in ("k1", "k2", "len", "long_sim", "long_sketch")]
+    out = words.groupBy("row", "id", "line_no").agg(F.count("word").alias("n"), *first, *sums, *_picks("h"))
     bits = [f"if((shiftrightunsigned(s{b % 16}, {b // 16 * 16}) & 65535) * 2 > n, shiftleft(1L, {b}), 0L)" for b in range(64)]
     sim = f"if(n > 0, {' | '.join(bits)}, long_sim)"
-    return out.select("id", "line_no", "k1", "k2", F.expr(sim).alias("sim"))
+    sketch = f"if(n > 0, {_SKETCH}, long_sketch)"
+    return out.select("id", "line_no", "k1", "k2", "len", F.expr(sim).alias("sim"), F.expr(sketch).alias("sketch"))
+
+
+def _picks(h: str) -> list:
+    return [F.min(F.col(h).bitwiseXOR(F.lit(m))).alias(f"p{k}") for k, m in enumerate(MASKS)]
+
+
+def _low(pick: str) -> str:
+    """The last 32 bits; the first ones follow the mask's."""
+    return f"cast(shiftright(shiftleft({pick}, 32), 32) as int)"
+
+
+_SKETCH = f"array({', '.join(_low(f'p{k}') for k in range(PICKS))})"
+
+
+def _long_sketch(words: str) -> str:
+    """SQL for the sketch of an array of words, for lines of more than _LONG words."""
+    masks = f"array({', '.join(f'{m}L' for m in MASKS)})".replace("-9223372036854775808L", "(-9223372036854775807L - 1L)")
+    return f"transform(array(transform({words}, w -> xxhash64(w))), h -> transform({masks}, m -> {_low('array_min(transform(h, x -> x ^ m))')}))[0]"
+
+
+def _gram_sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``k1, k2, grams``: sketches of the characters of the lines of few words."""
+    rows = lines_of(docs, id_col, text_col).where(f"norm <> '' AND size(split(norm, ' ')) <= {SHORT}")
+    rows = rows.groupBy(F.xxhash64("norm").alias("k1"), F.xxhash64(F.lit("2"), F.col("norm")).alias("k2")).agg(F.first("norm").alias("norm"))
+    parts = ", ".join(f"regexp_extract_all(substring(norm, {k}), '.{{{GRAM}}}', 0)" for k in range(1, GRAM + 1))
+    runs = rows.select("k1", "k2", F.explode(F.expr(f"if(length(norm) < {GRAM}, array(norm), concat({parts}))")).alias("run"))
+    runs = runs.select("k1", "k2", F.xxhash64("run").alias("h"))
+    return runs.groupBy("k1", "k2").agg(*_picks("h")).select("k1", "k2", F.expr(_SKETCH).alias("grams"))
+
+
+def _bands(sketch: str) -> str:
+    """SQL for the array of a sketch's keys, one for each band."""
+    keys = [f"xxhash64('{sketch}', {k}, {', '.join(f'{sketch}[{p}]' for p in band)})" for k, band in enumerate(BANDS)]
+    return f"if({sketch} IS NULL, cast(array() as array<bigint>), array({', '.join(keys)}))"
 
 
 def _pair_key(k: int) -> str:
@@ -121,28 +176,35 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     own = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     lines = write_table(_with_simhash(docs, id_col, text_col), "lines")
     at = F.struct(F.col("id").isNull().alias("null_id"), "id", "line_no")
-    nodes = lines.where("sim IS NOT NULL").groupBy("k1", "k2").agg(F.min(at).alias("at"), F.first("sim").alias("sim"), F.count("*").alias("n"))
-    nodes = nodes.select("k1", "k2", F.col("at.id").alias("id"), F.col("at.line_no").alias("line_no"), "sim", "n", F.monotonically_increasing_id().alias("node"))
+    nodes = lines.where("sim IS NOT NULL").groupBy("k1", "k2").agg(F.min(at).alias("at"), *[F.first(c).alias(c) for c in ("sim", "len", "sketch")], F.count("*").alias("n"))
+    nodes = nodes.join(_gram_sketches(docs, id_col, text_col), ["k1", "k2"], "left")
+    bands = F.expr(f"concat({_bands('sketch')}, {_bands('grams')})").alias("bands")
+    nodes = nodes.select("k1", "k2", F.col("at.id").alias("id"), F.col("at.line_no").alias("line_no"), "sim", "len", bands, "n", F.monotonically_increasing_id().alias("node"))
     nodes = write_table(nodes, "nodes")
 
-    def keyed(which) -> DataFrame:
-        key = F.explode(F.array(*[F.expr(_pair_key(k)) for k in which])).alias("key")
-        return nodes.select("node", "sim", "n", key)
-
-    some = keyed(LEADER_KEYS)
-    first = some.groupBy("key").agg(F.min(F.struct((-F.col("n")).alias("n"), "node", "sim")).alias("top"), F.count("*").alias("rows"))
-    first = write_table(first.where("rows > 1").select("key", F.col("top.node").alias("a"), F.col("top.sim").alias("top_sim")), "leaders")
-    near = f"bit_count(sim ^ top_sim) <= {MAX_BITS} AND node <> a"
-    star = some.select("node", "sim", "key").join(first, "key").where(near).select("a", F.col("node").alias("b"))
+    def keyed(which, *columns: str) -> DataFrame:
+        """A row for each key; ``far`` tells a sketch's keys, for which bits don't count."""
+        pairs = [F.struct(F.expr(_pair_key(k)).alias("key"), F.lit(False).alias("far")) for k in which]
+        bands = F.transform("bands", lambda x: F.struct(x.alias("key"), F.lit(True).alias("far")))
+        return nodes.select("node", "sim", "len", *columns, F.explode(F.concat(F.array(*pairs), bands)).alias("k")).select("node", "sim", "len", *columns, "k.*")
+
+    # lengths alone may rule a pair out
+    near = "(x.far OR bit_count(x.sim ^ y.sim) <= {bits}) AND abs(x.len - y.len) <= {most} * greatest(x.len, y.len) + 1e-6".format(bits=MAX_BITS, most=f"{1 - MIN_SIMILARITY:.6f}D")
+    some = keyed(LEADER_KEYS, "n")
+    first = some.groupBy("key", "far").agg(F.min(F.struct((-F.col("n")).alias("n"), "node", "sim", "len")).alias("top"), F.count("*").alias("rows"))
+    first = write_table(first.where("rows > 1").select("key", "far", "top.node", "top.sim", "top.len"), "leaders")
+    x, y = first.alias("x"), some.alias("y")
+    star = x.join(y, F.expr("x.key = y.key AND x.far = y.far")).where(f"{near} AND x.node <> y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     star = write_table(_edges(own, nodes, star), "star")
     led = write_table(connected_components(star), "led")
 
-    named = nodes.select("node", "sim").join(led, "node", "left").select("node", "sim", F.coalesce("root", "node").alias("root"))
-    named = write_table(named, "named")
-    spread = named.withColumn("key", F.explode(F.array(*[F.expr(_pair_key(k)) for k in range(len(PAIRS))])))
+    spread = keyed(range(len(PAIRS))).join(led, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # a key whose nodes are connected already has no pair left
+    open_ = spread.groupBy("key", "far").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key", "far")
+    spread = write_table(spread.join(open_, ["key", "far"], "left_semi"), "spread")
     x, y = spread.alias("x"), spread.alias("y")
-    linked = f"x.node < y.node AND x.root <> y.root AND bit_count(x.sim ^ y.sim) <= {MAX_BITS}"
-    rest = x.join(y, F.expr("x.key = y.key")).where(linked).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    linked = f"x.node < y.node AND x.root <> y.root AND {near}"
+    rest = x.join(y, F.expr("x.key = y.key AND x.far = y.far")).where(linked).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     edges = star.unionByName(_edges(own, nodes, rest))
 
     roots = write_table(connected_components(edges), "components")

@@ -195,3 +195,15 @@ def test_secrets(spark, awkward, empty):
 def test_word_hashes_follow_text_ends():
     found, ends = toxicity.words_of(pa.array(["a b", None, "", "c, a", "!"]))
     assert ends.tolist() == [2, 2, 2, 4, 4] and found[0] == found[3]
+
+
+def test_short_secrets_after_a_name(spark):
+    secrets = ['password = "Tr0ub4dor3"', "password=Tr0ub4dor3", 'pwd: "k9!xQ2$z"', 'api_key = "QwJxbZkvHgTpRmNcLdYs"', "password = 'aB3$efgh.Ijk1@mno'", 'DB_PASSWORD="Summer2024!"', "auth_token: Zk4!pw9Q"]
+    plain = ["the password is required", "a token of gratitude", "token: string", "reset the password and log in", 'password = "changeme"', "the secret garden", "author = John"]
+    rows = [(k, f"here {x} there") for k, x in enumerate(secrets + plain)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = secret_scan.redacted(docs, secret_scan.train(secret_scan.labelled_findings(spark))).collect()
+    texts = {r.doc_id: r.text for r in got}
+    values = ["Tr0ub4dor3", "Tr0ub4dor3", "k9!xQ2$z", "QwJxbZkvHgTpRmNcLdYs", "aB3$efgh.Ijk1@mno", "Summer2024!", "Zk4!pw9Q"]
+    for k, x in rows:
+        assert texts[k] == (x.replace(values[k], "[SECRET]") if k < len(values) else x)

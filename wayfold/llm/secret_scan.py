@@ -1,10 +1,12 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest;
 DataFrame operations only (the forest is Spark's own and runs in the JVM).
 
-A candidate is a run of at least MIN_LENGTH characters as keys use them, with a
-digit. The forest sees its length, how its characters change between kinds, how
-much of it dictionary words cover, whether it stands in a path or address, and the
-words beside it. It is trained from labelled findings, ``context before, candidate,
+A candidate is what follows an assigning name (password, token, key and the like), of
+any length and any characters: all between quotes, or else up to the next space or
+quote without a stop or bracket at its end. Elsewhere it is a run of at least
+MIN_LENGTH characters as keys use them, with a digit. The forest sees its length, how
+its characters change between kinds, how much of it dictionary words cover, whether it
+stands in a path or address, and the words beside it. It is trained from labelled findings, ``context before, candidate,
 context after, label``; :func:`labelled_findings` makes a fixed set of them by rule,
 and any table of the same columns takes its place.
 
@@ -18,13 +20,19 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIN_LENGTH = 16
-#: One character of a candidate, and a candidate: a whole run that holds a digit.
+#: One character of a run, the names that assign, and a name with what stands between it and its value.
 CHAR = r"[A-Za-z0-9+/=_\-]"
-CANDIDATE = rf"(?<!{CHAR})(?={CHAR}*[0-9]){CHAR}{{{MIN_LENGTH},}}"
+NAME = r"(?i:token|secret|passw|passphrase|pwd|api[_\- ]?key|access[_\- ]?key|auth(?!or)|credential|bearer|private[_\- ]?key)"
+_NAMED = NAME + r"""[A-Za-z0-9_\-]{0,16}["'`]?\s{0,3}(?:=>|:=|[:=]|\bis\b)?\s{0,3}"""
+_VALUE = "|".join([*[rf"(?<={q})(?:[^{q}\s]+|[^{q}\n]{{1,128}})(?={q})" for q in "\"'`"], r"(?<=[\s=:>])[^\s\"'`]*[^\s\"'`.,;:)\]}>]"])
+#: A whole run that holds a digit; a candidate: a value (looked for only behind a space, a
+#: quote or a sign), or a run that doesn't itself assign a value.
+RUN = rf"(?<!{CHAR})(?={CHAR}*[0-9]){CHAR}{{{MIN_LENGTH},}}"
+CANDIDATE = rf"(?<=[\s\"'`=:>])(?![\s=:>])(?<=(?=[tspabcTSPABC]){_NAMED}[\"'`]?)(?:{_VALUE})|(?<!{CHAR})(?={CHAR}*[0-9])(?![A-Za-z0-9_\-]{{0,32}}?{NAME}[A-Za-z0-9_\-]{{0,16}}=[^=\s]){CHAR}{{{MIN_LENGTH},}}"
 #: Characters of context on each side.
 BEFORE, AFTER = 48, 24
 TREES, DEPTH, SEED = 40, 7, 7
@@ -36,6 +44,7 @@ DICTIONARY = (
 )
 ASSIGN = r"""(?i)(token|secret|passw\w*|pwd|api\W?key|access\W?key|auth\w*|credential\w*|bearer|private\W?key)\W{0,3}\w{0,8}\s*(=>|[:=]|is)?\s*["'`]?$"""
 HARMLESS = r"(?i)(commit|merge|revision|sha\d*|md5|checksum|digest|hash|uuid|guid|etag|phone|tel|card|iban|account|order|invoice|isbn|id)\W{0,6}$"
+EXPLICIT = r"""(=>|[:=])\s*["'`]?$"""
 
 FEATURES = {
     "length": "least(length(c), 256)",
@@ -54,6 +63,10 @@ FEATURES = {
     "assigned": "if(b rlike {assign}, 1.0, 0.0)",
     "quoted": """if(b rlike '["\\'`]$' AND a rlike '^["\\'`]', 1.0, 0.0)""",
     "harmless": "if(b rlike {harmless}, 1.0, 0.0)",
+    "explicit": "if(b rlike {explicit}, 1.0, 0.0)",
+    "letters": "if(c rlike '^[A-Za-z]+$', 1.0, 0.0)",
+    "vowels": "length(regexp_replace(lower(c), '[^aeiou]', '')) / length(c)",
+    "template": "if(c rlike '^[<$%]|[({]|^[*x.]+$', 1.0, 0.0)",
 }
 
 
@@ -63,7 +76,7 @@ def _quoted(pattern: str) -> str:
 
 def with_features(found: DataFrame) -> DataFrame:
     """Adds ``features`` to rows of ``b, c, a`` (context before, candidate, after)."""
-    sql = {k: v.replace("{assign}", _quoted(ASSIGN)).replace("{harmless}", _quoted(HARMLESS)) for k, v in FEATURES.items()}
+    sql = {k: v.replace("{assign}", _quoted(ASSIGN)).replace("{harmless}", _quoted(HARMLESS)).replace("{explicit}", _quoted(EXPLICIT)) for k, v in FEATURES.items()}
     found = found.withColumns({f"f_{k}": F.expr(f"cast({v} as double)") for k, v in sql.items()})
     assembler = VectorAssembler(inputCols=[f"f_{k}" for k in FEATURES], outputCol="features")
     return assembler.transform(found).drop(*[f"f_{k}" for k in FEATURES])
@@ -74,18 +87,26 @@ def labelled_findings(spark: SparkSession, rows: int = 4_000) -> DataFrame:
     hexed = "sha2(cast(id as string), 512)"
     b64 = f"translate(base64(unhex({hexed})), '=', '')"
     pick = lambda key, options: f"element_at(array({', '.join(options)}), 1 + cast(pmod(xxhash64('{key}', id), {len(options)}) as int))"
-    secret = pick("s", [f"substring({hexed}, 1, 40)", f"substring({hexed}, 1, 32)", f"substring({hexed}, 1, 64)", f"substring({b64}, 1, 40)", f"concat('AKIA', upper(substring({hexed}, 1, 16)))", f"concat('ghp_', substring({b64}, 3, 36))", f"concat('sk-', substring({hexed}, 5, 48))", f"substring({b64}, 1, 24)"])
+    letters = f"translate({b64}, '0123456789+/', 'kQwZbXvJgHpT')"
+    word = pick("o", ["'dragon'", "'Summer'", "'sunshine'", "'hunter'", "'Winter'", "'monkey'", "'qwerty'", "'Tr0ub'"])
+    digits = f"translate(substring({hexed}, 7, 3), 'abcdef', '123456')"
+    short = [f"substring({b64}, 1, 10)", f"concat(substring({b64}, 1, 5), '!', substring({b64}, 7, 4))", f"concat(substring({b64}, 1, 3), '$', substring({b64}, 7, 5), '.', substring({b64}, 21, 6), '@')", f"substring({letters}, 1, 20)", f"substring({letters}, 1, 10)", f"concat({word}, {digits})", f"concat({word}, {digits}, '!')", f"concat({word}, 'dor', substring({digits}, 1, 1))"]
+    secret = pick("s", [f"substring({hexed}, 1, 40)", f"substring({hexed}, 1, 32)", f"substring({hexed}, 1, 64)", f"substring({b64}, 1, 40)", f"concat('AKIA', upper(substring({hexed}, 1, 16)))", f"concat('ghp_', substring({b64}, 3, 36))", f"concat('sk-', substring({hexed}, 5, 48))", f"substring({b64}, 1, 24)", *short])
     named = pick("n", ["'token'", "'api_key'", "'secret'", "'password'", "'access_key'", "'auth_token'", "'client_secret'", "'API-KEY'", "'credentials'"])
     joined = pick("j", ["' = \"'", "'=\"'", "': \"'", "' = '", "'='", "': '", "\" = '\"", "' '"])
     harmless = pick("h", [f"substring({hexed}, 1, 40)", f"substring({hexed}, 1, 64)", f"substring({hexed}, 1, 32)", f"concat_ws('-', substring({hexed}, 1, 8), substring({hexed}, 9, 4), substring({hexed}, 13, 4), substring({hexed}, 17, 4), substring({hexed}, 21, 12))", f"translate(substring({hexed}, 1, 18), 'abcdef', '123456')", f"concat('some_long_identifier_', substring({hexed}, 1, 2), '_2')", "concat('usr/lib/python3/site-packages/', id)", "concat('your-api-key-here-', id)", "concat('xxxxxxxxxxxxxxxx', id % 10)", f"concat('thathererin', translate(substring({hexed}, 1, 12), '0123456789', 'aeinorstlh'), id % 10)"])
     told = pick("t", ["'commit '", "'sha256:'", "'md5 '", "'id: '", "'phone '", "'see '", "'/'", "'https://example.org/'", "'token = \"'", "'checksum = '", "'order no. '", "', '"])
     # a random value after a secret's name would be a secret; there only made-up values are harmless
-    fake = pick("f", ["concat('your-api-key-here-', id)", "concat('xxxxxxxxxxxxxxxx', id % 10)", "concat('example-token-value-', id % 1000)", "concat('changeme-changeme-', id % 100)"])
+    fake = pick("f", ["concat('your-api-key-here-', id)", "concat('xxxxxxxxxxxxxxxx', id % 10)", "concat('example-token-value-', id % 1000)", "concat('changeme-changeme-', id % 100)", "'changeme'", "'********'", "'<your-token>'", "concat('${TOKEN_', id % 10, '}')", "'os.environ[KEY]'", "'get_password()'"])
+    # plain words follow a name in prose and in code
+    plain = pick("p", ["'required'", "'string'", "'null'", "'None'", "'true'", "'reset'", "'field'", "'the'", "'not'", "'of'", "'and'", "'economy'", "'management'", "'garden'", "'service'", "'must'", "'expired'", "'was'", "'invalid'", "'authentication'", "'optional'", "'str'"])
+    loose = pick("l", ["' '", "' is '", "': '", "' '", "'. '", "' = '"])
     words = pick("w", ["'the value of '", "'in this file the '", "'export '", "'and so '", "''"])
     end = pick("e", ["'\"'", "'\" and more'", "' then'", "''", "'. Next'"])
     out = spark.range(rows).withColumn("label", F.expr("cast(id % 2 as double)")).withColumn("told", F.expr(told))
-    b = F.expr(f"concat({words}, if(label = 1, concat({named}, {joined}), told))")
-    c = F.expr(f"if(label = 1, {secret}, if(told like 'token%', {fake}, {harmless}))")
+    out = out.withColumn("mock", F.expr("pmod(xxhash64('m', id), 6)"))  # of the harmless ones: 0 made up, 1 and 2 plain words
+    b = F.expr(f"concat({words}, case when label = 1 or mock = 0 then concat({named}, {joined}) when mock < 3 then concat({named}, {loose}) else told end)")
+    c = F.expr(f"case when label = 1 then {secret} when mock = 0 or mock > 2 and told like 'token%' then {fake} when mock < 3 then {plain} else {harmless} end")
     return out.select(b.alias("b"), c.alias("c"), F.expr(end).alias("a"), "label")
 
 
@@ -95,11 +116,19 @@ def train(findings: DataFrame) -> RandomForestClassificationModel:
     return forest.fit(with_features(findings).select("features", "label").coalesce(1))
 
 
+def _taken_apart(text: Column) -> tuple[Column, Column]:
+    """The candidates of a text and the pieces between them. Texts without an
+    assigning name have runs only, for which the short pattern does."""
+    named = text.rlike(NAME)
+    found = F.when(named, F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))).otherwise(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)))
+    return found, F.when(named, F.split(text, CANDIDATE, -1)).otherwise(F.split(text, RUN, -1))
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``<id>, k, b, c, a``: the k-th candidate of a text (from 0) and its context."""
-    own = docs.select(F.col(id_col), F.col(text_col).alias("__wf_text")).where(F.col("__wf_text").rlike(CANDIDATE))
-    pieces = F.split("__wf_text", CANDIDATE, -1)
-    own = own.select(id_col, F.regexp_extract_all("__wf_text", F.lit(CANDIDATE), F.lit(0)).alias("cs"), F.transform(pieces, lambda p: F.struct(F.right(p, F.lit(BEFORE)).alias("r"), F.left(p, F.lit(AFTER)).alias("l"))).alias("ps"))
+    own = docs.select(F.col(id_col), F.col(text_col).alias("__wf_text")).where(F.col("__wf_text").rlike(f"{NAME}|{RUN}"))
+    found, pieces = _taken_apart(F.col("__wf_text"))
+    own = own.select(id_col, found.alias("cs"), F.transform(pieces, lambda p: F.struct(F.right(p, F.lit(BEFORE)).alias("r"), F.left(p, F.lit(AFTER)).alias("l"))).alias("ps"))
     own = own.select(id_col, F.expr("inline(transform(cs, (c, i) -> struct(i as k, ps[i].r as b, c as c, ps[i + 1].l as a)))"))
     return own
 
@@ -117,7 +146,7 @@ def redacted(docs: DataFrame, model: RandomForestClassificationModel | None = No
     repeat an id should repeat its text."""
     found = scan(docs, model, id_col, text_col).where("is_secret").groupBy(F.col(id_col).alias("__wf_id")).agg(F.collect_set("k").alias("__wf_k"))
     out = docs.join(found, F.col(id_col).eqNullSafe(F.col("__wf_id")), "left")
-    cs, ps = F.regexp_extract_all(F.col(text_col), F.lit(CANDIDATE), F.lit(0)), F.split(text_col, CANDIDATE, -1)
+    cs, ps = _taken_apart(F.col(text_col))
     between = F.transform(cs, lambda c, i: F.when(F.array_contains(F.col("__wf_k"), i), F.lit(mark)).otherwise(c))
     parts = F.zip_with(ps, F.concat(between, F.array(F.lit(""))), lambda p, c: F.concat(p, c))
     text = F.when(F.col("__wf_k").isNull(), F.col(text_col)).otherwise(F.array_join(parts, ""))

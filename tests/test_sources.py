@@ -81,3 +81,21 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
     assert dedup.ingest(spark, str(tmp_path / "in"), schema, "id", "ts", into=into).count() == 50
     rows(30, 80).write.mode("append").parquet(str(tmp_path / "in"))
     assert dedup.ingest(spark, str(tmp_path / "in"), schema, "id", "ts", into=into).count() == 80
+
+
+def test_three_row_sets(spark, tmp_path):
+    event = feed.encode([(1, 60), (2, 1_790_000_060), (3, 5)])
+    trip = feed.encode([(1, "T"), (2, "08:00:00"), (3, "20260925"), (4, 3), (5, "R-1")])
+    cancelled = feed.encode([(1, trip), (3, feed.encode([(1, "V")])), (4, 1_790_000_000), (5, -7)])
+    stop = feed.encode([(1, feed.encode([(1, "U")])), (2, feed.encode([(2, event), (4, "A")]))])
+    entities = [feed.encode([(1, "e1"), (3, cancelled)]), feed.encode([(1, "e2"), (2, 1), (3, stop)])]
+    (tmp_path / "s1.pb").write_bytes(feed.encode([(1, feed.encode([(1, "2.0"), (3, 1_790_000_000)])), *[(2, e) for e in entities]]))
+    read = lambda kind: feed.read_feed(spark, str(tmp_path), rows=kind).orderBy("snapshot_id").collect()
+    first, second = sorted(read("trip"), key=lambda r: r.entity_id)
+    assert first[3:14] == ("e1", "T", "R-1", None, "20260925", "08:00:00", "CANCELED", "V", 1_790_000_000, -7, 0) and first.snapshot_id == "s1"
+    assert second.entity_id == "e2" and second.stop_time_update_count == 1 and second.trip_schedule_relationship is None
+    (row,) = read("stop")
+    assert (row.entity_id, row.trip_id, row.arrival_uncertainty_seconds, row.departure_uncertainty_seconds) == ("e2", "U", 5, None)
+    assert row.arrival_timestamp.timestamp() == 1_790_000_060 and row.stop_schedule_relationship is None
+    (row,) = read("feed")
+    assert row[3:11] == (1_790_000_000, "2.0", 2, 2, 1, 0, 0, 1)

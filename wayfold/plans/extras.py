@@ -15,26 +15,34 @@ from .models import Models
 
 
 def protobuf_round_trip(w: Models) -> DataFrame:
-    """Stop updates encoded as one feed message a trip, and decoded again."""
+    """Stop updates encoded as one feed message a trip, and decoded again: what a trip
+    has comes from the trip rows, and only where feed and trip rows say what went in."""
     fields = ["stop_id", "stop_sequence", "stop_schedule_relationship", "arrival_delay_seconds", "departure_delay_seconds"]
     trips = w.feed.stop_time_updates.groupBy("trip_id", "route_id", "direction_id", "start_date").agg(F.collect_list(F.struct(*fields)).alias("stops"))
+    own = ["trip_id", "route_id", "direction_id", "start_date"]
+    trips = trips.withColumn("message", F.to_json(F.struct(*own)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                trip = feed.encode([(1, r["trip_id"]), (3, r["start_date"]), (5, r["route_id"]), (6, r["direction_id"])])
+                trip = feed.encode([(1, r["trip_id"]), (3, r["start_date"]), (5, r["route_id"]), (2, "08:00:00"), (4, 3), (6, r["direction_id"])])
                 updates = []
                 for s in r["stops"]:
                     a, d = ([(1, s[k])] if s[k] is not None else None for k in ("arrival_delay_seconds", "departure_delay_seconds"))
                     relation = 1 if s["stop_schedule_relationship"] == "SKIPPED" else 0
                     updates.append((2, feed.encode([(1, s["stop_sequence"]), (2, a and feed.encode(a)), (3, d and feed.encode(d)), (4, s["stop_id"]), (5, relation)])))
-                entity = feed.encode([(1, r["trip_id"]), (3, feed.encode([(1, trip), *updates]))])
-                out.append(feed.encode([(1, feed.encode([(1, "2.0")])), (2, entity)]))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["content"])
-
-    rows = feed.decode(trips.mapInArrow(run, "content binary"))
-    return rows.select("trip_id", "route_id", "direction_id", "start_date", *fields)
+                entity = feed.encode([(1, r["trip_id"]), (3, feed.encode([(1, trip), *updates, (3, feed.encode([(1, "V")])), (4, 1_790_000_000), (5, -7)]))])
+                out.append(feed.encode([(1, feed.encode([(1, "2.0"), (3, 1_790_000_001)])), (2, entity)]))
+            yield pa.RecordBatch.from_arrays([batch.column("message"), pa.array(out, pa.binary())], ["message", "content"])
+
+    messages = trips.mapInArrow(run, "message string, content binary")
+    of = lambda kind: feed.decode(messages, keep=("message",), rows=kind)
+    whole = of("feed").where("gtfs_realtime_version = '2.0' AND feed_time = 1790000001 AND entity_count = 1 AND trip_update_count = 1")
+    told = "start_time = '08:00:00' AND trip_schedule_relationship = 'CANCELED' AND vehicle_id = 'V' AND trip_update_time = 1790000000 AND trip_delay_seconds = -7"
+    found = of("trip").where(told).select("message", *own, F.col("stop_time_update_count").alias("n"))
+    found = found.join(whole.select("message", F.col("stop_time_update_count").alias("n")), ["message", "n"]).drop("n")
+    return found.join(of("stop").select("message", *fields), "message").select(*own, *fields)
 
 
 def path_json_round_trip(w: Models) -> DataFrame:

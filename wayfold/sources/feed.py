@@ -21,6 +21,16 @@ STOP_ROWS = (
     "entity_id string, trip_id string, route_id string, direction_id int, start_date string, stop_id string, stop_sequence int, stop_schedule_relationship string, "
     "arrival_delay_seconds bigint, arrival_time bigint, departure_delay_seconds bigint, departure_time bigint"
 )
+TRIP_ROWS = (
+    "entity_id string, trip_id string, route_id string, direction_id int, start_date string, start_time string, trip_schedule_relationship string, vehicle_id string, "
+    "trip_update_time bigint, trip_delay_seconds bigint, stop_time_update_count bigint"
+)
+FEED_ROWS = (
+    "feed_time bigint, gtfs_realtime_version string, entity_count bigint, trip_update_count bigint, stop_time_update_count bigint, vehicle_position_count bigint, "
+    "alert_count bigint, deleted_entity_count bigint"
+)
+#: The three row sets of a message. Here an absent relationship of a stop is null too.
+ROW_SETS = {"feed": FEED_ROWS, "trip": TRIP_ROWS, "stop": STOP_ROWS + ", arrival_uncertainty_seconds bigint, departure_uncertainty_seconds bigint"}
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -75,23 +85,40 @@ def _number(m: dict, k: int) -> int | None:
     return _signed(m[k][-1]) if k in m else None
 
 
-def _event(m: dict, k: int) -> tuple[int | None, int | None]:
+def _event(m: dict, k: int) -> tuple[int | None, int | None, int | None]:
     own = message(m[k][-1]) if k in m else {}
-    return _number(own, 1), _number(own, 2)
+    return _number(own, 1), _number(own, 2), _number(own, 3)
 
 
-def stop_rows(data: bytes) -> Iterator[tuple]:
-    """Rows of STOP_ROWS; a field that is absent is null, and never zero."""
-    for entity in message(data).get(2, []):
+def snapshot_rows(data: bytes) -> dict[str, list[tuple]]:
+    """Rows of each of ROW_SETS; a field that is absent is null, and never zero.
+    Entities marked deleted keep their rows."""
+    trips, stops = [], []
+    whole = message(data)
+    for entity in whole.get(2, []):
         e = message(entity)
-        if 3 not in e or _number(e, 2):
+        if 3 not in e:
             continue
         update = message(e[3][-1])
         trip = message(update[1][-1]) if 1 in update else {}
-        for raw in update.get(2, []):
+        vehicle = message(update[3][-1]) if 3 in update else {}
+        own = (_text(e, 1), _text(trip, 1), _text(trip, 5), _number(trip, 6), _text(trip, 3))
+        updates = update.get(2, [])
+        trips.append((*own, _text(trip, 2), TRIP_RELATIONSHIPS.get(_number(trip, 4)), _text(vehicle, 1), _number(update, 4), _number(update, 5), len(updates)))
+        for raw in updates:
             s = message(raw)
-            relation = STOP_RELATIONSHIPS.get(_number(s, 5) or 0)
-            yield (_text(e, 1), _text(trip, 1), _text(trip, 5), _number(trip, 6), _text(trip, 3), _text(s, 4), _number(s, 1), relation, *_event(s, 2), *_event(s, 3))
+            arrival, departure = _event(s, 2), _event(s, 3)
+            stops.append((*own, _text(s, 4), _number(s, 1), STOP_RELATIONSHIPS.get(_number(s, 5)), *arrival[:2], *departure[:2], arrival[2], departure[2]))
+    header = message(whole[1][-1]) if 1 in whole else {}
+    counts = entity_counts(data)
+    row = (_number(header, 3), _text(header, 1), counts["entity_count"], len(trips), len(stops), *[counts[k] for k in ("vehicle_position_count", "alert_count", "deleted_entity_count")])
+    return {"feed": [row], "trip": trips, "stop": stops}
+
+
+def stop_rows(data: bytes) -> Iterator[tuple]:
+    """Rows of STOP_ROWS, where an absent relationship is the scheduled one."""
+    for row in snapshot_rows(data)["stop"]:
+        yield (*row[:7], row[7] or STOP_RELATIONSHIPS[0], *row[8:12])
 
 
 def entity_counts(data: bytes) -> dict[str, int]:
@@ -123,36 +150,41 @@ def encode(parts: list[tuple[int, int | str | bytes | None]]) -> bytes:
     return out
 
 
-def decode(messages: DataFrame, content: str = "content", keep: tuple[str, ...] = (), strict: bool = True) -> DataFrame:
-    """Rows of all messages of a binary column, with the columns ``keep``. A message
+def decode(messages: DataFrame, content: str = "content", keep: tuple[str, ...] = (), strict: bool = True, rows: str | None = None) -> DataFrame:
+    """Rows of all messages of a binary column, with the columns ``keep``: those of
+    one of ROW_SETS, with a timestamp for each time, or of STOP_ROWS. A message
     that doesn't parse fails the job, or is left out if not ``strict``."""
-    names = [x.split()[0] for x in STOP_ROWS.split(", ")]
+    columns_of = ROW_SETS[rows] if rows else STOP_ROWS
+    names = [x.split()[0] for x in columns_of.split(", ")]
     own = messages.select(*keep, F.col(content).alias("__content"))
     schema = own.drop("__content").schema
-    for field in T._parse_datatype_string(STOP_ROWS):
+    for field in T._parse_datatype_string(columns_of):
         schema = schema.add(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, rows = [], []
+            at, all_rows = [], []
             for k, data in enumerate(batch.column(len(keep)).to_pylist()):
                 try:
-                    found = list(stop_rows(data or b""))
+                    found = snapshot_rows(data or b"")[rows] if rows else list(stop_rows(data or b""))
                 except ValueError:
                     if strict:
                         raise
                     continue
-                rows += found
+                all_rows += found
                 at += [k] * len(found)
-            columns = list(zip(*rows)) or [()] * len(names)
-            kinds = [pa.int32() if n in ("direction_id", "stop_sequence") else pa.int64() if n.endswith(("seconds", "_time")) else pa.string() for n in names]
+            columns = list(zip(*all_rows)) or [()] * len(names)
+            kinds = [{"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}[x.split()[1]] for x in columns_of.split(", ")]
             kept = [batch.column(i).take(pa.array(at, pa.int64())) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*kept, *[pa.array(c, t) for c, t in zip(columns, kinds)]], [*keep, *names])
 
-    return own.mapInArrow(run, schema)
+    out = own.mapInArrow(run, schema)
+    times = [n for n in names if rows and n in ("feed_time", "trip_update_time", "arrival_time", "departure_time")]
+    return out.withColumns({n.removesuffix("time") + "timestamp": F.timestamp_seconds(n) for n in times}) if times else out
 
 
-def read_feed(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """Decoded rows of message files, with each file's path and checksum."""
+def read_feed(spark: SparkSession, path: str, strict: bool = True, rows: str | None = None) -> DataFrame:
+    """Decoded rows of message files, with each file's path, name and checksum."""
     files = spark.read.format("binaryFile").load(path).withColumn("checksum_sha256", F.sha2("content", 256))
-    return decode(files, "content", ("path", "checksum_sha256"), strict)
+    files = files.withColumn("snapshot_id", F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1))
+    return decode(files, "content", ("path", "snapshot_id", "checksum_sha256"), strict, rows)

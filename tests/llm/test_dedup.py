@@ -186,3 +186,19 @@ def test_recall_of_near_lines_against_edit_similarity(spark, kind, least):
     found = sum(got[2 * k + 1] == 2 * k for k in range(len(pairs))) / len(pairs)
     print(kind, len(pairs), found)
     assert found >= least
+
+
+def covered(rows):
+    """The (id, place) of words in stretches of 50 that another document has too."""
+    found, texts = defaultdict(set), [(i, x.split()) for i, x in rows]
+    for i, w in texts:
+        for k in range(len(w) - 49):
+            found[tuple(w[k : k + 50])].add(i)
+    return {(i, p) for i, w in texts for k in range(len(w) - 49) if len(found[tuple(w[k : k + 50])]) > 1 for p in range(k, k + 50)}
+
+
+def test_spans_of_a_passage_repeated_in_one_document(spark):
+    """The other document's rows come after very many equal rows of the first."""
+    rows = [(1, "word " * 9000), (2, "word " * 60), (3, "word " * 8000 + "end")]
+    spans = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(s.doc_id, s.start, s.end, s.other_id) for s in spans} == {(1, 0, 9000, 2), (2, 0, 60, 1), (3, 0, 8000, 1)}

@@ -1,21 +1,12 @@
-"""Suffix-array dedup with sparse suffix arrays.
+"""Dedup of repeated passages by sparse suffixes.
 
 Texts are sequences of words (runs of characters other than ASCII white space,
-lower-cased A-Z). Of a text's suffixes those stay that start at a minimiser: a
-position whose hash of the next K words is the least among WINDOW neighbouring
-ones. Any two copies of a passage of MIN_WORDS words select the same positions in
-it, and one of these has K words of the passage to its right. Suffixes whose first
-K words occur once are dropped; the others are sorted over the whole cluster by the
-words that follow, and each is compared with its neighbours from other documents,
-in that order and, within a task, in the order of the words before it. Matches are
-extended to the left and to the right, and are kept if both together reach
-MIN_WORDS.
-
-Comparing REACH words to each side is enough for passages of any length: each
-stretch of MIN_WORDS words of a passage has a suffix of its own, and the spans that
-these give join up to the whole passage. The sort key holds those words, so a
-passage that very many documents share is spread over tasks; a few rows beyond a
-task's range come along as guests, so that no neighbours are parted.
+lower-cased A-Z). Each stretch of MIN_WORDS words has a minimiser: the suffix in it
+whose hash of the next K words is the least. Equal stretches have equal minimisers, so
+only stretches whose minimiser's K words are in two documents are of interest. Each of
+these gives a row with a hash of all its words, and those whose hash is in two
+documents are the passages found, whatever the order or number of copies. Stretches
+that overlap or touch join up to passages of any length.
 
 Defined results: null text counts as empty; texts of fewer than MIN_WORDS words
 have no span; documents are told apart by id, so a passage repeated in one document
@@ -37,9 +28,6 @@ from .common import small_batches, write_table
 
 MIN_WORDS, K = 50, 25
 WINDOW = MIN_WORDS - K + 1
-REACH = MIN_WORDS
-#: Rows of the neighbouring tasks' ranges that each task sees.
-GUESTS = 64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -57,119 +45,58 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def minimisers(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Selected positions and the hashes of the K words from there."""
-    n = len(words) - K + 1
-    if n < WINDOW:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    # polynomial hashes of all K-word runs from sums over prefixes, modulo 2 ** 64
+def _run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Polynomial hashes of all runs of ``size`` words, from sums over prefixes modulo 2 ** 64."""
     prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * _powers(_BASE, len(words)), dtype=np.uint64)))
-    run = (prefix[K:] - prefix[:-K]) * _powers(_INVERSE, n)
+    run = (prefix[size:] - prefix[:-size]) * _powers(_INVERSE, len(words) - size + 1)
     run ^= run >> np.uint64(31)
     run = run * np.uint64(0xBF58476D1CE4E5B9)
-    run ^= run >> np.uint64(29)
-    least = np.lib.stride_tricks.sliding_window_view(run, WINDOW).argmin(axis=1) + np.arange(n - WINDOW + 1)
-    at = np.unique(least)
-    return at, run[at]
+    return run ^ run >> np.uint64(29)
+
+
+def minimisers(words: np.ndarray) -> np.ndarray:
+    """The hash of the minimiser of each stretch of MIN_WORDS words."""
+    if len(words) < MIN_WORDS:
+        return np.empty(0, np.uint64)
+    return np.lib.stride_tricks.sliding_window_view(_run_hashes(words, K), WINDOW).min(axis=1)
 
 
 def _select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The minimisers of each text."""
     memo: dict[bytes, int] = {}
     for batch in batches:
-        row, place, key = [], [], []
+        row, key = [], []
         for k, text in enumerate(batch.column(1).to_pylist()):
             if len(memo) > 300_000:
                 memo.clear()
-            at, run = minimisers(word_hashes(text or "", memo))
-            row.append(np.full(len(at), k))
-            place.append(at)
+            run = np.unique(minimisers(word_hashes(text or "", memo)))
+            row.append(np.full(len(run), k))
             key.append(run)
         if row:
             ids = batch.column(0).take(pa.array(np.concatenate(row), pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(place), pa.int64()), pa.array(np.concatenate(key).view(np.int64), pa.int64())], ["id", "at", "key"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(key).view(np.int64), pa.int64())], ["id", "key"])
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words around each wanted position, as big-endian 32-bit hashes: to the
-    right with the position's own word, to the left read backwards."""
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``id, start, key, hash`` of the stretches with a wanted minimiser, text by text."""
     memo: dict[bytes, int] = {}
     for batch in batches:
-        for k in range(0, batch.num_rows, 256):
-            yield _contexts_of(batch.slice(k, 256), memo)
-
-
-def _contexts_of(batch: pa.RecordBatch, memo: dict[bytes, int]) -> pa.RecordBatch:
-    row, place, key, right, left, n_right, n_left = [], [], [], [], [], [], []
-    wanted = batch.column(2).to_pylist()
-    for k, text in enumerate(batch.column(1).to_pylist()):
-        if len(memo) > 300_000:
-            memo.clear()
-        words = word_hashes(text or "", memo)
-        short = np.concatenate((np.zeros(REACH, ">u4"), (words >> np.uint64(32)).astype(">u4"), np.zeros(REACH, ">u4")))
-        for w in wanted[k]:
-            p = w["at"]
-            row.append(k)
-            place.append(p)
-            key.append(w["key"])
-            right.append(short[p + REACH : p + 2 * REACH].tobytes())
-            left.append(short[p : p + REACH][::-1].tobytes())
-            n_right.append(min(REACH, len(words) - p))
-            n_left.append(min(REACH, p))
-    ids = batch.column(0).take(pa.array(row, pa.int64()))
-    arrays = [ids, pa.array(place, pa.int64()), pa.array(key, pa.int64()), pa.array(right, pa.binary()), pa.array(left, pa.binary()), pa.array(n_right, pa.int32()), pa.array(n_left, pa.int32())]
-    return pa.RecordBatch.from_arrays(arrays, ["id", "at", "key", "right", "left", "n_right", "n_left"])
-
-
-def _same(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """Length of the common start of rows, at most ``most``."""
-    differs = np.concatenate((a != b, np.ones((len(a), 1), bool)), axis=1)
-    return np.minimum(differs.argmax(axis=1), most)
-
-
-def _neighbours(order: np.ndarray, key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows: each with the nearest one before and after it, in an order,
-    that has the same key and another document."""
-    k, d = key[order], doc[order]
-    n = len(order)
-    group = np.concatenate(([0], np.cumsum(k[1:] != k[:-1])))
-    run = np.concatenate(([0], np.cumsum((k[1:] != k[:-1]) | (d[1:] != d[:-1]))))
-    first = np.searchsorted(run, np.arange(run[-1] + 1))  # of each run of one document
-    last = np.append(first[1:], n) - 1
-    before, after = first[run] - 1, last[run] + 1
-    here = np.arange(n)
-    ok_b = (before >= 0) & (group[np.maximum(before, 0)] == group)
-    ok_a = (after < n) & (group[np.minimum(after, n - 1)] == group)
-    return np.concatenate((order[here[ok_b]], order[here[ok_a]])), np.concatenate((order[before[ok_b]], order[after[ok_a]]))
-
-
-def _compare(part: pa.Table) -> pa.Table:
-    part = part.sort_by([("key", "ascending"), ("right", "ascending")])
-    key, at = part.column("key").to_numpy(), part.column("at").to_numpy()
-    own = ~part.column("guest").to_numpy(zero_copy_only=False)
-    ids = part.column("id").combine_chunks()
-    doc = ids.dictionary_encode(null_encoding="encode").indices.to_numpy()
-    words = [np.frombuffer(b"".join(part.column(c).to_pylist()), ">u4").reshape(-1, REACH) for c in ("right", "left")]
-    most = [part.column(c).to_numpy() for c in ("n_right", "n_left")]
-    none = np.empty(0, np.int64)
-    found = [(none, none, none, none)]
-    for order in (np.arange(len(key)), _by_left(key, part.column("left"))):
-        i, j = _neighbours(order, key, doc)
-        i, j = i[own[i]], j[own[i]]
-        for s in range(0, len(i), 20_000):
-            a, b = i[s : s + 20_000], j[s : s + 20_000]
-            r = _same(words[0][a], words[0][b], np.minimum(most[0][a], most[0][b]))
-            le = _same(words[1][a], words[1][b], np.minimum(most[1][a], most[1][b]))
-            hit = r + le >= MIN_WORDS
-            found.append((a[hit], at[a[hit]] - le[hit], at[a[hit]] + r[hit], b[hit]))
-    row, start, end, other = (np.concatenate(x) for x in zip(*found))
-    take = lambda x: ids.take(pa.array(x, pa.int64()))
-    return pa.table({"id": take(row), "start": pa.array(start, pa.int64()), "end": pa.array(end, pa.int64()), "other": take(other)})
-
-
-def _by_left(key: np.ndarray, left: pa.ChunkedArray) -> np.ndarray:
-    import pyarrow.compute as pc
-
-    return pc.sort_indices(pa.table({"key": pa.array(key), "left": left}), [("key", "ascending"), ("left", "ascending")]).to_numpy().astype(np.int64)
+        for k in range(batch.num_rows):
+            if len(memo) > 300_000:
+                memo.clear()
+            words = word_hashes(batch.column(1)[k].as_py() or "", memo)
+            key = minimisers(words)
+            at = np.flatnonzero(np.isin(key, batch.column(2)[k].values.to_numpy().view(np.uint64)))
+            if len(at):
+                ids = batch.column(0).take(pa.array(np.full(len(at), k), pa.int64()))
+                arrays = [pa.array(at, pa.int64()), pa.array(key[at].view(np.int64)), pa.array(_run_hashes(words, MIN_WORDS)[at].view(np.int64))]
+                yield pa.RecordBatch.from_arrays([ids, *arrays], ["id", "start", "key", "hash"])
+
+
+def _in_two(rows: DataFrame, *key: str) -> DataFrame:
+    """``key, lo, has_null`` of the keys that two documents have; ``lo`` is the least id."""
+    found = rows.groupBy(*key).agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max(F.col("id").isNull()).alias("has_null"))
+    return found.where("lo < hi OR has_null AND lo IS NOT NULL").drop("hi")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,31 +106,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    places = write_table(own.mapInArrow(_select, f"id {kind}, at long, key long"), "minimisers")
-    often = write_table(places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeated")
-    wanted = places.join(often, "key", "left_semi").groupBy("id").agg(F.collect_set(F.struct("at", "key")).alias("wanted"))
+    places = write_table(own.mapInArrow(_select, f"id {kind}, key long"), "minimisers")
+    often = write_table(_in_two(places, "key").select("key"), "repeated")
+    wanted = places.join(often, "key", "left_semi").groupBy("id").agg(F.collect_set("key").alias("wanted"))
     wanted = write_table(wanted, "wanted")
-    # rows that repeat an id have places of each other; those past a text's end go
     around = own.join(wanted, own["id"].eqNullSafe(wanted["id"])).select(own["id"], "text", "wanted")
-    around = around.withColumn("wanted", F.expr("filter(wanted, x -> x.at < octet_length(text))"))
-    schema = f"id {kind}, at long, key long, right binary, left binary, n_right int, n_left int"
-    around = around.mapInArrow(_contexts, schema).where(f"n_right >= {K}")
-    order = ["key", "right", "left", "id", "at"]
-    spread = write_table(around, "suffixes").repartitionByRange(*order).sortWithinPartitions(*order)
-    spread = write_table(spread.withColumn("place", F.monotonically_increasing_id()), "sorted")
-    spread = spread.withColumns({"range": F.shiftrightunsigned("place", 33), "k": F.expr("place & 8589934591L")})
-    # a row per range; ranges are as many as the sort's tasks
-    ranges = spread.groupBy("range").agg(F.count("*").alias("n"))
-    along = Window.orderBy("range")
-    ranges = ranges.withColumns({"up": F.lead("range").over(along), "down": F.lag("range").over(along)})
-    spread = spread.join(F.broadcast(ranges), "range")
-    columns = ["id", "at", "key", "right", "left", "n_right", "n_left"]
-    mine = spread.select("range", F.lit(False).alias("guest"), *columns)
-    to_next = spread.where(f"k >= n - {GUESTS} AND up IS NOT NULL").select(F.col("up").alias("range"), F.lit(True).alias("guest"), *columns)
-    to_last = spread.where(f"k < {GUESTS} AND down IS NOT NULL").select(F.col("down").alias("range"), F.lit(True).alias("guest"), *columns)
-    dealt = mine.unionByName(to_next).unionByName(to_last)
-    spans = dealt.groupBy("range").applyInArrow(_compare, f"id {kind}, start long, end long, other {kind}")
-    spans = spans.groupBy("id", "start").agg(F.max("end").alias("end"), F.min("other").alias("other"))
+    rows = write_table(around.mapInArrow(_stretches, f"id {kind}, start long, key long, hash long"), "stretches")
+    shared = write_table(_in_two(rows, "key", "hash"), "shared")
+    rows = write_table(rows.join(shared, ["key", "hash"]), "found")
+    # the document of the least id has the next one for its other
+    next_ = rows.where("id <> lo").groupBy("key", "hash").agg(F.min("id").alias("other"))
+    first = rows.where("id = lo").join(next_, ["key", "hash"], "left").select("id", "start", "other")
+    spans = first.unionByName(rows.where("id IS NULL OR id <> lo").select("id", "start", F.col("lo").alias("other")))
+    spans = spans.groupBy("id", "start").agg(F.min("other").alias("other")).withColumn("end", F.col("start") + MIN_WORDS)
     by_start = Window.partitionBy("id").orderBy("start")
     reached = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1))

@@ -202,3 +202,11 @@ def test_spans_of_a_passage_repeated_in_one_document(spark):
     rows = [(1, "word " * 9000), (2, "word " * 60), (3, "word " * 8000 + "end")]
     spans = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(s.doc_id, s.start, s.end, s.other_id) for s in spans} == {(1, 0, 9000, 2), (2, 0, 60, 1), (3, 0, 8000, 1)}
+
+
+def test_spans_of_many_edited_copies(spark):
+    rng = random.Random(8)
+    base = [f"b{k}" for k in range(200)]
+    rows = [(k, " ".join(w if rng.random() > 0.05 else f"x{rng.getrandbits(40)}" for w in base)) for k in range(1000)]
+    spans = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(s.doc_id, p) for s in spans for p in range(s.start, s.end)} == covered(rows)

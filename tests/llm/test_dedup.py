@@ -155,39 +155,6 @@ def test_lines_of_rows_that_share_an_id(spark):
     assert (2, 0, 1, 3) in got and (3, 0, 1, 0) in got and len(got) == 6
 
 
-def edit_distance(a, b):
-    row = np.arange(len(b) + 1)
-    codes, places = np.array([ord(c) for c in b]), np.arange(len(b) + 1)
-    for k, c in enumerate(a, 1):
-        step = np.minimum(row[1:] + 1, row[:-1] + (codes != ord(c)))
-        row = np.minimum.accumulate(np.concatenate(([k], step)) - places) + places
-    return int(row[-1])
-
-
-def near_lines(kind):
-    """Pairs of a line of 5 to 40 words and an edited one, each of words of its own."""
-    rng = random.Random(kind)
-    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9)))
-    for k in range(180):
-        words = [word() for _ in range(5 + k % 36)]
-        other = list(words)
-        for at in rng.sample(range(len(words)), {"letter": 1, "letters": max(1, len(words) // 5), "word": 1, "words": max(1, len(words) // 8)}[kind]):
-            other[at] = word() if kind.startswith("word") else other[at] + rng.choice("xyz")
-        yield " ".join(words), " ".join(other)
-
-
-@pytest.mark.parametrize("kind, least", [("letter", 0.99), ("letters", 0.97), ("word", 0.97), ("words", 0.97)])
-def test_recall_of_near_lines_against_edit_similarity(spark, kind, least):
-    pairs = [p for p in near_lines(kind) if 1 - edit_distance(*p) / max(map(len, p)) >= line_dedup.MIN_SIMILARITY]
-    assert len(pairs) > 120
-    rows = [(2 * k + j, x) for k, p in enumerate(pairs) for j, x in enumerate(p)]
-    got = {r.doc_id: r.keep_id for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert all(got[k] in (k, k - k % 2) for k in got)  # nothing else is near
-    found = sum(got[2 * k + 1] == 2 * k for k in range(len(pairs))) / len(pairs)
-    print(kind, len(pairs), found)
-    assert found >= least
-
-
 def covered(rows):
     """The (id, place) of words in stretches of 50 that another document has too."""
     found, texts = defaultdict(set), [(i, x.split()) for i, x in rows]

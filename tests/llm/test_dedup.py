@@ -168,7 +168,8 @@ def test_spans_of_a_passage_repeated_in_one_document(spark):
     """The other document's rows come after very many equal rows of the first."""
     rows = [(1, "word " * 9000), (2, "word " * 60), (3, "word " * 8000 + "end")]
     spans = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {(s.doc_id, s.start, s.end, s.other_id) for s in spans} == {(1, 0, 9000, 2), (2, 0, 60, 1), (3, 0, 8000, 1)}
+    assert {(s.doc_id, s.start, s.end) for s in spans} == {(1, 0, 9000), (2, 0, 60), (3, 0, 8000)}
+    assert all(s.other_id in {1, 2, 3} - {s.doc_id} for s in spans)
 
 
 def test_spans_of_many_edited_copies(spark):
@@ -177,3 +178,48 @@ def test_spans_of_many_edited_copies(spark):
     rows = [(k, " ".join(w if rng.random() > 0.05 else f"x{rng.getrandbits(40)}" for w in base)) for k in range(1000)]
     spans = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(s.doc_id, p) for s in spans for p in range(s.start, s.end)} == covered(rows)
+
+
+@pytest.fixture()
+def ranges(spark, request):
+    """Sorted ranges of the array that Spark doesn't put together again."""
+    keys = {"spark.sql.shuffle.partitions": str(request.param), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("ranges", [1, 16, 211], indirect=True)
+def test_spans_do_not_depend_on_ranges(spark, ranges):
+    """Passages that pairs of documents share, half of their words common to all; and a
+    passage of two documents of which others share 49 words on either side."""
+    rng = random.Random(21)
+    word = lambda: f"w{rng.getrandbits(32)}"
+    common = [word() for _ in range(25)]
+    rows = []
+    for k in range(120):
+        passage = [*[word() for _ in range(rng.randrange(13))], *common]
+        passage += [word() for _ in range(50 - len(passage))]
+        rows += [(j, " ".join([word() for _ in range(20)] + passage + [word() for _ in range(20)])) for j in (2 * k, 2 * k + 1)]
+    whole = [word() for _ in range(52)]
+    rows += [(1000 + k, " ".join([word(), *whole, word()])) for k in range(2)]
+    rows += [(1010 + k, " ".join([word() for _ in range(9)] + (whole[:49] if k % 2 else whole[3:]) + [word() for _ in range(9)])) for k in range(4)]
+    rows += [(1020 + k, " ".join(whole[:k] + [word()] + whole[k + 1 :])) for k in range(52)]
+    spans = suffix_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = {i: x.split() for i, x in rows}
+    assert {(s.doc_id, p) for s in spans for p in range(s.start, s.end)} == covered(rows)
+    for s in spans:  # the other document does hold a stretch of the span
+        own, other = ({tuple(w[k : k + 50]) for k in range(a, b - 49)} for w, a, b in ((texts[s.doc_id], s.start, s.end), (texts[s.other_id], 0, len(texts[s.other_id]))))
+        assert s.doc_id != s.other_id and own & other
+
+
+def test_spans_of_repeated_and_missing_ids(spark):
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(1, passage), (1, f"a {passage}"), (None, f"x {passage.upper()}"), (None, f"x {passage.upper()}"), (None, "too short")]
+    spans = suffix_dedup.repeated_spans(spark.createDataFrame(make_rows(rows), SCHEMA)).collect()
+    assert {(s.doc_id, s.start, s.end, s.other_id) for s in spans} == {(1, 0, 60, None), (1, 1, 61, None), (None, 1, 61, 1)}
+    alone = [(1, passage), (1, f"a {passage}"), (2, "word")]
+    assert suffix_dedup.repeated_spans(spark.createDataFrame(alone, "doc_id long, text string")).count() == 0

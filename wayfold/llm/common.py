@@ -4,6 +4,7 @@ distributed connected components."""
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
 import uuid
@@ -24,11 +25,13 @@ _written: list[tuple[SparkSession, str]] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the setting is absent (a single machine, as in tests), a temporary
-    folder is made and put into the session's setting.
+    Where the setting is absent, a temporary folder is made and put into the
+    session's setting, on a single machine only: on a cluster no such folder is shared.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = f"file://{tempfile.mkdtemp(prefix='wayfold-shared-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -48,12 +51,18 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def drop_table(df: DataFrame) -> None:
-    """Delete a table of :func:`write_table` that no later plan reads."""
-    path = getattr(df, "_wf_path", None)
-    if path:
-        _delete(df.sparkSession, path)
-        _written[:] = [x for x in _written if x[1] != path]
+def drop_table(*tables: DataFrame) -> None:
+    """Delete tables of :func:`write_table` that no later plan reads, and let Spark
+    free the shuffles of the plans that are done with, which it does when the driver
+    collects their garbage."""
+    for df in tables:
+        path = getattr(df, "_wf_path", None)
+        if path:
+            _delete(df.sparkSession, path)
+            _written[:] = [x for x in _written if x[1] != path]
+    gc.collect()
+    for df in tables[:1]:
+        df.sparkSession.sparkContext._jvm.System.gc()
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -96,7 +105,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     Returns ``node, root`` for every node that has an edge to another node;
     ``root`` is the component's smallest node. Null ends and loops are ignored.
     All state stays distributed: each step writes its edges to the shared folder,
-    and the driver sees two numbers a step (a count and a checksum).
+    and the driver sees two numbers a step (a count and a checksum). The least
+    neighbours are summed up task by task before they are shuffled, and written before
+    they are joined, so that Spark can split the join of a node with very many edges.
     """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     now = write_table(now.where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct(), "edges")
@@ -126,13 +137,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Links each larger neighbour of u to the least of u's neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    linked = both.join(least, "u").where("v > u")
+    linked = both.where("v > u").join(write_table(least, "least"), "u")
     return linked.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links u and its smaller neighbours to the least of them (edges have u > v)."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = write_table(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     kept = least.select("u", F.col("m").alias("v"))
     return moved.unionByName(kept).where("u <> v").distinct()

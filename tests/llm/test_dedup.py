@@ -126,18 +126,77 @@ def test_lines(spark, awkward, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
-def test_near_lines_join_through_links(spark):
-    words = [f"w{k}" for k in range(60)]
-    rows = [(k, " ".join(words[:k] + ["changed"] + words[k + 1 :])) for k in range(50)] + [(99, "something else entirely different from these")]
-    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    values = []
-    for _, x in rows:
-        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in x.split()]
-        values.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes)))
-    label = np.arange(len(rows))
-    pairs = [(a, b) for a in range(50) for b in range(a) if (values[a] ^ values[b]).bit_count() <= 3]
+def distance(a, b):
+    """Levenshtein distance, row by row."""
+    last = np.arange(len(b) + 1)
+    y = np.array([ord(c) for c in b])
+    for k, c in enumerate(a, 1):
+        step = np.minimum(last[1:] + 1, last[:-1] + (y != ord(c)))
+        now = np.minimum.accumulate(np.concatenate(([k], step)) - np.arange(len(b) + 1)) + np.arange(len(b) + 1)
+        last = now
+    return int(last[-1])
+
+
+def line_print(line):
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in set(line.split())]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def line_groups(rows):
+    """The first line of each line's group, by brute force; rows hold one line each."""
+    prints = [line_print(x) for _, x in rows]
+    label, pairs, rejected = np.arange(len(rows)), [], 0
+    for a in range(len(rows)):
+        for b in range(a):
+            q = prints[a] ^ prints[b]
+            if q.bit_count() <= line_dedup.MAX_BITS and sum((q >> o & ((1 << w) - 1)) == 0 for o, w in line_dedup.BLOCKS) >= 2:
+                x, y = rows[a][1], rows[b][1]
+                near = distance(x, y) <= 0.2 * max(len(x), len(y)) + 1e-9
+                rejected += not near
+                pairs += [(a, b)] * near
     merge_labels(label, *np.array(pairs).T)
-    assert {r.doc_id: r.keep_id for r in got} == {rows[k][0]: rows[label[k]][0] for k in range(len(rows))}
+    return {rows[k][0]: rows[label[k]][0] for k in range(len(rows))}, rejected
+
+
+def test_near_lines_against_brute_force(spark):
+    """Edited copies of lines of 5 to 40 words, a dense group, and lines of equal words
+    in another order, whose SimHashes agree but whose edit similarity is too small."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 9)))
+    lines = []
+    for n in (5, 8, 12, 20, 30, 40):
+        for _ in range(12):
+            base = [word() for _ in range(n)]
+            lines.append(base)
+            for _ in range(3):
+                copy = list(base)
+                copy[rng.randrange(n)] += "x"
+                lines.append(copy)
+            lines.append(rng.sample(base, n))
+    dense = [word() for _ in range(60)]
+    lines += [dense[:k] + ["changed"] + dense[k + 1 :] for k in range(50)]
+    rows = sorted({" ".join(x) for x in lines})
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    want, rejected = line_groups(rows)
+    assert rejected > 20
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.keep_id for r in got} == want
+    assert sum(r.group_size > 1 for r in got) > 150
+
+
+def test_very_long_lines(spark):
+    """More words than one run of counters holds; lines that are compared by words."""
+    rng = random.Random(19)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    base, longest = [word() for _ in range(300)], [word() for _ in range(40_000)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:150], "new", *base[151:]])), (3, " ".join(word() for _ in range(300)))]
+    rows += [(4, " ".join(longest)), (5, " ".join([*longest[:9], "new", *longest[9:]])), (6, " ".join(reversed(longest)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = line_dedup.with_simhash(line_dedup.lines_of(docs)).collect()
+    assert {r.id: r.sim & (1 << 64) - 1 for r in prints} == {i: line_print(x) for i, x in rows}
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {1: (1, 2), 2: (1, 2), 3: (3, 1), 4: (4, 2), 5: (4, 2), 6: (6, 1)}
 
 
 @pytest.mark.parametrize("run", [exact_dedup.exact_dedup, simhash_dedup.near_dedup, suffix_dedup.repeated_spans])

@@ -2,22 +2,28 @@
 
 Lines are compared in a normalised form: lower case, every run of characters other
 than letters and digits a space. Equal lines are one node. Each node has a 64-bit
-SimHash of its words. Two nodes link if their SimHashes differ in at most MAX_BITS
-bits and their edit similarity (1 - Levenshtein distance / longer length) is at
-least MIN_SIMILARITY. The 64 bits are cut into five blocks; three differing bits
-leave at least two blocks alone, so nodes are joined on each of the ten pairs of
-blocks. Of each connected group of lines the first occurrence, by document id and
-line number, is kept.
-
-A dense group of near copies would join into the square of its size. So nodes are
-first compared with one leader of their pair of blocks only (the most frequent, for
-LEADER_KEYS of the ten pairs), and the join proper leaves out pairs that these links
-already connect. That loses no link between groups.
+SimHash of its distinct words (counted once, or else the most frequent words of a
+language would make unrelated lines alike). The 64 bits are cut into five blocks, and
+nodes are joined on each of the ten pairs of blocks; three differing bits leave at least
+two blocks alone. Two nodes link if they share a pair of blocks, differ in at most
+MAX_BITS bits and have an edit similarity (1 - Levenshtein distance / longer length) of
+at least MIN_SIMILARITY. So all lines within SURE_BITS bits are found, and of those
+further apart the ones that happen to share two blocks. Of each connected group of
+lines the first occurrence, by document id and line number, is kept.
+
+A dense group of near copies would join into the square of its size. So the nodes of a
+pair of blocks are first compared with one of them only, the most frequent line. Then
+only nodes that aren't yet connected with that leader are compared with the others
+under their pair of blocks. That loses no link between groups.
+
+Lines of more than LONG characters are compared by words instead of characters, each
+word being coded as one of 2 ** 14 characters, since the work grows with the square.
 
 Defined results: null text counts as empty; lines without a letter or digit are
 always kept, as a group of their own; null ids sort last; of rows that repeat an id,
-lines with the same number are kept or dropped alike; an empty table gives an empty
-table.
+lines with the same number are kept or dropped alike; other columns of the input,
+whatever their names, aren't looked at; an empty table gives an empty table; texts and
+lines have no upper length.
 """
 
 from __future__ import annotations
@@ -25,60 +31,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, write_table
+from .common import connected_components, drop_table, write_table
 
-MAX_BITS, MIN_SIMILARITY = 3, 0.8
+SURE_BITS, MAX_BITS, MIN_SIMILARITY = 3, 10, 0.8
+#: Longest line whose edit distance is counted in characters.
+LONG = 4_096
 #: First bit and width of the five blocks, and the pairs of blocks.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 PAIRS = tuple((i, j) for i in range(5) for j in range(i + 1, 5))
-#: Pairs of blocks whose leaders nodes are compared with first.
-LEADER_KEYS = (0, 4, 7, 9)
 _CHUNK = 127  # words whose bits 8-bit counters hold without a sign's overflow
-_LONG = 32_767  # and 16-bit counters
-_LANES = 0x0001000100010001
+_LANES = 0x0101010101010101
 
 
-def normalised(line: str) -> str:
-    return f"trim(regexp_replace(lower({line}), '[^\\\\p{{L}}\\\\p{{N}}]+', ' '))"
+def _lanes(hashes: str) -> list[str]:
+    """SQL for the eight sums of at most _CHUNK hashes: the k-th counts bits k, k + 8,
+    ... in 8-bit counters, eight to a long."""
+    return [f"aggregate({hashes}, 0L, (s, x) -> s + (shiftrightunsigned(x, {k}) & {_LANES}L))" for k in range(8)]
 
 
-def simhash(words: str) -> str:
-    """SQL for the SimHash of an array of words: a bit is set if it is in more than
-    half of the words' hashes. For lines of more than _LONG words; others are done
-    by :func:`_with_simhash`, in compiled code.
-
-    Bits are counted in 8-bit counters, eight to a long: of each chunk of words the
-    eight sums take bits k, k + 8, ... for k from 0 to 7.
-    """
-    lane = "aggregate(c, 0L, (s, x) -> s + (shiftrightunsigned(x, {k}) & 72340172838076673L))"
-    sums = ", ".join(lane.format(k=k) for k in range(8))
-    hashes = f"transform({words}, w -> xxhash64(w))"
-    chunk = f"transform(array(slice(h, i, {_CHUNK})), c -> array({sums}))[0]"
-    lanes = f"transform(array({hashes}), h -> transform(sequence(1, size(h), {_CHUNK}), i -> {chunk}))[0]"
+def _long_simhash(hashes: str) -> str:
+    """SQL for the SimHash of any number of hashes, chunk by chunk."""
+    lanes = f"transform(sequence(1, size({hashes}), {_CHUNK}), i -> transform(array(slice({hashes}, i, {_CHUNK})), c -> array({', '.join(_lanes('c'))}))[0])"
     total = "aggregate(lanes, 0L, (t, l) -> t + (shiftrightunsigned(l[b % 8], cast(b div 8 * 8 as int)) & 255))"
-    bits = f"aggregate(sequence(0, 63), 0L, (acc, b) -> acc | if(2 * {total} > size({words}), shiftleft(1L, b), 0L))"
-    return f"transform(array({lanes}), lanes -> {bits})[0]"
-
-
-def _with_simhash(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, line_no, k1, k2, sim`` of every line: two hashes of its normalised text
-    and its SimHash, null for a line without words.
-
-    Words are exploded and their bits summed up by line, four 16-bit counters to a
-    long; a task sums its own lines before the shuffle, which has a row for each line.
-    """
-    rows = lines_of(docs.withColumn("__wf_row", F.monotonically_increasing_id()), id_col, text_col, "__wf_row")
-    keys = {"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("2"), F.col("norm")), "words": F.split("norm", " ")}
-    rows = rows.withColumns(keys)
-    rows = rows.withColumn("long_sim", F.expr(f"if(size(words) > {_LONG}, {simhash('words')}, null)"))
-    few = F.when((F.col("norm") != "") & (F.size("words") <= _LONG), F.col("words"))
-    words = rows.select("row", "id", "line_no", "k1", "k2", "long_sim", F.explode_outer(few).alias("word"))
-    words = words.withColumn("h", F.when(F.col("word").isNotNull(), F.xxhash64("word")))
-    sums = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_LANES))).alias(f"s{k}") for k in range(16)]
-    out = words.groupBy("row", "id", "line_no", "k1", "k2", "long_sim").agg(F.count("word").alias("n"), *sums)
-    bits = [f"if((shiftrightunsigned(s{b % 16}, {b // 16 * 16}) & 65535) * 2 > n, shiftleft(1L, {b}), 0L)" for b in range(64)]
-    sim = f"if(n > 0, {' | '.join(bits)}, long_sim)"
-    return out.select("id", "line_no", "k1", "k2", F.expr(sim).alias("sim"))
+    return f"transform(array({lanes}), lanes -> aggregate(sequence(0, 63), 0L, (acc, b) -> acc | if(2 * {total} > size({hashes}), shiftleft(1L, b), 0L)))[0]"
+
+
+def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, line_no, norm`` of every line."""
+    text = F.regexp_replace(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}\n]+", " ")
+    own = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text, "\n")).alias("line_no", "norm"))
+    return own.withColumn("norm", F.trim("norm"))
+
+
+def with_simhash(lines: DataFrame) -> DataFrame:
+    """Adds ``sim``, the SimHash of the distinct words of ``norm``; null without words."""
+    names = lines.columns
+    hashed = lines.withColumn("h", F.expr("if(norm = '', null, array_distinct(transform(split(norm, ' '), w -> xxhash64(w))))"))
+    short = hashed.withColumn("short", F.expr(f"if(size(h) <= {_CHUNK}, h, null)"))
+    sums = short.select(*names, "h", F.size("h").alias("n"), *[F.expr(x).alias(f"s{k}") for k, x in enumerate(_lanes("short"))])
+    bits = " | ".join(f"if((shiftrightunsigned(s{b % 8}, {b // 8 * 8}) & 255) * 2 > n, shiftleft(1L, {b}), 0L)" for b in range(64))
+    return sums.select(*names, F.expr(f"case when h is null then null when n <= {_CHUNK} then {bits} else {_long_simhash('h')} end").alias("sim"))
 
 
 def _pair_key(k: int) -> str:
@@ -87,75 +79,80 @@ def _pair_key(k: int) -> str:
     return f"(shiftrightunsigned(sim, {a}) & {(1 << wa) - 1}L) | shiftleft(shiftrightunsigned(sim, {b}) & {(1 << wb) - 1}L, 13) | {k << 26}L"
 
 
-def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
-    """``id, line_no, norm`` of every line, and ``row`` if a column tells rows apart."""
-    row = [F.col(row_col).alias("row")] if row_col else []
-    own = docs.select(*row, F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("line_no", "line"))
-    return own.select(*["row"] * len(row), "id", "line_no", F.expr(normalised("line")).alias("norm"))
+def _within(a: str, b: str, size: str) -> str:
+    """Whether the edit distance is within its share of the longer length. Small
+    distances are tried first: the work grows with the distance that is allowed."""
+    most = f"cast(floor({1 - MIN_SIMILARITY:.6f}D * greatest({size.format(a)}, {size.format(b)}) + 1e-9) as int)"
+    steps = " or ".join(f"({most} > {k} and levenshtein({a}, {b}, {k}) >= 0)" for k in (16, 64, 256))
+    return f"(abs({size.format(a)} - {size.format(b)}) <= {most} and ({steps} or levenshtein({a}, {b}, {most}) >= 0))"
+
+
+def similar(a: str, b: str) -> str:
+    """SQL for whether two normalised lines have the edit similarity."""
+    coded = "decode(unhex(array_join(transform(split({}, ' '), w -> hex(16384 + (xxhash64(w) & 16383))), '')), 'UTF-16BE')"
+    words = f"transform(array(struct({coded.format(a)} as x, {coded.format(b)} as y)), p -> {_within('p.x', 'p.y', 'length({})')})[0]"
+    return f"case when greatest(length({a}), length({b})) <= {LONG} then {_within(a, b, 'length({})')} else {words} end"
 
 
-def _edges(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of candidate pairs ``a, b`` of nodes those whose lines are similar enough.
-    Texts are read again for the nodes in question only."""
+def _edges(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of candidate pairs ``a, b`` of nodes those whose lines are similar enough."""
     pairs = write_table(pairs.distinct(), "candidates")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = F.collect_list(F.struct("node", F.col("line_no").alias("no"), "k1", "k2")).alias("wanted")
-    asked = write_table(nodes.join(asked, "node").groupBy(F.col("id").alias("i")).agg(wanted), "asked")
-    # a text is split once for all of its lines in question
-    pick = "transform(wanted, w -> struct(w.node, w.k1, w.k2, get(ls, w.no) AS line))"
-    texts = docs.join(asked, F.col("doc").eqNullSafe(F.col("i")))
-    texts = texts.select(F.expr(f"inline(transform(array(split(coalesce(text, ''), '\\n')), ls -> {pick})[0])"))
-    texts = texts.select("node", "k1", "k2", F.expr(normalised("line")).alias("norm"))
-    # rows that repeat an id: the one with the node's own line
-    texts = texts.where("xxhash64(norm) = k1 AND xxhash64('2', norm) = k2").groupBy("node").agg(F.first("norm").alias("norm"))
-    texts = write_table(texts, "lines")
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("norm").alias("na")), "a")
-    both = both.join(texts.select(F.col("node").alias("b"), F.col("norm").alias("nb")), "b")
-    most = f"cast(floor({1 - MIN_SIMILARITY:.6f}D * greatest(length(na), length(nb)) + 1e-9) as int)"
-    near = F.expr(f"abs(length(na) - length(nb)) <= {most} AND levenshtein(na, nb, {most}) >= 0")
-    return both.where(near).select("a", "b")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    texts = write_table(lines.select("row", "norm").join(asked, "row"), "texts")
+    both = pairs.join(texts.select(F.col("row").alias("a"), F.col("norm").alias("na")), "a")
+    both = both.join(texts.select(F.col("row").alias("b"), F.col("norm").alias("nb")), "b")
+    edges = write_table(both.where(F.expr(similar("na", "nb"))).select("a", "b"), "edges")
+    drop_table(pairs, texts)
+    return edges
+
+
+def _groups(lines: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, root`` of the nodes that are linked to others."""
+    keyed = nodes.select("node", "sim", "n", F.explode(F.array(*[F.expr(_pair_key(k)) for k in range(len(PAIRS))])).alias("key"))
+    # the most frequent line of each key; both aggregates see the rows in one order
+    first = keyed.groupBy("key").agg(F.count("*").alias("rows"), F.max_by("node", "n").alias("leader"), F.max_by("sim", "n").alias("lead_sim"))
+    crowded = keyed.join(first.where("rows > 1"), "key").select("key", "node", "sim", "leader", "lead_sim")
+    crowded = write_table(crowded, "crowded")
+    near = f"bit_count(sim ^ lead_sim) <= {MAX_BITS} AND node <> leader"
+    star = _edges(lines, crowded.where(near).select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")))
+    led = write_table(connected_components(star), "led")
+
+    named = crowded.select("key", "node", "sim", "leader").join(led, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    of_leader = led.select(F.col("node").alias("leader"), F.col("root").alias("lead_root"))
+    named = named.join(of_leader, "leader", "left").withColumn("odd", F.coalesce("lead_root", "leader") != F.col("root"))
+    named = write_table(named.select("key", "node", "sim", "root", "odd"), "named")
+    x, y = named.where("odd").alias("x"), named.alias("y")
+    apart = f"x.root <> y.root AND (NOT y.odd OR x.node < y.node) AND bit_count(x.sim ^ y.sim) <= {MAX_BITS}"
+    rest = x.join(y, F.expr(f"x.key = y.key AND {apart}")).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    rest = _edges(lines, rest)
+    drop_table(crowded, named, star)
+    if rest.isEmpty():
+        return led
+    return connected_components(led.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``<id>, line_no, keep_id, keep_line_no, group_size, kept`` of every line."""
-    own = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    lines = write_table(_with_simhash(docs, id_col, text_col), "lines")
-    at = F.struct(F.col("id").isNull().alias("null_id"), "id", "line_no")
-    nodes = lines.where("sim IS NOT NULL").groupBy("k1", "k2").agg(F.min(at).alias("at"), F.first("sim").alias("sim"), F.count("*").alias("n"))
-    nodes = nodes.select("k1", "k2", F.col("at.id").alias("id"), F.col("at.line_no").alias("line_no"), "sim", "n", F.monotonically_increasing_id().alias("node"))
+    lines = lines_of(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+    lines = with_simhash(lines.withColumns({"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("2"), F.col("norm"))}))
+    lines = write_table(lines, "lines")
+    nodes = lines.where("sim IS NOT NULL").groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("sim").alias("sim"), F.count("*").alias("n"))
     nodes = write_table(nodes, "nodes")
+    roots = write_table(_groups(lines, nodes), "components")
 
-    def keyed(which) -> DataFrame:
-        key = F.explode(F.array(*[F.expr(_pair_key(k)) for k in which])).alias("key")
-        return nodes.select("node", "sim", "n", key)
-
-    some = keyed(LEADER_KEYS)
-    first = some.groupBy("key").agg(F.min(F.struct((-F.col("n")).alias("n"), "node", "sim")).alias("top"), F.count("*").alias("rows"))
-    first = write_table(first.where("rows > 1").select("key", F.col("top.node").alias("a"), F.col("top.sim").alias("top_sim")), "leaders")
-    near = f"bit_count(sim ^ top_sim) <= {MAX_BITS} AND node <> a"
-    star = some.select("node", "sim", "key").join(first, "key").where(near).select("a", F.col("node").alias("b"))
-    star = write_table(_edges(own, nodes, star), "star")
-    led = write_table(connected_components(star), "led")
-
-    named = nodes.select("node", "sim").join(led, "node", "left").select("node", "sim", F.coalesce("root", "node").alias("root"))
-    named = write_table(named, "named")
-    spread = named.withColumn("key", F.explode(F.array(*[F.expr(_pair_key(k)) for k in range(len(PAIRS))])))
-    x, y = spread.alias("x"), spread.alias("y")
-    linked = f"x.node < y.node AND x.root <> y.root AND bit_count(x.sim ^ y.sim) <= {MAX_BITS}"
-    rest = x.join(y, F.expr("x.key = y.key")).where(linked).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    edges = star.unionByName(_edges(own, nodes, rest))
-
-    roots = write_table(connected_components(edges), "components")
-    grouped = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    groups = grouped.groupBy("root").agg(F.min(at).alias("keep"), F.sum("n").alias("group_size"))
-    groups = write_table(groups, "groups")
-    keep = grouped.join(groups, "root").select("k1", "k2", F.col("keep.id").alias("keep_id"), F.col("keep.line_no").alias("keep_line_no"), "group_size")
-    keep = write_table(keep, "keep")
-    found = lines.where("sim IS NOT NULL").join(keep, ["k1", "k2"]).select("id", "line_no", "keep_id", "keep_line_no", "group_size")
-    blank = lines.where("sim IS NULL").select("id", "line_no", F.col("id").alias("keep_id"), F.col("line_no").alias("keep_line_no"), F.lit(1).cast("long").alias("group_size"))
-    out = found.unionByName(blank)
+    # lines that stand alone keep themselves; only the others are grouped
+    several = nodes.select("k1", "k2", "node", "n").join(roots, "node", "left").where("n > 1 OR root IS NOT NULL")
+    several = write_table(several.select("k1", "k2", F.coalesce("root", "node").alias("root")), "several")
+    narrow = lines.select("id", "line_no", "k1", "k2", F.col("sim").isNull().alias("blank"))
+    marked = write_table(narrow.where("NOT blank").join(several, ["k1", "k2"], "left").select("id", "line_no", "root"), "marked")
+    at = F.struct(F.col("id").isNull().alias("null_id"), "id", "line_no")
+    groups = marked.where("root IS NOT NULL").groupBy("root").agg(F.min(at).alias("keep"), F.count("*").alias("group_size"))
+    groups = write_table(groups.select("root", F.col("keep.id").alias("keep_id"), F.col("keep.line_no").alias("keep_line_no"), "group_size"), "groups")
+    found = marked.join(groups, "root").drop("root")
+    alone = narrow.where("blank").select("id", "line_no").unionByName(marked.where("root IS NULL").drop("root"))
+    alone = alone.select("id", "line_no", F.col("id").alias("keep_id"), F.col("line_no").alias("keep_line_no"), F.lit(1).cast("long").alias("group_size"))
     kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("line_no") == F.col("keep_line_no"))
-    return out.select(F.col("id").alias(id_col), "line_no", "keep_id", "keep_line_no", "group_size", kept.alias("kept"))
+    return found.unionByName(alone).select(F.col("id").alias(id_col), "line_no", "keep_id", "keep_line_no", "group_size", kept.alias("kept"))
 
 
 def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -193,8 +193,8 @@ def test_secrets(spark, awkward, empty):
 
 
 def test_word_hashes_follow_text_ends():
-    found, ends = toxicity.words_of(pa.array(["a b", None, "", "c, a", "!"]))
-    assert ends.tolist() == [2, 2, 2, 4, 4] and found[0] == found[3]
+    found, begins, ends = toxicity.words_of(pa.array(["a b", None, "", "c, a", "!", "begin beginning"]))
+    assert ends.tolist() == [2, 2, 2, 4, 4, 6] and found[0] == found[3] and found[4] != found[5] and begins[4] == begins[5]
 
 
 def test_short_secrets_after_a_name(spark):

@@ -1,11 +1,14 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two interpolated Kneser-Ney bigram models, of toxic and of ordinary texts, share
-their lowest order: word counts over the whole corpus. An expression (a word's
-continuations, or a pair of words) keeps counts of its own in the class models
-only where the numbers of texts with it are large enough and differ between the
-classes beyond chance (a likelihood-ratio test); the mass of all others goes to the shared
-backoff, so that rare expressions say nothing about the class.
+Two interpolated Kneser-Ney models, of toxic and of ordinary texts, go from pairs of
+words over words and beginnings of words (the first BEGIN letters) down to a lowest
+order that they share: the counts of all words of all documents. Discounted mass goes
+to the next lower order. An expression (a pair, a word or a beginning) keeps counts of
+its own in the class models only where the numbers of texts with it are at least
+MIN_COUNT and differ between the classes beyond chance (a likelihood ratio of EVIDENCE,
+which one in a million expressions reaches by chance); the mass of all others goes to
+the lower order, so that rare expressions say nothing about the class by themselves.
+These two are parameters of the smoothing; the number of expressions has no limit.
 
 A text is scored by the log-likelihood ratio of the two models per word, over the
 whole text and over its most toxic passage of WINDOW words, so that a long text
@@ -13,14 +16,15 @@ doesn't hide a passage. A logistic function of both, fitted on labelled rows tha
 the counts don't see, turns them into a score.
 
 The classifier is fitted on at most MAX_TRAIN labelled rows, chosen by a hash of
-their id; the shared counts are taken over all documents, and every whole text is
-scored.
+their id, so the models' size is bounded by that; the shared counts are taken over all
+documents, in a distributed table, and every whole text is scored.
 
 Defined results: null text counts as empty, and a text without words gets the
 score of ratio zero; without labels of both kinds every score is the share of
 toxic labels (0 if there are none); ids labelled twice count as toxic if any label
-says so; rows that repeat an id are scored alike, each from its own text. An input
-column named like an output column is replaced.
+says so; of rows that repeat an id the least text is learned from, and each is scored
+from its own text; very long texts are taken whole; an empty table gives an empty
+table. An input column named like an output column is replaced.
 """
 
 from __future__ import annotations
@@ -40,12 +44,13 @@ from .common import OWN, small_batches, write_table
 #: Labelled rows that the classifier is fitted on, at most; a quarter of them
 #: fits the logistic function, the others give the class counts.
 MAX_TRAIN = 20_000
-#: Expressions with counts of their own, at most, by evidence.
-MAX_WORDS, MAX_PAIRS = 100_000, 100_000
-MIN_COUNT, EVIDENCE, DISCOUNT = 4, 16.0, 0.75
-WINDOW = 64
+#: Texts with an expression, and the likelihood ratio (chi squared of one degree),
+#: from which it has counts of its own; what is taken off each count.
+MIN_COUNT, EVIDENCE, DISCOUNT = 4, 24.0, 0.75
+WINDOW, BEGIN = 64, 4
 _COUNTS = ("toxic", "other", "toxic_texts", "other_texts")
 _ROWS = 128  # texts that are taken apart at once
+_HELD = 1_000_000  # distinct words that a task gathers before it passes them on
 
 
 def held_out(id_col: str) -> Column:
@@ -53,9 +58,9 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words (runs of letters and digits, lower case) and the
-    end of each text among them."""
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (runs of letters and digits, lower case), of their
+    beginnings, and the end of each text among them."""
     parts = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")), r"[^\p{L}\p{N}]+")
     coded = parts.flatten().dictionary_encode()
     names = coded.dictionary.to_pylist()
@@ -63,7 +68,13 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     index = coded.indices.to_numpy()
     real = np.fromiter((bool(w) for w in names), bool, len(names))[index] if names else np.empty(0, bool)
     ends = np.concatenate(([0], np.cumsum(real)))[parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()]
-    return table[index][real] if names else np.empty(0, np.uint64), ends
+    if not names:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64), ends
+    begin = {w[:BEGIN] for w in names}
+    begin = {w: xxhash.xxh3_64_intdigest(w, 1) for w in begin}
+    begin = np.fromiter((begin[w[:BEGIN]] for w in names), np.uint64, len(names))
+    index = index[real]
+    return table[index], begin[index], ends
 
 
 def pair_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -85,22 +96,23 @@ def _inner(n: int, ends: np.ndarray) -> np.ndarray:
     return same
 
 
-#: Stands on the left in the rows that count the texts of a word by itself.
-_ALONE = 1
+#: Stand on the left in the rows that count the texts of a word, or of a beginning.
+_ALONE, _BEGINS = 1, 2
 
 
 def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """left, right, how often the pair occurs in toxic and in other texts, and in
     how many of each; a text's first word has 0 on its left."""
     for batch in _slices(batches):
-        words, ends = words_of(batch.column(0))
+        words, begins, ends = words_of(batch.column(0))
         if not len(words):
             continue
         left = np.concatenate((np.zeros(1, np.uint64), words[:-1]))
         left[1:][~_inner(len(words), ends)] = 0
         text = np.repeat(np.arange(len(ends), dtype=np.uint64), np.diff(ends, prepend=0))
         is_toxic = batch.column(1).to_numpy() > 0
-        alone = np.unique(np.stack((np.full(len(words), _ALONE, np.uint64), words, text), axis=1), axis=0)
+        alone = [np.unique(np.stack((np.full(len(words), kind, np.uint64), x, text), axis=1), axis=0) for kind, x in ((_ALONE, words), (_BEGINS, begins))]
+        alone = np.concatenate(alone)
         pairs, n = np.unique(np.stack((left, words, text), axis=1), axis=0, return_counts=True)
         rows, n = np.concatenate((alone, pairs)), np.concatenate((np.zeros(len(alone), np.int64), n))
         toxic = is_toxic[rows[:, 2].astype(np.int64)]
@@ -119,12 +131,42 @@ def _evidence(a: Column, b: Column, total_a: float, total_b: float) -> Column:
     return 2 * (term(a, n * share) + term(b, n * (1 - share)))
 
 
+def _corpus_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``w, b, n``: how often each word occurs, and its beginning."""
+
+    def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        w, b, n = (np.concatenate(x) for x in zip(*parts))
+        w, first, at = np.unique(w, return_index=True, return_inverse=True)
+        return w, b[first], np.bincount(at, n, len(w)).astype(np.int64)
+
+    def out(w: np.ndarray, b: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(b.view(np.int64)), pa.array(n)], ["w", "b", "n"])
+
+    held, waiting = [], 0
+    for batch in _slices(batches):
+        w, b, _ = words_of(batch.column(0))
+        held.append((w, b, np.ones(len(w), np.int64)))
+        waiting += len(w)
+        if waiting > _HELD:
+            held = [merged(held)]
+            waiting = 0
+            if len(held[0][0]) > _HELD:
+                yield out(*held.pop())
+    if held:
+        yield out(*merged(held))
+
+
 @dataclass
 class Model:
-    """Sorted hashes of words and pairs with their log ratios' ingredients."""
+    """Sorted hashes of words, beginnings, pairs and contexts, with what the two models
+    (toxic, other) hold of each. The last entry stands for all others."""
 
     words: np.ndarray
-    word_p: np.ndarray  # two rows: P(word) in toxic and in other texts; last entry for all others
+    word_share: np.ndarray  # two rows: discounted share of the word
+    word_base: np.ndarray  # its share of all documents' words
+    word_rest: np.ndarray  # two numbers: mass left to beginnings
+    begins: np.ndarray
+    begin_odds: np.ndarray  # two rows: share of the beginning in the class over that in all documents
     pairs: np.ndarray
     pair_p: np.ndarray  # two rows: discounted share of the pair in its context
     contexts: np.ndarray
@@ -139,8 +181,9 @@ class Model:
 
     def ratios(self, texts: pa.Array) -> np.ndarray:
         """Log-likelihood ratio per word of each text and of its most toxic passage."""
-        words, ends = words_of(texts)
-        p = self.word_p[:, self._find(self.words, words)]
+        words, begins, ends = words_of(texts)
+        at = self._find(self.words, words)
+        p = self.word_share[:, at] + self.word_rest[:, None] * self.begin_odds[:, self._find(self.begins, begins)] * self.word_base[at]
         if len(words) > 1 and len(self.contexts):
             left = np.concatenate((np.zeros(1, np.uint64), words[:-1]))
             left[1:][~_inner(len(words), ends)] = 0
@@ -183,83 +226,81 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labels = labels.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic"))
     sample = labels.orderBy(F.xxhash64(F.lit("train"), "id"), "id").limit(MAX_TRAIN)
     sample = sample.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(4)))
-    # at most MAX_TRAIN ids
+    # at most MAX_TRAIN ids, and one row of each
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
-    texts = write_table(texts.select("text", F.col("toxic").cast("int").alias("toxic"), "fold"), "train")
+    texts = texts.groupBy("id", "fold", F.col("toxic").cast("int").alias("toxic")).agg(F.min("text").alias("text"))
+    texts = write_table(texts.select("text", "toxic", "fold"), "train")
     schema = "l long, r long, " + ", ".join(f"{c} long" for c in _COUNTS)
     counted = texts.where("fold > 0").select("text", "toxic").mapInArrow(_pair_counts, schema)
     counted = write_table(counted.groupBy("l", "r").agg(*[F.sum(c).alias(c) for c in _COUNTS]), "pairs")
-    pairs = counted.where(F.col("l") != _ALONE)
+    pairs = counted.where(~F.col("l").isin(_ALONE, _BEGINS))
     alone = F.col("l") == _ALONE
-    words = counted.groupBy("r").agg(
-        F.sum("toxic").alias("toxic"),
-        F.sum("other").alias("other"),
+    # a word's own count is that of its left neighbours, as Kneser and Ney have it
+    words = counted.where(F.col("l") != _BEGINS).groupBy("r").agg(
         F.count_if(~alone & (F.col("toxic") > 0)).alias("kt"),
         F.count_if(~alone & (F.col("other") > 0)).alias("ko"),
         *[F.coalesce(F.sum(F.when(alone, F.col(c))), F.lit(0)).alias(c) for c in _COUNTS[2:]],
     )
     words = write_table(words, "words")
-    all_ = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("toxic", "other", "kt", "ko")]).first()
+    begins = counted.where(F.col("l") == _BEGINS)
+    all_ = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("kt", "ko")]).first()
     u64 = lambda t, c: t.column(c).to_numpy().view(np.uint64)
-    empty = np.empty(0, np.uint64)
     labelled = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
-    if not all_["toxic"] or not all_["other"]:
+    if not all_["kt"] or not all_["ko"]:
         share = labelled["t"] / labelled["n"] if labelled["n"] else 0.0
         constant = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
-        flat = np.ones((2, 1))
-        return Model(empty, flat, empty, np.zeros((2, 1)), empty, flat, np.array([constant, 0.0, 0.0]))
+        empty, one = np.empty(0, np.uint64), np.ones((2, 1))
+        return Model(empty, 0 * one, one[0], one[:, 0], empty, one, empty, 0 * one, empty, one, np.array([constant, 0.0, 0.0]))
 
-    def telling(df: DataFrame, most: int, keys: list[str]) -> pa.Table:
+    def telling(df: DataFrame) -> DataFrame:
+        """Expressions with evidence; from at most MAX_TRAIN texts."""
         a, b = F.col("toxic_texts"), F.col("other_texts")
-        found = df.where(a + b >= MIN_COUNT)
-        found = found.withColumn("g", _evidence(a, b, labelled["t"], labelled["n"] - labelled["t"])).where(F.col("g") >= EVIDENCE)
-        return found.orderBy(F.desc("g"), *keys).limit(most).toArrow()
-
-    own = telling(words, MAX_WORDS, ["r"])
-    own_words = np.sort(u64(own, "r"))
-    # the shared counts: these words in all documents
-    spread = spark.sparkContext.broadcast(own_words)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = spread.value
-        n, total = np.zeros(len(table) + 1, np.int64), 0
-        for batch in _slices(batches):
-            found, _ = words_of(batch.column(0))
-            n += np.bincount(Model._find(table, found), minlength=len(table) + 1)
-            total += len(found)
-        at = np.flatnonzero(n[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(n[at], total))], ["w", "n"])
-
-    shared = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).toArrow()
-    at, n = shared.column("w").to_numpy(), shared.column("n").to_numpy()
-    total = float(n[at < 0].sum())
-    base = np.full(len(own_words) + 1, 1.0)
-    base[at[at >= 0]] += n[at >= 0]
-    base /= total + len(base)
-
+        return df.where((a + b >= MIN_COUNT) & (_evidence(a, b, labelled["t"], labelled["n"] - labelled["t"]) >= EVIDENCE))
+
+    # the shared counts: all words of all documents
+    corpus = docs.select(F.col(text_col).alias("text")).mapInArrow(_corpus_counts, "w long, b long, n long")
+    corpus = write_table(corpus.groupBy("w", "b").agg(F.sum("n").alias("n")), "corpus")
+    size = corpus.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("words")).first()
+    size = float(size["n"] + size["words"])
+    held = telling(pairs).orderBy("l", "r").toArrow()
+    own = telling(words).select("r", "kt", "ko")
+    # the words of telling pairs need their shared counts too
+    named = own.unionByName(telling(pairs).select("r", F.lit(0).alias("kt"), F.lit(0).alias("ko"))).groupBy("r").agg(F.max("kt").alias("kt"), F.max("ko").alias("ko"))
+    named = named.join(corpus.select(F.col("w").alias("r"), "n"), "r").toArrow()
+    order = np.argsort(u64(named, "r"))
+    word_keys = u64(named, "r")[order]
+    word_base = np.append((named.column("n").to_numpy()[order] + 1) / size, 1 / size)
+    word_share, word_rest = np.zeros((2, len(word_base))), np.ones(2)
+    for row, name in enumerate(("kt", "ko")):
+        word_share[row, :-1] = np.maximum(named.column(name).to_numpy()[order] - DISCOUNT, 0) / all_[name]
+        word_rest[row] = max(1 - word_share[row].sum(), 1e-6)
+
+    sums = begins.agg(*[F.sum(c).alias(c) for c in _COUNTS[2:]]).first()
+    own = telling(begins).select("r", *_COUNTS[2:])
+    own = own.join(corpus.groupBy(F.col("b").alias("r")).agg(F.sum("n").alias("n")), "r").toArrow()
     order = np.argsort(u64(own, "r"))
-    word_p = np.empty((2, len(base)))
-    for row, (name, size) in enumerate((("kt", all_["kt"]), ("ko", all_["ko"]))):
-        kept = np.maximum(own.column(name).to_numpy()[order] - DISCOUNT, 0) / size
-        word_p[row] = np.append(kept, 0) + (1 - kept.sum()) * base
-    held = telling(pairs, MAX_PAIRS, ["l", "r"])
+    begin_keys, base = u64(own, "r")[order], own.column("n").to_numpy()[order] / size
+    begin_odds = np.empty((2, len(base) + 1))
+    for row, name in enumerate(_COUNTS[2:]):
+        share = np.maximum(own.column(name).to_numpy()[order] - DISCOUNT, 0) / max(sums[name], 1)
+        rest = max(1 - share.sum(), 1e-6)
+        begin_odds[row] = np.append(share / base + rest, rest)
+
     hashes = pair_hash(u64(held, "l"), u64(held, "r"))
     order = np.argsort(hashes)
     left = u64(held, "l")[order]
     contexts, which = np.unique(left, return_inverse=True)
-    context_ids = spark.createDataFrame(pa.table({"l": pa.array(contexts.view(np.int64))}))
-    # at most MAX_PAIRS contexts
-    sums = pairs.join(F.broadcast(context_ids), "l").groupBy("l").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toArrow()
+    sums = pairs.join(telling(pairs).select("l").distinct(), "l").groupBy("l").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toArrow()
     place = np.searchsorted(contexts, u64(sums, "l"))
     pair_p, backoff = np.zeros((2, len(order) + 1)), np.ones((2, len(contexts) + 1))
     for row, name in enumerate(("toxic", "other")):
-        size = np.zeros(len(contexts))
-        size[place] = sums.column(name).to_numpy()
-        share = np.maximum(held.column(name).to_numpy()[order] - DISCOUNT, 0) / np.maximum(size[which], 1)
+        total = np.zeros(len(contexts))
+        total[place] = sums.column(name).to_numpy()
+        share = np.maximum(held.column(name).to_numpy()[order] - DISCOUNT, 0) / np.maximum(total[which], 1)
         pair_p[row, :-1] = share
         backoff[row, :-1] = 1 - np.bincount(which, share, len(contexts))
     backoff = np.maximum(backoff, 1e-6)
-    model = Model(own_words, word_p, hashes[order], pair_p, contexts, backoff, np.zeros(3))
+    model = Model(word_keys, word_share, word_base, word_rest, begin_keys, begin_odds, hashes[order], pair_p, contexts, backoff, np.zeros(3))
 
     cast = spark.sparkContext.broadcast(vars(model))
 

@@ -5,17 +5,21 @@ entries. A configuration is a multiset of lengths that fits into one sequence;
 the linear program asks for the fewest configurations that cover the histogram.
 It is solved by multiplicative weights: each length has a price that falls as it
 gets covered, a knapsack dynamic program over the capacity prices configurations,
-and the best ones get a step each. The solution is rounded to whole numbers of
-configurations that never exceed the histogram, and what is left is packed by
-best fit, longest first.
+and the best ones get a step each. The solution is rounded down to whole numbers of
+configurations, of those that waste no more than the solution does on average; then the
+program is solved again for what is left, until rounding takes next to nothing. Only
+that rest, less than one configuration of a kind, is packed by best fit, longest first.
+(Few documents leave a large rest, many a small one.)
 
 Pieces get their place from their rank among the pieces of their length. Ranks
 are found with ranges (about the square root of a length's pieces) and prefix
 sums over them, so that no task holds a length that many pieces share.
 
-Defined results: null text counts as empty, which gives the end token alone; rows
-that repeat an id are packed each on its own; an empty table gives an empty table.
-Strings of special tokens inside a text are read as the tokenizer does by default.
+Defined results: null text counts as empty, which gives the end token alone; null ids
+are carried; rows that repeat an id, or all of a row, are packed each on its own, and
+spread over the ranges by a number of their own; texts have no upper length; other
+columns of the input, whatever their names, aren't looked at; an empty table gives an
+empty table. Strings of special tokens inside a text are read as the tokenizer does by default.
 """
 
 from __future__ import annotations
@@ -35,12 +39,12 @@ from .common import small_batches, write_table
 
 CAPACITY = 1024
 END_TOKEN = 2
-#: Share of a length's demand that one step of the solver covers, its rounds, and
-#: the configurations that one round may take.
-STEP, ROUNDS, PER_ROUND = 0.05, 400, 128
-#: Share of the fractional amounts that rounding takes, of configurations without
-#: waste only; best fit does well on the rest, which keeps the histogram's shape.
-ROUNDED = 0.8
+#: Share of a length's demand that one step of the solver covers and its least number
+#: of pieces, how fast prices fall with coverage, its rounds, and the configurations
+#: that one round may take.
+STEP, LEAST, FALL, ROUNDS, PER_ROUND = 0.02, 0.1, 4.0, 400, 128
+#: The program is solved again as long as rounding takes this share of the plan.
+AGAIN = 0.01
 _MEMO = 400_000  # distinct words whose ids a task remembers
 
 
@@ -162,8 +166,9 @@ def solve_configurations(demand: np.ndarray, capacity: int) -> tuple[dict[tuple[
         if not len(missing):
             break
         # prices start in proportion to length and fall with coverage
+        share = covered / need
         price = np.zeros(capacity + 1)
-        price[missing] = missing * np.exp(-covered[missing] / need[missing])
+        price[missing] = missing * np.exp(-FALL * (share[missing] - share[sizes].min()))
         best, last = _knapsack(price, capacity)
         bound = max(bound, float((price * demand).sum() / best[capacity]))
         worth = price[missing] + best[capacity - missing]
@@ -176,7 +181,7 @@ def solve_configurations(demand: np.ndarray, capacity: int) -> tuple[dict[tuple[
                 config.append(int(last[space]))
                 space -= int(last[space])
             counts = Counter(config)
-            step = min(min(STEP * need[k], demand[k] - covered[k]) / v for k, v in counts.items())
+            step = min(min(max(STEP * need[k], LEAST), demand[k] - covered[k]) / v for k, v in counts.items())
             if step <= 0:
                 continue
             for k, v in counts.items():
@@ -210,32 +215,53 @@ def best_fit(rest: np.ndarray, capacity: int) -> Counter:
     return sum(open_.values(), Counter())
 
 
+def _rounded(amount: dict[tuple[int, ...], float], rest: np.ndarray, capacity: int) -> Counter:
+    """Whole numbers within the amounts, taken off ``rest``."""
+    total = sum(amount.values())
+    waste = {c: capacity - sum(c) for c in amount}
+    usual = sum(waste[c] * x for c, x in amount.items()) / total if total else 0
+    out: Counter = Counter()
+    for config, x in sorted(amount.items(), key=lambda cx: (waste[cx[0]], -cx[1], cx[0])):
+        counts = Counter(config)
+        k = min(int(x + 1e-9), *(int(rest[s]) // v for s, v in counts.items()))
+        if k > 0 and waste[config] <= usual + 1e-9:
+            out[config] += k
+            for s, v in counts.items():
+                rest[s] -= k * v
+    return out
+
+
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Counter:
     """Whole numbers of configurations that hold the histogram exactly."""
+    return sum(plan_parts(histogram, capacity), Counter())
+
+
+def plan_parts(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[Counter, Counter]:
+    """The configurations that the program gives, and those that best fit adds."""
     rest = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         rest[length] = n
-    amount, _ = solve_configurations(rest, capacity)
     out: Counter = Counter()
-    for config, x in sorted(((c, x) for c, x in amount.items() if sum(c) == capacity), key=lambda cx: (-cx[1], cx[0])):
-        counts = Counter(config)
-        k = min(int(ROUNDED * x + 0.5), *(int(rest[s]) // v for s, v in counts.items()))
-        if k > 0:
-            out[config] += k
-            for s, v in counts.items():
-                rest[s] -= k * v
-    return out + best_fit(rest, capacity)
+    while rest.any():
+        took = _rounded(solve_configurations(rest, capacity)[0], rest, capacity)
+        out += took
+        if took.total() <= AGAIN * out.total():
+            break
+    return out, best_fit(rest, capacity)
 
 
-def slots(configs: Counter) -> list[tuple[int, int, int, int, int]]:
-    """Runs of equal places (length, first rank, end rank, first sequence, offset):
-    the pieces of a length go to its places in order of rank."""
+def slots(configs: Counter) -> dict[int, tuple[list[int], list[int], list[int]]]:
+    """For each length its runs of equal places: first ranks, first sequences and
+    offsets. The pieces of a length go to its places in order of rank, one sequence
+    after the other within a run."""
     used: Counter = Counter()
-    out, sequence = [], 0
+    out: dict[int, tuple[list[int], list[int], list[int]]] = defaultdict(lambda: ([], [], []))
+    sequence = 0
     for config, n in sorted(configs.items(), reverse=True):
         offset = 0
         for length in config:
-            out.append((length, used[length], used[length] + n, sequence, offset))
+            for column, value in zip(out[length], (used[length], sequence, offset)):
+                column.append(value)
             used[length] += n
             offset += length
         sequence += n
@@ -247,17 +273,17 @@ def pack(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CAPACITY, m
     ``ids``, the tokens themselves)."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    pieces = write_table(tokenize_pieces(docs, id_col, text_col, capacity, make_encoder, with_ids), "pieces")
+    pieces = tokenize_pieces(docs, id_col, text_col, capacity, make_encoder, with_ids)
+    # a number for each row tells rows that are equal apart
+    pieces = write_table(pieces.withColumn("key", F.xxhash64("id", "piece", "ids_crc32", F.monotonically_increasing_id())), "pieces")
     # at most `capacity` rows come to the driver
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    places = slots(plan(histogram, capacity)) if histogram else []
-    ranges = {length: int(np.ceil(np.sqrt(n))) for length, n in histogram.items()}
-    places = spark.createDataFrame(places, "slot_length long, lo long, hi long, sequence long, offset long")
-    ranges = spark.createDataFrame(list(ranges.items()), "length long, ranges int")
-
-    # both have sizes that the capacity and the solver's rounds bound
-    key = F.xxhash64("id", "piece", "ids_crc32")
-    keyed = pieces.join(F.broadcast(ranges), "length").withColumn("key", key)
+    places = slots(plan(histogram, capacity)) if histogram else {}
+    places_rows = [(length, int(np.ceil(np.sqrt(histogram[length]))), *columns) for length, columns in places.items()]
+    places = spark.createDataFrame(places_rows, "length long, ranges int, ranks array<long>, sequences array<long>, offsets array<long>")
+
+    # at most `capacity` rows; the solver's rounds bound the runs that they list
+    keyed = pieces.join(F.broadcast(places.select("length", "ranges")), "length")
     keyed = keyed.withColumn("range", F.pmod(F.shiftrightunsigned("key", 20), F.col("ranges")).cast("int")).drop("ranges")
     counts = keyed.groupBy("length", "range").agg(F.count("*").alias("n"))
     along = Window.partitionBy("length").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -265,7 +291,11 @@ def pack(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CAPACITY, m
     inside = Window.partitionBy("length", "range").orderBy("key", "id", "piece", "start")
     ranked = keyed.withColumn("rn", F.row_number().over(inside)).join(before, ["length", "range"])
     ranked = ranked.withColumn("rank", F.col("before") + F.col("rn") - 1)
-    hit = (F.col("length") == F.col("slot_length")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
-    placed = ranked.join(F.broadcast(places), hit)
-    columns = [F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", (F.col("sequence") + F.col("rank") - F.col("lo")).alias("sequence_id"), "offset"]
+    placed = ranked.join(F.broadcast(places.drop("ranges")), "length")
+    # binary search for the last run that starts at or before the rank
+    most = max((len(x[2]) for x in places_rows), default=1)
+    step = "at + shiftleft(1, k)"
+    run = f"aggregate(sequence({most.bit_length()}, 0, -1), 0, (at, k) -> if({step} < size(ranks) AND ranks[least({step}, size(ranks) - 1)] <= rank, {step}, at))"
+    placed = placed.withColumn("run", F.expr(run))
+    columns = [F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", F.expr("sequences[run] + rank - ranks[run]").alias("sequence_id"), F.expr("offsets[run]").alias("offset")]
     return placed.select(*columns, *["ids"] * with_ids)

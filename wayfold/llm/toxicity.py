@@ -8,7 +8,8 @@ its own in the class models only where the numbers of texts with it are at least
 MIN_COUNT and differ between the classes beyond chance (a likelihood ratio of EVIDENCE,
 which one in a million expressions reaches by chance); the mass of all others goes to
 the lower order, so that rare expressions say nothing about the class by themselves.
-These two are parameters of the smoothing; the number of expressions has no limit.
+A pair counts no oftener there than it has different words before it, or else near
+copies of one text would make pairs of its own telling. These two are parameters of the smoothing; the number of expressions has no limit.
 
 A text is scored by the log-likelihood ratio of the two models per word, over the
 whole text and over its most toxic passage of WINDOW words, so that a long text
@@ -107,8 +108,7 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, begins, ends = words_of(batch.column(0))
         if not len(words):
             continue
-        left = np.concatenate((np.zeros(1, np.uint64), words[:-1]))
-        left[1:][~_inner(len(words), ends)] = 0
+        left = _left_of(words, ends)
         text = np.repeat(np.arange(len(ends), dtype=np.uint64), np.diff(ends, prepend=0))
         is_toxic = batch.column(1).to_numpy() > 0
         alone = [np.unique(np.stack((np.full(len(words), kind, np.uint64), x, text), axis=1), axis=0) for kind, x in ((_ALONE, words), (_BEGINS, begins))]
@@ -123,6 +123,13 @@ def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from table.combine_chunks().to_batches()
 
 
+def _left_of(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The word before each word; 0 before a text's first."""
+    left = np.concatenate((np.zeros(1, np.uint64), words[:-1]))
+    left[1:][~_inner(len(words), ends)] = 0
+    return left
+
+
 def _evidence(a: Column, b: Column, total_a: float, total_b: float) -> Column:
     """The likelihood ratio (G squared) of two counts against equal rates."""
     share = total_a / (total_a + total_b)
@@ -156,6 +163,39 @@ def _corpus_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield out(*merged(held))
 
 
+def _by_contexts(texts: DataFrame, held: pa.Table, toxic: int, other: int) -> np.ndarray:
+    """Whether pairs ``l, r, toxic_texts, other_texts`` are still telling if each
+    counts no oftener in a class than it has different words before it."""
+    if not held.num_rows:
+        return np.empty(0, bool)
+    hashes = pair_hash(*(held.column(c).to_numpy().view(np.uint64) for c in "lr"))
+    order = np.argsort(hashes)
+    cast = texts.sparkSession.sparkContext.broadcast(hashes[order])
+
+    def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            words, _, ends = words_of(batch.column(0))
+            if not len(words):
+                continue
+            left = _left_of(words, ends)
+            at = Model._find(cast.value, pair_hash(left, words))
+            hit = np.flatnonzero((at < len(cast.value)) & (left != 0))
+            toxic = np.repeat(batch.column(1).to_numpy() > 0, np.diff(ends, prepend=0))
+            # left[k - 1] is the word before the pair's first, or 0
+            rows = np.unique(np.stack((at[hit].astype(np.uint64), left[hit - 1], toxic[hit].astype(np.uint64)), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[:, k].copy().view(np.int64)) for k in range(3)], ["pair", "v", "toxic"])
+
+    seen = texts.where("fold > 0").select("text", "toxic").mapInArrow(before, "pair long, v long, toxic long").distinct()
+    seen = seen.groupBy("pair").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other")).toArrow()
+    a, b = (np.zeros(len(hashes)) for _ in range(2))
+    at = order[seen.column("pair").to_numpy()]
+    a[at], b[at] = seen.column("toxic").to_numpy(), seen.column("other").to_numpy()
+    a, b = np.minimum(a, held.column("toxic_texts").to_numpy()), np.minimum(b, held.column("other_texts").to_numpy())
+    n, share = np.maximum(a + b, 1), toxic / (toxic + other)
+    term = lambda x, e: np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / e), 0)
+    return (a + b >= MIN_COUNT) & (2 * (term(a, n * share) + term(b, n * (1 - share))) >= EVIDENCE)
+
+
 @dataclass
 class Model:
     """Sorted hashes of words, beginnings, pairs and contexts, with what the two models
@@ -185,8 +225,7 @@ class Model:
         at = self._find(self.words, words)
         p = self.word_share[:, at] + self.word_rest[:, None] * self.begin_odds[:, self._find(self.begins, begins)] * self.word_base[at]
         if len(words) > 1 and len(self.contexts):
-            left = np.concatenate((np.zeros(1, np.uint64), words[:-1]))
-            left[1:][~_inner(len(words), ends)] = 0
+            left = _left_of(words, ends)
             p = p * self.backoff[:, self._find(self.contexts, left)] + self.pair_p[:, self._find(self.pairs, pair_hash(left, words))]
         line = np.concatenate(([0.0], np.cumsum(np.log(p[0]) - np.log(p[1]))))
         out = np.zeros((len(ends), 2))
@@ -263,6 +302,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     size = corpus.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("words")).first()
     size = float(size["n"] + size["words"])
     held = telling(pairs).orderBy("l", "r").toArrow()
+    held = held.filter(pa.array(_by_contexts(texts, held, labelled["t"], labelled["n"] - labelled["t"])))
     own = telling(words).select("r", "kt", "ko")
     # the words of telling pairs need their shared counts too
     named = own.unionByName(telling(pairs).select("r", F.lit(0).alias("kt"), F.lit(0).alias("ko"))).groupBy("r").agg(F.max("kt").alias("kt"), F.max("ko").alias("ko"))
@@ -291,6 +331,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     left = u64(held, "l")[order]
     contexts, which = np.unique(left, return_inverse=True)
     sums = pairs.join(telling(pairs).select("l").distinct(), "l").groupBy("l").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).toArrow()
+    sums = sums.filter(pa.array(np.isin(u64(sums, "l"), contexts)))
     place = np.searchsorted(contexts, u64(sums, "l"))
     pair_p, backoff = np.zeros((2, len(order) + 1)), np.ones((2, len(contexts) + 1))
     for row, name in enumerate(("toxic", "other")):

@@ -33,6 +33,11 @@ def gaps(rows: DataFrame, order: list[str], at: str, longest_seconds: int, by: l
     return out.where(F.col("gap_seconds") > longest_seconds)
 
 
+def before(rows: DataFrame, at: str, cutoff: Column) -> DataFrame:
+    """The rows strictly before a cutoff."""
+    return rows.where(F.col(at) < cutoff)
+
+
 def top_per_group(rows: DataFrame, by: list[str], order: list[Column], n: int = 1, rank: str = "rank") -> DataFrame:
     """The first ``n`` rows of each group with their rank."""
     return rows.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(rank) <= n)

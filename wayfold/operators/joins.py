@@ -12,10 +12,15 @@ from ..functions.metrics import pct2
 
 
 def fallback_join(rows: DataFrame, missed: Column, right: DataFrame, key: Column, right_key: str) -> DataFrame:
-    """Left join that consults ``right`` only for rows where ``missed`` holds: the
-    other rows get a null key, so they neither match nor travel with a key."""
-    asked = rows.withColumn("__key", F.when(missed, key))
-    return asked.join(right, F.col("__key") == right[right_key], "left").drop("__key")
+    """Left join that consults ``right`` only for rows where ``missed`` holds. The other
+    rows get keys of their own that nothing has, spread over the tasks of the join
+    where one null key would put them all into one."""
+    kind = right.schema[right_key].dataType
+    spread = F.when(~missed | key.isNull(), F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 16)))
+    asked = rows.withColumns({"__key": F.when(missed, key).cast(kind), "__spread": spread})
+    own = right.withColumn("__none", F.lit(None).cast("long"))
+    same = F.col("__key").eqNullSafe(own[right_key]) & F.col("__spread").eqNullSafe(F.col("__none"))
+    return asked.join(own, same, "left").drop("__key", "__spread", "__none")
 
 
 def match_coverage(rows: DataFrame, right: DataFrame, key: Column, right_key: str, names: tuple[str, str, str]) -> DataFrame:

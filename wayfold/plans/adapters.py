@@ -138,6 +138,11 @@ class Feed:
             F.when(F.col("b") % 13 > 0, mode_of(kind)).alias("transport_mode"),
             service_category(kind, short).alias("service_category"),
             F.expr("CASE WHEN b % 2 = 0 THEN 'Regional' ELSE 'City' END").alias("route_geographic_scope"),
+            F.expr("b % 9 + b % 4 + b % 3 + 2").alias("scheduled_stop_count"),
+            *[F.expr(x).alias(f"{n}_stop_count") for n, x in (("berlin", "b % 9 + 2"), ("brandenburg", "b % 4"), ("outside", "b % 3"))],
+            F.lit(True).alias("serves_berlin"),
+            F.expr("b % 4 > 0").alias("serves_brandenburg"),
+            F.expr("b % 3 > 0").alias("extends_outside_study_area"),
         )
 
     @cached_property
@@ -158,6 +163,14 @@ class Feed:
             F.expr("CASE WHEN l_linenumber = 7 THEN 'x15' ELSE cast(l_linenumber + 8 AS string) END").alias("stop_sequence"),
         )
 
+    @cached_property
+    def state_boundaries(self) -> DataFrame:
+        """Closed rings, jagged enough to be simplified."""
+        point = "array(13D + k + cos(pi() * i / 64) * (1 + i % 3 * 0.001D), 52D + sin(pi() * i / 64) * (1 + i % 3 * 0.001D))"
+        states = self._spark.createDataFrame([("Berlin", 0), ("Brandenburg", 1), ("Sachsen", 2)], "state_name string, k int")
+        ring = states.withColumn("ring", F.expr(f"transform(sequence(0, 127), i -> {point})"))
+        return ring.select("state_name", F.expr("concat(ring, array(ring[0]))").alias("ring"))
+
     @cached_property
     def map_paths(self) -> DataFrame:
         shaped = self.gtfs_routes.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(3))))

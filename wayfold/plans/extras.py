@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,13 +15,14 @@ from ..streaming import dedup
 from .models import Models
 
 
-def protobuf_round_trip(w: Models) -> DataFrame:
-    """Stop updates encoded as one feed message a trip, and decoded again: what a trip
-    has comes from the trip rows, and only where feed and trip rows say what went in."""
-    fields = ["stop_id", "stop_sequence", "stop_schedule_relationship", "arrival_delay_seconds", "departure_delay_seconds"]
-    trips = w.feed.stop_time_updates.groupBy("trip_id", "route_id", "direction_id", "start_date").agg(F.collect_list(F.struct(*fields)).alias("stops"))
-    own = ["trip_id", "route_id", "direction_id", "start_date"]
-    trips = trips.withColumn("message", F.to_json(F.struct(*own)))
+OWN = ["trip_id", "route_id", "direction_id", "start_date"]
+FIELDS = ["stop_id", "stop_sequence", "stop_schedule_relationship", "arrival_delay_seconds", "departure_delay_seconds"]
+
+
+def _messages(w: Models) -> DataFrame:
+    """``message, content``: a feed message for each trip's stop updates."""
+    trips = w.feed.stop_time_updates.groupBy(*OWN).agg(F.collect_list(F.struct(*FIELDS)).alias("stops"))
+    trips = trips.withColumn("message", F.to_json(F.struct(*OWN)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -36,7 +38,13 @@ def protobuf_round_trip(w: Models) -> DataFrame:
                 out.append(feed.encode([(1, feed.encode([(1, "2.0"), (3, 1_790_000_001)])), (2, entity)]))
             yield pa.RecordBatch.from_arrays([batch.column("message"), pa.array(out, pa.binary())], ["message", "content"])
 
-    messages = trips.mapInArrow(run, "message string, content binary")
+    return trips.mapInArrow(run, "message string, content binary")
+
+
+def protobuf_round_trip(w: Models) -> DataFrame:
+    """Stop updates encoded as one feed message a trip, and decoded again: what a trip
+    has comes from the trip rows, and only where feed and trip rows say what went in."""
+    messages, own, fields = _messages(w), OWN, FIELDS
     of = lambda kind: feed.decode(messages, keep=("message",), rows=kind)
     whole = of("feed").where("gtfs_realtime_version = '2.0' AND feed_time = 1790000001 AND entity_count = 1 AND trip_update_count = 1")
     told = "start_time = '08:00:00' AND trip_schedule_relationship = 'CANCELED' AND vehicle_id = 'V' AND trip_update_time = 1790000000 AND trip_delay_seconds = -7"
@@ -53,31 +61,38 @@ def path_json_round_trip(w: Models) -> DataFrame:
     return w.feed.map_paths.withColumn("path", back).select("route_id", "shape_id", F.size("path").alias("points"), total(0).alias("lon_sum"), total(1).alias("lat_sum"))
 
 
+def simplified(points: list, tolerance: float) -> list:
+    """A path without the points that lie within a tolerance of the stretch between
+    those that stay; both ends stay."""
+    if len(points) < 3:
+        return points
+    keep, stack = {0, len(points) - 1}, [(0, len(points) - 1)]
+    while stack:
+        a, z = stack.pop()
+        (x0, y0), (x1, y1) = points[a], points[z]
+        size = (x1 - x0) ** 2 + (y1 - y0) ** 2
+        away = []
+        for k in range(a + 1, z):
+            x, y = points[k]
+            along = min(1.0, max(0.0, ((x - x0) * (x1 - x0) + (y - y0) * (y1 - y0)) / size)) if size else 0.0
+            away.append((((x - x0 - along * (x1 - x0)) ** 2 + (y - y0 - along * (y1 - y0)) ** 2) ** 0.5, k))
+        far, k = max(away, default=(0, a))
+        if far > tolerance:
+            keep.add(k)
+            stack += [(a, k), (k, z)]
+    return [points[k] for k in sorted(keep)]
+
+
 def path_simplify(w: Models, tolerance: float = 0.02) -> DataFrame:
-    """Paths with the points left out that lie within a tolerance of the line between
-    those that stay."""
-
-    def simplify(points: list) -> list:
-        if len(points) < 3:
-            return points
-        keep, stack = {0, len(points) - 1}, [(0, len(points) - 1)]
-        while stack:
-            a, z = stack.pop()
-            (x0, y0), (x1, y1) = points[a], points[z]
-            size = ((x1 - x0) ** 2 + (y1 - y0) ** 2) ** 0.5 or 1.0
-            away = [(abs((x1 - x0) * (y - y0) - (y1 - y0) * (x - x0)) / size, k) for k, (x, y) in enumerate(points[a + 1 : z], a + 1)]
-            far, k = max(away, default=(0, a))
-            if far > tolerance:
-                keep.add(k)
-                stack += [(a, k), (k, z)]
-        return [points[k] for k in sorted(keep)]
+    """Paths simplified, as GeoJSON lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths = [simplify(p) for p in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(p) for p in paths], pa.int32())], ["route_id", "shape_id", "points"])
+            paths = [simplified(p, tolerance) for p in batch.column(2).to_pylist()]
+            text = [json.dumps({"type": "LineString", "coordinates": p}) for p in paths]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(text, pa.string()), pa.array([len(p) for p in paths], pa.int32())], ["route_id", "shape_id", "path_geojson", "points"])
 
-    return w.feed.map_paths.select("route_id", "shape_id", "map_path_coordinates").mapInArrow(run, "route_id string, shape_id string, points int")
+    return w.feed.map_paths.select("route_id", "shape_id", "map_path_coordinates").mapInArrow(run, "route_id string, shape_id string, path_geojson string, points int")
 
 
 def streaming_hourly_dedup(w: Models) -> DataFrame:
@@ -88,7 +103,40 @@ def streaming_hourly_dedup(w: Models) -> DataFrame:
     return rows.groupBy(hour).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"))
 
 
+def _events(w: Models) -> DataFrame:
+    return dedup.source(w.feed._spark, w.feed._dir, w.feed.table("events").schema, "ts", "events.parquet")
+
+
+def streaming_hour_counts(w: Models) -> DataFrame:
+    """Events counted by hour in the stream itself."""
+    return dedup.result(dedup.hourly(_events(w), "ts", "60 days"), w.feed._spark).select(F.col("hour").cast("timestamp_ntz").alias("hour"), "n")
+
+
+def streaming_latest(w: Models) -> DataFrame:
+    """The latest event of each user, kept up to date by a stream."""
+    out = dedup.result(dedup.latest(_events(w), ["user_id"], ["event_type"], ["ts", "event_id"]), w.feed._spark)
+    return out.select("user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
+
+
+def field_profile(w: Models) -> DataFrame:
+    """Presence of the fields of messages of one trip each."""
+    return feed.field_availability(_messages(w))
+
+
+
+#: Counts of one trip a message: which fields the messages above have.
+PROFILE_SQL = """WITH t AS (SELECT count(*) AS trips, count(direction_id) AS directions FROM (SELECT DISTINCT trip_id, route_id, direction_id, start_date FROM obs)),
+s AS (SELECT count(*) AS stops, count(stop_sequence) AS sequences, count(arrival_delay_seconds) AS a, count(departure_delay_seconds) AS d FROM obs)
+SELECT field, present, denominator, CASE WHEN denominator = 0 THEN 0.0 ELSE floor(1000000.0 * present / denominator + 0.5) / 10000.0 END::DOUBLE AS percentage FROM (
+SELECT unnest(['arrival.delay', 'departure.delay', 'stop_time_update.arrival', 'stop_time_update.departure', 'stop_time_update.schedule_relationship', 'stop_time_update.stop_id', 'stop_time_update.stop_sequence',
+  'arrival.time', 'arrival.uncertainty', 'departure.time', 'departure.uncertainty']) AS field, unnest([a, d, a, d, stops, stops, sequences, 0, 0, 0, 0]) AS present, stops AS denominator FROM s
+UNION ALL SELECT unnest(['trip.direction_id', 'trip.route_id', 'trip.schedule_relationship', 'trip.start_date', 'trip.start_time', 'trip.trip_id', 'trip_update.delay', 'trip_update.timestamp', 'trip_update.vehicle', 'trip_update.vehicle_id']),
+  unnest([directions, trips, trips, trips, trips, trips, trips, trips, trips, trips]), trips FROM t)"""
+
 SQL = {
+    "streaming_hour_counts": "SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1",
+    "streaming_latest": "SELECT user_id, event_type, ts, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
+    "field_profile": PROFILE_SQL,
     "protobuf_round_trip": "SELECT trip_id, route_id, direction_id, start_date, stop_id, stop_sequence, stop_schedule_relationship, arrival_delay_seconds, departure_delay_seconds FROM obs",
     "path_json_round_trip": "SELECT route_id, shape_id, len(map_path_coordinates) AS points, list_sum(list_transform(map_path_coordinates, lambda p: p[1])) AS lon_sum, list_sum(list_transform(map_path_coordinates, lambda p: p[2])) AS lat_sum FROM map_paths",
     "streaming_hourly_dedup": "SELECT date_trunc('hour', ts) AS hour, count(*) AS n, count(DISTINCT user_id) AS users FROM (SELECT DISTINCT ON (event_id) * FROM events) GROUP BY 1",

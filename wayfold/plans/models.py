@@ -200,6 +200,7 @@ class Models:
                 "observed_at_berlin": t.berlin_time(F.col("observed_at_utc")),
                 "event_region": F.when(~missed, F.coalesce("state_name", F.lit(t.OUTSIDE))).when(recovered, F.col("recovered_region")).otherwise(t.UNMATCHED),
                 "event_region_code": F.when(~missed, F.col("state_code")).when(recovered, F.col("recovered_code")),
+                "stop_geography": F.when(F.col("station_lat").isNotNull(), F.concat(F.lit("POINT("), F.col("station_lon").cast("string"), F.lit(" "), F.col("station_lat").cast("string"), F.lit(")"))),
                 "event_region_match_method": F.when(~missed, "Exact stop ID").when(recovered, "Normalized stop ID").otherwise(t.UNMATCHED),
             }
         )
@@ -262,7 +263,9 @@ class Models:
     @cached_property
     def stop_events_line_focus(self) -> DataFrame:
         e = self.stop_events_geographic
-        bounds = e.agg(F.date_trunc("hour", F.min("observed_at_berlin")).alias("first_hour"), F.date_trunc("hour", F.max("observed_at_berlin")).alias("last_hour"))
+        # the first and last hour need no more than the kept events' times
+        hours = [F.date_trunc("hour", t.berlin_time(f("observed_at_utc"))).alias(n) for f, n in ((F.min, "first_hour"), (F.max, "last_hour"))]
+        bounds = self.unique_stop_events.agg(*hours)
         patterns = self.trip_stop_patterns.select(
             F.col("trip_id").alias("p_trip"), F.col("service_key").alias("p_key"), F.col("direction_id").alias("p_direction"), "route_pattern_id", F.col("stop_count").alias("trip_pattern_stop_count"), F.col("first_stop_id").alias("trip_first_stop_id"), F.col("last_stop_id").alias("trip_last_stop_id")
         )

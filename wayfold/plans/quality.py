@@ -12,6 +12,7 @@ from ..functions import text as t
 from ..operators.grain import duplicate_keys
 from ..operators.joins import compare_ids, match_coverage
 from .models import EVENT_KEY, Models
+from .store import create_view, table_rows
 
 SCOPED = ("scope", "station", "line", "hour", "region", "category")
 CLASSES = ("early_events", "near_schedule_events", "minor_delay_events", "late_events")
@@ -225,7 +226,8 @@ def id_set_compare(w: Models) -> DataFrame:
     trips = compare_ids(w.feed.stop_time_updates, w.feed.gtfs_trips, "trip_id").select(F.lit("trips").alias("kind"), "*")
     own = w.feed.stop_time_updates.select(t.static_route_id(F.col("route_id")).alias("route_id"))
     routes = compare_ids(own, w.feed.gtfs_routes, "route_id").select(F.lit("routes").alias("kind"), "*")
-    return trips.unionByName(routes)
+    stops = compare_ids(w.feed.stop_time_updates, w.feed.gtfs_stops, "stop_id").select(F.lit("stops").alias("kind"), "*")
+    return _union([trips, routes, stops])
 
 
 def field_availability_profile(w: Models) -> DataFrame:
@@ -250,3 +252,83 @@ def raw_gtfs_cross_check(w: Models) -> DataFrame:
         return own.agg(F.lit(stage).alias("stage"), _n().alias("row_count"), F.count_distinct(instance).alias("trip_instances"))
 
     return one("raw", w.feed.stop_time_updates).unionByName(one("events", w.unique_stop_events))
+
+
+# the rest of the suite on stops without a station
+
+
+def region_station_gaps(w: Models) -> DataFrame:
+    """By region: events, and those without a station or without coordinates."""
+    return w.stop_events_geographic.groupBy("event_region").agg(
+        _n().alias("event_count"),
+        F.count_if(F.col("station_name").isNull()).alias("events_without_station_match"),
+        F.count_if(F.col("stop_geography").isNull()).alias("events_without_coordinates"),
+        F.count_distinct("stop_id").alias("distinct_stops"),
+    )
+
+
+def corrected_regions(w: Models) -> DataFrame:
+    """By region, where a region counts only with a station and coordinates."""
+    known = F.col("station_name").isNotNull() & F.col("stop_geography").isNotNull()
+    region = F.when(known, F.col("event_region")).otherwise(t.UNMATCHED).alias("corrected_event_region")
+    return w.stop_events_geographic.groupBy(region).agg(_n().alias("event_count"), F.count_distinct("stop_id").alias("distinct_stop_ids"))
+
+
+def unmatched_in_raw_stops(w: Models) -> DataFrame:
+    """Each stop id without a station, and whether the raw reference has it."""
+    ids = w.stop_events_geographic.where("station_name IS NULL").groupBy("stop_id").agg(_n().alias("event_count"))
+    raw = w.feed.gtfs_stops.select(F.col("stop_id").alias("k")).distinct()
+    return ids.join(raw, F.col("stop_id") == F.col("k"), "left").select("stop_id", "event_count", F.col("k").isNotNull().cast("int").alias("exists_in_raw_gtfs_stops"))
+
+
+def unmatched_by_service(w: Models) -> DataFrame:
+    rows = w.stop_events_geographic.where("station_name IS NULL")
+    service = F.coalesce("route_display_name", "observed_route_id").alias("service")
+    found = rows.groupBy("transport_mode", "agency_name", service).agg(_n().alias("unmatched_events"), F.count_distinct("stop_id").alias("unmatched_stop_ids"))
+    names = [F.coalesce("transport_mode", F.lit(t.UNKNOWN_MODE)).alias("transport_mode"), F.coalesce("agency_name", F.lit("Unknown operator")).alias("operator")]
+    return found.select(*names, "service", "unmatched_events", "unmatched_stop_ids")
+
+
+def unmatched_trip_presence(w: Models) -> DataFrame:
+    """Trips with a stop without a station: does the static reference know them?"""
+    trips = w.stop_events_geographic.where("station_name IS NULL").select("trip_id").distinct()
+    static = w.feed.gtfs_trips.select(F.col("trip_id").alias("k")).distinct()
+    return trips.join(static, F.col("trip_id") == F.col("k"), "left").agg(
+        _n().alias("unmatched_event_trip_ids"), F.count("k").alias("trips_found_in_static_gtfs"), F.count_if(F.col("k").isNull()).alias("trips_absent_from_static_gtfs")
+    )
+
+
+def unmatched_id_samples(w: Models, most: int = 10) -> DataFrame:
+    """The ids without a station that have most events, with their normal form."""
+    ids = w.stop_events_geographic.where("station_name IS NULL").groupBy("stop_id").agg(_n().alias("event_count"))
+    return ids.orderBy(F.desc("event_count"), "stop_id").limit(most).withColumn("normalized_stop_id", t.normal_stop_id(F.col("stop_id")))
+
+
+# the rest of the audit of modes and the static reference
+
+
+def _services(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*by).agg(
+        _n().alias("unique_stop_events"), F.count_distinct("route_id").alias("route_ids"), F.array_join(F.array_sort(F.collect_set("route_display_name")), ", ").alias("example_services")
+    )
+
+
+def unclassified_services(w: Models) -> DataFrame:
+    """Services whose route type has no mode."""
+    return _services(w.stop_events_enriched.where("transport_mode = 'Needs review'"), "route_type")
+
+
+def rapid_transit_services(w: Models) -> DataFrame:
+    return _services(w.stop_events_enriched.where(F.col("route_type").isin(109, 400, 401, 402)), "route_type")
+
+
+def static_line_lookup(w: Models, line: str = "98") -> DataFrame:
+    return w.feed.gtfs_routes.where(F.col("route_short_name") == line).select("route_id", "route_short_name", "route_long_name", "route_type")
+
+
+def catalogue_row_counts(w: Models) -> DataFrame:
+    """Row counts of the reference tables that the session's catalogue has."""
+    names = ["gtfs_routes", "gtfs_stops", "gtfs_trips", "gtfs_stop_times"]
+    for name in names:
+        create_view(getattr(w.feed, name), f"audit_{name}")
+    return table_rows(w.feed._spark, [f"audit_{n}" for n in (*names, "gtfs_shapes", "gtfs_agency")])

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import extras, quality, reads
+from . import about, extras, quality, reads
 from .adapters import Feed
-from .models import Models
 from .oracle import over
 from .oracle_checks import SQL
+from .store import STORED, Stored
 
 MODELS = (
     "route_performance hourly_operations kpi_summary station_performance route_performance_named service_performance unique_stop_events stop_events_enriched "
@@ -22,21 +22,22 @@ MODELS = (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def models(spark: SparkSession, sf_dir: str) -> Models:
-    return Models(Feed(spark, sf_dir))
+def models(spark: SparkSession, sf_dir: str) -> Stored:
+    return Stored(Feed(spark, sf_dir))
 
 
 def _model(name: str) -> Query:
-    return lambda spark, sf_dir: getattr(models(spark, sf_dir), name)
+    """The model's own plan, over the stored tables that it reads."""
+    return lambda spark, sf_dir: models(spark, sf_dir).fresh(name) if name in STORED else getattr(models(spark, sf_dir), name)
 
 
 def _check(name: str) -> Query:
-    function = next(getattr(m, name) for m in (quality, reads, extras) if hasattr(m, name))
+    function = next(getattr(m, name) for m in (quality, reads, extras, about) if hasattr(m, name))
     return lambda spark, sf_dir: function(models(spark, sf_dir))
 
 
 #: Queries that plain SQL doesn't give the same digits for.
-ROWS_ONLY = ("approx_p90", "path_simplify")
+ROWS_ONLY = ("path_simplify", "boundaries")
 
 
 def queries() -> dict[str, Query]:

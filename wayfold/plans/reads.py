@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics as m
 from ..functions import text as t
-from ..operators.grain import gaps, top_per_group
+from ..operators.grain import before, gaps, top_per_group
 from .models import Models
 
 # Gates of evidence.
@@ -117,7 +117,7 @@ def coverage_bands(w: Models) -> DataFrame:
 
 def evidence_badges(w: Models) -> DataFrame:
     timed, n = F.col("delay_reported_events"), F.col("unique_stop_events")
-    badge = F.concat_ws(", ", F.when(timed < LIMITED_BELOW, "limited sample"), F.when(timed * 100 < n * LOW_COVERAGE, "low coverage"))
+    badge = F.concat_ws(", ", F.when(timed < LIMITED_BELOW, "limited sample"), F.when(timed * 100 < n * LOW_COVERAGE, "low data availability"))
     rows = w.station_metrics.where(timed >= MIN_RANKED)
     return rows.select("scope_mode", "scope_region", "station_name", F.coalesce(F.nullif(badge, F.lit("")), F.lit("good evidence")).alias("badge"))
 
@@ -163,9 +163,9 @@ def line_drilldown(w: Models, service_key: str = "Regional rail|ag2|FEX", region
 
 
 def route_coverage(w: Models) -> DataFrame:
-    """Static against observed routes by mode."""
-    static = w.feed.gtfs_routes.groupBy(t.mode_of(F.col("route_type")).alias("transport_mode")).agg(_n().alias("static_routes"))
-    seen = w.stop_events_enriched.where("route_type IS NOT NULL").groupBy("transport_mode").agg(F.count_distinct("route_id").alias("observed_routes"))
+    """Static routes by mode against those of the catalogue, which were observed."""
+    static = w.feed.gtfs_routes.groupBy(t.mode_of(F.col("route_type")).alias("transport_mode")).agg(F.count_distinct("route_id").alias("static_routes"))
+    seen = w.feed.route_catalogue.groupBy("transport_mode").agg(F.count_distinct("static_route_id").alias("observed_routes"))
     out = static.join(seen, "transport_mode", "left").withColumn("observed_routes", F.coalesce("observed_routes", F.lit(0)))
     return out.withColumn("observed_percentage", m.pct2(F.col("observed_routes"), F.col("static_routes")))
 
@@ -191,6 +191,18 @@ def epoch_parse(w: Models) -> DataFrame:
 
 
 def approx_p90(w: Models) -> DataFrame:
-    """An approximate 90th percentile of each route beside the exact one."""
-    rows = w._observations.groupBy("route_id")
-    return rows.agg(F.percentile_approx(m.DELAY, F.lit(0.9), F.lit(10_000)).alias("approx_p90"), m.seconds2(m.p90(F.col(m.DELAY))).alias("exact_p90"))
+    """Of each route the exact 90th percentile, and whether the approximate one lies
+    between the exact percentiles one point below and above (delays are whole, so a
+    second on either side is rounding)."""
+    delay = F.col(m.DELAY)
+    rows = w._observations.groupBy("route_id").agg(
+        F.percentile_approx(delay, F.lit(0.9), F.lit(10_000)).alias("approx"), m.seconds2(m.p90(delay)).alias("exact_p90"), F.percentile(delay, F.array(F.lit(0.89), F.lit(0.91))).alias("near")
+    )
+    return rows.select("route_id", "exact_p90", F.col("approx").between(F.col("near")[0] - 1, F.col("near")[1] + 1).alias("approx_is_near"))
+
+
+def attempts_before_cutoff(w: Models, cutoff: str = "2024-01-15 00:00:00") -> DataFrame:
+    """Events strictly before a cutoff, and what gaps they have as one sequence a user."""
+    own = before(w.feed.table("events"), "ts", F.to_timestamp_ntz(F.lit(cutoff)))
+    found = gaps(own, ["ts", "event_id"], "ts", MAX_GAP_SECONDS, ["user_id"]).agg(_n().alias("gaps"))
+    return own.agg(_n().alias("attempts"), F.count_distinct("user_id").alias("users")).crossJoin(found)

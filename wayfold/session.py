@@ -20,9 +20,12 @@ def build(name: str = "wayfold", master: str | None = None, **more: str) -> Spar
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a temporary folder where it isn't set."""
+    """``spark.checkpoint.dir``; where it isn't set a temporary folder, on a single
+    machine only, since no such folder is shared on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = f"file://{tempfile.mkdtemp(prefix='wayfold-shared-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")

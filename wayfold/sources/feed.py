@@ -6,6 +6,7 @@ tables use are read, and any other field is skipped.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -129,6 +130,81 @@ def entity_counts(data: bytes) -> dict[str, int]:
     return out | {"deleted_entity_count": sum(bool(_number(e, 2)) for e in entities)}
 
 
+# The fields whose presence is counted.
+PROFILED = (
+    "trip.trip_id trip.start_time trip.start_date trip.schedule_relationship trip.route_id trip.direction_id trip_update.vehicle trip_update.vehicle_id trip_update.timestamp trip_update.delay "
+    "stop_time_update.stop_sequence stop_time_update.stop_id stop_time_update.arrival stop_time_update.departure stop_time_update.schedule_relationship "
+    "arrival.delay arrival.time arrival.uncertainty departure.delay departure.time departure.uncertainty"
+).split()
+_TRIP = dict(enumerate("trip_id start_time start_date schedule_relationship route_id direction_id".split(), 1))
+_EVENT = dict(enumerate("delay time uncertainty".split(), 1))
+
+
+def profile_counts(data: bytes) -> Counter:
+    """Counts by (kind, name) in one message: entities (``total``), fields that are
+    there (``field``) and relationships by name (``relationship``)."""
+    out = Counter({("total", k): n for k, n in entity_counts(data).items()})
+    for entity in message(data).get(2, []):
+        e = message(entity)
+        if 3 not in e:
+            continue
+        update = message(e[3][-1])
+        trip = message(update[1][-1]) if 1 in update else {}
+        out.update(("field", f"trip.{name}") for k, name in _TRIP.items() if k in trip)
+        if 4 in trip:
+            out["relationship", f"trip.{TRIP_RELATIONSHIPS.get(_number(trip, 4))}"] += 1
+        out.update(("field", f"trip_update.{name}") for k, name in ((3, "vehicle"), (4, "timestamp"), (5, "delay")) if k in update)
+        out["field", "trip_update.vehicle_id"] += 3 in update and 1 in message(update[3][-1])
+        for raw in update.get(2, []):
+            stop = message(raw)
+            out["total", "stop_time_update_count"] += 1
+            out.update(("field", f"stop_time_update.{name}") for k, name in ((1, "stop_sequence"), (2, "arrival"), (3, "departure"), (4, "stop_id"), (5, "schedule_relationship")) if k in stop)
+            for k, name in ((2, "arrival"), (3, "departure")):
+                own = message(stop[k][-1]) if k in stop else {}
+                out.update(("field", f"{name}.{part}") for n, part in _EVENT.items() if n in own)
+            if 5 in stop:
+                out["relationship", f"stop_time_update.{STOP_RELATIONSHIPS.get(_number(stop, 5))}"] += 1
+    return +out
+
+
+def profile(messages: DataFrame, content: str = "content") -> DataFrame:
+    """``kind, name, n`` over all messages. One that doesn't parse or isn't there is
+    counted as (``total``, ``snapshots_failed``) and no more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter = Counter()
+            for data in batch.column(0).to_pylist():
+                try:
+                    found += profile_counts(data) if data is not None else Counter({("total", "snapshots_failed"): 1})
+                    found["total", "snapshots_profiled"] += data is not None
+                except ValueError:
+                    found["total", "snapshots_failed"] += 1
+            rows = [(*k, n) for k, n in (+found).items()]
+            kinds, names, n = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(names, pa.string()), pa.array(n, pa.int64())], ["kind", "name", "n"])
+
+    counts = messages.select(content).mapInArrow(run, "kind string, name string, n bigint")
+    return counts.groupBy("kind", "name").agg(F.sum("n").alias("n"))
+
+
+def field_availability(messages: DataFrame, content: str = "content") -> DataFrame:
+    """``field, present, denominator, percentage`` of every profiled field: of trips for
+    the fields of trips and their updates, of stop updates for all others; four
+    decimals, and 0.0 where there is nothing to count."""
+    spark = messages.sparkSession
+    counts = profile(messages, content)
+    total = lambda name: F.coalesce(F.sum(F.when((F.col("kind") == "total") & (F.col("name") == name), F.col("n"))), F.lit(0))
+    fields = F.map_from_entries(F.collect_list(F.when(F.col("kind") == "field", F.struct("name", "n"))))  # at most PROFILED entries
+    wide = counts.agg(total("trip_update_count").alias("trips"), total("stop_time_update_count").alias("stops"), fields.alias("fields"))
+    names = spark.createDataFrame([(x,) for x in PROFILED], "field string")
+    rows = names.crossJoin(wide)  # a single row
+    of_trip = F.col("field").startswith("trip.") | F.col("field").startswith("trip_update.")
+    rows = rows.select("field", F.coalesce(F.try_element_at("fields", F.col("field")), F.lit(0)).alias("present"), F.when(of_trip, F.col("trips")).otherwise(F.col("stops")).alias("denominator"))
+    share = F.floor(F.lit(1_000_000.0) * F.col("present") / F.col("denominator") + 0.5) / 10_000.0
+    return rows.withColumn("percentage", F.when(F.col("denominator") == 0, 0.0).otherwise(share))
+
+
 def encode(parts: list[tuple[int, int | str | bytes | None]]) -> bytes:
     """A message of (number, value) pairs; null values are left out."""
 
@@ -183,8 +259,15 @@ def decode(messages: DataFrame, content: str = "content", keep: tuple[str, ...]
     return out.withColumns({n.removesuffix("time") + "timestamp": F.timestamp_seconds(n) for n in times}) if times else out
 
 
-def read_feed(spark: SparkSession, path: str, strict: bool = True, rows: str | None = None) -> DataFrame:
-    """Decoded rows of message files, with each file's path, name and checksum."""
+def read_feed(spark: SparkSession, path: str, strict: bool = True, rows: str | None = None, inventory: DataFrame | None = None) -> DataFrame:
+    """Decoded rows of message files, with each file's path, name and checksum. With an
+    ``inventory`` of ``name, checksum_sha256`` every file is held against its checksum
+    before it is decoded; one that differs or isn't listed fails the job."""
     files = spark.read.format("binaryFile").load(path).withColumn("checksum_sha256", F.sha2("content", 256))
+    if inventory is not None:
+        listed = inventory.select(F.col("name").alias("__name"), F.col("checksum_sha256").alias("__listed"))
+        files = files.withColumn("__file", F.element_at(F.split("path", "/"), -1)).join(listed, F.col("__file") == F.col("__name"), "left")
+        wrong = F.raise_error(F.concat(F.lit("checksum differs: "), F.col("path"))).cast("binary")
+        files = files.withColumn("content", F.when(F.col("checksum_sha256") == F.col("__listed"), F.col("content")).otherwise(wrong)).drop("__file", "__name", "__listed")
     files = files.withColumn("snapshot_id", F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1))
     return decode(files, "content", ("path", "snapshot_id", "checksum_sha256"), strict, rows)

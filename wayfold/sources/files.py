@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -63,23 +64,115 @@ def zip_ids(spark: SparkSession, path: str, member: str, column: str) -> DataFra
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, f"{column} string").distinct()
 
 
-def verified_files(spark: SparkSession, path: str, inventory: DataFrame) -> DataFrame:
-    """Files with their listed checksum; ``state`` is ok, missing or corrupt."""
-    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("found"))
-    out = inventory.join(files, "name", "left")
-    state = F.when(F.col("found").isNull(), "missing").when(F.col("found") != F.col("checksum_sha256"), "corrupt").otherwise("ok")
-    return out.withColumn("state", state)
+def list_files(spark: SparkSession, path: str, pattern: str = "*", content: bool = False) -> DataFrame:
+    """Files of a folder and those below it whose names match: ``path, name, length,
+    modified_at``, and their checksum if ``content`` is read too."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    own = ["path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.col("modificationTime").alias("modified_at")]
+    return files.select(*own, *[F.sha2("content", 256).alias("checksum_sha256")] * content)
 
 
-def write_parquet(rows: DataFrame, path: str, max_records: int = 2_000_000) -> int:
-    """A new folder of zstd files of at most ``max_records`` rows each; refuses one
-    that exists. Returns the rows read back from the footers, which must agree."""
-    rows.write.mode("errorifexists").option("compression", "zstd").option("maxRecordsPerFile", max_records).parquet(path)
+def verified_files(spark: SparkSession, path: str, inventory: DataFrame, sidecar: str | None = None) -> DataFrame:
+    """Files with their listed checksum; ``state`` is ok, missing or corrupt. With
+    ``sidecar`` (an ending such as '.json') also whether a file of the same stem and
+    that ending stands beside it."""
+    files = list_files(spark, path, content=True).select("name", "length", F.col("checksum_sha256").alias("found"))
+    out = inventory.join(files, "name", "left")
+    state = F.when(F.col("found").isNull(), "missing").when(F.col("found") != F.col("checksum_sha256"), "corrupt").otherwise("ok")
+    out = out.withColumn("state", state)
+    if sidecar:
+        beside = files.where(F.col("name").endswith(sidecar)).select(F.col("name").alias("__beside"))
+        own = F.concat(F.regexp_replace("name", r"\.[^.]*$", ""), F.lit(sidecar))
+        out = out.join(beside, own == F.col("__beside"), "left").withColumn("has_sidecar", F.col("__beside").isNotNull()).drop("__beside")
+    return out
+
+
+def resume_state(lines: DataFrame) -> tuple[DataFrame, str | None]:
+    """From manifest records ``attempt_number, checksum_sha256, etag``: the distinct
+    checksums that are known, and the ETag of the latest attempt that has one."""
+    known = lines.where("checksum_sha256 IS NOT NULL").select("checksum_sha256").distinct()
+    last = lines.where("etag IS NOT NULL").orderBy(F.desc("attempt_number")).select("etag").first()
+    return known, last["etag"] if last else None
+
+
+def upload_plan(own: DataFrame, there: DataFrame) -> DataFrame:
+    """Files ``name, length, checksum_sha256`` here against those at a target: upload
+    what isn't there, skip what is identical, and report what differs as a conflict."""
+    target = there.select("name", F.col("length").alias("there_length"), F.col("checksum_sha256").alias("there_checksum"))
+    same = (F.col("length") == F.col("there_length")) & (F.col("checksum_sha256") == F.col("there_checksum"))
+    action = F.when(F.col("there_checksum").isNull(), "upload").when(same, "skip").otherwise("conflict")
+    return own.join(target, "name", "left").withColumn("action", action)
+
+
+def upload(spark: SparkSession, path: str, target: str, dry_run: bool = False) -> DataFrame:
+    """Copies the files of a folder into another one by a plan, which it returns. Does
+    nothing at all if any file is in conflict; ``target`` may not exist yet."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(target)
+    system = at.getFileSystem(conf)
+    system.mkdirs(at)
+    columns = ["path", "name", "length", "checksum_sha256"]
+    own = list_files(spark, path, content=True).select(*columns)
+    there = list_files(spark, target, content=True) if system.listStatus(at) else spark.createDataFrame([], own.schema)
+    plan = upload_plan(own, there).select(*columns, "action").orderBy("name").collect()  # a row for each file
+    out = spark.createDataFrame(plan, "path string, name string, length long, checksum_sha256 string, action string")
+    if clash := [r["name"] for r in plan if r["action"] == "conflict"]:
+        raise ValueError(f"{target}: other content under the same name: {', '.join(clash[:5])}")
+    for r in plan if not dry_run else []:
+        if r["action"] == "upload":
+            source = jvm.org.apache.hadoop.fs.Path(r["path"])
+            jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, system, jvm.org.apache.hadoop.fs.Path(at, r["name"]), False, False, conf)
+    return out
+
+
+def write_new(spark: SparkSession, path: str, data: bytes) -> None:
+    """A new file, whole or not at all: written beside its place and renamed; refuses
+    one that exists."""
+    jvm = spark.sparkContext._jvm
+    at, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+    system = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(at):
+        raise FileExistsError(path)
+    out = system.create(beside, False)
+    out.write(bytearray(data))
+    out.hsync()
+    out.close()
+    if system.exists(at) or not system.rename(beside, at):
+        system.delete(beside, False)
+        raise FileExistsError(path)
+
+
+def require_space(spark: SparkSession, path: str, least: int) -> int:
+    """Free bytes of the file system of ``path``; raises below ``least``."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    free = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getStatus(at).getRemaining()
+    if free < least:
+        raise OSError(f"{path}: {free} bytes free, {least} needed")
+    return free
+
+
+#: Rows of a file of each kind, at most.
+ROTATE = {"feed": 10_000, "trip": 500_000, "stop": 2_000_000}
+
+
+def write_parquet(rows: DataFrame, path: str, max_records: int = 2_000_000, group_rows: int = 100_000) -> int:
+    """A new folder of zstd files with dictionaries, of at most ``max_records`` rows each
+    in groups of ``group_rows``; refuses one that exists. Returns the rows read back
+    from the footers, which must agree."""
+    options = {"compression": "zstd", "maxRecordsPerFile": max_records, "parquet.enable.dictionary": "true", "parquet.block.row.count.limit": group_rows}
+    rows.write.mode("errorifexists").options(**options).parquet(path)
     back = rows.sparkSession.read.parquet(path)
     if [(f.name, f.dataType) for f in back.schema] != [(f.name, f.dataType) for f in rows.schema]:
         raise ValueError(f"{path}: the schema read back differs")
     return back.count()
 
 
-def write_json(rows: DataFrame, path: str) -> None:
-    rows.write.mode("errorifexists").json(path)
+def write_row_sets(sets: dict[str, DataFrame], path: str) -> dict[str, int]:
+    """Feed, trip and stop rows each in a new folder of their own, in files of their
+    kind's size; the rows of each."""
+    return {kind: write_parquet(rows, f"{path}/{kind}", ROTATE[kind]) for kind, rows in sets.items()}
+
+
+def write_json(rows: DataFrame, path: str, append: bool = False) -> None:
+    """Lines of JSON in a new folder, or added to the ones that are there."""
+    rows.write.mode("append" if append else "errorifexists").json(path)

@@ -4,18 +4,20 @@ The vocabulary is that of a public tokenizer, and fixed; each language has a
 probability for each piece. The probability of a word is the sum over all its
 segmentations into pieces, found by the forward algorithm; a text's is the product
 over its words. The probabilities are fitted by expectation maximisation, whose
-expectation step sums over all segmentations too (forward and backward), on words
-of at most MAX_TRAIN labelled rows chosen by a hash of their id. Every whole text is
-scored; each distinct word is summed once a task.
+expectation step sums over all segmentations too (forward and backward), on all words
+of at most MAX_TRAIN labelled rows of each language, chosen by a hash. Every whole text
+is scored; each distinct word is summed once a task.
 
-A word is a run of letters in lower case, with the vocabulary's mark for a word's
-start. Runs of more than PART letters are scored in parts of that length. A letter
-that is no piece has the same small probability in all languages.
+A word is a run of letters of any length in lower case, with the vocabulary's mark for
+a word's start. Probabilities along long runs are rescaled on the way, so that none
+gets too small. A letter that is no piece has the same small probability in all
+languages.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0;
 ties go to the language first in code point order; without labelled rows every
-other text is ``und`` too; null or equal ids are no matter. An input column named
-like an output column is replaced.
+other text is ``und`` too; null or equal ids are no matter, and rows that are equal get
+equal results; very long texts are taken whole; an empty table gives an empty table. An
+input column named like an output column is replaced.
 """
 
 from __future__ import annotations
@@ -25,19 +27,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import OWN, small_batches, write_table
 from .toxicity import held_out
 
-#: Labelled rows that are fitted on, distinct words of a language, and rounds.
-MAX_TRAIN, MAX_WORDS, ROUNDS = 6_000, 12_000, 4
-#: Longest part of a word that is segmented; a letter's probability outside the
-#: vocabulary; what is added to each piece's count.
-PART, RARE, ADDED = 24, 1e-7, 0.05
+#: Labelled rows of a language that are fitted on, and rounds.
+MAX_TRAIN, ROUNDS = 1_500, 4
+#: A letter's probability outside the vocabulary; what is added to each piece's count.
+RARE, ADDED = 1e-7, 0.05
 UNKNOWN = "und"
-_ROWS, _MEMO = 512, 200_000
+#: Texts that are scored at once, words that are remembered and their longest, letters
+#: that are summed at once, and letters between two rescalings.
+_ROWS, _MEMO, _SHORT, _LETTERS, _SCALE = 512, 200_000, 64, 200_000, 24
 
 
 def public_pieces() -> list[str]:
@@ -88,11 +91,13 @@ class Segmenter:
     def forward(self, words: list[str], p: np.ndarray) -> np.ndarray:
         """log P(word) for each row of probabilities p[language, piece]; the last
         piece of p stands for letters outside the vocabulary."""
-        if not words:
-            return np.empty((0, len(p)))
-        end, start, piece, first = self.arcs(words)
-        alpha = self._forward(end, start, piece, first, p)
-        return np.log(np.maximum(alpha[first[1:] - 1], 1e-300))
+        out = [np.empty((0, len(p)))]
+        for some in _portions(words):
+            end, start, piece, first = self.arcs(some)
+            alpha, scale = self._forward(end, start, piece, first, p)
+            last = first[1:] - 1
+            out.append(np.log(np.maximum(alpha[last], 1e-300)) + scale[last])
+        return np.concatenate(out)
 
     @staticmethod
     def _levels(end: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -100,58 +105,74 @@ class Segmenter:
         word = np.searchsorted(first, end, "right") - 1
         return np.concatenate(([0], np.flatnonzero(np.diff(end - first[word])) + 1, [len(end)]))
 
-    def _forward(self, end, start, piece, first, p) -> np.ndarray:
+    def _forward(self, end, start, piece, first, p) -> tuple[np.ndarray, np.ndarray]:
+        """The sums up to each node, divided by the exponentials of the second result.
+        A language's sums in a word are rescaled by the largest of those that pieces
+        can still start from."""
         alpha = np.zeros((int(first[-1]), len(p)))
         alpha[first[:-1]] = 1
+        scale = np.zeros_like(alpha)
+        size, reach = np.diff(first) - 1, int(self.width.max(initial=1))
+        depth = 0
         cuts = self._levels(end, first)
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if size.max() > _SCALE and (depth := depth + 1) % _SCALE == 1 and depth > 1:
+                # depth - 1 letters are done in every word that is as long
+                words = np.flatnonzero(size >= depth)
+                near = first[words][:, None] + np.arange(max(0, depth - reach), depth)
+                top = np.maximum(alpha[near].max(axis=1), 1e-300)
+                alpha[near] /= top[:, None]
+                scale[near] += np.log(top)[:, None]
+                # nodes to come are on the scale of the ones they start from
+                ahead = np.repeat(words, size[words] + 1 - depth)
+                place = np.concatenate([np.arange(first[w] + depth, first[w + 1]) for w in words.tolist()])
+                scale[place] += np.log(top)[np.searchsorted(words, ahead)]
             step = alpha[start[a:b]] * p.T[piece[a:b]]
             for k in range(len(p)):
                 alpha[:, k] += np.bincount(end[a:b], step[:, k], len(alpha)) if b - a > len(alpha) // 8 else 0
             if b - a <= len(alpha) // 8:
                 np.add.at(alpha, end[a:b], step)
-        return alpha
+        return alpha, scale
 
     def expected(self, words: list[str], weight: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Expected counts of the pieces over all segmentations of weighted words."""
-        end, start, piece, first = self.arcs(words)
-        alpha = self._forward(end, start, piece, first, p[None, :])[:, 0]
-        beta = np.zeros(len(alpha))
-        beta[first[1:] - 1] = weight / np.maximum(alpha[first[1:] - 1], 1e-300)
-        cuts = self._levels(end, first)
-        for a, b in zip(cuts[-2::-1].tolist(), cuts[:0:-1].tolist()):
-            np.add.at(beta, start[a:b], beta[end[a:b]] * p[piece[a:b]])
-        share = alpha[start] * p[piece] * beta[end]
-        known = piece >= 0
-        return np.bincount(piece[known], share[known], len(self.pieces))
-
-
-def parts_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Distinct word parts (as a dictionary array over all texts) and the end of each
-    text among them."""
+        out, done = np.zeros(len(self.pieces)), 0
+        for some in _portions(words):
+            end, start, piece, first = self.arcs(some)
+            alpha, scale = (x[:, 0] for x in self._forward(end, start, piece, first, p[None, :]))
+            beta = np.zeros(len(alpha))
+            beta[first[1:] - 1] = weight[done : done + len(some)] / np.maximum(alpha[first[1:] - 1], 1e-300)
+            done += len(some)
+            step = p[piece] * np.exp(scale[start] - scale[end])
+            cuts = self._levels(end, first)
+            for a, b in zip(cuts[-2::-1].tolist(), cuts[:0:-1].tolist()):
+                np.add.at(beta, start[a:b], beta[end[a:b]] * step[a:b])
+            share = alpha[start] * step * beta[end]
+            known = piece >= 0
+            out += np.bincount(piece[known], share[known], len(self.pieces))
+        return out
+
+
+def _portions(words: list[str]) -> Iterator[list[str]]:
+    """Runs of words of some _LETTERS letters together, the long ones by themselves."""
+    first, letters = 0, 0
+    for k, w in enumerate(words):
+        letters += len(w)
+        if letters >= _LETTERS:
+            yield words[first : k + 1]
+            first, letters = k + 1, 0
+    if first < len(words):
+        yield words[first:]
+
+
+def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all texts (some empty) and the end of each text among them."""
     words = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")), r"[^\p{L}]+")
-    flat = words.flatten()
-    ends = words.offsets.to_numpy()[1:] - words.offsets[0].as_py()
-    size = pc.utf8_length(flat).to_numpy(zero_copy_only=False)
-    if len(size) and size.max() > PART:
-        text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-        pieces, owner = [], []
-        for w, n, t in zip(flat.to_pylist(), size.tolist(), text.tolist()):
-            # the mark is added later, so later parts are told apart by a leading space
-            cut = [w[k : k + PART] if not k else " " + w[k : k + PART] for k in range(0, max(n, 1), PART)]
-            pieces += cut
-            owner += [t] * len(cut)
-        flat, owner = pa.array(pieces, pa.large_string()), np.array(owner)
-        ends = np.searchsorted(owner, np.arange(len(ends)), "right")
-    return flat.dictionary_encode(), ends
-
-
-def _marked(part: str) -> str:
-    return part[1:] if part[:1] == " " else Segmenter.MARK + part
+    return words.flatten().dictionary_encode(), words.offsets.to_numpy()[1:] - words.offsets[0].as_py()
 
 
 class Scorer:
-    """Log probabilities of word parts, remembered within a task."""
+    """Log probabilities of words, those of short ones remembered within a task."""
 
     def __init__(self, pieces: list[str], p: np.ndarray) -> None:
         self._segment, self._p = Segmenter(pieces), p
@@ -159,20 +180,19 @@ class Scorer:
         self._rows = np.empty((0, len(p)))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Sums of log probabilities by language and numbers of parts."""
-        coded, ends = parts_of(texts)
+        """Sums of log probabilities by language and numbers of words."""
+        coded, ends = words_of(texts)
         names = coded.dictionary.to_pylist()
         if len(self._memo) > _MEMO:
             self._memo, self._rows = {}, self._rows[:0]
-        memo = self._memo
-        new = [w for w in names if w and w not in memo]
-        for k in range(0, len(new), 20_000):
-            some = new[k : k + 20_000]
-            memo.update(zip(some, range(len(memo), len(memo) + len(some))))
-            self._rows = np.concatenate((self._rows, self._segment.forward([_marked(w) for w in some], self._p)))
-        place = np.fromiter((memo.get(w, -1) for w in names), np.int64, len(names))
+        memo, forward = self._memo, lambda some: self._segment.forward([Segmenter.MARK + w for w in some], self._p)
+        new = [w for w in names if w and len(w) <= _SHORT and w not in memo]
+        memo.update(zip(new, range(len(memo), len(memo) + len(new))))
+        self._rows = np.concatenate((self._rows, forward(new)))
+        long = {w: len(self._rows) + k for k, w in enumerate(w for w in names if len(w) > _SHORT)}
+        table = np.vstack((self._rows, forward(list(long)), np.zeros((1, len(self._p)))))
+        place = np.fromiter((memo.get(w, long.get(w, -1)) for w in names), np.int64, len(names))
         at = place[coded.indices.to_numpy()] if names else np.empty(0, np.int64)
-        table = np.vstack((self._rows, np.zeros((1, len(self._p)))))
         line = np.vstack((np.zeros((1, len(self._p))), np.cumsum(table[at], axis=0)))
         count = np.concatenate(([0], np.cumsum(at >= 0)))
         begins = np.concatenate(([0], ends[:-1]))
@@ -182,33 +202,34 @@ class Scorer:
 def train(docs: DataFrame, pieces: list[str], id_col="doc_id", text_col="text", lang_col="lang") -> tuple[list[str], np.ndarray]:
     """Languages in order, and their probabilities of the vocabulary's pieces."""
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), held_out(id_col).alias("out"))
-    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL AND NOT out")
-    ids = rows.select(F.col("doc").alias("id"), F.xxhash64(F.lit("lang"), "doc").alias("h")).orderBy("h", "id").limit(MAX_TRAIN)
-    ids = write_table(ids.select("id").distinct(), "lang-sample")  # at most MAX_TRAIN rows
-    sample = rows.join(F.broadcast(ids), F.col("doc").eqNullSafe(F.col("id"))).select("text", "lang")
+    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL AND NOT out").select("lang", "text", F.xxhash64(F.lit("lang"), "doc", "text").alias("h"))
+    # by a first cut of the hash a language has some two times MAX_TRAIN rows left, and
+    # is then ranked; the cut is a row for each language
+    sizes = write_table(rows.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    cut = F.least(F.lit(1.0), 2.0 * MAX_TRAIN / F.col("n")) * 2.0**64 - 2.0**63
+    some = rows.join(F.broadcast(sizes), "lang").where(F.col("h").cast("double") <= cut)
+    by_hash = Window.partitionBy("lang").orderBy("h", "text")
+    sample = some.withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= MAX_TRAIN).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            coded, ends = parts_of(batch.column(0))
+            coded, ends = words_of(batch.column(0))
             lang = np.repeat(np.array(batch.column(1).to_pylist(), object), np.diff(ends, prepend=0))
             table = pa.table({"word": coded.cast(pa.string()), "lang": pa.array(lang, pa.string()), "n": pa.array(np.ones(len(lang), np.int64))})
             yield from table.group_by(["word", "lang"]).aggregate([("n", "sum")]).rename_columns(["word", "lang", "n"]).combine_chunks().to_batches()
 
-    from pyspark.sql import Window
-
     words = sample.mapInArrow(count, "word string, lang string, n long").where("word <> ''").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    words = words.withColumn("k", F.row_number().over(by_count)).where(F.col("k") <= MAX_WORDS).toArrow()
+    words = words.toArrow()  # the words of at most MAX_TRAIN texts of each language
     langs = sorted(set(words.column("lang").to_pylist()), key=lambda s: s.encode())
     segment = Segmenter(pieces)
     out = np.full((len(langs), len(segment.pieces) + 1), RARE)
     for row, lang in enumerate(langs):
         own = words.filter(pc.equal(words.column("lang"), lang)).sort_by("word")
-        names, n = [_marked(w) for w in own.column("word").to_pylist()], own.column("n").to_numpy().astype(float)
+        names, n = [Segmenter.MARK + w for w in own.column("word").to_pylist()], own.column("n").to_numpy().astype(float)
         p = out[row]
         p[:-1] = 1 / len(segment.pieces)
         for _ in range(ROUNDS):
-            counts = sum(segment.expected(names[k : k + 4_000], n[k : k + 4_000], p) for k in range(0, len(names), 4_000)) + ADDED
+            counts = segment.expected(names, n, p) + ADDED
             p[:-1] = counts / counts.sum()
     return langs, out
 

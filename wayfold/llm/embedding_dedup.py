@@ -3,21 +3,29 @@ threshold.
 
 On unit vectors a cosine of at least c is a distance of at most sqrt(2 - 2c), so
 the trees work with distances. Equal vectors are compared once. Vectors are dealt
-to the nearest of at most MAX_PIVOTS pivots, a pivot's vectors in parts of
-CELL_ROWS, and each part becomes a cover tree: nested levels of centres with
-halving radii. Two parts are compared by a dual traversal from the roots: a pair of
+to the nearest of at most MAX_PIVOTS pivots, which cover a bounded sample within as
+small a radius as their number allows, a pivot's vectors in parts of CELL_ROWS, and each
+part becomes a cover tree: nested levels of centres with halving radii, from a root
+that covers the whole sphere. Two parts are compared by a dual traversal from the roots: a pair of
 nodes goes on to its children only if the distance of the centres is at most the
 threshold plus both nodes' covering radii; small pairs are compared directly, in
 double precision. The same bound, with a pivot's radius, decides which parts meet
 at all and which of their vectors come along.
 
-A comparison returns how many links each vector has and a spanning forest of them,
+The bounds prune what lies in clusters: parts of clusters that are further apart never
+meet, and a pair of nodes ends a traversal early. Unrelated vectors of many dimensions
+are all about equally far apart; of these no covering radius rules out a pair, here or
+in any exact method by distances, and the work grows with the square of their number.
+
+Each pair is decided once. A comparison returns how many links each vector has and a spanning forest of them,
 never the pairs, so a dense group of near copies costs no square of rows.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing; vectors of different lengths don't link; null ids
 are carried, and count as larger than any other for component_id; rows that repeat
-an id are separate vectors.
+an id, or all of a row, are separate vectors; vectors may have any length; other columns
+of the input, whatever their names, aren't looked at; an empty table gives an empty
+table.
 """
 
 from __future__ import annotations
@@ -33,11 +41,12 @@ from pyspark.sql import functions as F
 from .common import connected_components, merge_labels, write_table
 
 MIN_COSINE = 0.9
-#: Vectors of one tree, and pivots at most.
-CELL_ROWS, MAX_PIVOTS = 4_096, 2_048
+#: Vectors of one tree, pivots at most, and the sample that they are chosen from.
+CELL_ROWS, MAX_PIVOTS, SAMPLE = 4_096, 2_048, 8_192
 #: Fewest trees, so that a small table still spreads over a cluster's tasks.
 MIN_TREES = 8
-LEVELS = 8
+#: Level k of a tree covers within 2 ** (1 - k); unit vectors are at most 2 apart.
+LEVELS = 9
 ROWS_AT_ONCE = 512
 _SLACK = 1e-9  # for rounding of distances; links are decided by the cosine itself
 
@@ -79,9 +88,8 @@ def _net(v: np.ndarray, rows: np.ndarray, radius: float) -> np.ndarray:
 
 def cover_tree(v: np.ndarray) -> np.ndarray:
     """For each unit vector (row) its centre (a row) at each level: level k covers
-    within 2 ** -k, and a centre stays centre of its own node on all finer levels."""
+    within 2 ** (1 - k), the first being a single root, and a centre stays centre of its own node on all finer levels."""
     path = np.zeros((len(v), LEVELS), np.int32)
-    path[:, 0] = _net(v, np.arange(len(v)), 1.0) if len(v) else 0
     for level in range(1, LEVELS):
         above = path[:, level - 1]
         order = np.argsort(above, kind="stable")
@@ -92,7 +100,7 @@ def cover_tree(v: np.ndarray) -> np.ndarray:
                 continue
             top = above[rows[0]]
             rows = np.concatenate(([top], rows[rows != top]))
-            path[rows, level] = _net(v, rows, 2.0**-level)
+            path[rows, level] = _net(v, rows, 2.0 ** (1 - level))
     return path
 
 
@@ -129,9 +137,23 @@ def _product(counts_a: np.ndarray, counts_b: np.ndarray) -> tuple[np.ndarray, np
     return pair, k // counts_b[pair], k % counts_b[pair]
 
 
-def dual_links(a: _Tree, b: _Tree, min_cosine: float = MIN_COSINE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def pivots_of(sample: np.ndarray, most: int) -> np.ndarray:
+    """Centres that cover the unit vectors of a sample: those of the smallest radius
+    2 ** -k that needs at most ``most`` of them, filled up with further vectors."""
+    chosen = np.arange(min(1, len(sample)))
+    for level in range(LEVELS):
+        centres = np.unique(_net(sample, np.arange(len(sample)), 2.0**-level)) if len(sample) else chosen
+        if len(centres) > most:
+            break
+        chosen = centres
+    rest = np.setdiff1d(np.arange(len(sample)), chosen)[: max(0, most - len(chosen))]
+    return sample[np.concatenate((chosen, rest))]
+
+
+def dual_links(a: _Tree, b: _Tree, min_cosine: float = MIN_COSINE, tested: dict[int, int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of rows of two trees (as places in their order) with a cosine of at
-    least ``min_cosine``.
+    least ``min_cosine``; of a tree with itself each pair once, the lesser place first.
+    ``tested`` gets the number of node pairs that were compared on each level.
 
     Goes down level by level from the roots: of the node pairs that the bound leaves,
     the children's pairs come next. Where most pairs are left, a level is computed as
@@ -154,6 +176,8 @@ def dual_links(a: _Tree, b: _Tree, min_cosine: float = MIN_COSINE) -> Iterator[t
                 counts = np.diff(fa)[i], np.diff(fb)[j]
                 full = (counts[0] * counts[1]).sum() > len(ca) * len(cb) // 8
             last = level == LEVELS
+            if tested is not None:
+                tested[level] = tested.get(level, 0) + (len(ca) * len(cb) if full else int((counts[0] * counts[1]).sum()))
             if full:
                 cosine = a.v[ca] @ b.v[cb].T
                 left = cosine >= min_cosine if last else np.sqrt(np.maximum(2 - 2 * cosine, 0)) <= reach + ra[:, None] + rb[None, :]
@@ -172,7 +196,8 @@ def dual_links(a: _Tree, b: _Tree, min_cosine: float = MIN_COSINE) -> Iterator[t
                 break
             above_a, above_b = sa, sb
         if len(i):
-            yield i + begin, j
+            i = i + begin
+            yield (i[i < j], j[i < j]) if a is b else (i, j)
 
 
 def _stack(column: pa.ChunkedArray) -> np.ndarray:
@@ -209,11 +234,8 @@ def _compare(pair: pa.Table) -> pa.Table:
         shift = 0 if a is b else len(a.v)
         label, links = np.arange(len(a.v) + len(b.v)), np.zeros(len(a.v) + len(b.v), np.int64)
         for i, j in dual_links(a, b):
-            if a is b:
-                i, j = i[i != j], j[i != j]
             np.add.at(links, i, copies_b[j])
-            if a is not b:
-                np.add.at(links, j + shift, copies_a[i])
+            np.add.at(links, j + shift, copies_a[i])
             merge_labels(label, i, j + shift)
         nodes = np.concatenate((a.row, b.row))
         hit = np.flatnonzero(links)
@@ -241,10 +263,9 @@ def near_dedup(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     found = None
     if n:
         trees = max(MIN_TREES, ceil(n / CELL_ROWS))
-        # at most MAX_PIVOTS vectors come to the driver
-        chosen = classes.orderBy(F.xxhash64("vector"), "node").limit(min(trees, MAX_PIVOTS)).select("vector").toArrow()
-        widths = {len(x) for x in chosen.column("vector").to_pylist()}
-        pivots = {w: unit(np.array([x for x in chosen.column("vector").to_pylist() if len(x) == w])) for w in widths}
+        # SAMPLE vectors come to the driver
+        chosen = classes.orderBy(F.xxhash64("vector"), "node").limit(SAMPLE).select("vector").toArrow().column("vector").to_pylist()
+        pivots = {w: pivots_of(unit(np.array([x for x in chosen if len(x) == w])), min(trees, MAX_PIVOTS)) for w in {len(x) for x in chosen}}
         found = write_table(_links(spark, classes, pivots), "links")
 
     own = rows.where(usable).join(classes.select("vector", "node", "copies", "least"), "vector").select("id", "node", "copies", "least")

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import zlib
 
@@ -44,6 +45,25 @@ def test_mixing_awkward(awkward, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mixing_of_equal_ids_against_counting(spark):
+    """Many rows without an id, or with the same: taken in order of key, id and size."""
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 7, k]), " ".join("w" * rng.randrange(1, 6)), "a") for k in range(900)] + [(None, "w", "b")] * 50
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == len(rows) and {r.source: r.target for r in got} == {"a": sum(r["size"] for r in got) - 150, "b": 150}
+    for source in "ab":
+        own = [r for r in got if r.source == source]
+        assert sum(r.taken for r in own) == own[0].target
+        order = sorted(own, key=lambda r: (hashlib.md5(f"mix:{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest(), r["size"]))
+        full, left = divmod(int(own[0].target), own[0].source_size)
+        want = []
+        for r in order:
+            took = max(0, min(r["size"], left))
+            left -= r["size"]
+            want.append((str(r.doc_id), r["size"], full * r["size"] + took))
+        assert sorted((str(r.doc_id), r["size"], r.taken) for r in own) == sorted(want)
+
+
 def test_encoder_equals_tokenizers():
     from tokenizers import Tokenizer
 
@@ -94,6 +114,73 @@ def test_plan_is_near_the_bound(seed):
     assert bound <= sum(configs.values()) <= 1.01 * bound + 1
 
 
+def held(configs):
+    out = {}
+    for config, k in configs.items():
+        assert sum(config) <= 1024
+        for length in config:
+            out[length] = out.get(length, 0) + k
+    return out
+
+
+def test_plan_where_best_fit_is_poor():
+    """Best fit pairs the halves with the wrong quarters: 11 sequences instead of 9."""
+    histogram = {516: 300, 264: 300, 260: 300, 248: 600}
+    demand = np.zeros(1025, np.int64)
+    demand[list(histogram)] = list(histogram.values())
+    configs = packing.plan(histogram)
+    assert held(configs) == histogram
+    assert sum(packing.best_fit(demand, 1024).values()) > 500 and sum(configs.values()) <= 455
+
+
+def fewest(pieces, capacity):
+    """The least number of sequences, by trying all first-fit orders of the rest."""
+    best = len(pieces)
+
+    def put(k, spaces):
+        nonlocal best
+        if len(spaces) >= best:
+            return
+        if k == len(pieces):
+            best = len(spaces)
+            return
+        for j in range(len(spaces)):
+            if spaces[j] >= pieces[k] and spaces[j] not in spaces[:j]:
+                put(k + 1, [*spaces[:j], spaces[j] - pieces[k], *spaces[j + 1 :]])
+        put(k + 1, [*spaces, capacity - pieces[k]])
+
+    put(0, [])
+    return best
+
+
+def test_plan_of_few_pieces_against_the_optimum():
+    rng = random.Random(12)
+    over = 0
+    for _ in range(30):
+        pieces = sorted((rng.randrange(1, 21) for _ in range(9)), reverse=True)
+        histogram = {p: pieces.count(p) for p in pieces}
+        configs = packing.plan(histogram, 20)
+        assert all(sum(c) <= 20 for c in configs)
+        assert {p: sum(c.count(p) * k for c, k in configs.items()) for p in histogram} == histogram
+        over += sum(configs.values()) - fewest(pieces, 20)
+    assert 0 <= over <= 3
+
+
+def test_most_sequences_come_from_the_program():
+    rng = np.random.default_rng(5)
+    sizes, n = np.unique(np.minimum(rng.geometric(0.004, 200_000), 1024), return_counts=True)
+    program, rest = packing.plan_parts(dict(zip(sizes.tolist(), n.tolist())))
+    total = (program + rest).total()
+    assert program.total() > 0.75 * total
+    assert total <= 1.001 * -(-int((sizes * n).sum()) // 1024) + 1
+
+
+def test_packing_rows_that_are_equal(spark):
+    docs = spark.createDataFrame([(1, "one two three")] * 500 + [(None, None)] * 300, "doc_id long, text string")
+    rows = packing.pack(docs).collect()
+    assert len(rows) == 800 and len({(r.sequence_id, r.offset) for r in rows}) == 800
+
+
 def words(rng, n):
     return " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma"]) for _ in range(n))
 
@@ -138,6 +225,51 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(got, [np.log(total(w)) for w in names])
 
 
+def segmentations(w, value):
+    if not w:
+        yield []
+    for k in range(1, len(w) + 1):
+        if w[:k] in value:
+            yield from ([w[:k], *rest] for rest in segmentations(w[k:], value))
+
+
+def test_expected_counts_against_all_segmentations():
+    segment = language_id.Segmenter(["▁a", "▁ab", "▁", "a", "b", "c", "bc", "ab", "abc"])
+    p = np.append(np.random.default_rng(1).random(len(segment.pieces)), 1e-7)
+    value = dict(zip(segment.pieces, p))
+    names, weight = ["▁abc", "▁abcabc", "▁", "▁aaabbbccc", "▁ab" + "abc" * 4], np.array([1.0, 3, 2, 1, 5])
+    want = dict.fromkeys(segment.pieces, 0.0)
+    for name, n in zip(names, weight):
+        ways = [(way, np.prod([value[x] for x in way])) for way in segmentations(name, value)]
+        for way, q in ways:
+            for x in way:
+                want[x] += n * q / sum(q for _, q in ways)
+    assert np.allclose(segment.expected(names, weight, p), [want[x] for x in segment.pieces])
+
+
+def test_long_runs_are_segmented_whole():
+    """No segmentation is lost at any place of a run, and none gets too small."""
+    pieces = ["▁", "▁l", "lo", "o", "l", "ol", "olo", "loloo", "r", "rl"]
+    segment = language_id.Segmenter(pieces)
+    rng = random.Random(3)
+    names = ["▁" + "".join(rng.choice("lor") for _ in range(n)) for n in (5, 23, 24, 25, 48, 49, 200, 5000)] + ["▁zz" + "l" * 100]
+    p = np.array([np.append(np.random.default_rng(k).random(len(segment.pieces)) ** 3, 1e-7) for k in range(3)])
+    got = segment.forward(names, p)
+    for row in range(3):
+        value = dict(zip(segment.pieces, np.log(p[row])))
+        for k, name in enumerate(names):
+            best = [0.0] + [-np.inf] * len(name)
+            for end in range(1, len(name) + 1):
+                ways = [best[start] + value[name[start:end]] for start in range(max(0, end - 6), end) if name[start:end] in value]
+                if name[end - 1] not in value:
+                    ways.append(best[end - 1] + np.log(1e-7))
+                best[end] = np.logaddexp.reduce(ways) if ways else -np.inf
+            assert np.isclose(got[k, row], best[-1], rtol=1e-9), (k, row)
+    # posterior counts over a long run: every letter lies in one piece
+    counts = segment.expected(names[:8], np.ones(8), p[0])
+    assert np.isclose((counts * segment.width).sum(), sum(map(len, names[:8])))
+
+
 def test_language_id(spark, awkward, empty):
     rng = random.Random(6)
     vocab = {"xx": ["lorem", "ipsum", "dolor", "amet"], "yy": ["kwik", "zwak", "vlog", "bronk"]}
@@ -173,12 +305,39 @@ def test_cover_tree_levels():
     path = embedding_dedup.cover_tree(v)
     for level in range(embedding_dedup.LEVELS):
         centre = path[:, level]
-        assert (np.linalg.norm(v - v[centre], axis=1) <= 2.0**-level + 1e-6).all()
+        assert (np.linalg.norm(v - v[centre], axis=1) <= 2.0 ** (1 - level) + 1e-6).all()
         assert (path[centre, level] == centre).all()
         if level:
             assert (path[centre, level - 1] == path[:, level - 1]).all()
 
 
+def test_clustered_vectors_are_pruned(spark):
+    """Far fewer node pairs are compared than there are pairs, and none is lost."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(60, 32))
+    v = embedding_dedup.unit(np.repeat(centres, 40, axis=0) + 0.15 * rng.normal(size=(2400, 32)))
+    tree = embedding_dedup._Tree(v, embedding_dedup.cover_tree(v), np.arange(len(v)))
+    tested: dict[int, int] = {}
+    found = list(embedding_dedup.dual_links(tree, tree, tested=tested))
+    assert tested[0] == len(range(0, len(v), embedding_dedup.ROWS_AT_ONCE))
+    assert sum(tested.values()) < 0.25 * len(v) ** 2
+    linked = tree.v @ tree.v.T >= 0.9
+    assert {(a, b) for i, j in found for a, b in zip(i.tolist(), j.tolist())} == {(a, b) for a, b in zip(*np.nonzero(linked)) if a < b}
+    pivots = embedding_dedup.pivots_of(v, 100)
+    assert len(pivots) == 100 and np.sqrt(np.maximum(2 - 2 * (v @ pivots.T).max(axis=1), 0)).max() < 1
+
+
+def test_embeddings_awkward(spark):
+    schema = "vec_id long, embedding array<double>, node string, links string, root string, vector string, id string, n_links string, kept string"
+    more = ("a", "b", "c", "d", "e", "f", "g")
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (None, [1.0, 0.01]), (None, None), (5, [1e300, 1e300]), (6, [1e-300, 1e-300]), (7, [1.0] * 20_000), (8, [2.0] * 20_000)]
+    got = embedding_dedup.near_dedup(spark.createDataFrame([(i, v, *more) for i, v in rows], schema))
+    assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
+    found = sorted([tuple(r) for r in got.collect()], key=repr)
+    assert found == sorted([(1, 2, 1, True), (1, 2, 1, True), (2, 0, 2, True), (None, 2, 1, False), (None, 0, None, True), (5, 1, 5, True), (6, 1, 5, False), (7, 1, 7, True), (8, 1, 7, False)], key=repr)
+    assert embedding_dedup.near_dedup(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_secrets(spark, awkward, empty):
     secret = "9c8b45435718dcc700c184a7e303cdc64c6a8f7f"
     rows = [(1, f'use token = "{secret}" here'), (2, f"see commit {secret} for it"), (3, "call 4465758382889437 now"), (4, None), (5, ""), (6, f'token = "{secret}" and token = "{secret}"'), (7, "a" * 50_000 + "1")]

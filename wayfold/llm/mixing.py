@@ -8,15 +8,22 @@ document its place on its source's running word count without one task ever
 holding a source. A source's budget is cut off that line exactly, and whole
 epochs come before.
 
+Rows of a source with the same id and size are interchangeable. They are one unit, in
+SALTS parts at most, and get their places by counting; so no task holds all rows that
+share an id, or have none.
+
 Defined results: null text has size 0; a null source is a source of its own and
 last; a source without words has target 0; an empty table gives an empty table;
-equal ids are told apart by size, else they are interchangeable. Columns of the
-input named like an output column are replaced.
+null ids come in the place of an empty id; rows that repeat an id are ordered by size,
+and of equal ones any are taken; very long texts count whole. Columns of the input named
+like an output column are replaced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import OWN, WORD, write_table
@@ -25,6 +32,8 @@ from .common import OWN, WORD, write_table
 MAX_EPOCHS = 3
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (1, 2, 3)
+#: Parts of the rows that share source, id and size.
+SALTS = 64
 
 
 def source_targets(sizes: DataFrame, source: str = "source") -> DataFrame:
@@ -77,12 +86,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     part = F.conv(F.substring(key, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     keyed = narrow.join(plan.drop("has"), narrow["source"].eqNullSafe(plan["source"])).drop(plan["source"])
     keyed = keyed.withColumns({"key": key, "range": F.floor(part * F.col("ranges")).cast("int")}).drop("n", "ranges")
+    keyed = keyed.withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"))
+    unit = ["source", "range", "key", "id", "size", "salt"]
+    # the copies of a unit stand one after the other
+    copy = F.row_number().over(Window.partitionBy(*unit).orderBy(F.lit(0))) - 1
+    keyed = write_table(keyed.withColumn("copy", copy), "keyed")
+    units = write_table(keyed.groupBy(*unit).agg(F.count("*").alias("copies")), "units")
+    words = F.col("size") * F.col("copies")
     along = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = keyed.groupBy("source", "range").agg(F.sum("size").alias("words"))
+    sums = units.groupBy("source", "range").agg(F.sum(words).alias("words"))
     before = sums.select(F.col("source").alias("s2"), F.col("range").alias("r2"), F.coalesce(F.sum("words").over(along), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("source", "range").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = keyed.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    placed = placed.join(before, F.col("source").eqNullSafe(F.col("s2")) & (F.col("range") == F.col("r2")))
+    inside = Window.partitionBy("source", "range").orderBy("key", "id", "size", "salt").rowsBetween(Window.unboundedPreceding, -1)
+    units = units.withColumn("inside", F.coalesce(F.sum(words).over(inside), F.lit(0)))
+    units = units.join(before, F.col("source").eqNullSafe(F.col("s2")) & (F.col("range") == F.col("r2")))
+    units = write_table(units.select(*[F.col(c).alias(f"u_{c}") for c in unit], "copies", "before", "inside"), "places")
+    same = [F.col(c).eqNullSafe(F.col(f"u_{c}")) if c in ("source", "id") else F.col(c) == F.col(f"u_{c}") for c in unit]
+    placed = keyed.join(units, reduce(Column.__and__, same)).drop(*[f"u_{c}" for c in unit])
+    placed = placed.withColumn("inside", F.col("inside") + F.col("size") * F.col("copy"))
 
     budget = F.floor(F.col("target") + F.lit(0.5))
     full = F.when(F.col("source_size") > 0, F.expr("floor(target + 0.5D) div source_size")).otherwise(0)

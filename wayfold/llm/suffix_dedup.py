@@ -274,6 +274,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = spans.withColumn("island", F.sum("new").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
     spans = spans.groupBy("doc", "text_hash", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("other").alias("other"))
     names = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.lit("doc"), F.col(id_col)).alias("doc")).groupBy("doc").agg(F.min("id").alias("id"))
+    names = write_table(names, "names")  # apart from the joins, which Spark can then split
     spans = spans.join(names, "doc").select("id", "start", "end", "other")
     others = names.select(F.col("doc").alias("other"), F.col("id").alias("other_id"))
     return spans.join(others, "other").select(F.col("id").alias(id_col), "start", "end", "other_id")

@@ -99,3 +99,95 @@ def test_three_row_sets(spark, tmp_path):
     assert row.arrival_timestamp.timestamp() == 1_790_000_060 and row.stop_schedule_relationship is None
     (row,) = read("feed")
     assert row[3:11] == (1_790_000_000, "2.0", 2, 2, 1, 0, 0, 1)
+
+
+def test_field_profile(spark):
+    trip = feed.encode([(1, "T"), (2, "09:00:00"), (3, "20261102"), (4, 3), (5, "R-9"), (6, 0)])
+    whole = feed.encode([(1, 30), (2, 1_793_600_000), (3, 4)])
+    a = feed.encode([(1, trip), (3, feed.encode([(1, "bus 7")])), (4, 1_793_600_001), (5, 12), (2, feed.encode([(1, 1), (4, "A"), (2, whole), (3, whole), (5, 0)]))])
+    b = feed.encode([(1, feed.encode([(1, "U")])), (2, feed.encode([(4, "B"), (2, feed.encode([(2, 1_793_600_002)])), (5, 1)])), (2, feed.encode([(1, 3), (4, "C"), (3, b"")]))])
+    entities = [feed.encode([(1, "x"), (3, a)]), feed.encode([(1, "y"), (3, b)]), feed.encode([(1, "z"), (4, b"")]), feed.encode([(1, "w"), (2, 1)])]
+    good = feed.encode([(1, feed.encode([(1, "2.0")])), *[(2, e) for e in entities]])
+    rows = spark.createDataFrame([(good,), (good,), (b"\x0a\xff\x01broken",), (None,), (b"",)], "content binary")
+    counts = {(r.kind, r.name): r.n for r in feed.profile(rows).collect()}
+    assert {k[1]: n for k, n in counts.items() if k[0] == "total"} == {"entity_count": 8, "trip_update_count": 4, "vehicle_position_count": 2, "deleted_entity_count": 2, "stop_time_update_count": 6, "snapshots_profiled": 3, "snapshots_failed": 2}
+    assert {k[1]: n for k, n in counts.items() if k[0] == "relationship"} == {"trip.CANCELED": 2, "stop_time_update.SCHEDULED": 2, "stop_time_update.SKIPPED": 2}
+    got = {r.field: (r.present, r.denominator, r.percentage) for r in feed.field_availability(rows).collect()}
+    assert set(got) == set(feed.PROFILED)
+    assert got["trip.trip_id"] == (4, 4, 100.0) and got["trip.direction_id"] == (2, 4, 50.0) and got["trip_update.vehicle_id"] == (2, 4, 50.0)
+    assert got["stop_time_update.stop_sequence"] == (4, 6, 66.6667) and got["stop_time_update.departure"] == (4, 6, 66.6667)
+    assert got["departure.delay"] == (2, 6, 33.3333) and got["arrival.time"] == (4, 6, 66.6667)
+    assert all(r.percentage == 0.0 and r.denominator == 0 for r in feed.field_availability(rows.limit(0)).collect())
+
+
+def test_checksums_come_before_decoding(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "a.pb").write_bytes(feed_message())
+    listed = lambda sha: spark.createDataFrame([("a.pb", sha)], "name string, checksum_sha256 string")
+    assert feed.read_feed(spark, str(tmp_path), inventory=listed(hashlib.sha256(feed_message()).hexdigest())).count() == 3
+    for wrong in (listed("0"), listed("0").limit(0)):
+        with pytest.raises(Exception, match="checksum differs"):
+            feed.read_feed(spark, str(tmp_path), inventory=wrong).count()
+
+
+def test_files_and_uploads(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "in/sub").mkdir(parents=True)
+    for name in ("a.pb", "a.json", "sub/b.pb"):
+        files.write_new(spark, f"file://{tmp_path}/in/{name}", name.encode())
+    with pytest.raises(FileExistsError):
+        files.write_new(spark, f"file://{tmp_path}/in/a.pb", b"again")
+    assert (tmp_path / "in/a.pb").read_bytes() == b"a.pb" and not list(tmp_path.rglob("*.part"))
+    path, target = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    assert sorted(r.name for r in files.list_files(spark, path, "*.pb").collect()) == ["a.pb", "b.pb"]
+    listed = spark.createDataFrame([(n, hashlib.sha256(x).hexdigest()) for n, x in (("a.pb", b"a.pb"), ("b.pb", b"sub/b.pb"))], "name string, checksum_sha256 string")
+    assert {r.name: (r.state, r.has_sidecar) for r in files.verified_files(spark, path, listed, ".json").collect()} == {"a.pb": ("ok", True), "b.pb": ("ok", False)}
+    actions = lambda **k: {r.name: r.action for r in files.upload(spark, path, target, **k).collect()}
+    assert set(actions(dry_run=True).values()) == {"upload"} and not list((tmp_path / "out").iterdir())
+    assert set(actions().values()) == {"upload"} and (tmp_path / "out/b.pb").read_bytes() == b"sub/b.pb"
+    assert set(actions().values()) == {"skip"}
+    (tmp_path / "out/.b.pb.crc").unlink()
+    (tmp_path / "out/b.pb").write_bytes(b"other")
+    with pytest.raises(ValueError, match="b.pb"):
+        actions()
+    assert files.require_space(spark, path, 1) > 1
+    with pytest.raises(OSError):
+        files.require_space(spark, path, 1 << 62)
+
+
+def test_resume_and_json_sinks(spark, tmp_path):
+    lines = [(1, "x", "e1"), (2, None, "e2"), (3, "x", None), (4, "y", None)]
+    known, etag = files.resume_state(spark.createDataFrame(lines, "attempt_number int, checksum_sha256 string, etag string"))
+    assert sorted(r[0] for r in known.collect()) == ["x", "y"] and etag == "e2"
+    rows = spark.range(3)
+    files.write_json(rows, f"{tmp_path}/j")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        files.write_json(rows, f"{tmp_path}/j")
+    files.write_json(rows, f"{tmp_path}/j", append=True)
+    assert files.read_jsonl(spark, f"{tmp_path}/j", "id long").count() == 6
+
+
+def test_row_sets_rotate_by_kind(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(files.ROTATE, "trip", 4)
+    rows = spark.range(10).coalesce(1)
+    assert files.write_row_sets({"feed": rows, "trip": rows}, f"{tmp_path}/o") == {"feed": 10, "trip": 10}
+    assert len(list((tmp_path / "o/trip").glob("*.zstd.parquet"))) == 3 and len(list((tmp_path / "o/feed").glob("*.zstd.parquet"))) == 1
+
+
+def test_streams_by_hour_and_latest(spark, tmp_path):
+    rows = [(k, k % 3, f"2026-01-01 0{k // 10}:{k % 10}0:00".replace("60:", "50:") if k % 10 < 6 else f"2026-01-01 0{k // 10}:5{k % 10}:00") for k in range(30)]
+    schema = "id long, u long, ts timestamp"
+    make = lambda some: spark.createDataFrame(some, "id long, u long, ts string").selectExpr("id", "u", "timestamp(ts) AS ts").coalesce(1)
+    make(rows[:20]).write.parquet(str(tmp_path / "in"))
+    source = lambda: dedup.source(spark, str(tmp_path / "in"), schema, "ts")
+    into = f"file://{tmp_path}/latest"
+    got = {r.u: r.id for r in dedup.result(dedup.latest(source(), ["u"], [], ["ts", "id"]), spark, into).collect()}
+    best = lambda some: {u: max((r[2], r[0]) for r in some if r[1] == u)[1] for u in range(3)}
+    assert got == best(rows[:20])
+    make(rows[20:]).write.mode("append").parquet(str(tmp_path / "in"))
+    got = {r.u: r.id for r in dedup.result(dedup.latest(source(), ["u"], [], ["ts", "id"]), spark, into, every="1 second").collect()}
+    assert got == best(rows)
+    hours = {r.hour.hour: r.n for r in dedup.result(dedup.hourly(source(), "ts"), spark).collect()}
+    assert hours == {0: 10, 1: 10, 2: 10}

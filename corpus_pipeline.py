@@ -1,7 +1,14 @@
 """The training-data pipeline: from ``documents`` to packed sequences.
 
 Each stage works on all rows that the one before kept. All but the last return the
-columns of ``documents``; the last returns a row for each piece of a sequence.
+columns of ``documents``, whatever these are; the last returns a row for each piece of a
+sequence.
+
+Defined results: null text counts as empty in every stage; a text without words is not
+toxic by itself, equals every other empty text, and is left out of the mix, to which it
+would add nothing; of rows that repeat an id each stage decides as its operator says;
+null ids are carried, and give way to rows with an id in groups of copies; very long
+texts are taken whole; an empty table passes through as one.
 """
 
 from __future__ import annotations
@@ -15,26 +22,29 @@ from wayfold.llm.common import write_table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models (fitted on ``labels``) don't reject."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where("score < 0.5").select(*docs.columns)
+    return toxicity.keep_clean(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, the one with the largest id; rows that
+    repeat that id and text stay together."""
     return exact_dedup.keep_one(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of linked SimHash fingerprints."""
+    """One document of each component of linked SimHash fingerprints, the one with the
+    least id; rows that repeat that id stay together."""
     return simhash_dedup.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them, whole ones only; a null
+    source is a source of its own."""
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences and their places."""
+    """Pieces of token sequences and their places; every row is packed on its own."""
     return packing.pack(docs)
 
 

@@ -129,9 +129,9 @@ def test_lines(spark, awkward, empty):
 def distance(a, b):
     """Levenshtein distance, row by row."""
     last = np.arange(len(b) + 1)
-    y = np.array([ord(c) for c in b])
+    y = np.array(list(b))
     for k, c in enumerate(a, 1):
-        step = np.minimum(last[1:] + 1, last[:-1] + (y != ord(c)))
+        step = np.minimum(last[1:] + 1, last[:-1] + (y != c))
         now = np.minimum.accumulate(np.concatenate(([k], step)) - np.arange(len(b) + 1)) + np.arange(len(b) + 1)
         last = now
     return int(last[-1])
@@ -151,6 +151,8 @@ def line_groups(rows):
             q = prints[a] ^ prints[b]
             if q.bit_count() <= line_dedup.MAX_BITS and sum((q >> o & ((1 << w) - 1)) == 0 for o, w in line_dedup.BLOCKS) >= 2:
                 x, y = rows[a][1], rows[b][1]
+                if max(len(x), len(y)) > line_dedup.LONG:  # by words
+                    x, y = x.split(), y.split()
                 near = distance(x, y) <= 0.2 * max(len(x), len(y)) + 1e-9
                 rejected += not near
                 pairs += [(a, b)] * near
@@ -173,6 +175,9 @@ def test_near_lines_against_brute_force(spark):
                 copy[rng.randrange(n)] += "x"
                 lines.append(copy)
             lines.append(rng.sample(base, n))
+    for _ in range(6):  # longer than LONG
+        base = [word() for _ in range(120)]
+        lines += [base, rng.sample(base, 120), [w + "x" if rng.random() < 0.02 else w for w in base], base[:100], base[: rng.randrange(90, 100)]]
     dense = [word() for _ in range(60)]
     lines += [dense[:k] + ["changed"] + dense[k + 1 :] for k in range(50)]
     rows = sorted({" ".join(x) for x in lines})

@@ -8,6 +8,7 @@ import gc
 import re
 import tempfile
 import uuid
+from math import ceil
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,14 +38,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
+def write_table(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` as Parquet (with ``options``) into the shared folder and read it back.
 
     This cuts lineage: a lost executor costs only the tasks after this table.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/wayfold-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _written.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._wf_path = path
@@ -98,6 +99,37 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
+#: Bits of a block of a filter, and bytes of a filter, at most.
+FILTER_BLOCK, FILTER_BYTES = 32_768, 64 << 20
+
+
+def _filter_place(df: DataFrame, key: str, blocks: int) -> DataFrame:
+    h = F.xxhash64(F.lit("filter"), F.col(key))
+    bit = F.shiftrightunsigned(h, 40).bitwiseAND(F.lit(FILTER_BLOCK - 1)).cast("int")
+    return df.withColumns({f"{OWN}block": F.pmod(h, F.lit(blocks)).cast("int"), f"{OWN}bit": bit})
+
+
+def maybe_in(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is in the written table ``wanted``, and a few others: a
+    filter in blocks of bits is sent to all tasks, which so drop most rows that a join
+    with ``wanted`` would drop, before they are shuffled. The filter grows with
+    ``wanted`` up to FILTER_BYTES; beyond, it only drops fewer rows."""
+    n = wanted.count()
+    blocks = max(1, min(ceil(n * 32 / FILTER_BLOCK), FILTER_BYTES * 8 // FILTER_BLOCK))
+    bits = F.expr(f"shiftleft(1L, {OWN}bit & 63)")
+    longs = _filter_place(wanted.select(key), key, blocks).select(f"{OWN}block", F.shiftright(f"{OWN}bit", 6).alias("at"), bits.alias("bits"))
+    # all longs of all blocks, so that a block is an array in order
+    every = wanted.sparkSession.range(blocks * FILTER_BLOCK // 64)
+    every = every.selectExpr(f"cast(id div {FILTER_BLOCK // 64} as int) as {OWN}block", f"cast(id % {FILTER_BLOCK // 64} as int) as at", "0L as bits")
+    longs = longs.unionByName(every).groupBy(f"{OWN}block", "at").agg(F.bit_or("bits").alias("bits"))
+    maps = longs.groupBy(f"{OWN}block").agg(F.sort_array(F.collect_list(F.struct("at", "bits"))).alias("m"))
+    maps = write_table(maps.select(f"{OWN}block", F.col("m.bits").alias(f"{OWN}map")), "bits")
+    # at most FILTER_BYTES
+    tested = _filter_place(rows, key, blocks).join(F.broadcast(maps), f"{OWN}block")
+    hit = F.expr(f"getbit({OWN}map[shiftright({OWN}bit, 6)], {OWN}bit & 63) = 1")
+    return tested.where(hit).drop(f"{OWN}block", f"{OWN}bit", f"{OWN}map")
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Components of an undirected graph of longs, by alternating large-star and
     small-star steps.
@@ -137,14 +169,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Links each larger neighbour of u to the least of u's neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    linked = both.where("v > u").join(write_table(least, "least"), "u")
+    linked = both.where("v > u").join(write_table(least, "least").hint("shuffle_hash"), "u")
     return linked.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links u and its smaller neighbours to the least of them (edges have u > v)."""
     least = write_table(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
-    moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = edges.join(least.hint("shuffle_hash"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     kept = least.select("u", F.col("m").alias("v"))
     return moved.unionByName(kept).where("u <> v").distinct()
 

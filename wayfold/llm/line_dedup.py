@@ -17,7 +17,7 @@ only nodes that aren't yet connected with that leader are compared with the othe
 under their pair of blocks. That loses no link between groups.
 
 Lines of more than LONG characters are compared by words instead of characters, each
-word being coded as one of 2 ** 14 characters, since the work grows with the square.
+word being coded as one of 51,200 characters, since the work grows with the square.
 
 Defined results: null text counts as empty; lines without a letter or digit are
 always kept, as a group of their own; null ids sort last; of rows that repeat an id,
@@ -31,11 +31,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, drop_table, write_table
+from .common import connected_components, drop_table, maybe_in, write_table
 
-SURE_BITS, MAX_BITS, MIN_SIMILARITY = 3, 10, 0.8
+SURE_BITS, MAX_BITS, MIN_SIMILARITY = 3, 8, 0.8
 #: Longest line whose edit distance is counted in characters.
-LONG = 4_096
+LONG = 512
 #: First bit and width of the five blocks, and the pairs of blocks.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 PAIRS = tuple((i, j) for i in range(5) for j in range(i + 1, 5))
@@ -49,6 +49,14 @@ def _lanes(hashes: str) -> list[str]:
     return [f"aggregate({hashes}, 0L, (s, x) -> s + (shiftrightunsigned(x, {k}) & {_LANES}L))" for k in range(8)]
 
 
+def _majority(sums: list[str], least: str) -> str:
+    """SQL for the bits whose counters, none above _CHUNK, reach ``least``: adding 128
+    less that to each sets a counter's top bit. The uppermost would set the sign."""
+    low = [f"shiftrightunsigned(({s} & {(1 << 56) - 1}L) + (128 - {least}) * {_LANES >> 8}L & {0x80 * (_LANES >> 8)}L, {7 - k})" for k, s in enumerate(sums)]
+    top = [f"if(shiftrightunsigned({s}, 56) >= {least}, shiftleft(1L, {56 + k}), 0L)" for k, s in enumerate(sums)]
+    return " | ".join([*low, *top])
+
+
 def _long_simhash(hashes: str) -> str:
     """SQL for the SimHash of any number of hashes, chunk by chunk."""
     lanes = f"transform(sequence(1, size({hashes}), {_CHUNK}), i -> transform(array(slice({hashes}, i, {_CHUNK})), c -> array({', '.join(_lanes('c'))}))[0])"
@@ -69,7 +77,7 @@ def with_simhash(lines: DataFrame) -> DataFrame:
     hashed = lines.withColumn("h", F.expr("if(norm = '', null, array_distinct(transform(split(norm, ' '), w -> xxhash64(w))))"))
     short = hashed.withColumn("short", F.expr(f"if(size(h) <= {_CHUNK}, h, null)"))
     sums = short.select(*names, "h", F.size("h").alias("n"), *[F.expr(x).alias(f"s{k}") for k, x in enumerate(_lanes("short"))])
-    bits = " | ".join(f"if((shiftrightunsigned(s{b % 8}, {b // 8 * 8}) & 255) * 2 > n, shiftleft(1L, {b}), 0L)" for b in range(64))
+    bits = _majority([f"s{k}" for k in range(8)], "(n div 2 + 1)")
     return sums.select(*names, F.expr(f"case when h is null then null when n <= {_CHUNK} then {bits} else {_long_simhash('h')} end").alias("sim"))
 
 
@@ -79,53 +87,81 @@ def _pair_key(k: int) -> str:
     return f"(shiftrightunsigned(sim, {a}) & {(1 << wa) - 1}L) | shiftleft(shiftrightunsigned(sim, {b}) & {(1 << wb) - 1}L, 13) | {k << 26}L"
 
 
-def _within(a: str, b: str, size: str) -> str:
-    """Whether the edit distance is within its share of the longer length. Small
-    distances are tried first: the work grows with the distance that is allowed."""
-    most = f"cast(floor({1 - MIN_SIMILARITY:.6f}D * greatest({size.format(a)}, {size.format(b)}) + 1e-9) as int)"
-    steps = " or ".join(f"({most} > {k} and levenshtein({a}, {b}, {k}) >= 0)" for k in (16, 64, 256))
-    return f"(abs({size.format(a)} - {size.format(b)}) <= {most} and ({steps} or levenshtein({a}, {b}, {most}) >= 0))"
+def _within(a: str, b: str) -> str:
+    """Whether the edit distance is within its share of the longer length."""
+    return f"(abs(length({a}) - length({b})) <= {_most(a, b)} and levenshtein({a}, {b}, {_most(a, b)}) >= 0)"
+
+
+def _most(a: str, b: str) -> str:
+    return f"cast(floor({1 - MIN_SIMILARITY:.6f}D * greatest(length({a}), length({b})) + 1e-9) as int)"
+
+
+def _coded(line: str) -> str:
+    """SQL for a line with each word coded as one character."""
+    return f"decode(unhex(array_join(transform(split({line}, ' '), w -> hex(4096 + pmod(xxhash64(w), 51200))), '')), 'UTF-16BE')"
+
+
+def _longest(line: str) -> str:
+    return f"array_max(transform(split({line}, ' '), w -> length(w)))"
 
 
-def similar(a: str, b: str) -> str:
-    """SQL for whether two normalised lines have the edit similarity."""
-    coded = "decode(unhex(array_join(transform(split({}, ' '), w -> hex(16384 + (xxhash64(w) & 16383))), '')), 'UTF-16BE')"
-    words = f"transform(array(struct({coded.format(a)} as x, {coded.format(b)} as y)), p -> {_within('p.x', 'p.y', 'length({})')})[0]"
-    return f"case when greatest(length({a}), length({b})) <= {LONG} then {_within(a, b, 'length({})')} else {words} end"
+#: Whether lines ``a.norm`` and ``b.norm`` have the edit similarity. Their words coded as
+#: characters are compared first, which takes little work. An edited word costs no more
+#: edits than its length and a space, so few edited words settle the matter; only other
+#: pairs are compared in characters.
+SIMILAR = (
+    f"case when greatest(length(a.norm), length(b.norm)) > {LONG} then {_within('a.coded', 'b.coded')} "
+    f"when abs(length(a.norm) - length(b.norm)) > {_most('a.norm', 'b.norm')} then false "
+    f"else levenshtein(a.coded, b.coded, cast({_most('a.norm', 'b.norm')} div (1 + greatest(a.longest, b.longest)) as int)) >= 0 or {_within('a.norm', 'b.norm')} end"
+)
 
 
 def _edges(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of candidate pairs ``a, b`` of nodes those whose lines are similar enough."""
     pairs = write_table(pairs.distinct(), "candidates")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    texts = write_table(lines.select("row", "norm").join(asked, "row"), "texts")
-    both = pairs.join(texts.select(F.col("row").alias("a"), F.col("norm").alias("na")), "a")
-    both = both.join(texts.select(F.col("row").alias("b"), F.col("norm").alias("nb")), "b")
-    edges = write_table(both.where(F.expr(similar("na", "nb"))).select("a", "b"), "edges")
-    drop_table(pairs, texts)
+    asked = write_table(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "asked")
+    texts = maybe_in(lines.select("row", "norm"), asked, "row").join(asked.hint("shuffle_hash"), "row")
+    texts = texts.select("row", F.struct("norm", F.expr(_coded("norm")).alias("coded"), F.expr(_longest("norm")).alias("longest")).alias("x"))
+    texts = write_table(texts, "texts")
+    both = pairs.withColumnsRenamed({"a": "p", "b": "q"})
+    both = both.join(texts.select(F.col("row").alias("p"), F.col("x").alias("a")).hint("shuffle_hash"), "p")
+    both = both.join(texts.select(F.col("row").alias("q"), F.col("x").alias("b")).hint("shuffle_hash"), "q")
+    edges = write_table(both.where(F.expr(SIMILAR)).select(F.col("p").alias("a"), F.col("q").alias("b")), "edges")
+    drop_table(pairs, texts, asked)
     return edges
 
 
 def _groups(lines: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, root`` of the nodes that are linked to others."""
     keyed = nodes.select("node", "sim", "n", F.explode(F.array(*[F.expr(_pair_key(k)) for k in range(len(PAIRS))])).alias("key"))
+    # of two nodes alone the sums hold all that it takes to compare them
+    sums = [F.count("*").alias("rows"), F.bit_xor("sim").alias("apart"), F.min("node").alias("a"), F.max("node").alias("b")]
+    shared = keyed.groupBy("key").agg(*sums).where(f"rows > 2 OR rows = 2 AND bit_count(apart) <= {MAX_BITS}")
+    shared = write_table(shared.drop("apart"), "shared")
+    many = write_table(shared.where("rows > 2").select("key"), "many")
+    # nodes whose keys have no more are gone before anything is shuffled
+    crowded = write_table(maybe_in(keyed, many, "key"), "crowded")
     # the most frequent line of each key; both aggregates see the rows in one order
-    first = keyed.groupBy("key").agg(F.count("*").alias("rows"), F.max_by("node", "n").alias("leader"), F.max_by("sim", "n").alias("lead_sim"))
-    crowded = keyed.join(first.where("rows > 1"), "key").select("key", "node", "sim", "leader", "lead_sim")
-    crowded = write_table(crowded, "crowded")
-    near = f"bit_count(sim ^ lead_sim) <= {MAX_BITS} AND node <> leader"
-    star = _edges(lines, crowded.where(near).select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")))
+    first = crowded.groupBy("key").agg(F.count("*").alias("rows"), F.max_by("node", "n").alias("leader"), F.max_by("sim", "n").alias("lead_sim"))
+    first = write_table(first.where("rows > 2"), "leaders")
+    crowded = crowded.join(first.hint("shuffle_hash"), "key").where("node <> leader").select("key", "node", "sim", "leader", "lead_sim")
+    crowded = write_table(crowded, "compared")
+    near = crowded.where(f"bit_count(sim ^ lead_sim) <= {MAX_BITS}")
+    near = near.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
+    star = _edges(lines, near.unionByName(shared.where("rows = 2").select("a", "b")))
+    drop_table(shared, many)
     led = write_table(connected_components(star), "led")
 
-    named = crowded.select("key", "node", "sim", "leader").join(led, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = crowded.select("key", "node", "sim", "leader").join(led.hint("shuffle_hash"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     of_leader = led.select(F.col("node").alias("leader"), F.col("root").alias("lead_root"))
-    named = named.join(of_leader, "leader", "left").withColumn("odd", F.coalesce("lead_root", "leader") != F.col("root"))
+    named = named.join(of_leader.hint("shuffle_hash"), "leader", "left").withColumn("odd", F.coalesce("lead_root", "leader") != F.col("root"))
     named = write_table(named.select("key", "node", "sim", "root", "odd"), "named")
-    x, y = named.where("odd").alias("x"), named.alias("y")
+    odd = write_table(named.where("odd").drop("odd"), "odd")
+    x, y = odd.alias("x"), maybe_in(named, odd, "key").alias("y")
     apart = f"x.root <> y.root AND (NOT y.odd OR x.node < y.node) AND bit_count(x.sim ^ y.sim) <= {MAX_BITS}"
     rest = x.join(y, F.expr(f"x.key = y.key AND {apart}")).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     rest = _edges(lines, rest)
-    drop_table(crowded, named, star)
+    drop_table(crowded, named, star, odd)
     if rest.isEmpty():
         return led
     return connected_components(led.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest))
@@ -135,20 +171,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``<id>, line_no, keep_id, keep_line_no, group_size, kept`` of every line."""
     lines = lines_of(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     lines = with_simhash(lines.withColumns({"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("2"), F.col("norm"))}))
-    lines = write_table(lines, "lines")
+    # hardly a value stands twice, so dictionaries are no use
+    lines = write_table(lines, "lines", **{"parquet.enable.dictionary": "false"})
     nodes = lines.where("sim IS NOT NULL").groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("sim").alias("sim"), F.count("*").alias("n"))
     nodes = write_table(nodes, "nodes")
     roots = write_table(_groups(lines, nodes), "components")
 
     # lines that stand alone keep themselves; only the others are grouped
-    several = nodes.select("k1", "k2", "node", "n").join(roots, "node", "left").where("n > 1 OR root IS NOT NULL")
+    several = nodes.select("k1", "k2", "node", "n").join(roots.hint("shuffle_hash"), "node", "left").where("n > 1 OR root IS NOT NULL")
     several = write_table(several.select("k1", "k2", F.coalesce("root", "node").alias("root")), "several")
     narrow = lines.select("id", "line_no", "k1", "k2", F.col("sim").isNull().alias("blank"))
-    marked = write_table(narrow.where("NOT blank").join(several, ["k1", "k2"], "left").select("id", "line_no", "root"), "marked")
+    marked = write_table(narrow.where("NOT blank").join(several.hint("shuffle_hash"), ["k1", "k2"], "left").select("id", "line_no", "root"), "marked")
     at = F.struct(F.col("id").isNull().alias("null_id"), "id", "line_no")
     groups = marked.where("root IS NOT NULL").groupBy("root").agg(F.min(at).alias("keep"), F.count("*").alias("group_size"))
     groups = write_table(groups.select("root", F.col("keep.id").alias("keep_id"), F.col("keep.line_no").alias("keep_line_no"), "group_size"), "groups")
-    found = marked.join(groups, "root").drop("root")
+    found = marked.join(groups.hint("shuffle_hash"), "root").drop("root")
     alone = narrow.where("blank").select("id", "line_no").unionByName(marked.where("root IS NULL").drop("root"))
     alone = alone.select("id", "line_no", F.col("id").alias("keep_id"), F.col("line_no").alias("keep_line_no"), F.lit(1).cast("long").alias("group_size"))
     kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("line_no") == F.col("keep_line_no"))

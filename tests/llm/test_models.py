@@ -366,3 +366,91 @@ def test_short_secrets_after_a_name(spark):
     values = ["Tr0ub4dor3", "Tr0ub4dor3", "k9!xQ2$z", "QwJxbZkvHgTpRmNcLdYs", "aB3$efgh.Ijk1@mno", "Summer2024!", "Zk4!pw9Q"]
     for k, x in rows:
         assert texts[k] == (x.replace(values[k], "[SECRET]") if k < len(values) else x)
+
+
+@pytest.fixture(scope="module")
+def secrets_model(spark):
+    return secret_scan.train(secret_scan.labelled_findings(spark))
+
+
+def test_secrets_of_names_and_shapes_not_seen(spark, secrets_model):
+    """Findings whose names, contexts and values training never drew."""
+    seen, unseen = secret_scan.labelled_findings(spark), secret_scan.labelled_findings(spark, held_out=True)
+    assert seen.join(unseen, ["b", "c"]).count() == 0
+    got = secret_scan.quality(secrets_model, unseen)
+    assert got["precision"] > 0.95 and got["recall"] > 0.7, got
+
+
+def plain_candidates(text):
+    """The candidates of a text by the rules of the docstring, character by character."""
+    run = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-")
+    out, k = [], 0
+    while k < len(text):
+        end = k
+        while end < len(text) and text[end] in run:
+            end += 1
+        if end - k >= secret_scan.MIN_LENGTH and any(c.isdigit() for c in text[k:end]):
+            out.append(text[k:end])
+        k = max(end, k + 1)
+    return out
+
+
+def test_candidates_and_features_against_plain_code(spark, secrets_model):
+    rng = random.Random(23)
+    pieces = ["plain words", "a1b2c3d4e5f6a7b8c9", "x" * 20, "1234567890123456", "aB3+/=_-aB3+/=_-Q", " ", "\n", ",", "(", "12 34", "tiny7", "/usr/share/name-of-a-file-7"]
+    rows = [(k, "".join(rng.choice(pieces) for _ in range(12))) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {}
+    for r in secret_scan.candidates(docs).orderBy("doc_id", "k").collect():
+        found.setdefault(r.doc_id, []).append(r)
+    for k, text in rows:
+        own = found.get(k, [])
+        assert [r.c for r in own] == plain_candidates(text), text
+        at = 0
+        for r in own:
+            at = text.index(r.c, at)
+            # contexts end at the candidates beside
+            assert text[:at].endswith(r.b) and text[at + len(r.c) :].startswith(r.a) and len(r.b) <= secret_scan.BEFORE
+            at += len(r.c)
+    rows = [("the userToken is ", "Summer-garden-99", " or"), ("", "zzzz", "")]
+    model = secret_scan.SecretModel(None, {"token": 2.0, "is": -1.5}, ["summer", "garden", "summers"])
+    names = list(secret_scan.FEATURES)
+    a, b = (dict(zip(names, r.features.toArray())) for r in model.with_features(spark.createDataFrame(rows, "b string, c string, a string")).collect())
+    want = {"length": 16, "digits": 2 / 16, "upper": 1 / 16, "lower": 11 / 16, "other": 2 / 16, "hex": 0, "changes": 6 / 16, "dictionary": 12 / 16, "word": -1.5, "word_before": 2.0, "words_for": 2.0, "words_against": -1.5}
+    assert {k: round(a[k], 9) for k in want} == {k: round(v, 9) for k, v in want.items()}
+    assert b["length"] == 4 and b["dictionary"] == b["word"] == b["words_for"] == b["words_against"] == 0 and b["letters"] == 1
+
+
+def test_equal_rows_get_equal_results(spark, secrets_model):
+    """Rows repeated, with the same id or with others, or without one."""
+    base = [("lorem ipsum dolor amet", "xx"), ("kwik zwak vlog bronk", "yy"), ('password = "Tr0ub4dor3" and sha256:9c8b45435718dcc700c184a7e303cdc6', "xx"), (None, None), ("", "yy"), ("word " * 40_000, "xx")]
+    rows = [(i, x, lang) for i in (1, 1, 2, 5, 6, 7, None, None) for x, lang in base]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(k, k % 2) for k in range(10)], "doc_id long, toxic int")
+    found = language_id.identify(docs).collect()
+    assert len(found) == len(rows)
+    for text in {r.text for r in found}:
+        assert len({(r.lang_pred, r.score) for r in found if r.text == text}) == 1
+    assert all((r.lang_pred == "und" and r.score == 0) == (not r.text) for r in found)
+    found = toxicity.toxicity(docs, marks).collect()
+    assert len(found) == len(rows)
+    for text in {r.text for r in found}:
+        assert len({r.score for r in found if r.text == text}) == 1
+    found = secret_scan.scan(docs, secrets_model).collect()
+    assert len(found) == 16 and len({(r.k, r.candidate, r.score) for r in found}) == 2
+    clean = secret_scan.redacted(docs, secrets_model)
+    assert clean.count() == len(rows) and clean.where("text LIKE '%Tr0ub4dor3%'").count() == 0
+
+
+def test_mixed_documents_of_equal_rows(spark, empty):
+    rows = [(None, "a b c d", "s", k) for k in range(40)] + [(k, "a b c d", "s", k) for k in range(40)] + [(100 + k, "x y", "t", k) for k in range(30)] + [(1, "a b", None, 0), (2, None, "t", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns and out.where("text IS NULL").count() == 0
+    assert mixing.mixed_documents(empty).count() == 0
+    taken = {}
+    for r in out.collect():
+        taken[r.source] = taken.get(r.source, 0) + len(r.text.split())
+    wanted = {r.source: r.target for r in mixing.mix(docs).collect()}
+    # rows that are equal count as one choice: the 40 without an id stand or fall together
+    assert all(abs(taken.get(s, 0) - wanted[s]) <= 40 * 4 / 2 + 2 for s in wanted)

@@ -1,7 +1,8 @@
 """Exact dedup by two-pass Bloom filtering, in DataFrame operations only.
 
-Pass 1 counts how many rows hit each filter position and keeps the positions hit
-at least twice as a blocked bitmap. Pass 2 tests every row against the bitmap:
+Pass 1 counts how many rows hit each filter position (by narrow rows of position and
+count, summed up before they are shuffled) and keeps the positions hit at least twice as
+a blocked bitmap. Pass 2 tests every row against the bitmap:
 a row at a position that was hit once is certainly unique and passes straight
 through; only the others are shuffled, grouped by their SHA-256 and resolved
 exactly. The bitmap has a fixed upper size, so it may be broadcast at any input
@@ -9,8 +10,8 @@ size; a fuller filter only lets more unique rows take the shuffled way.
 
 Defined results: null text counts as empty; equal texts are equal after
 lower-casing A-Z; of equal texts the largest id stays (nulls lowest), and rows
-that repeat the winning id stay with it, as nothing tells them apart; an empty
-table gives an empty table. An input column named like an output column is
+that repeat the winning id stay with it, as nothing tells them apart; texts have no
+upper length; an empty table gives an empty table. An input column named like an output column is
 replaced.
 """
 

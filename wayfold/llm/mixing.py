@@ -59,9 +59,10 @@ def source_targets(sizes: DataFrame, source: str = "source") -> DataFrame:
     return s.select(source, "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cut: str = "exact") -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cut: str = "exact", text_hash: bool = False) -> DataFrame:
     """Per document: id, source, size, source_size, target and taken, the words
-    that the mix takes from it (repeats counted).
+    that the mix takes from it (repeats counted); and ``text_hash``, if asked for,
+    which then settles the order of rows of the same id and size, too.
 
     ``cut="exact"`` takes the first words of the one document at which a source's
     last epoch ends; ``cut="document"`` takes that document whole if its middle
@@ -72,6 +73,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            *[F.xxhash64(text_col).alias("text_hash")] * text_hash,
         ),
         "sizes",
     )
@@ -87,7 +89,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     keyed = narrow.join(plan.drop("has"), narrow["source"].eqNullSafe(plan["source"])).drop(plan["source"])
     keyed = keyed.withColumns({"key": key, "range": F.floor(part * F.col("ranges")).cast("int")}).drop("n", "ranges")
     keyed = keyed.withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"))
-    unit = ["source", "range", "key", "id", "size", "salt"]
+    unit = ["source", "range", "key", "id", "size", *["text_hash"] * text_hash, "salt"]
     # the copies of a unit stand one after the other
     copy = F.row_number().over(Window.partitionBy(*unit).orderBy(F.lit(0))) - 1
     keyed = write_table(keyed.withColumn("copy", copy), "keyed")
@@ -96,7 +98,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     along = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = units.groupBy("source", "range").agg(F.sum(words).alias("words"))
     before = sums.select(F.col("source").alias("s2"), F.col("range").alias("r2"), F.coalesce(F.sum("words").over(along), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("source", "range").orderBy("key", "id", "size", "salt").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "range").orderBy(*unit[2:]).rowsBetween(Window.unboundedPreceding, -1)
     units = units.withColumn("inside", F.coalesce(F.sum(words).over(inside), F.lit(0)))
     units = units.join(before, F.col("source").eqNullSafe(F.col("s2")) & (F.col("range") == F.col("r2")))
     units = write_table(units.select(*[F.col(c).alias(f"u_{c}") for c in unit], "copies", "before", "inside"), "places")
@@ -113,19 +115,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     elif cut != "exact":
         raise ValueError(f"cut must be 'exact' or 'document', not {cut!r}")
     taken = (full * F.col("size") + last).cast("long")
-    return placed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", taken.alias("taken"))
+    return placed.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", taken.alias("taken"), *["text_hash"] * text_hash)
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: each document as often as its source's epochs take it.
 
     Whole documents only, so a source meets its target to within half a document.
-    A document without words adds nothing to a mix and is left out. Rows that
-    share an id (null too) are all taken as often as the one taken most.
+    A document without words adds nothing to a mix and is left out. Rows that are equal
+    in id, source and text are all taken equally often, as often as they are on average.
     """
-    times = mix(docs, id_col, text_col, source_col, cut="document")
-    times = times.where("size > 0 AND taken > 0").select(F.col(id_col).alias(f"{OWN}id"), F.expr("cast(taken div size as int)").alias(f"{OWN}times"))
-    times = times.groupBy(f"{OWN}id").agg(F.max(f"{OWN}times").alias(f"{OWN}times"))
-    out = docs.join(times, F.col(id_col).eqNullSafe(F.col(f"{OWN}id"))).drop(f"{OWN}id")
+    times = mix(docs, id_col, text_col, source_col, cut="document", text_hash=True).where("size > 0")
+    own = {"id": F.col(id_col), "source": F.col(source_col), "hash": F.col("text_hash")}
+    times = times.groupBy(*[c.alias(f"{OWN}{k}") for k, c in own.items()])
+    times = times.agg(F.round(F.sum(F.expr("taken div size")) / F.count("*")).cast("int").alias(f"{OWN}times")).where(f"{OWN}times > 0")
+    # written apart from the join, which Spark can then split where many rows are equal
+    times = write_table(times, "times")
+    same = F.col(id_col).eqNullSafe(F.col(f"{OWN}id")) & F.col(source_col).eqNullSafe(F.col(f"{OWN}source")) & (F.xxhash64(text_col) == F.col(f"{OWN}hash"))
+    out = docs.join(times, same).drop(f"{OWN}id", f"{OWN}source", f"{OWN}hash")
     out = out.withColumn(f"{OWN}copy", F.explode(F.sequence(F.lit(1), F.col(f"{OWN}times"))))
     return out.drop(f"{OWN}times", f"{OWN}copy")

@@ -23,7 +23,9 @@ and not the pairs; components are then found over all cells.
 Defined results: null text counts as empty and has fingerprint zero, as has any
 text without a word; fingerprint zero links like any other. Null ids are carried,
 and count as larger than any other id for component_id. Rows with the same id are
-kept, each with its own fingerprint.
+kept, each with its own fingerprint; very long texts are taken whole; other columns of
+the input, whatever their names, aren't looked at (:func:`keep_one` carries them along);
+an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -227,12 +227,12 @@ class Model:
         if len(words) > 1 and len(self.contexts):
             left = _left_of(words, ends)
             p = p * self.backoff[:, self._find(self.contexts, left)] + self.pair_p[:, self._find(self.pairs, pair_hash(left, words))]
-        line = np.concatenate(([0.0], np.cumsum(np.log(p[0]) - np.log(p[1]))))
+        line = np.log(p[0]) - np.log(p[1])
         out = np.zeros((len(ends), 2))
         start = 0
         for k, end in enumerate(ends.tolist()):
             if end > start:
-                own = line[start : end + 1]
+                own = np.concatenate(([0.0], np.cumsum(line[start:end])))
                 out[k, 0] = (own[-1] - own[0]) / (end - start)
                 w = min(WINDOW, end - start)
                 out[k, 1] = (own[w:] - own[:-w]).max() / w
@@ -389,3 +389,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     model = train(docs, labels, id_col, text_col)
     out = score(docs.drop("held_out", "predicted"), model, text_col, carry_text)
     return out.withColumns({"held_out": held_out(id_col), "predicted": F.when(F.col("score") >= 0.5, 1).otherwise(0)})
+
+
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the model doesn't reject, with their own columns only."""
+    names = docs.columns
+    own = docs.select(*[F.col(f"`{c}`").alias(f"{OWN}c{i}") for i, c in enumerate(names)])
+    out = score(own, model, f"{OWN}c{names.index(text_col)}").where("score < 0.5")
+    return out.select(*[F.col(f"{OWN}c{i}").alias(c) for i, c in enumerate(names)])

@@ -24,7 +24,7 @@ LIMITED, SPARSE = "limited sample", "low data availability"
 
 def service_label(mode: Column, name: Column, ends: Column | None = None) -> Column:
     """``Tram line M4 (A → B)``: mode, line, and the first direction if there is one."""
-    label = F.concat(F.when(mode == "Regional rail", "Regional-rail").otherwise(F.coalesce(mode, F.lit("Service"))), F.lit(" line "), name)
+    label = F.concat(F.when(mode == "Regional rail", "Regional-rail").otherwise(F.coalesce(mode, F.lit("Service"))), F.lit(" line "), F.coalesce(name, F.lit(t.UNNAMED)))
     if ends is None:
         return label
     return F.concat(label, F.coalesce(F.concat(F.lit(" ("), F.split_part(ends, F.lit(" / "), F.lit(1)), F.lit(")")), F.lit("")))

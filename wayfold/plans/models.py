@@ -125,9 +125,13 @@ class Models:
 
     # event grain: the latest observation of each stop event
 
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        return self.feed.feed_snapshots
+
     @cached_property
     def unique_stop_events(self) -> DataFrame:
-        seen = self._observations.join(self.feed.feed_snapshots.select("snapshot_id", F.col("request_started_at").alias("observed_at_utc")), "snapshot_id")
+        seen = self._observations.join(self.snapshots.select("snapshot_id", F.col("request_started_at").alias("observed_at_utc")), "snapshot_id")
         # newest first; the last columns only settle rows that are equal otherwise
         newest = [F.desc_nulls_first("observed_at_utc"), F.desc_nulls_first("snapshot_id")]
         newest += [F.desc_nulls_last(c) for c in ("arrival_delay_seconds", "departure_delay_seconds", "stop_schedule_relationship")]

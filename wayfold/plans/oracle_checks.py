@@ -27,7 +27,7 @@ PATHS = f"""SELECT q.service_key, transport_mode, agency_name, route_id, shape_i
   LEFT JOIN {termini(True)} t ON q.service_key = t.service_key WHERE len(map_path_coordinates) >= 2"""
 SERVICES = """SELECT route_type, count(*) AS unique_stop_events, count(DISTINCT route_id) AS route_ids, string_agg(DISTINCT route_display_name, ', ' ORDER BY route_display_name) AS example_services
   FROM stop_events_enriched WHERE {0} GROUP BY 1"""
-LABEL = "replace(transport_mode, 'Regional rail', 'Regional-rail') || ' line ' || route_display_name"
+LABEL = "coalesce(replace(transport_mode, 'Regional rail', 'Regional-rail'), 'Service') || ' line ' || coalesce(route_display_name, 'Unnamed route')"
 FIVE = f"""SELECT scope_mode, scope_region, row_number() OVER (PARTITION BY scope_mode, scope_region ORDER BY {{0}} DESC, late_percentage DESC, delay_reported_events DESC, service_key) AS place, service_key, {LABEL} AS line_label,
   late_percentage, late_events, delay_reported_events FROM (SELECT *, {RATES} FROM line_metrics WHERE delay_reported_events >= 100) QUALIFY place <= 5"""
 LINE_STOPS = f"""SELECT *, {RATES} FROM (SELECT station_display_name AS station_name, avg(station_lat) AS station_lat, avg(station_lon) AS station_lon, count(*) AS unique_stop_events, count({D}) AS delay_reported_events,

@@ -14,7 +14,7 @@ from ..session import shared_dir
 from .models import Models
 
 #: Models that others read from, in the order of their making.
-STORED = ("unique_stop_events", "stop_events_enriched", "stop_events_geographic", "trip_stop_patterns", "line_direction_reference", "stop_events_line_focus")
+STORED = ("snapshots", "unique_stop_events", "stop_events_enriched", "stop_events_geographic", "trip_stop_patterns", "line_direction_reference", "stop_events_line_focus")
 STORED += ("scope_metrics", "station_metrics", "line_metrics", "hour_metrics", "region_metrics", "category_metrics")
 
 _tables: dict[tuple, str] = {}
@@ -82,6 +82,7 @@ class Stored(Models):
     session, and again only when the source folder changes."""
 
     def stored(self, name: str) -> DataFrame:
+        """The written table of a model, which is made if it isn't there."""
         spark, folder = self.feed._spark, self.feed._dir
         key = (spark.sparkContext.applicationId, folder, self._folder_version, name)
         if key not in _tables:

@@ -101,3 +101,18 @@ def test_fallback_join_spreads_rows_that_are_not_asked(spark):
 def test_before_is_strict(spark):
     rows = spark.createDataFrame([(1,), (2,), (3,), (None,)], "t int")
     assert [r.t for r in before(rows, "t", F.lit(3)).collect()] == [1, 2]
+
+
+def test_display_and_enums(spark):
+    from wayfold.functions import display, text
+    from wayfold.sources import feed
+
+    rows = spark.createDataFrame([("#F59E0B",), (" 0f0f0f",), ("#FFF",), ("zzzzzz",), (None,)], "c string")
+    assert [r[0] for r in rows.select(display.rgba(F.col("c"), 9)).collect()] == [[245, 158, 11, 9], [15, 15, 15, 9], *[[100, 116, 139, 9]] * 3]
+    rows = spark.createDataFrame([(25.0, 99), (20.0, 100), (19.99, 100), (9.99, 5000)], "late double, n long")
+    out = rows.select(display.severity(F.col("late"), F.col("n")).alias("s"), display.radius(F.col("n"), 170.0, 850.0, 18.0).alias("r")).collect()
+    assert [r.s for r in out] == [list(x) for x in (display.FEW, display.SEVERE, display.HIGH, display.LOW)] and [round(r.r, 1) for r in out] == [179.1, 180.0, 180.0, 850.0]
+    rows = spark.createDataFrame([(0.12,), (0.4,), (1.0,), (1.1,)], "s double")
+    assert [r[0] for r in rows.select(display.zoom(F.col("s"))).collect()] == [11.0, 9.5, 8.0, 7.0]
+    rows = spark.createDataFrame([(0,), (3,), (4,), (None,)], "n long")
+    assert [r[0] for r in rows.select(text.enum_name(F.col("n"), feed.TRIP_RELATIONSHIPS)).collect()] == ["SCHEDULED", "CANCELED", None, None]

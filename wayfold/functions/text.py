@@ -67,6 +67,12 @@ def berlin_time(utc: Column) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit("Europe/Berlin"), utc.cast("timestamp_ntz"))
 
 
+def enum_name(number: Column, names: dict[int, str]) -> Column:
+    """The name of an enumerated value, null for one that has none."""
+    pairs = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+    return F.try_element_at(pairs, number.cast("int"))
+
+
 def as_number(text: Column) -> Column:
     """A number, or null where the text is none."""
     return text.try_cast("decimal(38,0)")

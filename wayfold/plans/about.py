@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import display
 from ..functions import metrics as m
 from ..functions import text as t
 from ..operators.grain import top_per_group
@@ -134,6 +135,22 @@ def boundaries(w: Models, tolerance: float = 0.01) -> DataFrame:
     return rows.mapInArrow(run, "state_name string, boundary_geojson string, points int")
 
 
+def station_points(w: Models) -> DataFrame:
+    """Stations as a map shows them: colour, radius, and the zoom that shows a scope."""
+    rows = _rates(w.station_metrics.where(F.col("station_lat").isNotNull()))
+    span = lambda c: F.max(c).over(Window.partitionBy(*SCOPE)) - F.min(c).over(Window.partitionBy(*SCOPE))
+    timed = F.col("delay_reported_events")
+    colour = F.array_join(display.severity(F.col("late_percentage"), timed, MIN_RANKED).cast("array<string>"), ",")
+    return rows.select(
+        *SCOPE, "station_name", colour.alias("fill_color"), F.round(display.radius(timed, 170.0, 850.0, 18.0), 6).alias("point_radius"), display.zoom(F.greatest(span("station_lat"), span("station_lon"))).alias("zoom")
+    )
+
+
+def reference_sample(w: Models, rows: int = 10) -> DataFrame:
+    """Some stops of the reference, any ones."""
+    return w.feed.gtfs_stops.select("stop_id", "stop_name").limit(rows)
+
+
 def about_validation(w: Models) -> DataFrame:
     return w.stop_events_geographic.agg(
         _n().alias("event_rows"),

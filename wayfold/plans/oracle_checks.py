@@ -143,6 +143,9 @@ SQL: dict[str, str] = {
     "rapid_transit_services": SERVICES.format("route_type IN (109, 400, 401, 402)"),
     "static_line_lookup": "SELECT route_id, route_short_name, route_long_name, route_type FROM gtfs_routes WHERE route_short_name = '98'",
     "catalogue_row_counts": U.join(f"SELECT 'audit_{k}' AS table_name, count(*) AS row_count FROM {k}" for k in ("gtfs_routes", "gtfs_stops", "gtfs_trips", "gtfs_stop_times")),
+    "station_points": f"""SELECT scope_mode, scope_region, station_name, CASE WHEN delay_reported_events < 100 THEN '107,114,128,180' WHEN late_percentage >= 20 THEN '239,68,68,220' WHEN late_percentage >= 10 THEN '249,115,22,220'
+  ELSE '245,158,11,210' END AS fill_color, round(greatest(170.0::DOUBLE, least(850.0::DOUBLE, sqrt(delay_reported_events) * 18)), 6) AS point_radius, CASE WHEN span <= 0.12 THEN 11.0 WHEN span <= 0.4 THEN 9.5 WHEN span <= 1 THEN 8.0 ELSE 7.0 END::DOUBLE AS zoom
+  FROM (SELECT *, {RATES}, greatest(max(station_lat) OVER w - min(station_lat) OVER w, max(station_lon) OVER w - min(station_lon) OVER w) AS span FROM station_metrics WHERE station_lat IS NOT NULL WINDOW w AS (PARTITION BY scope_mode, scope_region))""",
     "about_validation": """SELECT count(*) AS event_rows, count(DISTINCT observed_route_id) AS observed_route_ids, count(*) - count(station_name) AS events_without_station,
   count(*) - count(static_route_id) AS events_without_catalogued_route, count(*) - count(transport_mode) AS events_without_mode FROM stop_events_geographic""",
     "expected_line_coverage": """WITH e AS (SELECT unnest(['91', '92', '93', '94', '96', '98', '99']) AS n), s AS (SELECT n, n IN (SELECT route_short_name FROM gtfs_routes WHERE route_type = 900) AS st,

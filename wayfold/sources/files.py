@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import schemas
+
 
 def read_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Parquet files whose columns must be there by name, in any case, with the
@@ -50,6 +52,12 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return rows.withColumns({c: F.nullif(F.col(c), F.lit("NULL")) for c in texts})
 
 
+def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of a feed's folder by name, all of them checked against their schemas."""
+    out = {name: read_parquet(spark, f"{folder}/{name}", schema) for name, schema in schemas.REALTIME.items()}
+    return out | {f"gtfs_{name}": read_csv(spark, f"{folder}/{name}.txt", schema) for name, schema in schemas.STATIC.items()}
+
+
 def zip_ids(spark: SparkSession, path: str, member: str, column: str) -> DataFrame:
     """Distinct trimmed values of a column of a CSV inside zip files."""
 

@@ -19,3 +19,7 @@ GTFS_STOPS = (
 )
 GTFS_ROUTES = "route_id string, agency_id string, route_short_name string, route_long_name string, route_type int, route_color string, route_text_color string, route_desc string"
 ATTEMPTS = "attempt_number int, request_started_at string, recorded_at string, status string, checksum_sha256 string, snapshot_path string"
+
+#: The tables of a feed's folder: realtime rows as Parquet, the static reference as CSV.
+REALTIME = {"feed_snapshots": FEED_SNAPSHOTS, "trip_updates": TRIP_UPDATES, "stop_time_updates": STOP_TIME_UPDATES}
+STATIC = {"stops": GTFS_STOPS, "routes": GTFS_ROUTES}

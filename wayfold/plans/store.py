@@ -3,6 +3,7 @@ views and catalogue that go with tables."""
 
 from __future__ import annotations
 
+import atexit
 import time
 import uuid
 from functools import cached_property
@@ -18,6 +19,7 @@ STORED = ("snapshots", "unique_stop_events", "stop_events_enriched", "stop_event
 STORED += ("scope_metrics", "station_metrics", "line_metrics", "hour_metrics", "region_metrics", "category_metrics")
 
 _tables: dict[tuple, str] = {}
+_sessions: dict[str, SparkSession] = {}
 
 
 def create_table(rows: DataFrame, path: str, by: tuple[str, ...] = (), replace: bool = False) -> DataFrame:
@@ -70,10 +72,26 @@ class QueryCache:
         return frame.copy()
 
 
+def _path(spark: SparkSession, path: str):
+    """The file system of a path, and the path."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+@atexit.register
+def _drop_all() -> None:
+    for path, spark in _sessions.items():
+        try:
+            system, at = _path(spark, path)
+            system.delete(at, True)
+        except Exception:  # the session may be gone
+            return
+
+
 def _version(spark: SparkSession, folder: str) -> tuple:
     """Names, sizes and times of what is in a folder."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    system, at = _path(spark, folder)
+    found = system.listStatus(at)
     return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))
 
 
@@ -85,10 +103,11 @@ class Stored(Models):
         """The written table of a model, which is made if it isn't there."""
         spark, folder = self.feed._spark, self.feed._dir
         key = (spark.sparkContext.applicationId, folder, self._folder_version, name)
-        if key not in _tables:
+        if key not in _tables or not _path(spark, _tables[key])[0].exists(_path(spark, _tables[key])[1]):
             path = f"{shared_dir(spark)}/model-{name}-{uuid.uuid4().hex}"
             create_table(self.fresh(name), path)
             _tables[key] = path
+            _sessions[path] = spark
         return spark.read.parquet(_tables[key])
 
     @cached_property

@@ -53,6 +53,11 @@ def test_exact_dedup_with_a_full_filter(spark):
     assert sorted([tuple(r) for r in got.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()], key=repr) == expected_exact(rows)
 
 
+def test_filter_grows_with_executors():
+    found = [exact_dedup.filter_bound(memory) for memory in ("512m", "64g", "1t", "4096")]
+    assert found == [64 << 20, 2 << 30, 4 << 30, 128 << 20]
+
+
 def fingerprint(text):
     words = [w for w in "".join(c if c not in " \t\n\x0b\x0c\r" else " " for c in (text or "").translate(LOWER)).split(" ") if w]
     shingles = [" ".join(words[k : k + 4]) for k in range(max(1, len(words) - 3))] if words else []

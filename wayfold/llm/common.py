@@ -130,7 +130,7 @@ def maybe_in(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     return tested.where(hit).drop(f"{OWN}block", f"{OWN}bit", f"{OWN}map")
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Components of an undirected graph of longs, by alternating large-star and
     small-star steps.
 
@@ -144,9 +144,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     now = write_table(now.where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct(), "edges")
     seen = _mark(now)
-    for _ in range(max_rounds):
-        if seen[0] == 0:
-            break
+    while seen[0]:
         step = write_table(_small_star(_large_star(now)), "edges")
         mark = _mark(step)
         drop_table(now)
@@ -154,8 +152,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         if mark == seen:
             break
         seen = mark
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 

@@ -5,8 +5,9 @@ count, summed up before they are shuffled) and keeps the positions hit at least
 a blocked bitmap. Pass 2 tests every row against the bitmap:
 a row at a position that was hit once is certainly unique and passes straight
 through; only the others are shuffled, grouped by their SHA-256 and resolved
-exactly. The bitmap has a fixed upper size, so it may be broadcast at any input
-size; a fuller filter only lets more unique rows take the shuffled way.
+exactly. The bitmap grows with the rows up to a share of an executor's memory, so it
+may be broadcast at any input size; beyond that a fuller filter only lets more unique
+rows take the shuffled way.
 
 Defined results: null text counts as empty; equal texts are equal after
 lower-casing A-Z; of equal texts the largest id stays (nulls lowest), and rows
@@ -17,6 +18,7 @@ replaced.
 
 from __future__ import annotations
 
+import re
 from math import ceil
 
 from pyspark.sql import DataFrame
@@ -28,8 +30,9 @@ from .common import OWN, lower_ascii, write_table
 BLOCK_BITS = 32_768
 #: Filter positions per row, up to the size bound.
 BITS_PER_ROW = 16
-#: Upper size of the broadcast bitmap.
-MAX_FILTER_BYTES = 64 << 20
+#: Upper size of the broadcast bitmap: at least so many bytes, and this share of an
+#: executor's heap where that is more.
+MAX_FILTER_BYTES, FILTER_SHARE = 64 << 20, 32
 
 _BLOCK, _BIT, _MAP = f"{OWN}block", f"{OWN}bit", f"{OWN}map"
 
@@ -44,11 +47,17 @@ def _position(df: DataFrame, key: str, blocks: int) -> DataFrame:
     )
 
 
-def repeated_positions(
-    keys: DataFrame, key: str, rows: int, bits_per_row: int = BITS_PER_ROW, max_filter_bytes: int = MAX_FILTER_BYTES
-) -> tuple[DataFrame, int]:
+def filter_bound(memory: str) -> int:
+    """Bytes that a broadcast filter may have, by ``spark.executor.memory``."""
+    size, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", memory.lower()).groups()
+    heap = int(size) << {"k": 10, "m": 20, "g": 30, "t": 40}.get(unit, 20)
+    return max(MAX_FILTER_BYTES, min(heap // FILTER_SHARE, 4 << 30))
+
+
+def repeated_positions(keys: DataFrame, key: str, rows: int, bits_per_row: int = BITS_PER_ROW, max_filter_bytes: int | None = None) -> tuple[DataFrame, int]:
     """The filter: a bitmap per block of the positions that two or more rows hit,
     and the number of blocks. At most ``max_filter_bytes`` in all."""
+    max_filter_bytes = max_filter_bytes or filter_bound(keys.sparkSession.conf.get("spark.executor.memory", "1g"))
     blocks = max(1, min(ceil(rows * bits_per_row / BLOCK_BITS), max_filter_bytes * 8 // BLOCK_BITS))
     hits = _position(keys, key, blocks).groupBy(_BLOCK, _BIT).agg(F.count("*").alias("n")).where("n > 1")
     maps = hits.repartition(_BLOCK).groupBy(_BLOCK).agg(F.expr(f"bitmap_construct_agg({_BIT})").alias(_MAP))

@@ -133,7 +133,16 @@ SELECT unnest(['arrival.delay', 'departure.delay', 'stop_time_update.arrival', '
 UNION ALL SELECT unnest(['trip.direction_id', 'trip.route_id', 'trip.schedule_relationship', 'trip.start_date', 'trip.start_time', 'trip.trip_id', 'trip_update.delay', 'trip_update.timestamp', 'trip_update.vehicle', 'trip_update.vehicle_id']),
   unnest([directions, trips, trips, trips, trips, trips, trips, trips, trips, trips]), trips FROM t)"""
 
+def entity_kinds(w: Models) -> DataFrame:
+    """Entities of all messages by kind, from the feed rows of the decoder."""
+    kinds = ["entity_count", "trip_update_count", "vehicle_position_count", "alert_count", "deleted_entity_count", "stop_time_update_count"]
+    wide = feed.decode(_messages(w), rows="feed").agg(*[F.sum(k).alias(k) for k in kinds])
+    return wide.unpivot([], kinds, "kind", "n")
+
+
 SQL = {
+    "entity_kinds": """WITH t AS (SELECT count(DISTINCT (trip_id, route_id, direction_id, start_date)) AS m, count(*) AS s FROM obs)
+SELECT unnest(['entity_count', 'trip_update_count', 'vehicle_position_count', 'alert_count', 'deleted_entity_count', 'stop_time_update_count']) AS kind, unnest([m, m, 0, 0, 0, s]) AS n FROM t""",
     "streaming_hour_counts": "SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1",
     "streaming_latest": "SELECT user_id, event_type, ts, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
     "field_profile": PROFILE_SQL,

@@ -67,7 +67,7 @@ SQL: dict[str, str] = {
     "unmatched_stop_presence": """SELECT count(*) AS unmatched_stop_ids, count(*) FILTER (stop_id IN (SELECT stop_id FROM gtfs_stop_times)) AS in_static_stop_times,
   count(*) FILTER (stop_id NOT IN (SELECT stop_id FROM gtfs_stop_times)) AS absent_from_static_stop_times FROM (SELECT DISTINCT stop_id FROM stop_events_geographic WHERE station_name IS NULL)""",
     "mixed_type_join": f"SELECT count(*) AS unmatched_events, count(x.stop_id) AS matched, count(*) - count(x.stop_id) AS still_unmatched, count(DISTINCT e.stop_id) AS realtime_ids, count(DISTINCT x.stop_id) AS static_ids {SEQUENCE.format('LEFT')}",
-    "mapping_determinism": f"""SELECT count(*) AS ids, count(*) FILTER (ways = 1) AS deterministic, count(*) FILTER (ways > 1) AS ambiguous, coalesce(sum(n) FILTER (ways = 1), 0)::BIGINT AS events_deterministic
+    "mapping_determinism": f"""SELECT count(*) AS ids, count(*) FILTER (ways = 1) AS deterministic, count(*) FILTER (ways > 1) AS ambiguous, coalesce(sum(n) FILTER (ways = 1), 0)::BIGINT AS events_deterministic, coalesce(sum(n) FILTER (ways > 1), 0)::BIGINT AS events_ambiguous
   FROM (SELECT e.stop_id, count(DISTINCT x.stop_id) AS ways, count(*) AS n {SEQUENCE.format('')} GROUP BY 1)""",
     "candidate_region_status": f"""WITH known AS (SELECT {norm('stop_id')} AS i, len(list_distinct(list(coalesce(state_name, 'Outside Berlin-Brandenburg')))) AS regions FROM gtfs_stops_geographic GROUP BY i),
   asked AS (SELECT stop_id, count(*) AS n, any_value({norm('stop_id')}) AS i FROM stop_events_geographic WHERE station_name IS NULL GROUP BY stop_id)

@@ -178,7 +178,7 @@ def mixed_type_join(w: Models) -> DataFrame:
 
 def mapping_determinism(w: Models) -> DataFrame:
     quality = _by_sequence(w, "inner").groupBy("realtime_stop_id").agg(F.count_distinct("static_stop_id").alias("ways"), _n().alias("n"))
-    return quality.agg(_n().alias("ids"), F.count_if(F.col("ways") == 1).alias("deterministic"), F.count_if(F.col("ways") > 1).alias("ambiguous"), F.coalesce(F.sum(F.when(F.col("ways") == 1, F.col("n"))), F.lit(0)).alias("events_deterministic"))
+    return quality.agg(_n().alias("ids"), F.count_if(F.col("ways") == 1).alias("deterministic"), F.count_if(F.col("ways") > 1).alias("ambiguous"), *[F.coalesce(F.sum(F.when(of, F.col("n"))), F.lit(0)).alias(f"events_{name}") for name, of in (("deterministic", F.col("ways") == 1), ("ambiguous", F.col("ways") > 1))])
 
 
 def candidate_region_status(w: Models) -> DataFrame:

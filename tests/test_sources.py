@@ -10,7 +10,7 @@ from wayfold.streaming import dedup
 
 def feed_message():
     stop = lambda **k: (2, feed.encode([(1, k.get("seq")), (2, k.get("arrival")), (3, k.get("departure")), (4, k.get("stop")), (5, k.get("relation"))]))
-    trip = feed.encode([(1, "T"), (3, "20260925"), (5, "R-1"), (6, 1)])
+    trip = feed.encode([(1, "T"), (3, "20261102"), (5, "R-1"), (6, 1)])
     updates = [stop(seq=1, stop="A", arrival=feed.encode([(1, 0), (2, 1_790_000_000)]), relation=0), stop(seq=2, stop="B", relation=1), stop(stop="C", departure=feed.encode([(1, -30)]))]
     entities = [feed.encode([(1, "e1"), (3, feed.encode([(1, trip), *updates]))]), feed.encode([(1, "e2"), (4, b"")]), feed.encode([(1, "e3"), (5, b"")]), feed.encode([(1, "e4"), (2, 1)])]
     return feed.encode([(1, feed.encode([(1, "2.0"), (3, 1_790_000_000)])), *[(2, e) for e in entities]])
@@ -18,7 +18,7 @@ def feed_message():
 
 def test_feed_keeps_zero_apart_from_absent(spark, tmp_path):
     rows = list(feed.stop_rows(feed_message()))
-    assert rows[0] == ("e1", "T", "R-1", 1, "20260925", "A", 1, "SCHEDULED", 0, 1_790_000_000, None, None)
+    assert rows[0] == ("e1", "T", "R-1", 1, "20261102", "A", 1, "SCHEDULED", 0, 1_790_000_000, None, None)
     assert rows[1][5:] == ("B", 2, "SKIPPED", None, None, None, None)
     assert rows[2][5:] == ("C", None, "SCHEDULED", None, None, -30, None)
     assert feed.entity_counts(feed_message()) == {"entity_count": 4, "trip_update_count": 1, "vehicle_position_count": 1, "alert_count": 1, "deleted_entity_count": 1}
@@ -30,12 +30,12 @@ def test_feed_keeps_zero_apart_from_absent(spark, tmp_path):
 
 
 def test_manifest(spark, tmp_path):
-    lines = [{"attempt_number": 2, "request_started_at": "2026-09-25T10:00:00+02:00", "status": "saved"}, {"run_summary": {"a": 1}}, {"attempt_number": 1, "recorded_at": "2026-09-25T07:00:00Z", "status": "failed"}]
+    lines = [{"attempt_number": 2, "request_started_at": "2026-11-02T10:00:00+02:00", "status": "saved"}, {"run_summary": {"a": 1}}, {"attempt_number": 1, "recorded_at": "2026-11-02T07:00:00Z", "status": "failed"}]
     (tmp_path / "m.jsonl").write_text("\n\n".join(map(json.dumps, lines)))
     rows = files.attempts(files.read_jsonl(spark, str(tmp_path / "m.jsonl"), schemas.ATTEMPTS)).orderBy("attempt_number").collect()
     assert [(r.attempt_number, r.request_started_at.hour) for r in rows] == [(1, 7), (2, 8)]
     with pytest.raises(Exception, match="no time zone"):
-        spark.createDataFrame([("2026-09-25T10:00:00",)], "x string").select(files.zoned_time(F.col("x"))).collect()
+        spark.createDataFrame([("2026-11-02T10:00:00",)], "x string").select(files.zoned_time(F.col("x"))).collect()
     (tmp_path / "bad.jsonl").write_text("{broken")
     with pytest.raises(Exception):
         files.read_jsonl(spark, str(tmp_path / "bad.jsonl"), schemas.ATTEMPTS).collect()
@@ -85,14 +85,14 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
 
 def test_three_row_sets(spark, tmp_path):
     event = feed.encode([(1, 60), (2, 1_790_000_060), (3, 5)])
-    trip = feed.encode([(1, "T"), (2, "08:00:00"), (3, "20260925"), (4, 3), (5, "R-1")])
+    trip = feed.encode([(1, "T"), (2, "08:00:00"), (3, "20261102"), (4, 3), (5, "R-1")])
     cancelled = feed.encode([(1, trip), (3, feed.encode([(1, "V")])), (4, 1_790_000_000), (5, -7)])
     stop = feed.encode([(1, feed.encode([(1, "U")])), (2, feed.encode([(2, event), (4, "A")]))])
     entities = [feed.encode([(1, "e1"), (3, cancelled)]), feed.encode([(1, "e2"), (2, 1), (3, stop)])]
     (tmp_path / "s1.pb").write_bytes(feed.encode([(1, feed.encode([(1, "2.0"), (3, 1_790_000_000)])), *[(2, e) for e in entities]]))
     read = lambda kind: feed.read_feed(spark, str(tmp_path), rows=kind).orderBy("snapshot_id").collect()
     first, second = sorted(read("trip"), key=lambda r: r.entity_id)
-    assert first[3:14] == ("e1", "T", "R-1", None, "20260925", "08:00:00", "CANCELED", "V", 1_790_000_000, -7, 0) and first.snapshot_id == "s1"
+    assert first[3:14] == ("e1", "T", "R-1", None, "20261102", "08:00:00", "CANCELED", "V", 1_790_000_000, -7, 0) and first.snapshot_id == "s1"
     assert second.entity_id == "e2" and second.stop_time_update_count == 1 and second.trip_schedule_relationship is None
     (row,) = read("stop")
     assert (row.entity_id, row.trip_id, row.arrival_uncertainty_seconds, row.departure_uncertainty_seconds) == ("e2", "U", 5, None)

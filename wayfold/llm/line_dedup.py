@@ -135,9 +135,9 @@ def _groups(lines: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, root`` of the nodes that are linked to others."""
     keyed = nodes.select("node", "sim", "n", F.explode(F.array(*[F.expr(_pair_key(k)) for k in range(len(PAIRS))])).alias("key"))
     # of two nodes alone the sums hold all that it takes to compare them
-    sums = [F.count("*").alias("rows"), F.bit_xor("sim").alias("apart"), F.min("node").alias("a"), F.max("node").alias("b")]
+    sums = [F.count("*").alias("rows"), F.bit_xor("sim").alias("apart"), F.min("node").alias("a"), F.bit_xor("node").alias("both")]
     shared = keyed.groupBy("key").agg(*sums).where(f"rows > 2 OR rows = 2 AND bit_count(apart) <= {MAX_BITS}")
-    shared = write_table(shared.drop("apart"), "shared")
+    shared = write_table(shared.select("key", "rows", "a", F.expr("a ^ both").alias("b")), "shared")
     many = write_table(shared.where("rows > 2").select("key"), "many")
     # nodes whose keys have no more are gone before anything is shuffled
     crowded = write_table(maybe_in(keyed, many, "key"), "crowded")

@@ -42,7 +42,7 @@ END_TOKEN = 2
 #: Share of a length's demand that one step of the solver covers and its least number
 #: of pieces, how fast prices fall with coverage, its rounds, and the configurations
 #: that one round may take.
-STEP, LEAST, FALL, ROUNDS, PER_ROUND = 0.02, 0.1, 4.0, 400, 128
+STEP, LEAST, FALL, ROUNDS, PER_ROUND = 0.02, 0.1, 4.0, 400, 256
 #: The program is solved again as long as rounding takes this share of the plan.
 AGAIN = 0.01
 _MEMO = 400_000  # distinct words whose ids a task remembers

@@ -177,6 +177,54 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(kept).where("u <> v").distinct()
 
 
+#: Rows of a table are numbered by their place in its task, with the task above that bit.
+_TASK_BITS = 33
+
+
+def number_rows(rows: DataFrame, order: list[Column], name: str) -> tuple[DataFrame, int]:
+    """``rows`` with their place 1, 2, 3... in ``order`` as ``name``, and how many there
+    are. The rows are sorted over the cluster and written; each range then begins where
+    the ranges before it end, which is a number a range. Equal rows may be parted."""
+    tie = F.monotonically_increasing_id()
+    ranges = rows.withColumn(f"{OWN}tie", tie).repartitionByRange(*order, f"{OWN}tie").sortWithinPartitions(*order, f"{OWN}tie")
+    placed = write_table(ranges.drop(f"{OWN}tie").withColumn(f"{OWN}at", F.monotonically_increasing_id()), "ordered")
+    task = F.shiftright(f"{OWN}at", _TASK_BITS)
+    sizes = placed.groupBy(task.alias(f"{OWN}task")).agg(F.count("*").alias("n")).orderBy(f"{OWN}task").collect()  # a row for each range
+    starts, total = [], 0
+    for r in sizes:
+        starts.append((r[0], total))
+        total += r["n"]
+    # a row for each range
+    starts = F.broadcast(rows.sparkSession.createDataFrame(starts, f"{OWN}task long, {OWN}start long"))
+    out = placed.withColumn(f"{OWN}task", task).join(starts, f"{OWN}task")
+    place = F.col(f"{OWN}start") + F.col(f"{OWN}at").bitwiseAND(F.lit((1 << _TASK_BITS) - 1)) + 1
+    return out.withColumn(name, place).drop(f"{OWN}task", f"{OWN}start", f"{OWN}at"), total
+
+
+#: A key that has more than this part of all rows is joined by broadcast: there are at
+#: most so many of these.
+HOT_KEYS = 512
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
+    """``rows`` with the columns of their group; ``groups`` has a row for each key (no
+    nulls in it) and says in ``n`` how many rows it has, of ``total``. The groups that
+    have more than a 512th of all rows, 512 at most, are broadcast, so that no task gets
+    all rows of one; the others meet their rows in a shuffle."""
+    hot = groups.where(F.col(n) * HOT_KEYS > total).drop(n)
+    names = [c for c in hot.columns if c not in keys]
+    # HOT_KEYS rows at most
+    tried = rows.join(F.broadcast(hot.withColumn(f"{OWN}hot", F.lit(True))), keys, "left")
+    met = tried.where(f"{OWN}hot").drop(f"{OWN}hot")
+    rest = tried.where(f"{OWN}hot IS NULL").drop(f"{OWN}hot", *names)
+    return met.unionByName(rest.join(groups.where(F.col(n) * HOT_KEYS <= total).drop(n), keys))
+
+
+def read_written(tables: list[DataFrame]) -> DataFrame:
+    """Tables of :func:`write_table` that have one schema, in one scan."""
+    return tables[0].sparkSession.read.schema(tables[0].schema).parquet(*[df._wf_path for df in tables])
+
+
 def merge_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Joins the components of linked rows; labels end as each component's least row."""
     while len(a):

@@ -193,27 +193,6 @@ def test_streams_by_hour_and_latest(spark, tmp_path):
     assert hours == {0: 10, 1: 10, 2: 10}
 
 
-def test_polling(spark, tmp_path):
-    from wayfold.sources import polling
-
-    kind = {"content-type": "application/protobuf; x", "etag": "e1"}
-    answers = [(200, kind, feed_message()), (304, {}, b""), (200, kind | {"etag": "e2"}, feed_message()), (500, {}, b""), (200, {"content-type": "text/html"}, b"x"), (200, kind, b""), (200, kind, b"\x0a\xff\x01broken"), (500, {}, b""), (200, kind, feed.encode([(1, feed.encode([(1, "2.0")]))]))]
-    asked, slept = [], []
-
-    def fetch(headers):
-        asked.append(headers.get("If-None-Match"))
-        return answers[len(asked) - 1]
-
-    once = lambda etag, known: polling.poll(spark, f"file://{tmp_path}", fetch, etag, known)
-    got = list(polling.scheduled(once, 5, 180, clock=lambda: 0.0, sleep=slept.append))
-    assert [(r["attempt_number"], r["status"]) for r in got] == [(1, "saved"), (2, "unchanged"), (3, "duplicate"), (4, "failed"), (5, "saved")]
-    assert asked == [None, "e1", "e1", "e2", "e2", "e2", "e2", "e2", "e2"] and slept == [180, 360, 540, 1.0, 2.0, 720, 1.0, 2.0]
-    assert got[0]["trip_update_count"] == 1 and got[0]["entity_count"] == 4 and got[0]["gtfs_realtime_version"] == "2.0"
-    assert len(list(tmp_path.glob("*.pb"))) == 2 and (tmp_path / got[0]["snapshot_path"].rsplit("/", 1)[1]).read_bytes() == feed_message()
-    with pytest.raises(OSError):
-        polling.poll(spark, f"file://{tmp_path}", fetch, least_free=1 << 62)
-
-
 def test_tables_of_a_folder(spark, tmp_path):
     for name, schema in schemas.REALTIME.items():
         spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from wayfold.functions import metrics as m
 from wayfold.functions import text as t
-from wayfold.operators.grain import duplicate_keys, gaps, latest_per_key
-from wayfold.operators.joins import compare_ids, fallback_join, match_coverage
+from wayfold.operators.grain import duplicate_keys, latest_per_key
+from wayfold.operators.joins import compare_id_sets, fallback_join, match_coverage
+from wayfold.operators.sequence import gaps
 from wayfold.operators.scopes import scope_aggregate, with_region_scopes
 from wayfold.plans.models import Models
 
@@ -102,7 +103,9 @@ def test_coverage_and_id_sets(spark):
     rows = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "x string")
     right = spark.createDataFrame([("a",), ("a",)], "x string")
     assert tuple(match_coverage(rows, right, F.col("x"), "x", ("n", "hit", "share")).first()) == (4, 2, 50.0)
-    assert tuple(compare_ids(rows, right, "x").first()) == (2, 1, 50.0, "b")
+    ids = {"x": F.col("x"), "y": F.upper("x"), "z": F.lit(None)}
+    known = {"x": (right, "x"), "y": (right, "x"), "z": (right, "x")}
+    assert sorted(map(tuple, compare_id_sets(rows, ids, known, 1).collect())) == [("x", 2, 1, 50.0, "b"), ("y", 2, 0, 0.0, "A")]
 
 
 def test_a_region_needs_agreeing_candidates(spark):

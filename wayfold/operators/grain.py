@@ -21,18 +21,6 @@ def duplicate_keys(rows: DataFrame, keys: list[str], name: str = "duplicate_keys
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").agg(F.count(F.lit(1)).alias(name))
 
 
-def gaps(rows: DataFrame, order: list[str], at: str, longest_seconds: int, by: list[str] | None = None) -> DataFrame:
-    """Neighbouring rows more than ``longest_seconds`` apart, strictly.
-
-    Without ``by`` all rows are one sequence, which is for small control tables.
-    """
-    along = Window.partitionBy(*(by or [])).orderBy(*order)
-    before = F.lag(at).over(along)
-    seconds = F.unix_seconds(F.col(at).cast("timestamp")) - F.unix_seconds(before.cast("timestamp"))
-    out = rows.withColumns({"previous_at": before, "gap_seconds": seconds})
-    return out.where(F.col("gap_seconds") > longest_seconds)
-
-
 def before(rows: DataFrame, at: str, cutoff: Column) -> DataFrame:
     """The rows strictly before a cutoff."""
     return rows.where(F.col(at) < cutoff)

@@ -5,10 +5,14 @@ No join here is forced to broadcast: the planner broadcasts by measured size.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.metrics import pct2
+from ..session import written
+from .grain import top_per_group
 
 
 def fallback_join(rows: DataFrame, missed: Column, right: DataFrame, key: Column, right_key: str) -> DataFrame:
@@ -32,13 +36,21 @@ def match_coverage(rows: DataFrame, right: DataFrame, key: Column, right_key: st
     return joined.agg(n.alias(names[0]), hit.alias(names[1]), pct2(hit, n).alias(names[2]))
 
 
-def compare_ids(left: DataFrame, right: DataFrame, column: str, examples: int = 5) -> DataFrame:
-    """One row: distinct ids on the left, how many of them the right has too, their
-    share and the first few that it lacks."""
-    a, b = left.select(column).where(F.col(column).isNotNull()).distinct(), right.select(F.col(column).alias("__b")).distinct()
-    joined = a.join(b, F.col(column) == F.col("__b"), "left")
-    counts = joined.agg(F.count(F.lit(1)).alias("ids"), F.count("__b").alias("matched"))
-    lacking = joined.where("__b IS NULL").orderBy(column).limit(examples)
-    lacking = lacking.agg(F.array_join(F.array_sort(F.collect_list(column)), ",").alias("examples"))
-    # both sides are single rows
-    return counts.join(lacking, F.lit(True)).select("ids", "matched", pct2(F.col("matched"), F.col("ids")).alias("matched_percentage"), "examples")
+def compare_id_sets(rows: DataFrame, ids: dict[str, Column], known: dict[str, tuple[DataFrame, str]], examples: int = 5) -> DataFrame:
+    """For each kind of id one row ``kind, ids, matched, matched_percentage, examples``:
+    distinct ids in ``rows``, how many of them the kind's known table has, their share
+    and the first few that it lacks.
+
+    ``rows`` are read once: their ids of all kinds are made distinct together, and joined
+    to the known ones of all kinds together.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("id")) for kind, value in ids.items()]))
+    named = rows.select(pairs.alias("p")).select("p.kind", "p.id").where("id IS NOT NULL").distinct()
+    there = [own.select(F.lit(kind).alias("kind"), F.col(column).cast("string").alias("id"), F.lit(True).alias("there")) for kind, (own, column) in known.items()]
+    found = written(named.join(reduce(DataFrame.unionByName, there).distinct(), ["kind", "id"], "left"), "ids")
+    counts = found.groupBy("kind").agg(F.count(F.lit(1)).alias("ids"), F.count("there").alias("matched"))
+    first = top_per_group(found.where("there IS NULL"), ["kind"], [F.asc("id")], examples)
+    first = first.groupBy("kind").agg(F.array_join(F.array_sort(F.collect_list("id")), ",").alias("examples"))
+    # a row for each kind
+    out = counts.join(F.broadcast(first), "kind", "left")
+    return out.select("kind", "ids", "matched", pct2(F.col("matched"), F.col("ids")).alias("matched_percentage"), F.coalesce("examples", F.lit("")).alias("examples"))

@@ -120,7 +120,8 @@ class Feed:
             F.expr("CASE WHEN b % 11 > 0 THEN concat('ag', b % 4) END").alias("agency_id"),
             F.expr(f"element_at({_sql_list(SHORT_NAMES)}, b % {len(SHORT_NAMES)} + 1)").alias("route_short_name"),
             F.expr("CASE WHEN b % 6 > 0 THEN concat('Line ', b) ELSE '' END").alias("route_long_name"),
-            F.expr(f"element_at({_sql_list(ROUTE_TYPES)}, b % {len(ROUTE_TYPES)} + 1)").alias("route_type"),
+            # of the routes of line 98 one is a tram's
+            F.expr(f"CASE WHEN b % 20 = 9 THEN 900 ELSE element_at({_sql_list(ROUTE_TYPES)}, b % {len(ROUTE_TYPES)} + 1) END").alias("route_type"),
             "b",
         )
 

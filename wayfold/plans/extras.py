@@ -6,13 +6,16 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.sequence import gaps
+from ..session import exists, own_path, rename
 from ..sources import feed
-from ..streaming import dedup
-from .models import Models
+from ..streaming import dedup, windows
+from .current import CurrentTable, refresh
+from .models import EVENT, EVENT_KEY, EVENT_ORDER, NULL_WINS, Models
 
 
 OWN = ["trip_id", "route_id", "direction_id", "start_date"]
@@ -107,15 +110,60 @@ def _events(w: Models) -> DataFrame:
     return dedup.source(w.feed._spark, w.feed._dir, w.feed.table("events").schema, "ts", "events.parquet")
 
 
+def _utc(name: str) -> Column:
+    return F.col(name).cast("timestamp_ntz").alias(name)
+
+
 def streaming_hour_counts(w: Models) -> DataFrame:
-    """Events counted by hour in the stream itself."""
-    return dedup.result(dedup.hourly(_events(w), "ts", "60 days"), w.feed._spark).select(F.col("hour").cast("timestamp_ntz").alias("hour"), "n")
+    """Events counted by hour in the stream itself: hours that are closed from its table,
+    the last ones from its state."""
+    spark = w.feed._spark
+    into = own_path(spark, "hours")
+    windows.count_hours(_events(w), "ts", into)
+    return windows.closed_hours(spark, into).unionByName(windows.open_hours(spark, into)).select(_utc("hour"), "n")
+
+
+def streaming_closed_hours(w: Models) -> DataFrame:
+    """Events that come in four parts, each to a new run of the same stream: hours that
+    are closed, hours that are open, and how many rows were late."""
+    spark, events = w.feed._spark, w.feed.table("events")
+    folder, into = own_path(spark, "arriving"), own_path(spark, "hours")
+    for k in range(4):
+        events.where(F.pmod("event_id", F.lit(4)) == k).write.mode("append").parquet(folder)
+        windows.count_hours(dedup.source(spark, folder, events.schema, "ts"), "ts", into)
+    state = lambda rows, name: rows.select(_utc("hour"), "n", F.lit(name).alias("state"))
+    late = windows.late_rows(spark, into).select(F.lit(None).cast("timestamp_ntz").alias("hour"), F.col("late").alias("n"), F.lit("late").alias("state"))
+    return state(windows.closed_hours(spark, into), "closed").unionByName(state(windows.open_hours(spark, into), "open")).unionByName(late)
 
 
 def streaming_latest(w: Models) -> DataFrame:
     """The latest event of each user, kept up to date by a stream."""
-    out = dedup.result(dedup.latest(_events(w), ["user_id"], ["event_type"], ["ts", "event_id"]), w.feed._spark)
-    return out.select("user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
+    spark = w.feed._spark
+    schema = _events(w).select("user_id", "event_type", "ts", "event_id").schema
+    table = CurrentTable(spark, own_path(spark, "latest"), schema, ["user_id"], ["ts", "event_id"], F.pmod(F.xxhash64("user_id"), F.lit(8)))
+    windows.keep_latest(_events(w), "ts", table, own_path(spark, "state"))
+    return table.rows().select("user_id", "event_type", _utc("ts"), "event_id")
+
+
+def incremental_latest(w: Models) -> DataFrame:
+    """The latest observation of each stop event, from snapshots that come in five parts
+    and out of order: each refresh reads the new part and the years it touches."""
+    spark, seen = w.feed._spark, w.stop_events_seen
+    folder, base = own_path(spark, "snapshots"), own_path(spark, "events")
+    seen.withColumn("part", F.pmod(F.crc32("snapshot_id"), F.lit(5))).write.partitionBy("part").parquet(f"{folder}/all")
+    table = CurrentTable(spark, f"{base}/current", seen.schema, EVENT_KEY, EVENT_ORDER, F.substring("start_date", 1, 4), NULL_WINS)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
+    for part in (3, 0, 4, 1, 2):
+        if exists(spark, f"{folder}/all/part={part}"):
+            rename(spark, f"{folder}/all/part={part}", f"{folder}/there/part-{part}")
+            refresh(table, f"{folder}/there", f"{base}/load", schema)
+    return table.rows().select(*EVENT)
+
+
+def sequence_gaps(w: Models) -> DataFrame:
+    """More than ten minutes without any event, over all events as one sequence."""
+    found = gaps(w.feed.table("events"), ["ts", "event_id"], "ts", 600)
+    return found.select("event_id", "ts", "previous_at", "gap_seconds")
 
 
 def field_profile(w: Models) -> DataFrame:
@@ -144,6 +192,15 @@ SQL = {
     "entity_kinds": """WITH t AS (SELECT count(DISTINCT (trip_id, route_id, direction_id, start_date)) AS m, count(*) AS s FROM obs)
 SELECT unnest(['entity_count', 'trip_update_count', 'vehicle_position_count', 'alert_count', 'deleted_entity_count', 'stop_time_update_count']) AS kind, unnest([m, m, 0, 0, 0, s]) AS n FROM t""",
     "streaming_hour_counts": "SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1",
+    "streaming_closed_hours": """WITH e AS (SELECT event_id % 4 AS k, ts, date_trunc('hour', ts) AS hour FROM events),
+  marks AS (SELECT k, max(max(ts)) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 DAY AS mark FROM e GROUP BY k),
+  f AS (SELECT hour, coalesce(hour + INTERVAL 1 HOUR <= mark, false) AS late FROM e JOIN marks USING (k)),
+  z AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM e)
+  SELECT hour, count(*) AS n, CASE WHEN hour + INTERVAL 1 HOUR <= (SELECT mark FROM z) THEN 'closed' ELSE 'open' END AS state FROM f WHERE NOT late GROUP BY hour
+  UNION ALL SELECT NULL, count(*) FILTER (late), 'late' FROM f""",
+    "incremental_latest": "SELECT * FROM unique_stop_events",
+    "sequence_gaps": """SELECT event_id, ts, previous_at, gap_seconds FROM (SELECT *, lag(ts) OVER w AS previous_at, floor(epoch(ts))::BIGINT - floor(epoch(lag(ts) OVER w))::BIGINT AS gap_seconds
+  FROM events WINDOW w AS (ORDER BY ts, event_id)) WHERE gap_seconds > 600""",
     "streaming_latest": "SELECT user_id, event_type, ts, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
     "field_profile": PROFILE_SQL,
     "protobuf_round_trip": "SELECT trip_id, route_id, direction_id, start_date, stop_id, stop_sequence, stop_schedule_relationship, arrival_delay_seconds, departure_delay_seconds FROM obs",

@@ -15,9 +15,14 @@ from ..functions import metrics as m
 from ..functions import text as t
 from ..operators.grain import latest_per_key, top_per_group
 from ..operators.joins import fallback_join
+from ..operators.rollups import bitmaps, histogram, sketches
 from ..operators.scopes import scope_aggregate, with_region_scopes
 
 EVENT_KEY = ["trip_id", "start_date", "stop_sequence", "stop_id"]
+EVENT = [*EVENT_KEY, "route_id", "direction_id", "observed_at_utc", "arrival_delay_seconds", "departure_delay_seconds", m.DELAY, "stop_schedule_relationship"]
+#: Newest last; the columns after the snapshot only settle rows that are equal otherwise.
+EVENT_ORDER = ["observed_at_utc", "snapshot_id", "arrival_delay_seconds", "departure_delay_seconds", "stop_schedule_relationship"]
+NULL_WINS = ("observed_at_utc", "snapshot_id")
 LINE = ["service_key", "transport_mode", "service_category", "agency_id", "agency_name", "route_display_name"]
 
 
@@ -130,13 +135,15 @@ class Models:
         return self.feed.feed_snapshots
 
     @cached_property
-    def unique_stop_events(self) -> DataFrame:
+    def stop_events_seen(self) -> DataFrame:
+        """Each observation with the time of its snapshot."""
         seen = self._observations.join(self.snapshots.select("snapshot_id", F.col("request_started_at").alias("observed_at_utc")), "snapshot_id")
-        # newest first; the last columns only settle rows that are equal otherwise
-        newest = [F.desc_nulls_first("observed_at_utc"), F.desc_nulls_first("snapshot_id")]
-        newest += [F.desc_nulls_last(c) for c in ("arrival_delay_seconds", "departure_delay_seconds", "stop_schedule_relationship")]
-        kept = [*EVENT_KEY, "route_id", "direction_id", "observed_at_utc", "arrival_delay_seconds", "departure_delay_seconds", m.DELAY, "stop_schedule_relationship"]
-        return latest_per_key(seen.select(*kept, "snapshot_id"), EVENT_KEY, newest).select(*kept)
+        return seen.select(*EVENT, "snapshot_id")
+
+    @cached_property
+    def unique_stop_events(self) -> DataFrame:
+        newest = [F.desc_nulls_first(c) if c in NULL_WINS else F.desc_nulls_last(c) for c in EVENT_ORDER]
+        return latest_per_key(self.stop_events_seen, EVENT_KEY, newest).select(*EVENT)
 
     @cached_property
     def stop_events_enriched(self) -> DataFrame:
@@ -350,3 +357,18 @@ class Models:
         rows = self.stop_events_geographic.where(F.col("transport_mode").isin("Bus", "Regional rail") & F.col("service_category").isNotNull())
         rows = with_region_scopes(rows).withColumn("scope_mode", F.col("transport_mode"))
         return rows.groupBy("scope_mode", "scope_region", "service_category").agg(*self._counts())
+
+    # rollups of the finest groups, to be merged up
+
+    @cached_property
+    def delay_histogram(self) -> DataFrame:
+        rows = self.stop_events_line_focus
+        return histogram(rows, ["transport_mode", "event_region", "observation_hour_berlin", "is_partial_collection_hour"], m.DELAY)
+
+    @cached_property
+    def delay_sketches(self) -> DataFrame:
+        return sketches(self.stop_events_geographic, ["transport_mode", "event_region"], m.DELAY)
+
+    @cached_property
+    def distinct_bitmaps(self) -> DataFrame:
+        return bitmaps(self.stop_events_geographic, ["transport_mode", "event_region"], ["trip_id", "stop_id", "observed_route_id"])

@@ -81,7 +81,7 @@ SQL: dict[str, str] = {
     "topn_examples": """SELECT route_type, count(*) AS route_count, sum(n)::BIGINT AS unique_stop_events, string_agg(route_display_name, ', ' ORDER BY rank) FILTER (rank <= 20) AS example_services FROM (
   SELECT *, row_number() OVER (PARTITION BY route_type ORDER BY n DESC, route_display_name) AS rank FROM (SELECT route_type, route_display_name, count(*) AS n FROM stop_events_enriched GROUP BY 1, 2)) GROUP BY 1""",
     "expected_vs_observed": """SELECT line, CASE WHEN n IS NULL THEN 'Not observed' ELSE 'Observed' END AS collection_status, coalesce(n, 0) AS unique_stop_events, coalesce(trips, 0) AS observed_trips
-  FROM (VALUES ('98'), ('M4'), ('U2'), ('X99')) v(line) LEFT JOIN (SELECT route_display_name, count(*) AS n, count(DISTINCT trip_id || '|' || start_date) AS trips FROM stop_events_enriched GROUP BY 1) ON line = route_display_name""",
+  FROM (SELECT unnest(['91', '92', '93', '94', '96', '98', '99']) AS line) LEFT JOIN (SELECT route_display_name, count(*) AS n, count(DISTINCT trip_id) AS trips FROM stop_events_enriched WHERE route_type = 900 GROUP BY 1) ON line = route_display_name""",
     "id_set_compare": U.join(
         f"""SELECT '{kind}' AS kind, ids, matched, {pct2('matched', 'ids')} AS matched_percentage, (SELECT coalesce(string_agg(i, ',' ORDER BY i), '') FROM (SELECT DISTINCT {col} AS i FROM obs WHERE {col} NOT IN (SELECT {key} FROM {ref}) ORDER BY 1 LIMIT 5)) AS examples
   FROM (SELECT count(*) AS ids, count(*) FILTER (i IN (SELECT {key} FROM {ref})) AS matched FROM (SELECT DISTINCT {col} AS i FROM obs))"""
@@ -92,7 +92,7 @@ SQL: dict[str, str] = {
     ),
     "enum_frequency": "SELECT stop_schedule_relationship, count(*) AS n FROM obs GROUP BY 1",
     "raw_gtfs_cross_check": U.join(
-        f"SELECT '{stage}' AS stage, count(*) AS row_count, count(DISTINCT trip_id || '|' || start_date) AS trip_instances FROM {rows} e JOIN gtfs_routes r ON replace(e.route_id, '-', '_') = r.route_id WHERE route_short_name = '98'" for stage, rows in (("raw", "obs"), ("events", "unique_stop_events"))
+        f"SELECT '{stage}' AS stage, count(*) AS row_count, count(DISTINCT trip_id || '|' || start_date) AS trip_instances FROM {rows} e JOIN gtfs_routes r ON replace(e.route_id, '-', '_') = r.route_id WHERE route_short_name = '98' AND route_type = 900" for stage, rows in (("raw", "obs"), ("events", "unique_stop_events"))
     ),
     **{f"read_{k}_metrics": f"SELECT *, {RATES} FROM {k}_metrics" for k in ("scope", "hour", "category", "region")},
     "read_line_metrics": f"SELECT m.*, {RATES}, termini FROM line_metrics m LEFT JOIN {termini(False)} t ON m.service_key = t.service_key",
@@ -141,7 +141,7 @@ SQL: dict[str, str] = {
     "unmatched_id_samples": f"""SELECT stop_id, count(*) AS event_count, any_value({norm('stop_id')}) AS normalized_stop_id FROM stop_events_geographic WHERE station_name IS NULL GROUP BY stop_id ORDER BY event_count DESC, stop_id LIMIT 10""",
     "unclassified_services": SERVICES.format("transport_mode = 'Needs review'"),
     "rapid_transit_services": SERVICES.format("route_type IN (109, 400, 401, 402)"),
-    "static_line_lookup": "SELECT route_id, route_short_name, route_long_name, route_type FROM gtfs_routes WHERE route_short_name = '98'",
+    "static_line_lookup": "SELECT route_id, route_short_name, route_long_name, route_type FROM gtfs_routes WHERE route_short_name = '98' AND route_type = 900",
     "catalogue_row_counts": U.join(f"SELECT 'audit_{k}' AS table_name, count(*) AS row_count FROM {k}" for k in ("gtfs_routes", "gtfs_stops", "gtfs_trips", "gtfs_stop_times")),
     "station_points": f"""SELECT scope_mode, scope_region, station_name, CASE WHEN delay_reported_events < 100 THEN '107,114,128,180' WHEN late_percentage >= 20 THEN '239,68,68,220' WHEN late_percentage >= 10 THEN '249,115,22,220'
   ELSE '245,158,11,210' END AS fill_color, round(greatest(170.0::DOUBLE, least(850.0::DOUBLE, sqrt(delay_reported_events) * 18)), 6) AS point_radius, CASE WHEN span <= 0.12 THEN 11.0 WHEN span <= 0.4 THEN 9.5 WHEN span <= 1 THEN 8.0 ELSE 7.0 END::DOUBLE AS zoom

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import metrics as m
 from ..functions import text as t
 from ..operators.grain import duplicate_keys
-from ..operators.joins import compare_ids, match_coverage
+from ..operators.joins import compare_id_sets, match_coverage
 from .models import EVENT_KEY, Models
 from .store import create_view, table_rows
 
@@ -214,20 +214,21 @@ def topn_examples(w: Models) -> DataFrame:
     return services.groupBy("route_type").agg(_n().alias("route_count"), F.sum("n").alias("unique_stop_events"), F.array_join(F.transform(listed, lambda x: x["route_display_name"]), ", ").alias("example_services"))
 
 
-def expected_vs_observed(w: Models) -> DataFrame:
-    wanted = w.feed._spark.sql("SELECT * FROM VALUES ('98'), ('M4'), ('U2'), ('X99') AS t(line)")
-    seen = w.stop_events_enriched.where(F.col("route_display_name").isin("98", "M4", "U2", "X99")).groupBy("route_display_name").agg(_n().alias("n"), F.count_distinct(F.concat(F.col("trip_id"), F.lit("|"), F.col("start_date"))).alias("trips"))
+def expected_vs_observed(w: Models, route_type: int = 900) -> DataFrame:
+    """The lines that a region's network should have, and whether they were observed."""
+    # fixed values: the lines
+    wanted = w.feed._spark.sql("SELECT * FROM VALUES ('91'), ('92'), ('93'), ('94'), ('96'), ('98'), ('99') AS t(line)")
+    seen = w.stop_events_enriched.where(F.col("route_type") == route_type).groupBy("route_display_name").agg(_n().alias("n"), F.count_distinct("trip_id").alias("trips"))
     out = wanted.join(seen, F.col("line") == F.col("route_display_name"), "left")
     status = F.when(F.col("route_display_name").isNotNull(), "Observed").otherwise("Not observed")
     return out.select("line", status.alias("collection_status"), F.coalesce("n", F.lit(0)).alias("unique_stop_events"), F.coalesce("trips", F.lit(0)).alias("observed_trips"))
 
 
 def id_set_compare(w: Models) -> DataFrame:
-    trips = compare_ids(w.feed.stop_time_updates, w.feed.gtfs_trips, "trip_id").select(F.lit("trips").alias("kind"), "*")
-    own = w.feed.stop_time_updates.select(t.static_route_id(F.col("route_id")).alias("route_id"))
-    routes = compare_ids(own, w.feed.gtfs_routes, "route_id").select(F.lit("routes").alias("kind"), "*")
-    stops = compare_ids(w.feed.stop_time_updates, w.feed.gtfs_stops, "stop_id").select(F.lit("stops").alias("kind"), "*")
-    return _union([trips, routes, stops])
+    """Ids of trips, routes and stops that the feed names against the static reference."""
+    known = {"trips": (w.feed.gtfs_trips, "trip_id"), "routes": (w.feed.gtfs_routes, "route_id"), "stops": (w.feed.gtfs_stops, "stop_id")}
+    named = {"trips": F.col("trip_id"), "routes": t.static_route_id(F.col("route_id")), "stops": F.col("stop_id")}
+    return compare_id_sets(w.feed.stop_time_updates, named, known)
 
 
 def field_availability_profile(w: Models) -> DataFrame:
@@ -242,9 +243,9 @@ def enum_frequency(w: Models) -> DataFrame:
     return w.feed.stop_time_updates.groupBy("stop_schedule_relationship").agg(_n().alias("n"))
 
 
-def raw_gtfs_cross_check(w: Models) -> DataFrame:
+def raw_gtfs_cross_check(w: Models, line: str = "98", route_type: int = 900) -> DataFrame:
     """How far one line got: static reference, raw rows, events."""
-    line = w.feed.gtfs_routes.where("route_short_name = '98'").select(F.col("route_id").alias("r"))
+    line = static_line_lookup(w, line, route_type).select(F.col("route_id").alias("r"))
     instance = F.concat(F.col("trip_id"), F.lit("|"), F.col("start_date"))
 
     def one(stage: str, rows: DataFrame) -> DataFrame:
@@ -322,8 +323,8 @@ def rapid_transit_services(w: Models) -> DataFrame:
     return _services(w.stop_events_enriched.where(F.col("route_type").isin(109, 400, 401, 402)), "route_type")
 
 
-def static_line_lookup(w: Models, line: str = "98") -> DataFrame:
-    return w.feed.gtfs_routes.where(F.col("route_short_name") == line).select("route_id", "route_short_name", "route_long_name", "route_type")
+def static_line_lookup(w: Models, line: str = "98", route_type: int = 900) -> DataFrame:
+    return w.feed.gtfs_routes.where((F.col("route_short_name") == line) & (F.col("route_type") == route_type)).select("route_id", "route_short_name", "route_long_name", "route_type")
 
 
 def catalogue_row_counts(w: Models) -> DataFrame:

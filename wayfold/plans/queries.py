@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import about, extras, quality, reads
+from . import about, extras, quality, reads, rollups
 from .adapters import Feed
 from .oracle import over
 from .oracle_checks import SQL
@@ -32,7 +32,7 @@ def _model(name: str) -> Query:
 
 
 def _check(name: str) -> Query:
-    function = next(getattr(m, name) for m in (quality, reads, extras, about) if hasattr(m, name))
+    function = next(getattr(m, name) for m in (quality, reads, extras, about, rollups) if hasattr(m, name))
     return lambda spark, sf_dir: function(models(spark, sf_dir))
 
 
@@ -41,8 +41,8 @@ ROWS_ONLY = ("path_simplify", "boundaries", "reference_sample")
 
 
 def queries() -> dict[str, Query]:
-    return {name: _model(name) for name in MODELS} | {name: _check(name) for name in (*SQL, *extras.SQL, *ROWS_ONLY)}
+    return {name: _model(name) for name in MODELS} | {name: _check(name) for name in (*SQL, *extras.SQL, *rollups.SQL, *ROWS_ONLY)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: over(f"SELECT * FROM {name}") for name in MODELS} | {name: over(sql) for name, sql in (SQL | extras.SQL).items()}
+    return {name: over(f"SELECT * FROM {name}") for name in MODELS} | {name: over(sql) for name, sql in (SQL | extras.SQL | rollups.SQL).items()}

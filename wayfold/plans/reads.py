@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics as m
 from ..functions import text as t
-from ..operators.grain import before, gaps, top_per_group
+from ..operators.grain import before, top_per_group
+from ..operators.sequence import gaps
 from .models import Models
 
 # Gates of evidence.

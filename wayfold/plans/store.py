@@ -3,23 +3,21 @@ views and catalogue that go with tables."""
 
 from __future__ import annotations
 
-import atexit
 import time
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import exists, file_system, own_path
 from .models import Models
 
 #: Models that others read from, in the order of their making.
 STORED = ("snapshots", "unique_stop_events", "stop_events_enriched", "stop_events_geographic", "trip_stop_patterns", "line_direction_reference", "stop_events_line_focus")
 STORED += ("scope_metrics", "station_metrics", "line_metrics", "hour_metrics", "region_metrics", "category_metrics")
+STORED += ("delay_histogram", "delay_sketches", "distinct_bitmaps")
 
 _tables: dict[tuple, str] = {}
-_sessions: dict[str, SparkSession] = {}
 
 
 def create_table(rows: DataFrame, path: str, by: tuple[str, ...] = (), replace: bool = False) -> DataFrame:
@@ -32,6 +30,21 @@ def create_table(rows: DataFrame, path: str, by: tuple[str, ...] = (), replace:
     return rows.sparkSession.read.schema(rows.select(*names).schema).parquet(path).select(*rows.columns)
 
 
+def bucketed_table(rows: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+    """``rows`` as a table of the session's catalogue, dealt into buckets by a column and
+    sorted by it, with statistics that the planner can use. Two tables with as many
+    buckets are joined by that column without a shuffle. Its files are in the shared
+    folder; each call makes a table of its own."""
+    spark = rows.sparkSession
+    path = own_path(spark, f"table-{name}")
+    table = f"wayfold_{path.rsplit('/', 1)[1].replace('-', '_')}"
+    # each bucket is written by one task, so that it is one sorted file
+    dealt = rows.repartition(buckets, by)
+    dealt.write.option("path", path).bucketBy(buckets, by).sortBy(by).saveAsTable(table)
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {by}")
+    return spark.table(table)
+
+
 def create_view(rows: DataFrame, name: str) -> None:
     """Makes ``rows`` known to SQL; an older view of that name is replaced."""
     rows.createOrReplaceTempView(name)
@@ -72,25 +85,9 @@ class QueryCache:
         return frame.copy()
 
 
-def _path(spark: SparkSession, path: str):
-    """The file system of a path, and the path."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
-
-
-@atexit.register
-def _drop_all() -> None:
-    for path, spark in _sessions.items():
-        try:
-            system, at = _path(spark, path)
-            system.delete(at, True)
-        except Exception:  # the session may be gone
-            return
-
-
 def _version(spark: SparkSession, folder: str) -> tuple:
     """Names, sizes and times of what is in a folder."""
-    system, at = _path(spark, folder)
+    system, at = file_system(spark, folder)
     found = system.listStatus(at)
     return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found))
 
@@ -103,11 +100,10 @@ class Stored(Models):
         """The written table of a model, which is made if it isn't there."""
         spark, folder = self.feed._spark, self.feed._dir
         key = (spark.sparkContext.applicationId, folder, self._folder_version, name)
-        if key not in _tables or not _path(spark, _tables[key])[0].exists(_path(spark, _tables[key])[1]):
-            path = f"{shared_dir(spark)}/model-{name}-{uuid.uuid4().hex}"
+        if key not in _tables or not exists(spark, _tables[key]):
+            path = own_path(spark, f"model-{name}")
             create_table(self.fresh(name), path)
             _tables[key] = path
-            _sessions[path] = spark
         return spark.read.parquet(_tables[key])
 
     @cached_property

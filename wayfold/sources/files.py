@@ -16,15 +16,16 @@ from pyspark.sql import types as T
 from . import schemas
 
 
-def read_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Parquet files whose columns must be there by name, in any case, with the
     types of ``schema``; raises else."""
     wanted = T._parse_datatype_string(schema)
-    found = {f.name.lower(): f.dataType for f in spark.read.parquet(path).schema}
+    paths = [path] if isinstance(path, str) else path
+    found = {f.name.lower(): f.dataType for f in spark.read.option("mergeSchema", "true").parquet(*paths).schema}
     wrong = [f.name for f in wanted if found.get(f.name.lower()) != f.dataType]
     if wrong:
         raise ValueError(f"{path}: missing or of another type: {', '.join(wrong)}")
-    return spark.read.schema(wanted).parquet(path)
+    return spark.read.schema(wanted).parquet(*paths)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -1,13 +1,11 @@
-"""Streams: events once each over restarts, and hourly counts of them."""
+"""Streams: events once each over restarts."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import own_path
 
 
 def unique_stream(rows: DataFrame, key: str, at: str, late: str = "1 day") -> DataFrame:
@@ -16,50 +14,20 @@ def unique_stream(rows: DataFrame, key: str, at: str, late: str = "1 day") -> Da
     return rows.withWatermark(at, late).dropDuplicatesWithinWatermark([key])
 
 
-def hourly(rows: DataFrame, at: str, late: str = "1 day") -> DataFrame:
-    """Counts by hour, with a watermark for late rows."""
-    return rows.withWatermark(at, late).groupBy(F.window(at, "1 hour").start.alias("hour")).agg(F.count(F.lit(1)).alias("n"))
-
-
-def latest(rows: DataFrame, keys: list[str], columns: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key so far, by ``order``: a streaming aggregation whose
-    state is one row a key. Where keys end in time, include a watermarked window."""
-    best = F.max_by(F.struct(*columns, *order), F.struct(*order)).alias("b")
-    return rows.groupBy(*keys).agg(best).select(*keys, "b.*")
-
-
-def source(spark: SparkSession, path: str, schema, at: str, files: str = "*") -> DataFrame:
-    """The ``files`` of a folder as a stream, with a time that watermarks can use."""
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(path)
+def source(spark: SparkSession, path: str, schema, at: str, files: str = "*", per_batch: int | None = None) -> DataFrame:
+    """The ``files`` of a folder as a stream, ``per_batch`` of them in a batch, with a time
+    that watermarks can use."""
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", files)
+    stream = (stream.option("maxFilesPerTrigger", per_batch) if per_batch else stream).parquet(path)
     return stream.withColumn(at, F.col(at).cast("timestamp"))
 
 
-def result(rows: DataFrame, spark: SparkSession, into: str | None = None, every: str | None = None) -> DataFrame:
-    """Runs an aggregating stream over what is there (or each ``every``, a text like
-    '180 seconds', until it is caught up), and reads its result. Each batch writes the
-    whole result anew, so a batch that is run again does no harm."""
-    into = into or f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{into}/result-{number % 2}")
-        spark.createDataFrame([(number,)], "batch bigint").coalesce(1).write.mode("overwrite").parquet(f"{into}/last")
-
-    writer = rows.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{into}/state")
-    if every:
-        query = writer.trigger(processingTime=every).start()
-        query.processAllAvailable()
-        query.stop()
-    else:
-        writer.trigger(availableNow=True).start().awaitTermination()
-    number = spark.read.parquet(f"{into}/last").first()["batch"]
-    return spark.read.parquet(f"{into}/result-{number % 2}")
-
-
 def ingest(spark: SparkSession, path: str, schema, key: str, at: str, late: str = "1 day", into: str | None = None, files: str = "*") -> DataFrame:
     """Runs the ``files`` that are in the folder ``path`` through the dedup into a table
     in the shared folder, exactly once (``into`` names it for a later run to go on
-    with)."""
-    into = into or f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    with). Rows more than ``late`` older than the newest of earlier batches are dropped
+    as late, first ones of their key too."""
+    into = into or own_path(spark, "stream")
     query = unique_stream(source(spark, path, schema, at, files), key, at, late).writeStream.format("parquet").option("path", f"{into}/table").option("checkpointLocation", f"{into}/state")
     query.trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{into}/table")

@@ -131,6 +131,13 @@ def test_lines(spark, awkward, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_cleaned_texts_of_rows_that_share_an_id(spark):
+    copied, other = "this line is copied from another document", "a wholly different line that stands only here"
+    rows = [(1, copied), (2, copied), (2, other), (None, copied + "\nand one more line of its own"), (None, "only this line without an id")]
+    out = line_dedup.cleaned(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, copied), (2, ""), (2, other), (None, "and one more line of its own"), (None, "only this line without an id")], key=repr)
+
+
 def distance(a, b):
     """Levenshtein distance, row by row."""
     last = np.arange(len(b) + 1)

@@ -442,6 +442,12 @@ def test_equal_rows_get_equal_results(spark, secrets_model):
     assert clean.count() == len(rows) and clean.where("text LIKE '%Tr0ub4dor3%'").count() == 0
 
 
+def test_redacted_texts_of_rows_that_share_an_id(spark, secrets_model):
+    rows = [(None, 'password = "Tr0ub4dor3"'), (None, 'see commit 0123456789abcdef0123 = "plain" here'), (4, "nothing"), (4, 'pwd: "k9!xQ2$z"')]
+    out = secret_scan.redacted(spark.createDataFrame(rows, "doc_id long, text string"), secrets_model)
+    assert sorted(r.text for r in out.collect()) == sorted(['password = "[SECRET]"', rows[1][1], "nothing", 'pwd: "[SECRET]"'])
+
+
 def test_mixed_documents_of_equal_rows(spark, empty):
     rows = [(None, "a b c d", "s", k) for k in range(40)] + [(k, "a b c d", "s", k) for k in range(40)] + [(100 + k, "x y", "t", k) for k in range(30)] + [(1, "a b", None, 0), (2, None, "t", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")

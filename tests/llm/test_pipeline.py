@@ -48,11 +48,24 @@ def kept_near(rows):
     pairs = [(a, b) for a in range(len(rows)) for b in range(a) if (values[a] ^ values[b]).bit_count() <= 4]
     if pairs:
         merge_labels(label, *np.array(pairs).T)
+    key = lambda r: (r[0] is None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest())
     least = {}
     for k, r in enumerate(rows):
-        if r[0] is not None:
-            least[label[k]] = min(least.get(label[k], r[0]), r[0])
-    return [r for k, r in enumerate(rows) if r[0] == least.get(label[k])]
+        least[label[k]] = min(least.get(label[k], key(r)), key(r))
+    return [r for k, r in enumerate(rows) if key(r) == least[label[k]]]
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    story = " ".join(f"word{k}" for k in range(300))
+    texts = [(3, story), (5, story + " more"), (5, "something else altogether " * 9), (None, "of no id " * 8), (None, "another of none " * 8), (8, story + " end"), (8, story + " last"), (9, None), (9, "")]
+    texts += [(7, f"a text of its own {k} {k * k}") for k in range(4)] + [(7, "a text of its own 0 0")]
+    docs = spark.createDataFrame(make_rows(texts), SCHEMA)
+    near = rows_of(corpus_pipeline.drop_near_copies(spark, docs, SF))
+    assert near == sorted(kept_near(make_rows(texts)), key=repr)
+    assert {r[1] for r in near} >= {story, texts[2][1], texts[3][1], texts[4][1], "a text of its own 3 9"} and texts[1][1] not in {r[1] for r in near}
+    # one document of a group stays where two of them share the least id
+    own = spark.createDataFrame(make_rows(texts[5:7]), SCHEMA)
+    assert corpus_pipeline.drop_near_copies(spark, own, SF).count() == 1
 
 
 def mixed(rows):

@@ -99,6 +99,12 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """What tells a row apart: its id, none last, and its text's MD5. Only rows that are
+    equal in both share a key."""
+    return F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"))
+
+
 #: Bits of a block of a filter, and bytes of a filter, at most.
 FILTER_BLOCK, FILTER_BYTES = 32_768, 64 << 20
 

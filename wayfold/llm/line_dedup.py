@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, drop_table, maybe_in, write_table
+from .common import connected_components, drop_table, maybe_in, row_key, write_table
 
 SURE_BITS, MAX_BITS, MIN_SIMILARITY = 3, 8, 0.8
 #: Longest line whose edit distance is counted in characters.
@@ -193,8 +193,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the lines that aren't kept taken out of its texts; all rows stay."""
-    gone = dedup_lines(docs, id_col, text_col).where("NOT kept").groupBy(F.col(id_col).alias("__wf_id")).agg(F.collect_set("line_no").alias("__wf_gone"))
-    out = docs.join(gone, F.col(id_col).eqNullSafe(F.col("__wf_id")), "left")
+    """``docs`` with the lines that aren't kept taken out of its texts; all rows stay.
+    Rows with one id and different texts are different documents; rows equal in id and
+    text stay equal."""
+    key = row_key(id_col, text_col)
+    keyed = docs.select(key.alias("__wf_key"), F.col(text_col).alias("__wf_text"))
+    gone = dedup_lines(keyed, "__wf_key", "__wf_text").where("NOT kept").groupBy("__wf_key").agg(F.collect_set("line_no").alias("__wf_gone"))
+    gone = gone.select(F.col("__wf_key.id").alias("__wf_id"), F.col("__wf_key.hash").alias("__wf_hash"), "__wf_gone")
+    out = docs.join(gone, F.col(id_col).eqNullSafe(F.col("__wf_id")) & (key["hash"] == F.col("__wf_hash")), "left")
     rest = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda line, k: ~F.array_contains(F.col("__wf_gone"), k)), "\n")
-    return out.withColumn(text_col, F.when(F.col("__wf_gone").isNull(), F.col(text_col)).otherwise(rest)).drop("__wf_id", "__wf_gone")
+    return out.withColumn(text_col, F.when(F.col("__wf_gone").isNull(), F.col(text_col)).otherwise(rest)).drop("__wf_id", "__wf_hash", "__wf_gone")

@@ -37,6 +37,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import row_key
+
 MIN_LENGTH = 16
 #: One character of a run, the names that assign, and a name with what stands between it and its value.
 CHAR = r"[A-Za-z0-9+/=_\-]"
@@ -246,12 +248,15 @@ def scan(docs: DataFrame, model: SecretModel | None = None, id_col: str = "doc_i
 
 
 def redacted(docs: DataFrame, model: SecretModel | None = None, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each secret replaced; all rows and columns stay. Rows that
-    repeat an id should repeat its text."""
-    found = scan(docs, model, id_col, text_col).where("is_secret").groupBy(F.col(id_col).alias("__wf_id")).agg(F.collect_set("k").alias("__wf_k"))
-    out = docs.join(found, F.col(id_col).eqNullSafe(F.col("__wf_id")), "left")
+    """``docs`` with each secret replaced; all rows and columns stay. Rows with one id
+    and different texts are different documents."""
+    key = row_key(id_col, text_col)
+    keyed = docs.select(key.alias("__wf_key"), F.col(text_col).alias(text_col))
+    found = scan(keyed, model, "__wf_key", text_col).where("is_secret").groupBy("__wf_key").agg(F.collect_set("k").alias("__wf_k"))
+    found = found.select(F.col("__wf_key.id").alias("__wf_id"), F.col("__wf_key.hash").alias("__wf_hash"), "__wf_k")
+    out = docs.join(found, F.col(id_col).eqNullSafe(F.col("__wf_id")) & (key["hash"] == F.col("__wf_hash")), "left")
     cs, ps = _taken_apart(F.col(text_col))
     between = F.transform(cs, lambda c, i: F.when(F.array_contains(F.col("__wf_k"), i), F.lit(mark)).otherwise(c))
     parts = F.zip_with(ps, F.concat(between, F.array(F.lit(""))), lambda p, c: F.concat(p, c))
     text = F.when(F.col("__wf_k").isNull(), F.col(text_col)).otherwise(F.array_join(parts, ""))
-    return out.withColumn(text_col, text).drop("__wf_id", "__wf_k")
+    return out.withColumn(text_col, text).drop("__wf_id", "__wf_hash", "__wf_k")

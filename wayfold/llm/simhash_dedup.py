@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, drop_table, merge_labels, OWN, small_batches, write_table
+from .common import connected_components, drop_table, merge_labels, OWN, row_key, small_batches, write_table
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -206,9 +206,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the least id.
-    Rows that share that id all stay; rows without an id stay only if no row of
-    their component has one."""
-    found = near_dedup(docs, id_col, text_col)
-    gone = found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(f"{OWN}gone")).distinct()
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col(f"{OWN}gone")), "left_anti")
+    """The rows of ``docs`` that stay: of each component the one with the least id, and of
+    rows that share that id the one whose text has the least MD5. Rows with one id and
+    different texts are different documents; rows equal in id and text can't be told
+    apart and stay or go together. A row without an id stays only if no row of its
+    component has one."""
+    key = row_key(id_col, text_col)
+    found = near_dedup(docs.select(key.alias(f"{OWN}key"), F.col(text_col).alias(f"{OWN}text")), f"{OWN}key", f"{OWN}text")
+    gone = found.where(F.col(f"{OWN}key") != F.col("component_id")).select(F.col(f"{OWN}key.id").alias(f"{OWN}id"), F.col(f"{OWN}key.hash").alias(f"{OWN}hash")).distinct()
+    same = F.col(id_col).eqNullSafe(F.col(f"{OWN}id")) & (key["hash"] == F.col(f"{OWN}hash"))
+    return docs.join(gone, same, "left_anti")

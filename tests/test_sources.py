@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfold.sources import feed, files, schemas
-from wayfold.streaming import dedup
+from wayfold.plans.current import CurrentTable
+from wayfold.streaming import dedup, windows
 
 
 def feed_message():
@@ -176,21 +177,25 @@ def test_row_sets_rotate_by_kind(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "o/trip").glob("*.zstd.parquet"))) == 3 and len(list((tmp_path / "o/feed").glob("*.zstd.parquet"))) == 1
 
 
-def test_streams_by_hour_and_latest(spark, tmp_path):
-    rows = [(k, k % 3, f"2026-01-01 0{k // 10}:{k % 10}0:00".replace("60:", "50:") if k % 10 < 6 else f"2026-01-01 0{k // 10}:5{k % 10}:00") for k in range(30)]
-    schema = "id long, u long, ts timestamp"
-    make = lambda some: spark.createDataFrame(some, "id long, u long, ts string").selectExpr("id", "u", "timestamp(ts) AS ts").coalesce(1)
-    make(rows[:20]).write.parquet(str(tmp_path / "in"))
-    source = lambda: dedup.source(spark, str(tmp_path / "in"), schema, "ts")
-    into = f"file://{tmp_path}/latest"
-    got = {r.u: r.id for r in dedup.result(dedup.latest(source(), ["u"], [], ["ts", "id"]), spark, into).collect()}
-    best = lambda some: {u: max((r[2], r[0]) for r in some if r[1] == u)[1] for u in range(3)}
-    assert got == best(rows[:20])
-    make(rows[20:]).write.mode("append").parquet(str(tmp_path / "in"))
-    got = {r.u: r.id for r in dedup.result(dedup.latest(source(), ["u"], [], ["ts", "id"]), spark, into, every="1 second").collect()}
-    assert got == best(rows)
-    hours = {r.hour.hour: r.n for r in dedup.result(dedup.hourly(source(), "ts"), spark).collect()}
-    assert hours == {0: 10, 1: 10, 2: 10}
+def test_a_stream_with_a_cadence_goes_on(spark, tmp_path):
+    schema = "user_id long, ts timestamp, id long"
+    make = lambda ids: spark.createDataFrame([(i,) for i in ids], "id long").selectExpr("id % 3 AS user_id", "timestamp_seconds(id * 600) AS ts", "id").coalesce(1)
+    make(range(20)).write.parquet(str(tmp_path / "in"))
+    table = CurrentTable(spark, f"file://{tmp_path}/latest", schema, ["user_id"], ["ts", "id"], F.col("user_id"))
+    source = dedup.source(spark, str(tmp_path / "in"), schema, "ts")
+    query = windows.start_latest(source, "ts", table, f"file://{tmp_path}/state", every="1 second")
+    try:
+        query.processAllAvailable()
+        assert {r.user_id: r.id for r in table.rows().collect()} == {0: 18, 1: 19, 2: 17}
+        make(range(20, 30)).write.mode("append").parquet(str(tmp_path / "in"))
+        query.processAllAvailable()
+        assert query.isActive and {r.user_id: r.id for r in table.rows().collect()} == {0: 27, 1: 28, 2: 29}
+    finally:
+        query.stop()
+    # and a later run goes on with the same table and state
+    make(range(30, 32)).write.mode("append").parquet(str(tmp_path / "in"))
+    windows.keep_latest(source, "ts", table, f"file://{tmp_path}/state", every="1 second")
+    assert {r.user_id: r.id for r in table.rows().collect()} == {0: 30, 1: 31, 2: 29}
 
 
 def test_tables_of_a_folder(spark, tmp_path):

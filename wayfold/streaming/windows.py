@@ -38,22 +38,27 @@ def _finish(query: StreamingQuery, every: str | None) -> Run:
 
 
 def _trigger(writer, every: str | None):
-    """What is there, or each ``every`` (a text like '180 seconds') until caught up."""
+    """What is there, or each ``every`` (a text like '180 seconds')."""
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
-def count_hours(rows: DataFrame, at: str, into: str, late: str = "1 day", every: str | None = None) -> Run:
-    """Counts the rows of each hour; an hour is appended to the table in ``into`` once it
-    is closed. A run with the same ``into`` goes on where the last one ended."""
-    spark = rows.sparkSession
+def start_hours(rows: DataFrame, at: str, into: str, late: str = "1 day", every: str | None = None) -> StreamingQuery:
+    """Starts counting the rows of each hour; an hour is appended to the table in ``into``
+    once it is closed. The query goes on for good if ``every`` is given."""
     counted = rows.withWatermark(at, late).observe("arrived", F.count(F.lit(1)).alias("rows")).groupBy(F.window(at, "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"))
     writer = counted.select(F.col("w.start").alias("hour"), "n").writeStream.outputMode("append").format("parquet")
+    return _trigger(writer.option("path", f"{into}/hours").option("checkpointLocation", f"{into}/state"), every).start()
+
+
+def count_hours(rows: DataFrame, at: str, into: str, late: str = "1 day", every: str | None = None) -> Run:
+    """Counts the hours of what is there. A run with the same ``into`` goes on where the
+    last one ended."""
+    spark = rows.sparkSession
     # the progress of all batches of the run is kept, as their rows are added up
     kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(1 << 20))
     try:
-        query = _trigger(writer.option("path", f"{into}/hours").option("checkpointLocation", f"{into}/state"), every).start()
-        run = _finish(query, every)
+        run = _finish(start_hours(rows, at, into, late, every), every)
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
     if run.rows_in:
@@ -85,14 +90,20 @@ def late_rows(spark: SparkSession, into: str) -> DataFrame:
     return came.crossJoin(counted).withColumn("late", F.col("arrived") - F.col("counted"))
 
 
-def keep_latest(rows: DataFrame, at: str, table: CurrentTable, checkpoint: str, late: str = "1 day", span: str = "1 day", every: str | None = None) -> Run:
-    """Keeps ``table`` at the newest row of each of its keys. The state has a row for a
-    key in each open ``span``, so that a key that is seen no more leaves it; what changed
-    in a batch is merged into the table, of which only the touched partitions are
-    rewritten. Rows whose span is closed are late and dropped."""
+def start_latest(rows: DataFrame, at: str, table: CurrentTable, checkpoint: str, late: str = "1 day", span: str = "1 day", every: str | None = None) -> StreamingQuery:
+    """Starts keeping ``table`` at the newest row of each of its keys. The state has a row
+    for a key in each open ``span``, so that a key that is seen no more leaves it; what
+    changed in a batch is merged into the table, of which only the touched partitions are
+    rewritten. Rows whose span is closed are late and dropped. The query goes on for good
+    if ``every`` is given."""
     keys, names = table.keys, [n for n in table.schema.names if n not in table.keys]
     order = [n for n in table.order if n not in keys]
     best = F.max_by(F.struct(*names), F.struct(*order)).alias("b")
     spans = rows.withWatermark(at, late).groupBy(*keys, F.window(at, span).alias("w")).agg(best).select(*keys, "b.*")
     writer = spans.writeStream.outputMode("update").foreachBatch(lambda batch, number: table.merge(batch) and None)
-    return _finish(_trigger(writer.option("checkpointLocation", checkpoint), every).start(), every)
+    return _trigger(writer.option("checkpointLocation", checkpoint), every).start()
+
+
+def keep_latest(rows: DataFrame, at: str, table: CurrentTable, checkpoint: str, late: str = "1 day", span: str = "1 day", every: str | None = None) -> Run:
+    """Brings ``table`` up to what is there (see :func:`start_latest`)."""
+    return _finish(start_latest(rows, at, table, checkpoint, late, span, every), every)

@@ -1,13 +1,15 @@
 """Tables, labels, boundaries and the other reads beside the registered queries."""
 
 import json
+import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wayfold.operators import paths
 from wayfold.plans import about, store
 from wayfold.plans.adapters import Feed
-from wayfold.plans.extras import simplified
 from wayfold.plans.models import Models
 from wayfold.operators.joins import fallback_join
 from wayfold.operators.grain import before
@@ -66,29 +68,50 @@ def test_labels(spark):
     assert b.display_label == "2. Other · 250 timed visits · limited sample" and b.evidence_note.startswith("Early signal: fewer than 300") and b.rate_label == "4.0% — 10 of 250"
 
 
-def away(p, a, z):
-    (x, y), (x0, y0), (x1, y1) = p, a, z
-    size = (x1 - x0) ** 2 + (y1 - y0) ** 2
-    u = min(1, max(0, ((x - x0) * (x1 - x0) + (y - y0) * (y1 - y0)) / size)) if size else 0
-    return ((x - x0 - u * (x1 - x0)) ** 2 + (y - y0 - u * (y1 - y0)) ** 2) ** 0.5
-
-
-def test_boundaries_stay_within_the_tolerance(spark):
-    feed = Feed(spark, SF)
-    rings = {r.state_name: [tuple(p) for p in r.ring] for r in feed.state_boundaries.collect()}
-    got = {r.state_name: r for r in about.boundaries(Models(feed), 0.01).collect()}
-    assert set(got) == {"Berlin", "Brandenburg"}
-    for name, row in got.items():
-        shape = json.loads(row.boundary_geojson)
-        kept = [tuple(p) for p in shape["coordinates"][0]]
-        assert shape["type"] == "Polygon" and kept[0] == kept[-1] and 10 < len(kept) == row.points < 128
-        places = [rings[name].index(p) for p in kept[:-1]] + [128]
-        assert places == sorted(places)
-        for a, z in zip(places, places[1:]):
-            assert max(away(rings[name][k], rings[name][a], rings[name][z]) for k in range(a, z + 1)) <= 0.01
-        # a coarser outline keeps fewer points, none keeps all
-        assert len(simplified(rings[name], 0.2)) < len(kept) and len(simplified(rings[name], 0.0)) == 129
-    assert simplified([(0, 0), (1, 0), (2, 0)], 0.1) == [(0, 0), (2, 0)]
+def metres(p, a, z):
+    """Metres from p to the stretch from a to z, found by walking along it."""
+    unit = lambda q: np.array([math.cos(math.radians(q[1])) * math.cos(math.radians(q[0])), math.cos(math.radians(q[1])) * math.sin(math.radians(q[0])), math.sin(math.radians(q[1]))])
+    p, a, z = unit(p), unit(a), unit(z)
+    along = a + np.linspace(0, 1, 4001)[:, None] * (z - a)
+    along /= np.linalg.norm(along, axis=1)[:, None]
+    return float(np.arccos(np.clip(along @ p, -1, 1)).min() * paths.METRES)
+
+
+@pytest.mark.parametrize("tolerance", [0.0, 100.0, 2000.0])
+def test_simplified_rings_stay_within_metres(tolerance):
+    turn = np.linspace(0, 2 * np.pi, 129)
+    size = 1 + np.arange(129) % 3 * 0.001
+    ring = np.stack([13 + size * np.cos(turn), 52 + size * np.sin(turn)], axis=1)
+    ring[-1] = ring[0]
+    kept = paths.simplified(ring, tolerance).tolist()
+    assert kept[0] == 0 and kept[-1] == 128 and kept == sorted(set(kept))
+    for a, z in zip(kept, kept[1:]):
+        assert max((metres(ring[k], ring[a], ring[z]) for k in range(a + 1, z)), default=0) <= tolerance + 1
+    # without any one of them that isn't an end, its neighbours' stretch would be too far from it or the ring gone
+    assert len(kept) == 129 if not tolerance else 10 < len(kept) < 129
+
+
+def test_distances_on_the_sphere():
+    unit = lambda *q: paths._on_sphere(np.array([q], float))
+    off = lambda p, a, z: float(paths.metres_from(unit(*p), unit(*a)[0], unit(*z)[0])[0])
+    degree = math.pi / 180 * paths.METRES
+    assert off((0, 1), (-5, 0), (5, 0)) == pytest.approx(degree)
+    assert off((7, 0), (-5, 0), (5, 0)) == pytest.approx(2 * degree)
+    assert off((10, 60), (10, 60), (10, 60)) == 0 and off((12, 60), (10, 60), (10, 60)) == pytest.approx(degree * 2 * math.cos(math.pi / 3), rel=1e-3)
+    # a metre of longitude is shorter in the north, and a parallel is no shortest way
+    assert off((0, 60), (-10, 60), (10, 60)) == pytest.approx(metres((0, 60), (-10, 60), (10, 60)), abs=1) and off((0, 60), (-10, 60), (10, 60)) > 40_000
+    # over the date line
+    assert off((180, 0.5), (179, 0), (-179, 0)) == pytest.approx(degree / 2)
+
+
+def test_simplified_shapes_as_geojson(spark):
+    line = [[13.0, 52.0], [13.5, 52.00001], [14.0, 52.0]]
+    rows = spark.createDataFrame([(1, line), (2, []), (3, None), (4, [[1.0, 2.0]]), (5, [[1.0, 2.0], [1.0, 2.0], [1.0, 2.0]])], "i int, p array<array<double>>")
+    got = {r.i: (r.g and json.loads(r.g)["coordinates"], r.points) for r in paths.simplify(rows, "p", 2000.0, "LineString", "g").collect()}
+    assert got == {1: ([line[0], line[2]], 2), 2: (None, 0), 3: (None, 0), 4: ([[1.0, 2.0]], 1), 5: ([[1.0, 2.0]] * 3, 3)}
+    for r in about.boundaries(Models(Feed(spark, "/root/testdata/sf0.01"))).collect():
+        shape = json.loads(r.boundary_geojson)
+        assert shape["type"] == "Polygon" and shape["coordinates"][0][0] == shape["coordinates"][0][-1] and len(shape["coordinates"][0]) == r.points > 3
 
 
 def test_fallback_join_spreads_rows_that_are_not_asked(spark):

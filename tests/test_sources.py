@@ -1,6 +1,7 @@
 import json
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +53,24 @@ def test_csv_and_zip(spark, tmp_path):
     assert sorted(r[0] for r in files.zip_ids(spark, str(tmp_path / "g.zip"), "stops.txt", "stop_id").collect()) == ["1", "2"]
 
 
+def test_a_long_member_of_a_zip_is_read_in_blocks(spark, tmp_path, monkeypatch):
+    line = "".join(f'"{k % 1000:04}  ","a ""quoted""\nname, {k}"\r\n' for k in range(20_000))
+    with zipfile.ZipFile(tmp_path / "g.zip", "w", zipfile.ZIP_DEFLATED) as z, z.open("stops.txt", "w") as out:
+        out.write(b"\xef\xbb\xbfstop_id,stop_name\n")
+        for _ in range(40):
+            out.write(line.encode())
+    # a block is all that is unpacked at a time
+    held, opened = [], zipfile.ZipExtFile.read
+    content = (tmp_path / "g.zip").read_bytes()
+    monkeypatch.setattr(zipfile.ZipExtFile, "read", lambda self, n=-1: (held.append(n), opened(self, n))[1])
+    frame = type("Frame", (), {"mapInArrow": lambda self, run, schema: type("Out", (), {"distinct": lambda s: list(run(iter([pa.RecordBatch.from_arrays([pa.array([content])], ["content"])])))})(), "select": lambda self, c: self})
+    reader = type("Reader", (), {"format": lambda self, f: self, "load": lambda self, p: frame()})
+    blocks = files.zip_ids(type("Session", (), {"read": reader()})(), "x", "stops.txt", "stop_id")
+    assert len(blocks) > 1 and max(held) <= files.ZIP_BLOCK and {v for b in blocks for v in b.column(0).to_pylist()} == {f"{k:04}" for k in range(1000)}
+    monkeypatch.undo()
+    assert files.zip_ids(spark, str(tmp_path / "g.zip"), "stops.txt", "stop_id").count() == 1000
+
+
 def test_parquet_sink_and_strict_source(spark, tmp_path):
     rows = spark.range(100).withColumn("x", F.col("id").cast("string")).coalesce(1)
     path = str(tmp_path / "out")

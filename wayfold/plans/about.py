@@ -13,7 +13,7 @@ from ..functions import display
 from ..functions import metrics as m
 from ..functions import text as t
 from ..operators.grain import top_per_group
-from .extras import simplified
+from ..operators.paths import simplify
 from .models import Models
 from .reads import LIMITED_BELOW, LOW_COVERAGE, MIN_RANKED, _n, _rates, read_line_metrics
 
@@ -120,19 +120,10 @@ def selected_line_stops(w: Models, service_key: str = "Regional rail|ag2|FEX", r
     return line_drilldown(w, service_key, region)
 
 
-def boundaries(w: Models, tolerance: float = 0.01) -> DataFrame:
+def boundaries(w: Models, metres: float = 100.0) -> DataFrame:
     """Simplified outlines of the regions as GeoJSON geometries; rings stay closed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import json
-
-        for batch in batches:
-            rings = [simplified(ring, tolerance) for ring in batch.column(1).to_pylist()]
-            text = [json.dumps({"type": "Polygon", "coordinates": [r]}) for r in rings]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text, pa.string()), pa.array([len(r) for r in rings], pa.int32())], ["state_name", "boundary_geojson", "points"])
-
     rows = w.feed.state_boundaries.where(F.col("state_name").isin(*t.REGIONS)).select("state_name", "ring")
-    return rows.mapInArrow(run, "state_name string, boundary_geojson string, points int")
+    return simplify(rows, "ring", metres, "Polygon", "boundary_geojson")
 
 
 def station_points(w: Models) -> DataFrame:

@@ -166,11 +166,16 @@ class Feed:
 
     @cached_property
     def state_boundaries(self) -> DataFrame:
-        """Closed rings, jagged enough to be simplified."""
-        point = "array(13D + k + cos(pi() * i / 64) * (1 + i % 3 * 0.001D), 52D + sin(pi() * i / 64) * (1 + i % 3 * 0.001D))"
-        states = self._spark.createDataFrame([("Berlin", 0), ("Brandenburg", 1), ("Sachsen", 2)], "state_name string, k int")
-        ring = states.withColumn("ring", F.expr(f"transform(sequence(0, 127), i -> {point})"))
-        return ring.select("state_name", F.expr("concat(ring, array(ring[0]))").alias("ring"))
+        """A closed ring around the stops of each state: of each of 128 directions from
+        their middle the stop that is farthest out."""
+        stops = self.gtfs_stops_geographic.where("state_name IS NOT NULL")
+        middle = stops.groupBy("state_name").agg(F.avg("stop_lon").alias("x"), F.avg("stop_lat").alias("y"))
+        stops = stops.join(middle, "state_name").withColumns({"dx": F.expr("stop_lon - x"), "dy": F.expr("stop_lat - y")})
+        farthest = F.max(F.struct(F.expr("dx * dx + dy * dy"), "stop_lon", "stop_lat")).alias("p")
+        # at most 128 points a state
+        points = stops.groupBy("state_name", F.expr("floor((atan2(dy, dx) + pi()) * 64 / pi())").alias("direction")).agg(farthest)
+        ring = points.groupBy("state_name").agg(F.sort_array(F.collect_list(F.struct("direction", F.array("p.stop_lon", "p.stop_lat").alias("at")))).alias("r"))
+        return ring.select("state_name", F.expr("concat(r.at, array(r.at[0]))").alias("ring"))
 
     @cached_property
     def map_paths(self) -> DataFrame:

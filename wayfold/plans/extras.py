@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.paths import simplify
 from ..operators.sequence import gaps
 from ..session import exists, own_path, rename
 from ..sources import feed
@@ -22,8 +22,10 @@ OWN = ["trip_id", "route_id", "direction_id", "start_date"]
 FIELDS = ["stop_id", "stop_sequence", "stop_schedule_relationship", "arrival_delay_seconds", "departure_delay_seconds"]
 
 
-def _messages(w: Models) -> DataFrame:
-    """``message, content``: a feed message for each trip's stop updates."""
+def _messages(w: Models, more: bool = False) -> DataFrame:
+    """``message, content``: a feed message for each trip's stop updates; with ``more``
+    also a vehicle, an alert or a deleted entity, by the trip's direction."""
+    beside = {0: (4, b""), 1: (5, b""), None: (2, 1)} if more else {}
     trips = w.feed.stop_time_updates.groupBy(*OWN).agg(F.collect_list(F.struct(*FIELDS)).alias("stops"))
     trips = trips.withColumn("message", F.to_json(F.struct(*OWN)))
 
@@ -38,7 +40,8 @@ def _messages(w: Models) -> DataFrame:
                     relation = 1 if s["stop_schedule_relationship"] == "SKIPPED" else 0
                     updates.append((2, feed.encode([(1, s["stop_sequence"]), (2, a and feed.encode(a)), (3, d and feed.encode(d)), (4, s["stop_id"]), (5, relation)])))
                 entity = feed.encode([(1, r["trip_id"]), (3, feed.encode([(1, trip), *updates, (3, feed.encode([(1, "V")])), (4, 1_790_000_000), (5, -7)]))])
-                out.append(feed.encode([(1, feed.encode([(1, "2.0"), (3, 1_790_000_001)])), (2, entity)]))
+                another = [(2, feed.encode([(1, "more"), beside[r["direction_id"]]]))] if more else []
+                out.append(feed.encode([(1, feed.encode([(1, "2.0"), (3, 1_790_000_001)])), (2, entity), *another]))
             yield pa.RecordBatch.from_arrays([batch.column("message"), pa.array(out, pa.binary())], ["message", "content"])
 
     return trips.mapInArrow(run, "message string, content binary")
@@ -64,38 +67,9 @@ def path_json_round_trip(w: Models) -> DataFrame:
     return w.feed.map_paths.withColumn("path", back).select("route_id", "shape_id", F.size("path").alias("points"), total(0).alias("lon_sum"), total(1).alias("lat_sum"))
 
 
-def simplified(points: list, tolerance: float) -> list:
-    """A path without the points that lie within a tolerance of the stretch between
-    those that stay; both ends stay."""
-    if len(points) < 3:
-        return points
-    keep, stack = {0, len(points) - 1}, [(0, len(points) - 1)]
-    while stack:
-        a, z = stack.pop()
-        (x0, y0), (x1, y1) = points[a], points[z]
-        size = (x1 - x0) ** 2 + (y1 - y0) ** 2
-        away = []
-        for k in range(a + 1, z):
-            x, y = points[k]
-            along = min(1.0, max(0.0, ((x - x0) * (x1 - x0) + (y - y0) * (y1 - y0)) / size)) if size else 0.0
-            away.append((((x - x0 - along * (x1 - x0)) ** 2 + (y - y0 - along * (y1 - y0)) ** 2) ** 0.5, k))
-        far, k = max(away, default=(0, a))
-        if far > tolerance:
-            keep.add(k)
-            stack += [(a, k), (k, z)]
-    return [points[k] for k in sorted(keep)]
-
-
-def path_simplify(w: Models, tolerance: float = 0.02) -> DataFrame:
+def path_simplify(w: Models, metres: float = 2000.0) -> DataFrame:
     """Paths simplified, as GeoJSON lines."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            paths = [simplified(p, tolerance) for p in batch.column(2).to_pylist()]
-            text = [json.dumps({"type": "LineString", "coordinates": p}) for p in paths]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(text, pa.string()), pa.array([len(p) for p in paths], pa.int32())], ["route_id", "shape_id", "path_geojson", "points"])
-
-    return w.feed.map_paths.select("route_id", "shape_id", "map_path_coordinates").mapInArrow(run, "route_id string, shape_id string, path_geojson string, points int")
+    return simplify(w.feed.map_paths.select("route_id", "shape_id", "map_path_coordinates"), "map_path_coordinates", metres, "LineString", "path_geojson")
 
 
 def streaming_hourly_dedup(w: Models) -> DataFrame:
@@ -184,13 +158,14 @@ UNION ALL SELECT unnest(['trip.direction_id', 'trip.route_id', 'trip.schedule_re
 def entity_kinds(w: Models) -> DataFrame:
     """Entities of all messages by kind, from the feed rows of the decoder."""
     kinds = ["entity_count", "trip_update_count", "vehicle_position_count", "alert_count", "deleted_entity_count", "stop_time_update_count"]
-    wide = feed.decode(_messages(w), rows="feed").agg(*[F.sum(k).alias(k) for k in kinds])
+    wide = feed.decode(_messages(w, more=True), rows="feed").agg(*[F.sum(k).alias(k) for k in kinds])
     return wide.unpivot([], kinds, "kind", "n")
 
 
 SQL = {
-    "entity_kinds": """WITH t AS (SELECT count(DISTINCT (trip_id, route_id, direction_id, start_date)) AS m, count(*) AS s FROM obs)
-SELECT unnest(['entity_count', 'trip_update_count', 'vehicle_position_count', 'alert_count', 'deleted_entity_count', 'stop_time_update_count']) AS kind, unnest([m, m, 0, 0, 0, s]) AS n FROM t""",
+    "entity_kinds": """WITH m AS (SELECT DISTINCT trip_id, route_id, direction_id, start_date FROM obs),
+  t AS (SELECT count(*) AS m, count(*) FILTER (direction_id = 0) AS v, count(*) FILTER (direction_id = 1) AS a, count(*) FILTER (direction_id IS NULL) AS d FROM m), s AS (SELECT count(*) AS s FROM obs)
+SELECT unnest(['entity_count', 'trip_update_count', 'vehicle_position_count', 'alert_count', 'deleted_entity_count', 'stop_time_update_count']) AS kind, unnest([2 * m, m, v, a, d, s]) AS n FROM t, s""",
     "streaming_hour_counts": "SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events GROUP BY 1",
     "streaming_closed_hours": """WITH e AS (SELECT event_id % 4 AS k, ts, date_trunc('hour', ts) AS hour FROM events),
   marks AS (SELECT k, max(max(ts)) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 DAY AS mark FROM e GROUP BY k),

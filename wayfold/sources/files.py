@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import csv
-import io
 import uuid
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.csv as pacsv
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,18 +59,27 @@ def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return out | {f"gtfs_{name}": read_csv(spark, f"{folder}/{name}.txt", schema) for name, schema in schemas.STATIC.items()}
 
 
+#: Bytes of a member that are read at a time.
+ZIP_BLOCK = 8 << 20
+
+
 def zip_ids(spark: SparkSession, path: str, member: str, column: str) -> DataFrame:
-    """Distinct trimmed values of a column of a CSV inside zip files."""
+    """Distinct trimmed values of a column of a CSV inside zip files. A member is unpacked
+    and parsed block by block, so a task holds the packed file and a block, however long
+    the member is; what is distinct over blocks and files is found in a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parse = pacsv.ParseOptions(newlines_in_values=True)
+        convert = pacsv.ConvertOptions(include_columns=[column], column_types={column: pa.string()}, strings_can_be_null=False)
         for batch in batches:
-            for content in batch.column(0).to_pylist():
-                with zipfile.ZipFile(io.BytesIO(content)) as z, z.open(member) as raw:
-                    rows = csv.DictReader(io.TextIOWrapper(raw, "utf-8-sig", newline=""))
-                    values = sorted({v.strip() for r in rows if (v := r[column]) and v.strip()})
-                yield pa.RecordBatch.from_arrays([pa.array(values, pa.string())], [column])
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, f"{column} string").distinct()
+            for content in batch.column(0):
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as z, z.open(member) as raw:
+                    for block in pacsv.open_csv(raw, pacsv.ReadOptions(block_size=ZIP_BLOCK), parse, convert):
+                        values = pc.unique(pc.utf8_trim_whitespace(block.column(0)))
+                        yield pa.RecordBatch.from_arrays([values.filter(pc.not_equal(values, ""))], [column])
+
+    content = spark.read.format("binaryFile").load(path).select("content")
+    return content.mapInArrow(run, f"{column} string").distinct()
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*", content: bool = False) -> DataFrame:

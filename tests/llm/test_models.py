@@ -175,6 +175,19 @@ def test_most_sequences_come_from_the_program():
     assert total <= 1.001 * -(-int((sizes * n).sum()) // 1024) + 1
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_never_more_sequences_than_best_fit(seed):
+    draw = np.random.default_rng(seed)
+    sizes = np.unique(draw.integers(1, 1025, 40 * (seed + 1)))
+    n = draw.integers(1, 9, len(sizes))
+    histogram = dict(zip(sizes.tolist(), n.tolist())) | {1024: 50}
+    demand = np.zeros(1025, np.int64)
+    demand[list(histogram)] = list(histogram.values())
+    program, rest = packing.plan_parts(histogram)
+    assert held(program + rest) == histogram and (program + rest).total() <= packing.best_fit(demand, 1024).total()
+    assert program[(1024,)] == 50
+
+
 def test_packing_rows_that_are_equal(spark):
     docs = spark.createDataFrame([(1, "one two three")] * 500 + [(None, None)] * 300, "doc_id long, text string")
     rows = packing.pack(docs).collect()

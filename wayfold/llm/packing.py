@@ -5,11 +5,11 @@ entries. A configuration is a multiset of lengths that fits into one sequence;
 the linear program asks for the fewest configurations that cover the histogram.
 It is solved by multiplicative weights: each length has a price that falls as it
 gets covered, a knapsack dynamic program over the capacity prices configurations,
-and the best ones get a step each. The solution is rounded down to whole numbers of
-configurations, of those that waste no more than the solution does on average; then the
-program is solved again for what is left, until rounding takes next to nothing. Only
-that rest, less than one configuration of a kind, is packed by best fit, longest first.
-(Few documents leave a large rest, many a small one.)
+and the best ones get a step each. Of the solution, configurations that waste nothing are
+rounded to whole numbers; then the program is solved again for what is left, until
+rounding takes next to nothing. That rest is packed by best fit, longest first, and the
+round that leads to fewest sequences is the plan. (Few documents leave a large rest, many
+a small one.)
 
 Pieces get their place from their rank among the pieces of their length. Ranks
 are found with ranges (about the square root of a length's pieces) and prefix
@@ -29,6 +29,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +40,14 @@ from .common import small_batches, write_table
 
 CAPACITY = 1024
 END_TOKEN = 2
-#: Share of a length's demand that one step of the solver covers and its least number
-#: of pieces, how fast prices fall with coverage, its rounds, and the configurations
-#: that one round may take.
-STEP, LEAST, FALL, ROUNDS, PER_ROUND = 0.02, 0.1, 4.0, 400, 256
-#: The program is solved again as long as rounding takes this share of the plan.
-AGAIN = 0.01
+#: How fast prices fall with coverage, and the configurations that one round may take.
+FALL, PER_ROUND = 4.0, 256
+#: Ways to solve the program: how much dearer a token of a long piece is than one of a
+#: short one (long pieces go first, so that short ones are left to fill up), rounds, and
+#: the share of a length's demand that one step covers and its least number of pieces.
+WAYS = ((20.0, 20, 0.05, 0.25), (5.0, 8, 0.1, 0.5))
+#: The program is solved again as long as rounding takes more than this share of the plan.
+AGAIN = 0.001
 _MEMO = 400_000  # distinct words whose ids a task remembers
 
 
@@ -153,22 +156,25 @@ def _knapsack(price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]
     return best, last
 
 
-def solve_configurations(demand: np.ndarray, capacity: int) -> tuple[dict[tuple[int, ...], float], float]:
+def solve_configurations(demand: np.ndarray, capacity: int, dear: float = WAYS[0][0], rounds: int = WAYS[0][1], share_of_step: float = WAYS[0][2], least: float = WAYS[0][3]) -> tuple[dict[tuple[int, ...], float], float]:
     """A near-optimal fractional solution (configuration to amount) of the
     configuration linear program, and a lower bound on its value. demand[l] is
     the number of pieces of length l."""
     sizes = np.flatnonzero(demand)
     amount: dict[tuple[int, ...], float] = defaultdict(float)
-    covered, bound = np.zeros(capacity + 1), 0.0
+    covered = np.zeros(capacity + 1)
     need = np.maximum(demand, 1).astype(float)
-    for _ in range(ROUNDS):
+    # any prices give a bound; at first those of the lengths themselves
+    price = np.where(demand > 0, np.arange(capacity + 1.0), 0.0)
+    bound = float((price * demand).sum() / max(_knapsack(price, capacity)[0][capacity], 1.0))
+    for _ in range(rounds):
         missing = sizes[covered[sizes] < demand[sizes] - 1e-9]
         if not len(missing):
             break
-        # prices start in proportion to length and fall with coverage
+        # prices grow faster than lengths at the start, and fall with coverage
         share = covered / need
         price = np.zeros(capacity + 1)
-        price[missing] = missing * np.exp(-FALL * (share[missing] - share[sizes].min()))
+        price[missing] = missing * (1 + dear * missing / capacity) * np.exp(-FALL * (share[missing] - share[sizes].min()))
         best, last = _knapsack(price, capacity)
         bound = max(bound, float((price * demand).sum() / best[capacity]))
         worth = price[missing] + best[capacity - missing]
@@ -181,7 +187,7 @@ def solve_configurations(demand: np.ndarray, capacity: int) -> tuple[dict[tuple[
                 config.append(int(last[space]))
                 space -= int(last[space])
             counts = Counter(config)
-            step = min(min(max(STEP * need[k], LEAST), demand[k] - covered[k]) / v for k, v in counts.items())
+            step = min(min(max(share_of_step * need[k], least), demand[k] - covered[k]) / v for k, v in counts.items())
             if step <= 0:
                 continue
             for k, v in counts.items():
@@ -216,15 +222,14 @@ def best_fit(rest: np.ndarray, capacity: int) -> Counter:
 
 
 def _rounded(amount: dict[tuple[int, ...], float], rest: np.ndarray, capacity: int) -> Counter:
-    """Whole numbers within the amounts, taken off ``rest``."""
-    total = sum(amount.values())
-    waste = {c: capacity - sum(c) for c in amount}
-    usual = sum(waste[c] * x for c, x in amount.items()) / total if total else 0
+    """Whole numbers of the configurations that waste nothing, those with the longest
+    pieces first, rounded up as far as ``rest`` has pieces for them; taken off it."""
     out: Counter = Counter()
-    for config, x in sorted(amount.items(), key=lambda cx: (waste[cx[0]], -cx[1], cx[0])):
+    full = [(config, x) for config, x in amount.items() if sum(config) == capacity]
+    for config, x in sorted(full, key=lambda cx: (-cx[0][0], -cx[1], cx[0])):
         counts = Counter(config)
-        k = min(int(x + 1e-9), *(int(rest[s]) // v for s, v in counts.items()))
-        if k > 0 and waste[config] <= usual + 1e-9:
+        k = min(ceil(x - 1e-9), *(int(rest[s]) // v for s, v in counts.items()))
+        if k > 0:
             out[config] += k
             for s, v in counts.items():
                 rest[s] -= k * v
@@ -237,17 +242,29 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Counter:
 
 
 def plan_parts(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[Counter, Counter]:
-    """The configurations that the program gives, and those that best fit adds."""
-    rest = np.zeros(capacity + 1, np.int64)
+    """The configurations that the program gives, pieces that fill a sequence alone
+    among them, and those that best fit adds. Of all rounds the one with fewest sequences
+    counts, and of these the one with most from the program; so there are never more than
+    best fit alone would make. A way is tried if those before led to more than that."""
+    demand = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
-        rest[length] = n
-    out: Counter = Counter()
-    while rest.any():
-        took = _rounded(solve_configurations(rest, capacity)[0], rest, capacity)
-        out += took
-        if took.total() <= AGAIN * out.total():
+        demand[length] = n
+    alone = Counter({(capacity,): int(demand[capacity])} if demand[capacity] else {})
+    demand[capacity] = 0
+    found, added = Counter(), best_fit(demand, capacity)
+    for way in WAYS:
+        rest, out = demand.copy(), Counter()
+        while rest.any():
+            took = _rounded(solve_configurations(rest, capacity, *way)[0], rest, capacity)
+            out = out + took
+            left = best_fit(rest, capacity)
+            if (out.total() + left.total(), -out.total()) < (found.total() + added.total(), -found.total()):
+                found, added = out, left
+            if took.total() <= AGAIN * out.total():
+                break
+        if found:
             break
-    return out, best_fit(rest, capacity)
+    return alone + found, added
 
 
 def slots(configs: Counter) -> dict[int, tuple[list[int], list[int], list[int]]]:

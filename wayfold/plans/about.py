@@ -3,9 +3,6 @@ boundaries, and what the data are."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,11 +18,15 @@ from .reads import LIMITED_BELOW, LOW_COVERAGE, MIN_RANKED, _n, _rates, read_lin
 EXPECTED_LINES = ("91", "92", "93", "94", "96", "98", "99")
 EXPECTED_TYPE = 900
 LIMITED, SPARSE = "limited sample", "low data availability"
+SAMPLE, OF, LINE = " timed visits", " of ", " line "
+FEW_VISITS, MANY_VISITS = f"Early signal: fewer than {LIMITED_BELOW} visits with timing information", "Larger evidence base"
+FEW_TIMED = f"; fewer than {LOW_COVERAGE}% of visits had timing information"
+REGIONAL_RAIL, SERVICE = "Regional-rail", "Service"
 
 
 def service_label(mode: Column, name: Column, ends: Column | None = None) -> Column:
     """``Tram line M4 (A → B)``: mode, line, and the first direction if there is one."""
-    label = F.concat(F.when(mode == "Regional rail", "Regional-rail").otherwise(F.coalesce(mode, F.lit("Service"))), F.lit(" line "), F.coalesce(name, F.lit(t.UNNAMED)))
+    label = F.concat(F.when(mode == "Regional rail", REGIONAL_RAIL).otherwise(F.coalesce(mode, F.lit(SERVICE))), F.lit(LINE), F.coalesce(name, F.lit(t.UNNAMED)))
     if ends is None:
         return label
     return F.concat(label, F.coalesce(F.concat(F.lit(" ("), F.split_part(ends, F.lit(" / "), F.lit(1)), F.lit(")")), F.lit("")))
@@ -46,12 +47,12 @@ def ranking_labels(rows: DataFrame, name: Column, rank: Column) -> DataFrame:
     """Adds the texts beside a ranking's bars."""
     timed, late = F.col("delay_reported_events"), F.col("late_events")
     few, sparse = timed < LIMITED_BELOW, F.col("delay_coverage") < LOW_COVERAGE
-    sample = F.concat(F.format_number(timed, 0), F.lit(" timed visits"))
+    sample = F.concat(F.format_number(timed, 0), F.lit(SAMPLE))
     shown = F.concat(rank.cast("string"), F.lit(". "), F.concat_ws(" · ", name, sample, F.when(few, LIMITED), F.when(sparse, SPARSE)))
-    rate = F.concat(_one_decimal(F.col("late_percentage")), F.lit("% — "), F.format_number(late, 0), F.lit(" of "), F.format_number(timed, 0))
+    rate = F.concat(_one_decimal(F.col("late_percentage")), F.lit("% — "), F.format_number(late, 0), F.lit(OF), F.format_number(timed, 0))
     note = F.concat(
-        F.when(few, f"Early signal: fewer than {LIMITED_BELOW} visits with timing information").otherwise("Larger evidence base"),
-        F.when(sparse, f"; fewer than {LOW_COVERAGE}% of visits had timing information").otherwise(""),
+        F.when(few, FEW_VISITS).otherwise(MANY_VISITS),
+        F.when(sparse, FEW_TIMED).otherwise(""),
     )
     return rows.withColumns({"display_label": shown, "rate_label": rate, "evidence_note": note, "evidence_suffix": evidence_suffix(timed, F.col("delay_coverage"))})
 

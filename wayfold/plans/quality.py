@@ -328,8 +328,12 @@ def static_line_lookup(w: Models, line: str = "98", route_type: int = 900) -> Da
 
 
 def catalogue_row_counts(w: Models) -> DataFrame:
-    """Row counts of the reference tables that the session's catalogue has."""
+    """Row counts of the reference tables that the session's catalogue has. The views
+    that stand for the tables here are gone again once the plan is made."""
     names = ["gtfs_routes", "gtfs_stops", "gtfs_trips", "gtfs_stop_times"]
     for name in names:
         create_view(getattr(w.feed, name), f"audit_{name}")
-    return table_rows(w.feed._spark, [f"audit_{n}" for n in (*names, "gtfs_shapes", "gtfs_agency")])
+    counts = table_rows(w.feed._spark, [f"audit_{n}" for n in (*names, "gtfs_shapes", "gtfs_agency")])
+    for name in names:
+        w.feed._spark.catalog.dropTempView(f"audit_{name}")
+    return counts

@@ -3,22 +3,22 @@
 Lines are compared in a normalised form: lower case, every run of characters other
 than letters and digits a space. Equal lines are one node. Each node has a 64-bit
 SimHash of its distinct words (counted once, or else the most frequent words of a
-language would make unrelated lines alike). The 64 bits are cut into five blocks, and
-nodes are joined on each of the ten pairs of blocks; three differing bits leave at least
-two blocks alone. Two nodes link if they share a pair of blocks, differ in at most
-MAX_BITS bits and have an edit similarity (1 - Levenshtein distance / longer length) of
-at least MIN_SIMILARITY. So all lines within SURE_BITS bits are found, and of those
-further apart the ones that happen to share two blocks. Of each connected group of
-lines the first occurrence, by document id and line number, is kept.
+language would make unrelated lines alike), in four blocks of 16 bits. Each word belongs
+to one block, by two bits of its hash, and votes on the bits of that block only; a
+block's lowest bit says whether the line has words in it. So a changed word touches the
+block that it leaves and the one that it comes into, and no other: of lines that differ
+in one word, at any length, at least two blocks are equal. Nodes are joined on each of
+the six pairs of blocks. Two nodes link if they share a pair of blocks, of which one has
+words, and have an edit similarity (1 - Levenshtein distance / longer length, in
+characters of the normalised lines) of at least MIN_SIMILARITY. Of lines with more
+changes those are found of which two blocks stay equal. Of each connected group of lines
+the first occurrence, by document id and line number, is kept.
 
 A dense group of near copies would join into the square of its size. So the nodes of a
 pair of blocks are first compared with one of them only, the most frequent line. Then
 only nodes that aren't yet connected with that leader are compared with the others
 under their pair of blocks. That loses no link between groups.
 
-Lines of more than LONG characters are compared by words instead of characters, each
-word being coded as one of 51,200 characters, since the work grows with the square.
-
 Defined results: null text counts as empty; lines without a letter or digit are
 always kept, as a group of their own; null ids sort last; of rows that repeat an id,
 lines with the same number are kept or dropped alike; other columns of the input,
@@ -33,35 +33,51 @@ from pyspark.sql import functions as F
 
 from .common import connected_components, drop_table, maybe_in, row_key, write_table
 
-SURE_BITS, MAX_BITS, MIN_SIMILARITY = 3, 8, 0.8
-#: Longest line whose edit distance is counted in characters.
-LONG = 512
-#: First bit and width of the five blocks, and the pairs of blocks.
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
-PAIRS = tuple((i, j) for i in range(5) for j in range(i + 1, 5))
+MIN_SIMILARITY = 0.8
+#: Blocks of 16 bits, and the pairs of blocks.
+BLOCKS = 4
+PAIRS = tuple((i, j) for i in range(BLOCKS) for j in range(i + 1, BLOCKS))
 _CHUNK = 127  # words whose bits 8-bit counters hold without a sign's overflow
 _LANES = 0x0101010101010101
+#: The lowest bit of each block. No word votes on it, so a hash's own bits there (0 and
+#: 16) choose its block.
+_HAS_WORDS = 0x0001000100010001
+#: SQL for what a word with the hash ``x`` votes for.
+_VOTES = f"(x | {_HAS_WORDS}L) & shiftleft(65535L, cast(shiftleft(x & 1L, 4) | (shiftrightunsigned(x, 11) & 32L) as int))"
+
+
+def _lanes(votes: str) -> list[str]:
+    """SQL for the eight sums of at most _CHUNK words' votes: the k-th counts bits k,
+    k + 8, ... in 8-bit counters, eight to a long."""
+    return [f"aggregate({votes}, 0L, (s, x) -> s + (shiftrightunsigned(x, {k}) & {_LANES}L))" for k in range(8)]
+
+
+def _words_of(block: int) -> str:
+    """SQL for a block's number of words, which the first sum has."""
+    return f"(shiftrightunsigned(s0, {16 * block}) & 255L)"
 
 
-def _lanes(hashes: str) -> list[str]:
-    """SQL for the eight sums of at most _CHUNK hashes: the k-th counts bits k, k + 8,
-    ... in 8-bit counters, eight to a long."""
-    return [f"aggregate({hashes}, 0L, (s, x) -> s + (shiftrightunsigned(x, {k}) & {_LANES}L))" for k in range(8)]
+#: SQL for what added to a counter sets its top bit if that has more than half of its
+#: block's words. The uppermost counter would set the sign and is compared by itself.
+_FILL = " + ".join(f"(127L - {_words_of(c)} div 2) * {(0x0101 if c < 3 else 1) << 16 * c}L" for c in range(BLOCKS))
 
 
-def _majority(sums: list[str], least: str) -> str:
-    """SQL for the bits whose counters, none above _CHUNK, reach ``least``: adding 128
-    less that to each sets a counter's top bit. The uppermost would set the sign."""
-    low = [f"shiftrightunsigned(({s} & {(1 << 56) - 1}L) + (128 - {least}) * {_LANES >> 8}L & {0x80 * (_LANES >> 8)}L, {7 - k})" for k, s in enumerate(sums)]
-    top = [f"if(shiftrightunsigned({s}, 56) >= {least}, shiftleft(1L, {56 + k}), 0L)" for k, s in enumerate(sums)]
+def _majority() -> str:
+    """SQL for the bits that more than half of their block's words vote for, of sums
+    ``s0`` to ``s7``, ``fill`` and the last block's number of words ``last``."""
+    low = [f"shiftrightunsigned((s{k} & {(1 << 56) - 1}L) + fill & {0x80 * (_LANES >> 8)}L, {7 - k})" for k in range(8)]
+    top = [f"if(2 * shiftrightunsigned(s{k}, 56) > last, shiftleft(1L, {56 + k}), 0L)" for k in range(8)]
     return " | ".join([*low, *top])
 
 
-def _long_simhash(hashes: str) -> str:
-    """SQL for the SimHash of any number of hashes, chunk by chunk."""
-    lanes = f"transform(sequence(1, size({hashes}), {_CHUNK}), i -> transform(array(slice({hashes}, i, {_CHUNK})), c -> array({', '.join(_lanes('c'))}))[0])"
-    total = "aggregate(lanes, 0L, (t, l) -> t + (shiftrightunsigned(l[b % 8], cast(b div 8 * 8 as int)) & 255))"
-    return f"transform(array({lanes}), lanes -> aggregate(sequence(0, 63), 0L, (acc, b) -> acc | if(2 * {total} > size({hashes}), shiftleft(1L, b), 0L)))[0]"
+def _long_simhash(votes: str) -> str:
+    """SQL for the SimHash of any number of words, chunk by chunk."""
+    lanes = f"transform(sequence(1, size({votes}), {_CHUNK}), i -> transform(array(slice({votes}, i, {_CHUNK})), c -> array({', '.join(_lanes('c'))}))[0])"
+
+    def total(bit: str) -> str:
+        return f"aggregate(lanes, 0L, (t, l) -> t + (shiftrightunsigned(l[({bit}) % 8], cast(({bit}) div 8 * 8 as int)) & 255))"
+
+    return f"transform(array({lanes}), lanes -> aggregate(sequence(0, 63), 0L, (acc, b) -> acc | if(2 * {total('b')} > {total('b - b % 16')}, shiftleft(1L, b), 0L)))[0]"
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -74,17 +90,24 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def with_simhash(lines: DataFrame) -> DataFrame:
     """Adds ``sim``, the SimHash of the distinct words of ``norm``; null without words."""
     names = lines.columns
-    hashed = lines.withColumn("h", F.expr("if(norm = '', null, array_distinct(transform(split(norm, ' '), w -> xxhash64(w))))"))
-    short = hashed.withColumn("short", F.expr(f"if(size(h) <= {_CHUNK}, h, null)"))
-    sums = short.select(*names, "h", F.size("h").alias("n"), *[F.expr(x).alias(f"s{k}") for k, x in enumerate(_lanes("short"))])
-    bits = _majority([f"s{k}" for k in range(8)], "(n div 2 + 1)")
-    return sums.select(*names, F.expr(f"case when h is null then null when n <= {_CHUNK} then {bits} else {_long_simhash('h')} end").alias("sim"))
+    hashes = "array_distinct(transform(split(norm, ' '), w -> xxhash64(w)))"
+    voted = lines.withColumn("v", F.expr(f"if(norm = '', null, transform({hashes}, x -> {_VOTES}))"))
+    short = voted.withColumn("short", F.expr(f"if(size(v) <= {_CHUNK}, v, null)"))
+    sums = short.select(*names, "v", F.size("v").alias("n"), *[F.expr(x).alias(f"s{k}") for k, x in enumerate(_lanes("short"))])
+    sums = sums.withColumns({"fill": F.expr(_FILL), "last": F.expr(_words_of(BLOCKS - 1))})
+    return sums.select(*names, F.expr(f"case when v is null then null when n <= {_CHUNK} then {_majority()} else {_long_simhash('v')} end").alias("sim"))
 
 
 def _pair_key(k: int) -> str:
-    """The key of the k-th pair of blocks: their bits and the pair's number."""
-    (a, wa), (b, wb) = (BLOCKS[x] for x in PAIRS[k])
-    return f"(shiftrightunsigned(sim, {a}) & {(1 << wa) - 1}L) | shiftleft(shiftrightunsigned(sim, {b}) & {(1 << wb) - 1}L, 13) | {k << 26}L"
+    """The key of the k-th pair of blocks: their bits and the pair's number; null if
+    neither has words."""
+    a, b = (f"(shiftrightunsigned(sim, {16 * x}) & 65535L)" for x in PAIRS[k])
+    return f"if(({a} | {b}) = 0, null, {a} | shiftleft({b}, 16) | {k << 32}L)"
+
+
+def _near_in_length(a: str, b: str) -> str:
+    """Whether lengths ``a`` and ``b`` leave the similarity possible."""
+    return f"abs({a} - {b}) <= floor({1 - MIN_SIMILARITY:.6f}D * greatest({a}, {b}) + 1e-9)"
 
 
 def _within(a: str, b: str) -> str:
@@ -110,8 +133,7 @@ def _longest(line: str) -> str:
 #: edits than its length and a space, so few edited words settle the matter; only other
 #: pairs are compared in characters.
 SIMILAR = (
-    f"case when greatest(length(a.norm), length(b.norm)) > {LONG} then {_within('a.coded', 'b.coded')} "
-    f"when abs(length(a.norm) - length(b.norm)) > {_most('a.norm', 'b.norm')} then false "
+    f"case when abs(length(a.norm) - length(b.norm)) > {_most('a.norm', 'b.norm')} then false "
     f"else levenshtein(a.coded, b.coded, cast({_most('a.norm', 'b.norm')} div (1 + greatest(a.longest, b.longest)) as int)) >= 0 or {_within('a.norm', 'b.norm')} end"
 )
 
@@ -133,32 +155,34 @@ def _edges(lines: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _groups(lines: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, root`` of the nodes that are linked to others."""
-    keyed = nodes.select("node", "sim", "n", F.explode(F.array(*[F.expr(_pair_key(k)) for k in range(len(PAIRS))])).alias("key"))
-    # of two nodes alone the sums hold all that it takes to compare them
-    sums = [F.count("*").alias("rows"), F.bit_xor("sim").alias("apart"), F.min("node").alias("a"), F.max("node").alias("b")]
-    shared = keyed.groupBy("key").agg(*sums).where(f"rows > 2 OR rows = 2 AND bit_count(apart) <= {MAX_BITS}")
-    shared = write_table(shared.drop("apart"), "shared")
+    keys = F.filter(F.array(*[F.expr(_pair_key(k)) for k in range(len(PAIRS))]), lambda k: k.isNotNull())
+    keyed = nodes.select("node", "len", "n", F.explode(keys).alias("key"))
+    # of two nodes alone the aggregates hold all that it takes to choose them
+    both = [F.count("*").alias("rows"), F.min("len").alias("shorter"), F.max("len").alias("longer"), F.min("node").alias("a"), F.max("node").alias("b")]
+    shared = keyed.groupBy("key").agg(*both).where(f"rows > 2 OR rows = 2 AND {_near_in_length('shorter', 'longer')}")
+    shared = write_table(shared.drop("shorter", "longer"), "shared")
     many = write_table(shared.where("rows > 2").select("key"), "many")
     # nodes whose keys have no more are gone before anything is shuffled
     crowded = write_table(maybe_in(keyed, many, "key"), "crowded")
-    # the most frequent line of each key; both aggregates see the rows in one order
-    first = crowded.groupBy("key").agg(F.count("*").alias("rows"), F.max_by("node", "n").alias("leader"), F.max_by("sim", "n").alias("lead_sim"))
-    first = write_table(first.where("rows > 2"), "leaders")
-    crowded = crowded.join(first.hint("shuffle_hash"), "key").where("node <> leader").select("key", "node", "sim", "leader", "lead_sim")
+    # the most frequent line of each key
+    first = crowded.groupBy("key").agg(F.count("*").alias("rows"), F.max(F.struct("n", "node", "len")).alias("lead"))
+    first = first.where("rows > 2").select("key", F.col("lead.node").alias("leader"), F.col("lead.len").alias("lead_len"))
+    first = write_table(first, "leaders")
+    crowded = crowded.join(first.hint("shuffle_hash"), "key").where("node <> leader").select("key", "node", "len", "leader", "lead_len")
     crowded = write_table(crowded, "compared")
-    near = crowded.where(f"bit_count(sim ^ lead_sim) <= {MAX_BITS}")
+    near = crowded.where(_near_in_length("len", "lead_len"))
     near = near.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b"))
     star = _edges(lines, near.unionByName(shared.where("rows = 2").select("a", "b")))
-    drop_table(shared, many)
+    drop_table(shared, many, first)
     led = write_table(connected_components(star), "led")
 
-    named = crowded.select("key", "node", "sim", "leader").join(led.hint("shuffle_hash"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = crowded.select("key", "node", "len", "leader").join(led.hint("shuffle_hash"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     of_leader = led.select(F.col("node").alias("leader"), F.col("root").alias("lead_root"))
     named = named.join(of_leader.hint("shuffle_hash"), "leader", "left").withColumn("odd", F.coalesce("lead_root", "leader") != F.col("root"))
-    named = write_table(named.select("key", "node", "sim", "root", "odd"), "named")
+    named = write_table(named.select("key", "node", "len", "root", "odd"), "named")
     odd = write_table(named.where("odd").drop("odd"), "odd")
     x, y = odd.alias("x"), maybe_in(named, odd, "key").alias("y")
-    apart = f"x.root <> y.root AND (NOT y.odd OR x.node < y.node) AND bit_count(x.sim ^ y.sim) <= {MAX_BITS}"
+    apart = f"x.root <> y.root AND (NOT y.odd OR x.node < y.node) AND {_near_in_length('x.len', 'y.len')}"
     rest = x.join(y, F.expr(f"x.key = y.key AND {apart}")).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     rest = _edges(lines, rest)
     drop_table(crowded, named, star, odd)
@@ -170,10 +194,10 @@ def _groups(lines: DataFrame, nodes: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``<id>, line_no, keep_id, keep_line_no, group_size, kept`` of every line."""
     lines = lines_of(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    lines = with_simhash(lines.withColumns({"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("2"), F.col("norm"))}))
+    lines = with_simhash(lines.withColumns({"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("2"), F.col("norm")), "len": F.length("norm")}))
     # hardly a value stands twice, so dictionaries are no use
     lines = write_table(lines, "lines", **{"parquet.enable.dictionary": "false"})
-    nodes = lines.where("sim IS NOT NULL").groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("sim").alias("sim"), F.count("*").alias("n"))
+    nodes = lines.where("sim IS NOT NULL").groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("sim").alias("sim"), F.min("len").alias("len"), F.count("*").alias("n"))
     nodes = write_table(nodes, "nodes")
     roots = write_table(_groups(lines, nodes), "components")
 

@@ -9,8 +9,7 @@ block's lowest bit says whether the line has words in it. So a changed word touc
 block that it leaves and the one that it comes into, and no other: of lines that differ
 in one word, at any length, at least two blocks are equal. Nodes are joined on each of
 the six pairs of blocks. Two nodes link if they share a pair of blocks, of which one has
-words, and have an edit similarity (1 - Levenshtein distance / longer length, in
-characters of the normalised lines) of at least MIN_SIMILARITY. Of lines with more
+words, and have an edit similarity (1 - Levenshtein distance / longer length) of at least MIN_SIMILARITY. Of lines with more
 changes those are found of which two blocks stay equal. Of each connected group of lines
 the first occurrence, by document id and line number, is kept.
 
@@ -19,6 +18,10 @@ pair of blocks are first compared with one of them only, the most frequent line.
 only nodes that aren't yet connected with that leader are compared with the others
 under their pair of blocks. That loses no link between groups.
 
+Lines of more than LONG characters are compared by words instead of characters, each
+word being coded as one of 51,200 characters, since the work grows with the square. So
+an edit in each of many words of such a line counts more than in a shorter line.
+
 Defined results: null text counts as empty; lines without a letter or digit are
 always kept, as a group of their own; null ids sort last; of rows that repeat an id,
 lines with the same number are kept or dropped alike; other columns of the input,
@@ -34,6 +37,8 @@ from pyspark.sql import functions as F
 from .common import connected_components, drop_table, maybe_in, row_key, write_table
 
 MIN_SIMILARITY = 0.8
+#: Longest line whose edit distance is counted in characters.
+LONG = 512
 #: Blocks of 16 bits, and the pairs of blocks.
 BLOCKS = 4
 PAIRS = tuple((i, j) for i in range(BLOCKS) for j in range(i + 1, BLOCKS))
@@ -133,7 +138,8 @@ def _longest(line: str) -> str:
 #: edits than its length and a space, so few edited words settle the matter; only other
 #: pairs are compared in characters.
 SIMILAR = (
-    f"case when abs(length(a.norm) - length(b.norm)) > {_most('a.norm', 'b.norm')} then false "
+    f"case when greatest(length(a.norm), length(b.norm)) > {LONG} then {_within('a.coded', 'b.coded')} "
+    f"when abs(length(a.norm) - length(b.norm)) > {_most('a.norm', 'b.norm')} then false "
     f"else levenshtein(a.coded, b.coded, cast({_most('a.norm', 'b.norm')} div (1 + greatest(a.longest, b.longest)) as int)) >= 0 or {_within('a.norm', 'b.norm')} end"
 )
 

@@ -9,6 +9,7 @@ some match exactly, some after normalisation and some not at all.
 from __future__ import annotations
 
 from functools import cached_property
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ ROUTE_TYPES = (3, 100, 106, 109, 400, 700, 900, 2)
 SHORT_NAMES = ("RB12", "re7", "FEX", "S1", "U2", "M4", "X9", "N5", "", "98")
 STOPS = 100  # stop numbers that trips use
 ROUTES = 26  # of these the last has no static route
+#: Line items of a task that has whole trips, on average, and such tasks, at least.
+TASK_ROWS, MIN_TASKS = 250_000, 8
 
 
 def _sql_list(values) -> str:
@@ -44,11 +47,19 @@ class Feed:
     def table(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
 
+    @cached_property
+    def tasks(self) -> int:
+        """Tasks among which what grows with the line items is dealt: a task's rows, and
+        so its memory, don't grow with the tables. The count is in the files' footers."""
+        return max(MIN_TASKS, ceil(self.table("lineitem").count() / TASK_ROWS))
+
     @cached_property
     def _visits(self) -> DataFrame:
-        orders = self.table("orders").select("o_orderkey", "o_orderdate")
-        items = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag")
-        seen = items.join(orders, items.l_orderkey == orders.o_orderkey)
+        """Line items with their orders, dealt by trip while they are narrow; what goes by
+        trip after that needs no other shuffle."""
+        orders = self.table("orders").select(F.expr("cast(o_orderkey AS string)").alias("trip_id"), "o_orderdate")
+        items = self.table("lineitem").select(F.expr("cast(l_orderkey AS string)").alias("trip_id"), "l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag")
+        seen = items.repartition(self.tasks, "trip_id").join(orders.repartition(self.tasks, "trip_id").hint("shuffle_hash"), "trip_id")
         return seen.withColumns(
             {
                 "at": F.expr("l_shipdate + make_dt_interval(0, cast(l_orderkey % 24 AS int))"),
@@ -62,7 +73,7 @@ class Feed:
     def stop_time_updates(self) -> DataFrame:
         return self._visits.select(
             "snapshot_id",
-            F.expr("cast(l_orderkey AS string)").alias("trip_id"),
+            "trip_id",
             F.expr("concat('Brand-', r + 1)").alias("route_id"),
             F.expr("CASE WHEN l_orderkey % 3 < 2 THEN cast(l_orderkey % 3 AS int) END").alias("direction_id"),
             F.date_format("o_orderdate", "yyyyMMdd").alias("start_date"),
@@ -157,9 +168,10 @@ class Feed:
 
     @cached_property
     def gtfs_stop_times(self) -> DataFrame:
-        own = self.table("lineitem").where("l_orderkey % 5 < 4").select("l_orderkey", "l_linenumber").distinct()
+        own = self.table("lineitem").where("l_orderkey % 5 < 4").select(F.expr("cast(l_orderkey AS string)").alias("trip_id"), "l_orderkey", "l_linenumber")
+        own = own.repartition(self.tasks, "trip_id").distinct()
         return own.withColumn("k", F.expr(STOP_NO)).select(
-            F.expr("cast(l_orderkey AS string)").alias("trip_id"),
+            "trip_id",
             F.expr(_static_stop('k')).alias("stop_id"),
             F.expr("CASE WHEN l_linenumber = 7 THEN 'x15' ELSE cast(l_linenumber + 8 AS string) END").alias("stop_sequence"),
         )

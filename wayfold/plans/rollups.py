@@ -15,7 +15,7 @@ from .models import Models
 from .store import bucketed_table
 
 SCOPE = ["scope_mode", "scope_region"]
-#: Buckets of the tables that are joined by trip.
+#: Buckets of the tables that are joined by trip, at least.
 BUCKETS = 8
 
 
@@ -60,21 +60,27 @@ class Bucketed(Models):
     """Models whose events and patterns lie in buckets by trip, sorted by it, so that
     they are joined bucket by bucket where they lie."""
 
-    def __init__(self, base: Models, buckets: int = BUCKETS) -> None:
+    def __init__(self, base: Models, buckets: int | None = None) -> None:
         super().__init__(base.feed)
-        self._base, self._buckets = base, buckets
+        # a bucket is one task's, so there are more of them for more events
+        self._base, self._buckets = base, buckets or max(BUCKETS, base.feed.tasks)
 
     @cached_property
     def unique_stop_events(self) -> DataFrame:
         return self._base.unique_stop_events
 
     @cached_property
-    def line_direction_reference(self) -> DataFrame:
-        return self._base.line_direction_reference
+    def stop_events_geographic(self) -> DataFrame:
+        # dealt into their buckets while they are narrow
+        events = self._located(self.unique_stop_events.repartition(self._buckets, "trip_id"))
+        return bucketed_table(events, "stop_events_geographic", "trip_id", self._buckets)
+
+    def _with_trips(self, patterns: DataFrame) -> DataFrame:
+        return self.stop_events_geographic.join(patterns, F.col("trip_id") == F.col("p_trip"), "left")
 
     @cached_property
-    def stop_events_geographic(self) -> DataFrame:
-        return bucketed_table(self._base.stop_events_geographic, "stop_events_geographic", "trip_id", self._buckets)
+    def line_direction_reference(self) -> DataFrame:
+        return self._base.line_direction_reference
 
     @cached_property
     def trip_stop_patterns(self) -> DataFrame:

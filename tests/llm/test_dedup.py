@@ -330,3 +330,22 @@ def test_spans_of_repeated_and_missing_ids(spark):
     assert {(s.doc_id, s.start, s.end, s.other_id) for s in spans} == {(1, 0, 60, None), (1, 1, 61, None), (None, 1, 61, 1)}
     alone = [(1, passage), (1, f"a {passage}"), (2, "word")]
     assert suffix_dedup.repeated_spans(spark.createDataFrame(alone, "doc_id long, text string")).count() == 0
+
+
+def test_lines_that_only_share_frequent_words_are_not_written_in_pairs(spark, monkeypatch):
+    rng, counts, own = random.Random(7), [], line_dedup.write_table
+
+    def counting(df, name, **options):
+        out = own(df, name, **options)
+        if name == "candidates":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "write_table", counting)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    lines = ["the " + " ".join(word() for _ in range(4)) for _ in range(600)]
+    # of each key's lines two are near each other, but not near its leader
+    lines += [x[:-1] + "0" for x in lines[::40]]
+    got = line_dedup.dedup_lines(spark.createDataFrame([(0, "\n".join(lines))], "doc_id long, text string")).collect()
+    assert sum(counts) < 600
+    assert sum(not r.kept for r in got) >= 12 and {r.keep_line_no for r in got if not r.kept} <= set(range(0, 600, 40))

@@ -31,6 +31,8 @@ lines have no upper length.
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,13 +146,18 @@ SIMILAR = (
 )
 
 
+def _texts(lines: DataFrame, asked: DataFrame) -> DataFrame:
+    """``row, x`` of the written rows ``asked``: what their lines are compared by."""
+    texts = maybe_in(lines.select("row", "norm"), asked, "row").join(asked.hint("shuffle_hash"), "row")
+    texts = texts.select("row", F.struct("norm", F.expr(_coded("norm")).alias("coded"), F.expr(_longest("norm")).alias("longest")).alias("x"))
+    return write_table(texts, "texts")
+
+
 def _edges(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of candidate pairs ``a, b`` of nodes those whose lines are similar enough."""
     pairs = write_table(pairs.distinct(), "candidates")
     asked = write_table(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "asked")
-    texts = maybe_in(lines.select("row", "norm"), asked, "row").join(asked.hint("shuffle_hash"), "row")
-    texts = texts.select("row", F.struct("norm", F.expr(_coded("norm")).alias("coded"), F.expr(_longest("norm")).alias("longest")).alias("x"))
-    texts = write_table(texts, "texts")
+    texts = _texts(lines, asked)
     both = pairs.withColumnsRenamed({"a": "p", "b": "q"})
     both = both.join(texts.select(F.col("row").alias("p"), F.col("x").alias("a")).hint("shuffle_hash"), "p")
     both = both.join(texts.select(F.col("row").alias("q"), F.col("x").alias("b")).hint("shuffle_hash"), "q")
@@ -159,6 +166,25 @@ def _edges(lines: DataFrame, pairs: DataFrame) -> DataFrame:
     return edges
 
 
+def _met(lines: DataFrame, met: DataFrame) -> DataFrame:
+    """Edges between nodes of a key that aren't connected yet, of which one at least is
+    ``odd``. A node brings its line once for each of its keys, and lines are compared
+    where they meet: pairs are neither written nor shuffled, only edges are. Lengths in
+    steps of the similarity deal a large key to several tasks; nodes that are near in
+    length are in one step or in neighbouring ones."""
+    asked = write_table(met.select(F.col("node").alias("row")).distinct(), "asked")
+    texts = _texts(lines, asked)
+    whole = met.join(texts.withColumnRenamed("row", "node").hint("shuffle_hash"), "node")
+    whole = write_table(whole.withColumn("step", F.expr(f"cast(floor(ln(greatest(len, 1)) / {-log(MIN_SIMILARITY):.6f}D) as int)")), "whole")
+    a = whole.where("odd").withColumn("step", F.explode(F.expr("array(step - 1, step, step + 1)"))).select("key", "step", "node", "len", "root", F.col("x.*"))
+    a, b = a.alias("a"), whole.select("key", "step", "node", "len", "root", "odd", F.col("x.*")).alias("b")
+    apart = f"a.root <> b.root AND (NOT b.odd OR a.node < b.node) AND {_near_in_length('a.len', 'b.len')}"
+    found = a.join(b, F.expr(f"a.key = b.key AND a.step = b.step AND {apart} AND {SIMILAR}"))
+    edges = write_table(found.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct(), "edges")
+    drop_table(texts, asked, whole)
+    return edges
+
+
 def _groups(lines: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, root`` of the nodes that are linked to others."""
     keys = F.filter(F.array(*[F.expr(_pair_key(k)) for k in range(len(PAIRS))]), lambda k: k.isNotNull())
@@ -186,12 +212,10 @@ def _groups(lines: DataFrame, nodes: DataFrame) -> DataFrame:
     of_leader = led.select(F.col("node").alias("leader"), F.col("root").alias("lead_root"))
     named = named.join(of_leader.hint("shuffle_hash"), "leader", "left").withColumn("odd", F.coalesce("lead_root", "leader") != F.col("root"))
     named = write_table(named.select("key", "node", "len", "root", "odd"), "named")
-    odd = write_table(named.where("odd").drop("odd"), "odd")
-    x, y = odd.alias("x"), maybe_in(named, odd, "key").alias("y")
-    apart = f"x.root <> y.root AND (NOT y.odd OR x.node < y.node) AND {_near_in_length('x.len', 'y.len')}"
-    rest = x.join(y, F.expr(f"x.key = y.key AND {apart}")).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    rest = _edges(lines, rest)
-    drop_table(crowded, named, star, odd)
+    odd = write_table(named.where("odd").select("key").distinct(), "odd")
+    met = write_table(maybe_in(named, odd, "key").join(odd.hint("shuffle_hash"), "key"), "met")
+    rest = _met(lines, met)
+    drop_table(crowded, named, star, odd, met)
     if rest.isEmpty():
         return led
     return connected_components(led.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest))

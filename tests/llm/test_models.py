@@ -313,6 +313,29 @@ def test_embeddings_against_brute_force(spark):
     assert got[1006].n_links == 1 and got[1006].component_id == 1005
 
 
+def test_embedding_blocks_find_all_links_and_send_bounded_batches(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    near = np.repeat(rng.normal(size=(40, 8)), 10, axis=0) + 0.12 * rng.normal(size=(400, 8))
+    v = np.concatenate((near, rng.normal(size=(200, 8))))
+    sent = []
+    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 16)
+    monkeypatch.setattr(embedding_dedup, "MIN_BLOCKS", 4)
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(v.tolist())], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.near_dedup(rows).collect()}
+    linked = embedding_dedup.unit(v) @ embedding_dedup.unit(v).T >= embedding_dedup.MIN_COSINE
+    label = np.arange(len(v))
+    for _ in range(len(v)):
+        label = np.array([label[linked[k]].min() for k in range(len(v))])
+    assert [(got[k].n_links, got[k].component_id) for k in range(len(v))] == [(linked[k].sum() - 1, label[k]) for k in range(len(v))]
+    # 3,000 vectors that meet all of 60 blocks
+    n = 3_000
+    own = [pa.array([[1.0, 0.0]] * n), pa.array([1] * n), pa.array(range(n)), pa.array([2] * n, pa.int32()), pa.array([0] * n), pa.array([0] * n, pa.int32()), pa.array([[0]] * n)]
+    batch = pa.RecordBatch.from_arrays(own, ["vector", "copies", "node", "width", "cell", "part", "path"])
+    for out in embedding_dedup.meetings(batch, {2: np.array([[1.0, 0.0]])}, {2: {k: {0} for k in range(60)}}, {(2, 0): 1.0}, 1):
+        sent.append(out.num_rows)
+    assert sum(sent) == 60 * n and max(sent) <= 2_048
+
+
 def test_cover_tree_levels():
     v = embedding_dedup.unit(np.random.default_rng(1).normal(size=(300, 4)))
     path = embedding_dedup.cover_tree(v)

@@ -6,7 +6,8 @@ the trees work with distances. Equal vectors are compared once. Vectors are deal
 to the nearest of at most MAX_PIVOTS pivots, which cover a bounded sample within as
 small a radius as their number allows, a pivot's vectors in parts of CELL_ROWS, and each
 part becomes a cover tree: nested levels of centres with halving radii, from a root
-that covers the whole sphere. Two parts are compared by a dual traversal from the roots: a pair of
+that covers the whole sphere. Blocks of parts meet in a task, so that a vector is sent
+once for each block, not for each part. Two parts are compared by a dual traversal from the roots: a pair of
 nodes goes on to its children only if the distance of the centres is at most the
 threshold plus both nodes' covering radii; small pairs are compared directly, in
 double precision. The same bound, with a pivot's radius, decides which parts meet
@@ -45,6 +46,8 @@ MIN_COSINE = 0.9
 CELL_ROWS, MAX_PIVOTS, SAMPLE = 4_096, 2_048, 8_192
 #: Fewest trees, so that a small table still spreads over a cluster's tasks.
 MIN_TREES = 8
+#: Blocks of parts that meet, at least (where there are as many parts), and bytes of a block.
+MIN_BLOCKS, BLOCK_BYTES = 16, 32 << 20
 #: Level k of a tree covers within 2 ** (1 - k); unit vectors are at most 2 apart.
 LEVELS = 9
 ROWS_AT_ONCE = 512
@@ -225,21 +228,33 @@ def _tree(part: pa.Table) -> tuple[_Tree, np.ndarray]:
 
 
 def _compare(pair: pa.Table) -> pa.Table:
-    out = {"node": np.empty(0, np.int64), "links": np.empty(0, np.int64), "root": np.empty(0, np.int64)}
+    """Links between the parts of two blocks, or of one with itself: each pair of parts
+    once, one after the other."""
     low, high = pair.column("low")[0].as_py(), pair.column("high")[0].as_py()
-    unit_ = pair.column("part").to_numpy()
-    a, copies_a = _tree(pair.filter(pa.array(unit_ == low)))
-    b, copies_b = (a, copies_a) if low == high else _tree(pair.filter(pa.array(unit_ == high)))
-    if len(a.v) and len(b.v) and a.v.shape[1] == b.v.shape[1]:
-        shift = 0 if a is b else len(a.v)
-        label, links = np.arange(len(a.v) + len(b.v)), np.zeros(len(a.v) + len(b.v), np.int64)
-        for i, j in dual_links(a, b):
-            np.add.at(links, i, copies_b[j])
-            np.add.at(links, j + shift, copies_a[i])
-            merge_labels(label, i, j + shift)
-        nodes = np.concatenate((a.row, b.row))
-        hit = np.flatnonzero(links)
-        out = {"node": nodes[hit], "links": links[hit], "root": nodes[label[hit]]}
+    part, block = pair.column("part").to_numpy(), pair.column("block").to_numpy()
+    trees, copies, nodes, start = [], [], [], [0]
+    parts = np.unique(part)
+    for p in parts:
+        tree, own = _tree(pair.filter(pa.array(part == p)))
+        trees.append(tree)
+        copies.append(own)
+        nodes.append(tree.row)
+        start.append(start[-1] + len(own))
+    block_of = [block[part == p][0] for p in parts]
+    nodes = np.concatenate(nodes)
+    label, links = np.arange(len(nodes)), np.zeros(len(nodes), np.int64)
+    for x, a in enumerate(trees):
+        for y in range(x, len(trees)):
+            b = trees[y]
+            # of two blocks only parts that lie in different ones
+            if (low != high and block_of[x] == block_of[y]) or a.v.shape[1] != b.v.shape[1]:
+                continue
+            for i, j in dual_links(a, b):
+                np.add.at(links, i + start[x], copies[y][j])
+                np.add.at(links, j + start[y], copies[x][i])
+                merge_labels(label, i + start[x], j + start[y])
+    hit = np.flatnonzero(links)
+    out = {"node": nodes[hit], "links": links[hit], "root": nodes[label[hit]]}
     return pa.table({k: pa.array(v, pa.int64()) for k, v in out.items()})
 
 
@@ -285,13 +300,36 @@ def near_dedup(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", kept.alias("kept"))
 
 
+def meetings(whole: pa.RecordBatch, pivots: dict[int, np.ndarray], blocks: dict[int, dict[int, set[int]]], radius: dict[tuple[int, int], float], size: int) -> Iterator[pa.RecordBatch]:
+    """Sends each vector to the pairs of blocks in which it can have a link, some rows and
+    one block at a time: what comes out at once doesn't grow with the number of blocks."""
+    reach = np.sqrt(2 - 2 * MIN_COSINE) + _SLACK
+    for s in range(0, whole.num_rows, ROWS_AT_ONCE * 4):
+        batch = whole.slice(s, ROWS_AT_ONCE * 4)
+        width, cell, part = (batch.column(k).to_numpy() for k in (3, 4, 5))
+        block = part // size
+        for w in np.unique(width).tolist():
+            rows = np.flatnonzero(width == w)
+            d = _distances(_stack(batch.column(0).take(pa.array(rows))), pivots[w]) if w in pivots else None
+            for other, cells in blocks[w].items():
+                near = np.full(len(rows), d is None)
+                for c in cells if d is not None else ():
+                    near |= (d[:, c] <= radius[w, c] + reach) | (cell[rows] == c)
+                index = rows[near]
+                if not len(index):
+                    continue
+                took, own = batch.take(pa.array(index)), block[index]
+                numbers = [pa.array(x.astype(np.int32)) for x in (own, np.minimum(own, other), np.maximum(own, other))]
+                yield pa.RecordBatch.from_arrays([*[took.column(k) for k in (0, 1, 2, 5, 6)], *numbers], ["vector", "copies", "node", "part", "path", "block", "low", "high"])
+
+
 def _links(spark, classes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     """Link counts and forest edges ``node, links, root`` of distinct vectors."""
     cast = spark.sparkContext.broadcast(pivots)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = cast.value
-        for batch in batches:
+        for batch in (whole.slice(s, ROWS_AT_ONCE * 4) for whole in batches for s in range(0, whole.num_rows, ROWS_AT_ONCE * 4)):
             width = batch.column(0).value_lengths().to_numpy()
             cell, away = np.zeros(len(width), np.int64), np.zeros(len(width))
             for w in np.unique(width).tolist():
@@ -317,31 +355,19 @@ def _links(spark, classes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFram
     placed = placed.select("vector", "copies", "node", "width", "cell", "part")
     planted = write_table(placed.groupBy("part").applyInArrow(_plant, columns + ", path array<long>"), "trees")
 
-    plan = spark.sparkContext.broadcast((parts, radius, first))
+    # numbers of parts: a block's bytes are bounded, and there are enough blocks for the tasks
+    row_bytes = 8 * (max(w for w, _ in parts) + LEVELS + 4)
+    size = max(1, min(BLOCK_BYTES // (CELL_ROWS * row_bytes), total // MIN_BLOCKS))
+    blocks: dict[int, dict[int, set[int]]] = {}
+    for (w, cell), n in parts.items():
+        for p in range(first[w, cell], first[w, cell] + n):
+            blocks.setdefault(w, {}).setdefault(p // size, set()).add(cell)
+    plan = spark.sparkContext.broadcast((blocks, radius, size))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sends each vector to the pairs of parts in which it can have a link."""
-        parts, radius, first = plan.value
-        own, reach = cast.value, np.sqrt(2 - 2 * MIN_COSINE) + _SLACK
         for batch in batches:
-            width, cell, part = (batch.column(k).to_numpy() for k in (3, 4, 5))
-            at, other = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for w in np.unique(width).tolist():
-                rows = np.flatnonzero(width == w)
-                keys = [k for k in parts if k[0] == w]
-                if w in own:
-                    d = _distances(_stack(batch.column(0).take(pa.array(rows))), own[w])
-                for key in keys:
-                    near = rows if w not in own else rows[(d[:, key[1]] <= radius[key] + reach) | (cell[rows] == key[1])]
-                    for p in range(first[key], first[key] + parts[key]):
-                        at.append(near)
-                        other.append(np.full(len(near), p))
-            index, other = np.concatenate(at), np.concatenate(other)
-            low, high = np.minimum(part[index], other), np.maximum(part[index], other)
-            took = batch.take(pa.array(index))
-            arrays = [took.column(k) for k in (0, 1, 2, 5, 6)] + [pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(arrays, ["vector", "copies", "node", "part", "path", "low", "high"])
-
-    schema = "vector array<double>, copies long, node long, part int, path array<long>, low int, high int"
+            yield from meetings(batch, cast.value, *plan.value)
+
+    schema = "vector array<double>, copies long, node long, part int, path array<long>, block int, low int, high int"
     met = planted.select("vector", "copies", "node", "width", "cell", "part", "path").mapInArrow(meet, schema)
     return met.groupBy("low", "high").applyInArrow(_compare, "node long, links long, root long")

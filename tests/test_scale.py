@@ -49,3 +49,10 @@ def test_tasks_and_buckets_grow_with_the_line_items(spark, monkeypatch):
     monkeypatch.setattr(adapters, "TASK_ROWS", 300)
     w = queries.models(spark, SF)
     assert w.feed.tasks == -(-w.feed.table("lineitem").count() // 300) > 8 and Bucketed(w)._buckets == w.feed.tasks
+
+
+def test_messages_are_made_and_decoded_once(w):
+    from wayfold.plans import extras
+
+    text = plan(extras.protobuf_round_trip(w))
+    assert len(re.findall(r"MapInArrow run", text)) == 2

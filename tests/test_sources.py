@@ -1,4 +1,5 @@
 import json
+import random
 import zipfile
 
 import pyarrow as pa
@@ -229,3 +230,34 @@ def test_tables_of_a_folder(spark, tmp_path):
     spark.createDataFrame([], "snapshot_id int").write.mode("overwrite").parquet(str(tmp_path / "trip_updates"))
     with pytest.raises(ValueError, match="snapshot_id"):
         files.read_tables(spark, str(tmp_path))
+
+
+def test_message_equals_fields_on_any_bytes():
+    rng = random.Random(7)
+    whole = feed_message()
+    for _ in range(4_000):
+        data = bytes(rng.choice((rng.randrange(256), rng.randrange(48), 0x80, 0x0A)) for _ in range(rng.randrange(24)))
+        if rng.random() < 0.3:
+            at = rng.randrange(len(whole))
+            data = whole[:at] + data[:2] + whole[at + rng.randrange(3) :]
+        want: dict = {}
+        try:
+            for k, v in feed.fields(data):
+                want.setdefault(k, []).append(v)
+        except ValueError as e:
+            with pytest.raises(ValueError, match=str(e)):
+                feed.message(data)
+        else:
+            assert feed.message(data) == want
+
+
+def test_messages_decoded_whole_equal_their_row_sets(spark):
+    rows = spark.createDataFrame([(1, bytearray(feed_message())), (2, None), (3, bytearray(feed.encode([(1, feed.encode([(1, "2.0")]))])))], "i int, content binary")
+    whole = feed.decode_whole(rows, keep=("i",))
+    for kind in feed.ROW_SETS:
+        names = [x.split()[0] for x in feed.ROW_SETS[kind].split(", ")]
+        one = whole.select("i", F.col(kind) if kind == "feed" else F.explode(kind).alias(kind)).select("i", *[f"{kind}.{n}" for n in names])
+        want = feed.decode(rows, keep=("i",), rows=kind).select("i", *names)
+        assert one.columns == want.columns and sorted(map(str, one.collect())) == sorted(map(str, want.collect()))
+    with pytest.raises(Exception, match="cut off"):
+        feed.decode_whole(spark.createDataFrame([(bytearray(b"\x0a\x05"),)], "content binary")).collect()

@@ -56,3 +56,26 @@ def test_messages_are_made_and_decoded_once(w):
 
     text = plan(extras.protobuf_round_trip(w))
     assert len(re.findall(r"MapInArrow run", text)) == 2
+
+
+def test_hours_read_narrow_events_and_keep_repeated_trips(spark):
+    from wayfold.plans.adapters import Feed
+    from wayfold.plans.models import Models
+
+    w = queries.models(spark, SF)
+    assert "service_key" not in plan(w.fresh("hour_events")) and w.hour_events.columns == w.fresh("hour_events").columns
+    for twice in (False, True):
+        own = Models(Feed(spark, SF))
+        if twice:
+            own.feed.gtfs_trips = own.feed.gtfs_trips.unionByName(own.feed.gtfs_trips.where("trip_id % 2 = 0"))
+        want = own.stop_events_line_focus.select(*own.hour_events.columns)
+        assert want.exceptAll(own.hour_events).isEmpty() and own.hour_events.exceptAll(want).isEmpty()
+        assert not twice or want.count() > own.unique_stop_events.count()
+
+
+def test_line_hours_are_dealt_without_what_follows_from_their_keys(spark, w):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    text = plan(w.line_stop_hour_metrics)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    read = [x for x in re.findall(r"ReadSchema: (.*)", text) if "has_delay_value" in x]
+    assert len(read) == 1 and "canonical_pattern" not in read[0]

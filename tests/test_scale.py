@@ -79,3 +79,8 @@ def test_line_hours_are_dealt_without_what_follows_from_their_keys(spark, w):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     read = [x for x in re.findall(r"ReadSchema: (.*)", text) if "has_delay_value" in x]
     assert len(read) == 1 and "canonical_pattern" not in read[0]
+
+
+def test_patterns_are_never_broadcast_to_bucketed_events(w):
+    text = plan(Bucketed(w).stop_events_line_focus)
+    assert "ShuffledHashJoin [trip_id" in text and not re.search(r"hashpartitioning\((trip_id|p_trip)#", text) and text.count("Bucketed: true") == 2

@@ -76,7 +76,8 @@ class Bucketed(Models):
         return bucketed_table(events, "stop_events_geographic", "trip_id", self._buckets)
 
     def _with_trips(self, patterns: DataFrame) -> DataFrame:
-        return self.stop_events_geographic.join(patterns, F.col("trip_id") == F.col("p_trip"), "left")
+        # bucket by bucket at any size: a broadcast would put all patterns into every task
+        return self.stop_events_geographic.join(patterns.hint("shuffle_hash"), F.col("trip_id") == F.col("p_trip"), "left")
 
     @cached_property
     def line_direction_reference(self) -> DataFrame:

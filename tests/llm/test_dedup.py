@@ -349,3 +349,24 @@ def test_lines_that_only_share_frequent_words_are_not_written_in_pairs(spark, mo
     got = line_dedup.dedup_lines(spark.createDataFrame([(0, "\n".join(lines))], "doc_id long, text string")).collect()
     assert sum(counts) < 600
     assert sum(not r.kept for r in got) >= 12 and {r.keep_line_no for r in got if not r.kept} <= set(range(0, 600, 40))
+
+
+def test_links_found_late_connect_roots_only(spark, monkeypatch):
+    """What a leader has connected isn't connected again."""
+    rng, counts, own = random.Random(7), [], line_dedup.connected_components
+
+    def counting(edges):
+        counts.append(edges.count())
+        return own(edges)
+
+    def late(lines, met):  # a link between the roots of the first line and of the others
+        return lines.where("line_no < 2").agg(F.min("row").alias("a"), F.max("row").alias("b"))
+
+    monkeypatch.setattr(line_dedup, "connected_components", counting)
+    monkeypatch.setattr(line_dedup, "_met", late)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    dense = [word() for _ in range(60)]
+    lines = [" ".join(word() for _ in range(9)), *(" ".join([*dense[:k], "changed", *dense[k + 1 :]]) for k in range(60))]
+    got = line_dedup.dedup_lines(spark.createDataFrame([(0, "\n".join(lines))], "doc_id long, text string")).collect()
+    assert counts[0] > 40 and counts[1:] == [1]
+    assert {(r.keep_line_no, r.group_size) for r in got} == {(0, 61)}

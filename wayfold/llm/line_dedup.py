@@ -53,10 +53,10 @@ _HAS_WORDS = 0x0001000100010001
 _VOTES = f"(x | {_HAS_WORDS}L) & shiftleft(65535L, cast(shiftleft(x & 1L, 4) | (shiftrightunsigned(x, 11) & 32L) as int))"
 
 
-def _lanes(votes: str) -> list[str]:
-    """SQL for the eight sums of at most _CHUNK words' votes: the k-th counts bits k,
+def _lane(k: int) -> str:
+    """SQL for what a word's votes add to the k-th of eight sums: it counts bits k,
     k + 8, ... in 8-bit counters, eight to a long."""
-    return [f"aggregate({votes}, 0L, (s, x) -> s + (shiftrightunsigned(x, {k}) & {_LANES}L))" for k in range(8)]
+    return f"shiftrightunsigned(vote, {k}) & {_LANES}L"
 
 
 def _words_of(block: int) -> str:
@@ -77,14 +77,9 @@ def _majority() -> str:
     return " | ".join([*low, *top])
 
 
-def _long_simhash(votes: str) -> str:
-    """SQL for the SimHash of any number of words, chunk by chunk."""
-    lanes = f"transform(sequence(1, size({votes}), {_CHUNK}), i -> transform(array(slice({votes}, i, {_CHUNK})), c -> array({', '.join(_lanes('c'))}))[0])"
-
-    def total(bit: str) -> str:
-        return f"aggregate(lanes, 0L, (t, l) -> t + (shiftrightunsigned(l[({bit}) % 8], cast(({bit}) div 8 * 8 as int)) & 255))"
-
-    return f"transform(array({lanes}), lanes -> aggregate(sequence(0, 63), 0L, (acc, b) -> acc | if(2 * {total('b')} > {total('b - b % 16')}, shiftleft(1L, b), 0L)))[0]"
+def _count(b: int) -> str:
+    """SQL for the b-th bit's counter in the sums ``n0`` to ``n31``."""
+    return f"(n{b} & {(1 << 32) - 1}L)" if b < 32 else f"shiftrightunsigned(n{b - 32}, 32)"
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -94,15 +89,36 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return own.withColumn("norm", F.trim("norm"))
 
 
-def with_simhash(lines: DataFrame) -> DataFrame:
-    """Adds ``sim``, the SimHash of the distinct words of ``norm``; null without words."""
-    names = lines.columns
+def _sums(lines: DataFrame) -> DataFrame:
+    """The written sums ``s0`` to ``s7`` of the votes of each chunk of a line's distinct
+    words, with the other columns of ``lines``. A line's words become rows that are
+    summed up in the task that reads them; only sums are shuffled."""
+    names = [c for c in lines.columns if c != "norm"]
     hashes = "array_distinct(transform(split(norm, ' '), w -> xxhash64(w)))"
-    voted = lines.withColumn("v", F.expr(f"if(norm = '', null, transform({hashes}, x -> {_VOTES}))"))
-    short = voted.withColumn("short", F.expr(f"if(size(v) <= {_CHUNK}, v, null)"))
-    sums = short.select(*names, "v", F.size("v").alias("n"), *[F.expr(x).alias(f"s{k}") for k, x in enumerate(_lanes("short"))])
-    sums = sums.withColumns({"fill": F.expr(_FILL), "last": F.expr(_words_of(BLOCKS - 1))})
-    return sums.select(*names, F.expr(f"case when v is null then null when n <= {_CHUNK} then {_majority()} else {_long_simhash('v')} end").alias("sim"))
+    # an inner explode would filter by the array's size, which computes it twice; none is empty
+    words = lines.where("norm <> ''").select(*names, F.expr(f"posexplode_outer({hashes})").alias("at", "x"))
+    words = words.select(*names, F.expr(f"at div {_CHUNK}").alias("chunk"), F.expr(_VOTES).alias("vote"))
+    sums = words.groupBy(*names, "chunk").agg(*[F.expr(f"sum({_lane(k)})").alias(f"s{k}") for k in range(8)])
+    # written, or both of the branches that read them would sum up all words
+    return write_table(sums, "sums", **{"parquet.enable.dictionary": "false"})
+
+
+def _prints(sums: DataFrame) -> DataFrame:
+    """``sim`` of each line of :func:`_sums`, with its other columns."""
+    names = [c for c in sums.columns if c not in ("chunk", *(f"s{k}" for k in range(8)))]
+    single = f"chunk = 0 AND {' + '.join(_words_of(c) for c in range(BLOCKS))} < {_CHUNK}"
+    short = sums.where(single).withColumns({"fill": F.expr(_FILL), "last": F.expr(_words_of(BLOCKS - 1))}).select(*names, F.expr(_majority()).alias("sim"))
+    # lines whose words fill a chunk: bits b and b + 32 in 32-bit counters, as a line may have any number of chunks
+    wide = {f"n{b}": F.expr(f"sum(shiftrightunsigned(s{b % 8}, {b // 8 * 8}) & {0xFF000000FF}L)") for b in range(32)}
+    counts = sums.where(f"NOT ({single})").groupBy(*names).agg(*[x.alias(n) for n, x in wide.items()])
+    bits = " | ".join(f"if(2 * {_count(b)} > {_count(b // 16 * 16)}, shiftleft(1L, {b}), 0L)" for b in range(64))
+    return short.unionByName(counts.select(*names, F.expr(bits).alias("sim")))
+
+
+def with_simhash(lines: DataFrame) -> DataFrame:
+    """``sim``, the SimHash of the distinct words of ``norm``, of each line that has
+    words, with its other columns, by which lines are told apart."""
+    return _prints(_sums(lines))
 
 
 def _pair_key(k: int) -> str:
@@ -167,8 +183,8 @@ def _edges(lines: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _met(lines: DataFrame, met: DataFrame) -> DataFrame:
-    """Edges between nodes of a key that aren't connected yet, of which one at least is
-    ``odd``. A node brings its line once for each of its keys, and lines are compared
+    """Edges between roots of nodes of a key that aren't connected yet, of which one at
+    least is ``odd``. A node brings its line once for each of its keys, and lines are compared
     where they meet: pairs are neither written nor shuffled, only edges are. Lengths in
     steps of the similarity deal a large key to several tasks; nodes that are near in
     length are in one step or in neighbouring ones."""
@@ -180,7 +196,7 @@ def _met(lines: DataFrame, met: DataFrame) -> DataFrame:
     a, b = a.alias("a"), whole.select("key", "step", "node", "len", "root", "odd", F.col("x.*")).alias("b")
     apart = f"a.root <> b.root AND (NOT b.odd OR a.node < b.node) AND {_near_in_length('a.len', 'b.len')}"
     found = a.join(b, F.expr(f"a.key = b.key AND a.step = b.step AND {apart} AND {SIMILAR}"))
-    edges = write_table(found.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct(), "edges")
+    edges = write_table(found.select(F.least("a.root", "b.root").alias("a"), F.greatest("a.root", "b.root").alias("b")).distinct(), "edges")
     drop_table(texts, asked, whole)
     return edges
 
@@ -218,23 +234,30 @@ def _groups(lines: DataFrame, nodes: DataFrame) -> DataFrame:
     drop_table(crowded, named, star, odd, met)
     if rest.isEmpty():
         return led
-    return connected_components(led.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest))
+    # roots alone are connected further, not all that they lead
+    moved = write_table(connected_components(rest).select(F.col("node").alias("root"), F.col("root").alias("top")), "moved")
+    all_led = led.join(moved.hint("shuffle_hash"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    # nodes that had no edge before were their own roots
+    alone = moved.join(led.select(F.col("node").alias("root")).hint("shuffle_hash"), "root", "left_anti")
+    return all_led.unionByName(alone.select(F.col("root").alias("node"), F.col("top").alias("root")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``<id>, line_no, keep_id, keep_line_no, group_size, kept`` of every line."""
     lines = lines_of(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    lines = with_simhash(lines.withColumns({"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("2"), F.col("norm")), "len": F.length("norm")}))
+    lines = lines.withColumns({"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("2"), F.col("norm")), "len": F.length("norm")})
     # hardly a value stands twice, so dictionaries are no use
     lines = write_table(lines, "lines", **{"parquet.enable.dictionary": "false"})
-    nodes = lines.where("sim IS NOT NULL").groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("sim").alias("sim"), F.min("len").alias("len"), F.count("*").alias("n"))
+    sums = _sums(lines.select("k1", "k2", "row", "len", "norm"))
+    nodes = _prints(sums).groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("sim").alias("sim"), F.min("len").alias("len"), F.count("*").alias("n"))
     nodes = write_table(nodes, "nodes")
+    drop_table(sums)
     roots = write_table(_groups(lines, nodes), "components")
 
     # lines that stand alone keep themselves; only the others are grouped
     several = nodes.select("k1", "k2", "node", "n").join(roots.hint("shuffle_hash"), "node", "left").where("n > 1 OR root IS NOT NULL")
     several = write_table(several.select("k1", "k2", F.coalesce("root", "node").alias("root")), "several")
-    narrow = lines.select("id", "line_no", "k1", "k2", F.col("sim").isNull().alias("blank"))
+    narrow = lines.select("id", "line_no", "k1", "k2", (F.col("len") == 0).alias("blank"))
     marked = write_table(narrow.where("NOT blank").join(several.hint("shuffle_hash"), ["k1", "k2"], "left").select("id", "line_no", "root"), "marked")
     at = F.struct(F.col("id").isNull().alias("null_id"), "id", "line_no")
     groups = marked.where("root IS NOT NULL").groupBy("root").agg(F.min(at).alias("keep"), F.count("*").alias("group_size"))
